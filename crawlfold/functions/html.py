@@ -1,36 +1,42 @@
 """Column functions that read stored HTML with built-in regular expressions.
 
-They stay inside code generation and never leave the JVM. The layout they assume:
-attributes are quoted, and a block is closed by the first closing tag of its own name.
-Patterns use lazy quantifiers only, so a whole page is read whatever its length.
+They never leave the JVM. The layout they assume: attributes are quoted, and a block is
+closed by the first closing tag of its own name. A pattern only ever describes an opening
+tag or a run of text; the end of a block is found by a plain search, because lazy
+quantifiers over a whole page cost many times as much.
+
+What is not found is the empty string until `known` turns it into NULL. Catalyst copies an
+expression into every place that uses it, so build these in steps: give each pattern its own
+column and let the next `select` refer to that column.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def opening(tag: str, attr: str | None = None, value: str | None = None, part: bool = False) -> str:
-    """Pattern of an opening tag, optionally with an attribute equal to or containing `value`."""
+    """Pattern of an opening tag, optionally with an attribute equal to or containing `value`.
+
+    Attributes are looked for from the left, which mostly ends at the first one.
+    """
     if attr is None:
         return rf"<{tag}\b[^>]*>"
+    named = rf"<{tag}\s(?:[^>]*?\s)?{attr}"
     if value is None:
-        return rf"<{tag}\b[^>]*\b{attr}\b[^>]*>"
+        return named + r"(?=[\s=/>])[^>]*>"
     text = re.escape(value)
-    around_double, around_single = ('[^"]*', "[^']*") if part else ("", "")
-    quoted = (
-        rf'(?:"{around_double}{text}{around_double}"'
-        rf"|'{around_single}{text}{around_single}')"
-    )
-    return rf"<{tag}\b[^>]*\b{attr}\s*=\s*{quoted}[^>]*>"
+    if part:
+        return named + rf"""\s*=\s*(?:"[^"]*{text}|'[^']*{text})[^>]*>"""
+    return named + rf"""\s*=\s*["']{text}["'][^>]*>"""
 
 
 def first(html: Column, pattern: str, group: int = 1) -> Column:
-    """First match of `pattern`, NULL when there is none or it is empty."""
-    return F.nullif(F.regexp_extract(html, "(?s)" + pattern, group), F.lit(""))
+    """First match of `pattern`, empty when there is none."""
+    return F.regexp_extract(html, "(?s)" + pattern, group)
 
 
 def every(html: Column, pattern: str, group: int = 1) -> Column:
@@ -38,30 +44,45 @@ def every(html: Column, pattern: str, group: int = 1) -> Column:
     return F.regexp_extract_all(html, F.lit("(?s)" + pattern), F.lit(group))
 
 
+def after(html: Column, pattern: str) -> Column:
+    """Everything behind the first match of `pattern`, empty when there is none."""
+    return first(html, pattern + "(.*)")
+
+
+def before(html: Column, end: str) -> Column:
+    """Everything in front of the first `end`, all of it when there is none."""
+    return F.substring_index(html, end, 1)
+
+
 def block(html: Column, tag: str, attr: str | None = None, value: str | None = None,
           part: bool = False) -> Column:
     """Inner HTML of the first matching element."""
-    return first(html, opening(tag, attr, value, part) + rf"(.*?)</{tag}>")
+    return before(after(html, opening(tag, attr, value, part)), f"</{tag}>")
+
+
+def pieces(html: Column, pattern: str) -> Column:
+    """What follows each match of `pattern`, up to the next match."""
+    return F.slice(F.split(html, "(?s)" + pattern), 2, 1_000_000_000)
 
 
 def attribute(tag_text: Column, name: str) -> Column:
     """Value of an attribute in the text of one opening tag."""
-    value = F.coalesce(
-        first(tag_text, rf'\b{name}\s*=\s*"([^"]*)"'),
-        first(tag_text, rf"\b{name}\s*=\s*'([^']*)'"),
-    )
-    return unescape(value)
+    return first(tag_text, rf"""\s{name}\s*=\s*["']([^"']*)["']""")
 
 
 def text(html: Column, tag: str, attr: str | None = None, value: str | None = None) -> Column:
     """Leading text of the first matching element that starts with text."""
-    return unescape(first(html, opening(tag, attr, value) + r"([^<]+)<"))
+    return first(html, opening(tag, attr, value) + r"([^<]+)<")
 
 
 def texts(html: Column, tag: str, attr: str | None = None, value: str | None = None) -> Column:
     """Leading texts of all matching elements, in document order."""
-    found = every(html, opening(tag, attr, value) + r"([^<]+)<")
-    return F.transform(found, unescape)
+    return every(html, opening(tag, attr, value) + r"([^<]+)<")
+
+
+def known(col: Column) -> Column:
+    """NULL instead of the empty string."""
+    return F.nullif(col, F.lit(""))
 
 
 def unescape(col: Column) -> Column:
@@ -74,14 +95,30 @@ def unescape(col: Column) -> Column:
         letter = F.decode(F.unhex(code), "UTF-32")
         return F.replace(whole, F.concat(F.lit("&#"), number, F.lit(";")), letter)
 
-    plain = F.replace(col, F.lit("&#38;"), F.lit("&amp;"))
-    numbers = F.array_distinct(F.regexp_extract_all(plain, F.lit(r"&#(\d{1,6});"), F.lit(1)))
-    plain = F.when(plain.contains("&#"), F.aggregate(numbers, plain, character)).otherwise(plain)
+    numbers = F.array_remove(
+        F.array_distinct(F.regexp_extract_all(col, F.lit(r"&#(\d{1,6});"), F.lit(1))), "38"
+    )
+    plain = F.when(col.contains("&#"), F.aggregate(numbers, col, character)).otherwise(col)
     # Fixed values.
-    for entity, letter in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
-                           ("&nbsp;", " "), ("&amp;", "&")):
+    for entity, letter in (("&#38;", "&amp;"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
+                           ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
         plain = F.replace(plain, F.lit(entity), F.lit(letter))
-    return F.when(col.contains("&"), plain).otherwise(col)
+    return plain
+
+
+def unescaped(df: DataFrame, *names: str) -> DataFrame:
+    """Resolve entities in the named columns."""
+    return df.withColumns({n: unescape(F.col(n)) for n in names})
+
+
+def once(df: DataFrame) -> DataFrame:
+    """Fix the columns here, so that a later filter does not run their patterns again.
+
+    Catalyst pushes a filter below the projections it refers to and evaluates their
+    expressions there a second time. It cannot push one below a generator.
+    """
+    fixed = F.inline_outer(F.array(F.struct(*df.columns)))
+    return df.select(fixed)
 
 
 def strip(col: Column) -> Column:

@@ -14,7 +14,7 @@ LAT = r'shopGlat: *" *(\d{2}.\d+) *"'
 
 def position_script(page: Column) -> Column:
     """First script that names both coordinates, NULL when no script does."""
-    scripts = H.every(page, H.opening("script") + "(.*?)</script>")
+    scripts = F.transform(H.pieces(page, H.opening("script")), lambda s: H.before(s, "</script>"))
     both = F.filter(scripts, lambda s: s.contains("shopGlat") & s.contains("shopGlng"))
     return F.try_element_at(both, F.lit(1))
 
@@ -32,34 +32,43 @@ def with_position(pages: DataFrame) -> DataFrame:
 
 
 def link_words(section: Column) -> Column:
-    """All link texts of a section joined by a vertical bar, NULL when there are none."""
-    return F.nullif(F.array_join(H.texts(section, "a"), "|"), F.lit(""))
+    """All link texts of a section joined by a vertical bar, NULL when there are none.
 
+    `section` is used several times: pass a column that already holds the section.
+    """
+    return H.known(H.unescape(F.array_join(H.texts(section, "a"), "|")))
 
-def key_words(page: Column) -> Column:
-    """Review keywords of a detail page."""
+
+def keyword_section(page: Column) -> Column:
+    """The block of a detail page that holds the review keywords."""
     # The wrapper may hold further blocks, so everything behind its opening tag is searched
     # for the first content block.
-    wrapper = H.opening("div", "id", "summaryfilter-wrapper") + ".*?"
-    content = H.opening("div", "class", "content") + "(.*?)</div>"
-    return link_words(H.first(page, wrapper + content))
+    wrapped = H.after(page, H.opening("div", "id", "summaryfilter-wrapper"))
+    return H.block(wrapped, "div", "class", "content")
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """Detail records: id from the request, lon, lat and key_words from the page."""
-    return with_position(pages).select(
-        F.col("meta")["shopId"].alias("id"), F.col("fetched_at").alias("ts"), "lon", "lat", key_words(F.col("html")).alias("key_words")
+    located = with_position(pages.withColumn("_words", keyword_section(F.col("html"))))
+    return located.select(
+        F.col("meta")["shopId"].alias("id"), F.col("fetched_at").alias("ts"), "lon", "lat",
+        link_words(F.col("_words")).alias("key_words"),
     )
 
 
 def heading(page: Column) -> Column:
-    """Shop name of a detail page: leading text of its heading, trimmed."""
-    info = H.opening("div", "id", "basic-info") + ".*?"
-    return H.strip(H.unescape(H.first(page, info + H.opening("h1", "class", "shop-name") + "([^<]+)<")))
+    """Raw shop name of a detail page: the leading text of its heading."""
+    return H.text(H.after(page, H.opening("div", "id", "basic-info")), "h1", "class", "shop-name")
+
+
+def with_heading(pages: DataFrame) -> DataFrame:
+    """Add the shop name, trimmed; NULL when the page has no heading."""
+    named = H.unescaped(pages.withColumn("name", heading(F.col("html"))), "name")
+    return named.withColumn("name", H.known(H.strip(F.col("name"))))
 
 
 def extract_new(pages: DataFrame) -> DataFrame:
     """Shops found through inner links: id from the URL, name and coordinates from the page."""
-    return with_position(pages).select(
-        H.last_segment(F.col("url")).alias("id"), heading(F.col("html")).alias("name"), "lon", "lat"
+    return with_heading(with_position(pages)).select(
+        H.last_segment(F.col("url")).alias("id"), "name", "lon", "lat"
     )

@@ -7,16 +7,15 @@ from pyspark.sql import functions as F
 
 from crawlfold.functions import html as H
 from crawlfold.operators.skew import SALTS, salted_lookup
-from crawlfold.session import ready_to_checkpoint
+from crawlfold.session import written
 
 
 def next_links(pages: DataFrame) -> DataFrame:
     """Edges url -> next_url of all listing pages that have a next-page link."""
     pager = H.block(F.col("html"), "div", "class", "page")
     link = H.first(pager, H.opening("a", "class", "next"), 0)
-    return pages.select("url", H.attribute(link, "href").alias("next_url")).filter(
-        F.col("next_url").isNotNull()
-    )
+    links = H.once(pages.select("url", H.attribute(link, "href").alias("next_url")))
+    return H.unescaped(links.filter(F.col("next_url") != ""), "next_url")
 
 
 def depth(edges: DataFrame, seeds: DataFrame, salts: int = SALTS) -> DataFrame:
@@ -25,25 +24,24 @@ def depth(edges: DataFrame, seeds: DataFrame, salts: int = SALTS) -> DataFrame:
     Every page has at most one next page, so the links can be doubled: round k knows the
     page 2^k steps ahead and extends the reached pages to distance 2^(k+1) - 1. A chain of
     n pages takes log2(n) rounds instead of n, and cycles end once nothing new is reached.
-    Each round is checkpointed, so a lost executor does not replay the earlier ones.
+    Each round is stored, so a lost executor does not replay the earlier ones.
     """
-    spark = edges.sparkSession
-    ready_to_checkpoint(spark)
     # A page stored twice counts once.
-    jump = edges.groupBy("url").agg(F.max("next_url").alias("ahead"))
-    reached = seeds.select("url", F.lit(0).alias("depth")).distinct().checkpoint()
-    known, step = reached.count(), 1
+    jump, _ = written(edges.groupBy("url").agg(F.max("next_url").alias("ahead")))
+    reached, known = written(seeds.select("url", F.lit(0).alias("depth")).distinct())
+    step = 1
     while True:
         ahead = reached.join(jump, "url").select(
             F.col("ahead").alias("url"), (F.col("depth") + step).alias("depth")
         )
-        reached = reached.unionByName(ahead).groupBy("url").agg(F.min("depth").alias("depth")).checkpoint()
-        found = reached.count()
+        reached, found = written(
+            reached.unionByName(ahead).groupBy("url").agg(F.min("depth").alias("depth"))
+        )
         if found == known:
             return reached
         known, step = found, step * 2
-        table = jump.select(F.col("url").alias("ahead"), F.col("ahead").alias("_further"))
         # Many pages may point to the same page, so the lookup of its next page is salted.
-        jump = salted_lookup(jump, table, "ahead", "url", salts).select(
-            "url", F.col("_further").alias("ahead")
-        ).checkpoint()
+        table = jump.select(F.col("url").alias("ahead"), F.col("ahead").alias("_further"))
+        jump, _ = written(
+            salted_lookup(jump, table, "ahead", "url", salts).select("url", F.col("_further").alias("ahead"))
+        )

@@ -15,10 +15,16 @@ FLAVOR, ENVIRONMENT, SERVICE = "口味", "环境", "服务"
 
 def cards(pages: DataFrame) -> DataFrame:
     """One row per card of the shop list, with its position on the page and the page's time."""
-    shop_list = H.opening("div", "id", "shop-all-list") + r"\s*" + H.opening("ul") + "(.*?)</ul>"
-    card = H.opening("div", "class", "txt") + "(.*?)</li>"
-    return pages.select(
-        "url", F.col("fetched_at").alias("ts"), F.posexplode(H.every(H.first(F.col("html"), shop_list), card)).alias("pos", "card")
+    shop_list = H.opening("div", "id", "shop-all-list") + r"\s*" + H.opening("ul")
+    found = F.split(
+        H.before(H.after(F.col("html"), shop_list), "</ul>"), H.opening("div", "class", "txt")
+    )
+    # What precedes the first card comes out as position 0 and is left out.
+    split = pages.select(
+        "url", F.col("fetched_at").alias("ts"), F.posexplode_outer(found).alias("_n", "_text")
+    ).filter(F.col("_n") > 0)
+    return split.select(
+        "url", "ts", (F.col("_n") - 1).alias("pos"), H.before(F.col("_text"), "</li>").alias("card")
     )
 
 
@@ -29,13 +35,15 @@ def stars(css_class: Column) -> Column:
     return digits.try_cast("int")
 
 
-def _bold(block: Column) -> Column:
-    return H.text(block, "b")
+def _ratings(card: Column) -> Column:
+    """The rated texts of a card, each up to its number, in one short string."""
+    marker = f"(?:{FLAVOR}|{ENVIRONMENT}|{SERVICE})"
+    rated = H.opening("span") + rf"([^<]*{marker}[^<]*" + H.opening("b") + "[^<]+)<"
+    return F.array_join(H.every(card, rated), "<")
 
 
-def _rating(card: Column, marker: str) -> Column:
-    rated = H.opening("span") + rf"[^<]*{marker}[^<]*" + H.opening("b") + "([^<]+)<"
-    return H.first(card, rated).try_cast("double")
+def _rating(marker: str) -> Column:
+    return H.first(F.col("_ratings"), rf"{marker}[^<]*" + H.opening("b") + "([^<]+)")
 
 
 def parse_cards(card_rows: DataFrame) -> DataFrame:
@@ -43,48 +51,51 @@ def parse_cards(card_rows: DataFrame) -> DataFrame:
 
     Columns: url, ts, pos, missing and the eleven listing fields under their shop names.
     """
-    card = F.col("card")
+    place = ["url", "ts", "pos"]
+    title, comment, tags = F.col("_title"), F.col("_comment"), F.col("_tags")
     blocks = card_rows.select(
-        "url", "ts", "pos", "card",
-        H.block(card, "div", "class", "tit").alias("title"),
-        H.block(card, "div", "class", "comment").alias("comment"),
-        H.block(card, "div", "class", "tag-addr").alias("place"),
+        *place,
+        _ratings(F.col("card")).alias("_ratings"),
+        H.block(F.col("card"), "div", "class", "tit").alias("_title"),
+        H.block(F.col("card"), "div", "class", "comment").alias("_comment"),
+        H.block(F.col("card"), "div", "class", "tag-addr").alias("_address"),
     )
-    title, comment, place = F.col("title"), F.col("comment"), F.col("place")
-
-    link = H.first(title, H.opening("a", "data-hippo-type"), 0)
-    review = H.block(comment, "a", "onclick", "shopreview", part=True)
-    price = H.first(comment, H.opening("a") + rf"[^<]*{PER_HEAD}(.*?)</a>")
-    rank = H.first(comment, H.opening("span", "class", "sml-rank-stars sml-str", part=True), 0)
-    raw = blocks.select(
-        "url", "ts", "pos",
-        H.attribute(link, "data-shopid").alias("ID"),
+    price = H.opening("a") + rf"[^<]*{PER_HEAD}"
+    rank = H.opening("span", "class", "sml-rank-stars sml-str", part=True)
+    pieces = blocks.select(
+        *place,
+        H.first(title, H.opening("a", "data-hippo-type"), 0).alias("_link"),
         H.text(title, "h4").alias("NAME"),
-        _bold(review).try_cast("int").alias("COMMENTS_N"),
-        # The first character is the currency sign.
-        F.substr(_bold(price), F.lit(2)).try_cast("double").alias("CPC"),
-        H.text(place, "span", "class", "addr").alias("ADDRESS"),
-        H.texts(place, "span", "class", "tag").alias("_tags"),
-        H.attribute(rank, "class").alias("_rank"),
-        _rating(card, FLAVOR).alias("FLA"),
-        _rating(card, ENVIRONMENT).alias("ENV"),
-        _rating(card, SERVICE).alias("SER"),
+        H.block(comment, "a", "onclick", "shopreview", part=True).alias("_review"),
+        H.before(H.after(comment, price), "</a>").alias("_price"),
+        H.first(comment, rank, 0).alias("_rank"),
+        H.text(F.col("_address"), "span", "class", "addr").alias("ADDRESS"),
+        H.texts(F.col("_address"), "span", "class", "tag").alias("_tags"),
+        _rating(FLAVOR).alias("FLA"),
+        _rating(ENVIRONMENT).alias("ENV"),
+        _rating(SERVICE).alias("SER"),
     )
-    required = [
-        ("id", F.col("ID").isNull()),
-        ("name", F.col("NAME").isNull()),
-        ("address", F.col("ADDRESS").isNull()),
-        ("tags", F.size("_tags") < 2),
-        ("stars", F.col("_rank").isNull()),
-    ]
-    missing = F.concat_ws(",", *[F.when(absent, F.lit(name)) for name, absent in required])
-    items = raw.select(
-        "url", "ts", "pos",
-        F.nullif(missing, F.lit("")).alias("missing"),
-        "ID", "NAME", "ADDRESS",
-        F.try_element_at("_tags", F.lit(1)).alias("TYPE"),
-        F.try_element_at("_tags", F.lit(2)).alias("TAG"),
-        "COMMENTS_N", "CPC", stars(F.col("_rank")).alias("STARS"), "FLA", "ENV", "SER",
+    raw = pieces.select(
+        *place, "NAME", "ADDRESS", "FLA", "ENV", "SER",
+        H.attribute(F.col("_link"), "data-shopid").alias("ID"),
+        H.text(F.col("_review"), "b").alias("COMMENTS_N"),
+        H.text(F.col("_price"), "b").alias("CPC"),
+        H.attribute(F.col("_rank"), "class").alias("_rank"),
+        F.coalesce(F.try_element_at(tags, F.lit(1)), F.lit("")).alias("TYPE"),
+        F.coalesce(F.try_element_at(tags, F.lit(2)), F.lit("")).alias("TAG"),
+    )
+    plain = H.unescaped(H.once(raw), "ID", "NAME", "ADDRESS", "TYPE", "TAG")
+    required = {"id": "ID", "name": "NAME", "address": "ADDRESS", "tags": "TAG", "stars": "_rank"}
+    lacking = [F.when(F.col(c) == "", F.lit(name)) for name, c in required.items()]
+    items = plain.select(
+        *place,
+        H.known(F.concat_ws(",", *lacking)).alias("missing"),
+        *[H.known(F.col(c)).alias(c) for c in ("ID", "NAME", "ADDRESS", "TYPE", "TAG")],
+        F.col("COMMENTS_N").try_cast("int").alias("COMMENTS_N"),
+        # The first character is the currency sign.
+        F.substr("CPC", F.lit(2)).try_cast("double").alias("CPC"),
+        stars(F.col("_rank")).alias("STARS"),
+        *[F.col(c).try_cast("double").alias(c) for c in ("FLA", "ENV", "SER")],
     )
     return items.withColumnsRenamed(ITEM_COLUMNS)
 

@@ -72,5 +72,6 @@ def new_shop_searches(pages: DataFrame) -> DataFrame:
     """Search URLs for shops found through inner links."""
     from crawlfold.operators import detail
 
-    name = detail.heading(F.col("html"))
-    return pages.select(H.last_segment(F.col("url")).alias("id"), search_url(name).alias("search_url"))
+    return detail.with_heading(pages).select(
+        H.last_segment(F.col("url")).alias("id"), search_url(F.col("name")).alias("search_url")
+    )

@@ -18,27 +18,30 @@ LANDING_BUTTON = "去大众点评首页"
 
 def page_verdict(page: Column, title_word: str = CAPTCHA_TITLE, button: str = LANDING_BUTTON) -> Column:
     """403 when the title holds `title_word` or a button reads exactly `button`, else 200."""
-    title = F.coalesce(H.block(page, "title"), F.lit(""))
-    asked = title.contains(title_word)
+    asked = H.block(page, "title").contains(title_word)
     landed = F.array_contains(H.texts(page, "button"), button)
     return F.when(asked | landed, PAGE_BLOCKED).otherwise(PAGE_OK)
 
 
-def with_verdict(pages: DataFrame, classifier: Callable[[DataFrame], Column] | None = None) -> DataFrame:
-    """Set `status` by a classifier of the caller; what is not an integer counts as 200."""
+def status_column(pages: DataFrame, classifier: Callable[[DataFrame], Column] | None) -> Column:
+    """Verdict of a classifier of the caller; what is not an integer counts as 200."""
     if classifier is None:
-        return pages.withColumn("status", F.lit(PAGE_OK))
+        return F.lit(PAGE_OK)
     verdict = classifier(pages)
-    kind = pages.select(verdict.alias("v")).schema["v"].dataType
-    if not isinstance(kind, T.IntegralType):
-        return pages.withColumn("status", F.lit(PAGE_OK))
-    return pages.withColumn("status", F.coalesce(verdict.try_cast("int"), F.lit(PAGE_OK)))
+    if not isinstance(pages.select(verdict.alias("v")).schema["v"].dataType, T.IntegralType):
+        return F.lit(PAGE_OK)
+    return F.coalesce(verdict.try_cast("int"), F.lit(PAGE_OK))
 
 
 def default_classifier(pages: DataFrame) -> Column:
     return page_verdict(pages["html"])
 
 
-def usable(pages: DataFrame, classifier: Callable[[DataFrame], Column] = default_classifier) -> DataFrame:
+def with_verdict(pages: DataFrame, classifier: Callable[[DataFrame], Column] | None = default_classifier) -> DataFrame:
+    """Pages with `status` set by the classifier."""
+    return pages.withColumn("status", status_column(pages, classifier))
+
+
+def usable(pages: DataFrame, classifier: Callable[[DataFrame], Column] | None = default_classifier) -> DataFrame:
     """Pages that may be parsed."""
-    return with_verdict(pages, classifier).filter(F.col("status") == PAGE_OK)
+    return pages.filter(status_column(pages, classifier) == PAGE_OK).withColumn("status", F.lit(PAGE_OK))

@@ -44,9 +44,8 @@ def detail_requests(shops: DataFrame, pool: DataFrame, n: int, params: PoolParam
 
 def detail_round(shops: DataFrame, pages: DataFrame) -> DataFrame:
     """Shop table after a batch of detail pages: extracted fields merged, locks released."""
-    judged = verdict.with_verdict(pages, verdict.default_classifier)
-    good = judged.filter(F.col("status") == 200)
-    seen = detail.extract(good.filter(F.col("meta")["shopId"].isNotNull()))
+    judged = verdict.with_verdict(pages)
+    seen = detail.extract(verdict.usable(pages.filter(F.col("meta")["shopId"].isNotNull())))
     merged = shop_ops.upsert(shops, seen.withColumn("seq", F.lit(0)), DETAIL_FIELDS)
     return claims.apply_locks(merged, claims.lock_state(claims.release_codes(judged)))
 

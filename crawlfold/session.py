@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int = 8, app: str = "crawlfold") -> SparkSession:
@@ -46,8 +47,14 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def ready_to_checkpoint(spark: SparkSession) -> None:
-    """Make `DataFrame.checkpoint()` usable, keeping a folder that is already set."""
-    root = shared_root(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+def written(df: DataFrame) -> tuple[DataFrame, int]:
+    """Store `df` in the shared folder; returns the stored table and its row count.
+
+    Cuts the lineage: later steps start from files that outlive any executor, and know
+    their size.
+    """
+    spark = df.sparkSession
+    seen = Observation(f"written-{uuid.uuid4().hex}")
+    folder = new_folder(spark, "step")
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder), seen.get["rows"]

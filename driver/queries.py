@@ -161,14 +161,13 @@ def new_shop_searches(spark, sf):
 
 
 def keywords_join(spark, sf):
-    nav = H.block(F.col("html"), "nav")
-    return b.table(spark, sf, "pages").select("page_id", detail.link_words(nav).alias("key_words"))
+    sections = b.table(spark, sf, "pages").select("page_id", H.block(F.col("html"), "nav").alias("nav"))
+    return sections.select("page_id", detail.link_words(F.col("nav")).alias("key_words"))
 
 
 def heading_extract(spark, sf):
-    return b.table(spark, sf, "pages").select(
-        "page_id", H.strip(H.text(F.col("html"), "h1")).alias("name")
-    )
+    raw = b.table(spark, sf, "pages").select("page_id", H.text(F.col("html"), "h1").alias("name"))
+    return H.unescaped(raw, "name").select("page_id", H.strip(F.col("name")).alias("name"))
 
 
 def url_last_segment(spark, sf):

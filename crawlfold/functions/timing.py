@@ -11,6 +11,12 @@ def minutes_between(start: Column, end: Column) -> Column:
     return F.timestamp_diff("SECOND", start, end) / F.lit(60)
 
 
+def hundredths_of_seconds(moment: Column) -> Column:
+    """Whole hundredths of a second since 1970, whatever the session's time zone."""
+    since = (moment - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).cast("interval second")
+    return F.floor(since.cast("decimal(20,6)") * 100).cast("bigint")
+
+
 def lifetime_class(minutes: Column) -> Column:
     """Purchase class of a lease length; NULL outside the sold lengths."""
     # 5-25 min, 25 min-3 h, 3-6 h, 6-12 h, 12-24 h.

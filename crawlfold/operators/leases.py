@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from crawlfold.functions.timing import hundredths_of_seconds
 from crawlfold.operators.skew import SEGMENT_ROWS, with_segments
 
 
@@ -30,7 +31,7 @@ def history(leases: DataFrame, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
         .withColumn("superseded_at", F.coalesce("_next", "_next_first"))
         .drop("seg", "_next", "_next_first")
     )
-    hundredths = F.expr("unix_micros(cast(superseded_at as timestamp)) div 10000")
+    hundredths = hundredths_of_seconds(F.col("superseded_at"))
     return dated.withColumns({
         "is_current": F.col("superseded_at").isNull(),
         "stored_key": F.concat_ws("_", F.col("proxy"), hundredths.cast("string")),

@@ -13,6 +13,9 @@ from crawlfold.params import PoolParams
 
 DEFAULTS = PoolParams()
 
+# Members that may be broadcast: keys and numbers of this many stay far below 100 MB.
+BROADCAST_MEMBERS = 500_000
+
 
 def _moment(as_of: dt.datetime) -> Column:
     return F.lit(as_of).cast("timestamp_ntz")
@@ -133,9 +136,15 @@ def numbered(members: DataFrame, key: str) -> DataFrame:
 
 
 def assign(work: DataFrame, pool: DataFrame, params: PoolParams = DEFAULTS) -> DataFrame:
-    """Give each work item `(item)` one eligible member, evenly by the item's hash."""
+    """Give each work item `(item)` one eligible member, evenly by the item's hash.
+
+    The member count is needed for the hash anyway, so it also decides the join: a small
+    pool is broadcast, since its few members would otherwise be hot keys; with a large one
+    every member gets a small share of the work and both sides are shuffled.
+    """
     members = numbered(eligible(pool, params).select("proxy"), "proxy")
-    # An empty pool has no number to divide by, so nothing is assigned.
-    total = members.agg(F.nullif(F.count(F.lit(1)), F.lit(0))).scalar()
+    total = members.count()
     hashed = F.conv(F.substring(F.md5(F.col("item").cast("string")), 1, 15), 16, 10).cast("bigint")
-    return work.withColumn("n", F.pmod(hashed, total)).join(members, "n").select("item", "proxy")
+    placed = work.withColumn("n", F.pmod(hashed, F.lit(max(total, 1))))
+    side = F.broadcast(members) if total <= BROADCAST_MEMBERS else members
+    return placed.join(side, "n").select("item", "proxy")

@@ -36,10 +36,9 @@ def detail_requests(shops: DataFrame, pool: DataFrame, n: int, params: PoolParam
     sign to stop.
     """
     batch = claims.claim_batch(shops, n, *shop_ops.WORK_PREDICATES)
-    if params.pool_n <= 0:
-        return batch
-    some = pool_ops.eligible(pool, params).agg(F.count(F.lit(1)) > 0).scalar()
-    return batch.filter(some)
+    if params.pool_n > 0 and pool_ops.eligible(pool, params).isEmpty():
+        return batch.limit(0)
+    return batch
 
 
 def detail_round(shops: DataFrame, pages: DataFrame) -> DataFrame:

@@ -72,7 +72,10 @@ def fold_pool(outcomes: DataFrame, log: str, checkpoint: str, ban_n: int = BAN_N
     Batches must come in arrival order per key; `outcomes.late_keys` finds keys that did not.
     """
     def store(batch: DataFrame, batch_id: int) -> None:
+        # Looking for hot keys reads the batch once more; keep it instead of its source.
+        batch.persist()
         sinks.write_batch(oc.summarise(batch, ban_n, segment_rows), log, batch_id)
+        batch.unpersist()
 
     return run_batches(outcomes, checkpoint, store)
 

@@ -9,15 +9,16 @@ from pyspark.sql import functions as F
 
 from crawlfold import params as P
 from crawlfold.operators import seeds, shops as shop_ops
+from crawlfold.params import SITE, Site
 
 
-def claim_batch(shops: DataFrame, n: int, *predicates: str) -> DataFrame:
+def claim_batch(shops: DataFrame, n: int, *predicates: str, site: Site = SITE) -> DataFrame:
     """The `n` smallest claimable ids. One job claims them all, so no id goes out twice.
 
     Returns id, the claim code and the detail URL; append (id, code) with a time to the log.
     """
     ids = shop_ops.claimable(shops, *predicates).orderBy("id").limit(n)
-    return ids.select("id", F.lit(P.CLAIMED).alias("code"), seeds.detail_url(F.col("id")).alias("url"))
+    return ids.select("id", F.lit(P.CLAIMED).alias("code"), seeds.detail_url(F.col("id"), site).alias("url"))
 
 
 def lock_state(claims: DataFrame, as_of: dt.datetime | None = None,

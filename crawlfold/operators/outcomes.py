@@ -8,14 +8,16 @@ a piece of a hot key (see `skew.with_segments`) or a micro-batch of a stream.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from crawlfold.operators.skew import SEGMENT_ROWS, with_segments
-from crawlfold.params import BAN_N
+from crawlfold.params import BAN_N, PAGE_OK
+
+
+# Arrival number and time.
+MOMENTS = "array<struct<seq:bigint,ts:timestamp_ntz>>"
 
 
 def _is(kind: str) -> Column:
@@ -65,7 +67,7 @@ def _summarise_runs(runs: DataFrame, ban_n: int) -> DataFrame:
         F.max(F.when(_is("kill"), moment)).alias("last_kill"),
         F.max("after_ok").alias("has_ok"),
         F.max_by("run", "seq").alias("trailing"),
-        (F.array(*lead) if lead else F.array().cast("array<struct<seq:bigint,ts:timestamp_ntz>>")).alias("lead"),
+        F.array(*lead).cast(MOMENTS).alias("lead"),
         earliest(_is("block") & (F.col("run") >= ban_n)).alias("own_death"),
         F.min("seq").alias("first_seq"),
         F.max("seq").alias("last_seq"),
@@ -82,37 +84,46 @@ def _chain(summaries: DataFrame, order: list[str]) -> DataFrame:
     return ended.withColumn("carry", F.lag("streak", 1, 0).over(by_key)).drop("_total")
 
 
-def fold(summaries: DataFrame, ban_n: int = BAN_N, order: tuple[str, ...] = ("seg",)) -> DataFrame:
-    """State per key from its summaries, chained in `order`.
+def compacted(summaries: DataFrame, ban_n: int = BAN_N, order: tuple[str, ...] = ("seg",)) -> DataFrame:
+    """One summary per key that stands for all stretches up to now.
 
-    Columns: key, score, ban (current streak), using_n, death, death_time, ban_death_time.
-    A sweep follows every block, so a live member dies when its streak first reaches
-    `ban_n`; failed probes count further deaths and move the death time.
+    The first stretch of a key starts without a streak, so the summary needs no `lead`.
     """
     chained = _chain(summaries, list(order))
     # With a streak already begun, the run is complete at an earlier leading block.
-    completes = [
-        F.when(F.col("carry") == ban_n - i, F.col("lead")[i - 1]) for i in range(1, ban_n)
-    ]
-    carried = reduce(lambda a, b: F.coalesce(a, b), completes) if completes else F.lit(None)
-    death = F.least(carried, F.col("own_death")) if completes else F.col("own_death")
-    state = chained.withColumns({"_ban_death": death, "_at": F.struct(*order)}).groupBy("key").agg(
+    carried = [F.when(F.col("carry") == ban_n - i, F.col("lead")[i - 1]) for i in range(1, ban_n)]
+    death = F.least(F.coalesce(*carried), F.col("own_death")) if carried else F.col("own_death")
+    return chained.withColumns({"_death": death, "_at": F.struct(*order)}).groupBy("key").agg(
+        F.lit(-1).cast("bigint").alias("seg"),
         F.sum("score").alias("score"),
-        F.max_by("streak", "_at").cast("bigint").alias("ban"),
         F.sum("using_n").alias("using_n"),
         F.sum("kills").alias("kills"),
-        F.min("first_kill").alias("_first_kill"),
-        F.max("last_kill").alias("_last_kill"),
-        F.min("_ban_death").alias("_ban_death"),
-    )
-    swept = F.col("_ban_death").isNotNull() & (
-        F.col("_first_kill").isNull() | (F.col("_ban_death.seq") < F.col("_first_kill.seq"))
+        F.min("first_kill").alias("first_kill"),
+        F.max("last_kill").alias("last_kill"),
+        F.lit(True).alias("has_ok"),
+        F.max_by("streak", "_at").alias("trailing"),
+        F.array().cast(MOMENTS).alias("lead"),
+        F.min("_death").alias("own_death"),
+        F.min("first_seq").alias("first_seq"),
+        F.max("last_seq").alias("last_seq"),
     )
+
+
+def fold(summaries: DataFrame, ban_n: int = BAN_N, order: tuple[str, ...] = ("seg",)) -> DataFrame:
+    """State per key from its summaries, chained in `order`.
+
+    Columns: key, score, ban (current streak), using_n, death, death_time, ban_death_time.
+    A sweep follows every block, so a live member dies when its streak first reaches
+    `ban_n`; failed probes count further deaths and move the death time.
+    """
+    state = compacted(summaries, ban_n, order)
+    ban_death, first_kill = F.col("own_death"), F.col("first_kill")
+    swept = ban_death.isNotNull() & (first_kill.isNull() | (ban_death["seq"] < first_kill["seq"]))
     return state.select(
-        "key", "score", "ban", "using_n",
+        "key", "score", F.col("trailing").alias("ban"), "using_n",
         (F.col("kills") + F.when(swept, 1).otherwise(0)).alias("death"),
-        F.coalesce("_last_kill.ts", "_ban_death.ts").alias("death_time"),
-        F.col("_ban_death.ts").alias("ban_death_time"),
+        F.coalesce("last_kill.ts", "own_death.ts").alias("death_time"),
+        F.col("own_death.ts").alias("ban_death_time"),
     )
 
 
@@ -150,6 +161,21 @@ def first_death(outcomes: DataFrame, ban_n: int = BAN_N, segment_rows: int = SEG
     )
 
 
+def of_pages(pages: DataFrame) -> DataFrame:
+    """Completed outcomes of judged pages `(status, fetched_at, meta)` that went through a member.
+
+    The verdict decides, so a page that is not usable never counts as a success. The fetch
+    time in microseconds stands for the arrival number.
+    """
+    key = F.col("meta")["proxy"]
+    return pages.filter(key.isNotNull()).select(
+        key.alias("key"),
+        F.unix_micros(F.col("fetched_at").cast("timestamp")).alias("seq"),
+        F.col("fetched_at").alias("ts"),
+        F.when(F.col("status") == PAGE_OK, "ok").otherwise("block").alias("kind"),
+    )
+
+
 def in_use(outcomes: DataFrame) -> DataFrame:
     """Open hand-outs per key: plus one per hand-out, minus one per completed outcome."""
     used = F.when(_is("handout"), 1).when(_is("ok") | _is("block"), -1).otherwise(0)

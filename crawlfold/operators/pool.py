@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from crawlfold.functions.timing import minutes_between
 from crawlfold.params import PoolParams
+from crawlfold.session import written
 
 DEFAULTS = PoolParams()
 
@@ -142,8 +143,7 @@ def assign(work: DataFrame, pool: DataFrame, params: PoolParams = DEFAULTS) -> D
     pool is broadcast, since its few members would otherwise be hot keys; with a large one
     every member gets a small share of the work and both sides are shuffled.
     """
-    members = numbered(eligible(pool, params).select("proxy"), "proxy")
-    total = members.count()
+    members, total = written(numbered(eligible(pool, params).select("proxy"), "proxy"))
     hashed = F.conv(F.substring(F.md5(F.col("item").cast("string")), 1, 15), 16, 10).cast("bigint")
     placed = work.withColumn("n", F.pmod(hashed, F.lit(max(total, 1))))
     side = F.broadcast(members) if total <= BROADCAST_MEMBERS else members

@@ -6,13 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlfold.functions import html as H
+from crawlfold.operators import detail
+from crawlfold.params import SITE, Site
 from crawlfold.sources import dims
 
-# URL formats.
-SEED_BASE = "http://www.dianping.com/shanghai/ch10/"
-DETAIL_BASE = "http://www.dianping.com/shop/"
-SEARCH_BASE = "https://www.dianping.com/search/keyword/1/10_"
-
 
 def areas_of_level(areas: DataFrame, level: int) -> DataFrame:
     """Areas of exactly one level."""
@@ -32,7 +29,7 @@ def areas_up_to(areas: DataFrame, level: int, repeat: bool = False) -> DataFrame
     return chosen.withColumn("pass", F.explode(passes)).drop("pass")
 
 
-def seed_urls(areas: DataFrame, base: str = SEED_BASE) -> DataFrame:
+def seed_urls(areas: DataFrame, site: Site = SITE) -> DataFrame:
     """One URL per area and cuisine.
 
     The cuisine list is fixed and short, so it is exploded from a literal: a narrow step
@@ -41,7 +38,7 @@ def seed_urls(areas: DataFrame, base: str = SEED_BASE) -> DataFrame:
     codes = F.array(*[F.lit(code) for code in dims.CUISINES.values()])
     return areas.select("area_code", F.explode(codes).alias("cuisine_code")).select(
         "area_code", "cuisine_code",
-        F.concat(F.lit(base), "area_code", "cuisine_code").alias("url"),
+        F.concat(F.lit(site.seed_base), "area_code", "cuisine_code").alias("url"),
     )
 
 
@@ -59,19 +56,18 @@ def decode_seed_urls(pages: DataFrame, areas: DataFrame) -> DataFrame:
     )
 
 
-def detail_url(shop_id: Column) -> Column:
-    return F.concat(F.lit(DETAIL_BASE), shop_id)
+def detail_url(shop_id: Column, site: Site = SITE) -> Column:
+    return F.concat(F.lit(site.detail_base), shop_id)
 
 
-def search_url(name: Column, encode: bool = True) -> Column:
+def search_url(name: Column, encode: bool = True, site: Site = SITE) -> Column:
     """Search URL of a shop name; encoded unless the raw form is wanted."""
-    return F.concat(F.lit(SEARCH_BASE), F.url_encode(name) if encode else name)
+    return F.concat(F.lit(site.search_base), F.url_encode(name) if encode else name)
 
 
-def new_shop_searches(pages: DataFrame) -> DataFrame:
+def new_shop_searches(pages: DataFrame, site: Site = SITE) -> DataFrame:
     """Search URLs for shops found through inner links."""
-    from crawlfold.operators import detail
-
+    found = search_url(F.col("name"), site=site)
     return detail.with_heading(pages).select(
-        H.last_segment(F.col("url")).alias("id"), search_url(F.col("name")).alias("search_url")
+        H.last_segment(F.col("url")).alias("id"), found.alias("search_url")
     )

@@ -9,17 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crawlfold.functions import html as H
-from crawlfold.params import PAGE_BLOCKED, PAGE_OK
+from crawlfold.params import PAGE_BLOCKED, PAGE_OK, SITE, Site
 
-# What a block notice shows.
-CAPTCHA_TITLE = "验证"
-LANDING_BUTTON = "去大众点评首页"
 
-
-def page_verdict(page: Column, title_word: str = CAPTCHA_TITLE, button: str = LANDING_BUTTON) -> Column:
-    """403 when the title holds `title_word` or a button reads exactly `button`, else 200."""
-    asked = H.block(page, "title").contains(title_word)
-    landed = F.array_contains(H.texts(page, "button"), button)
+def page_verdict(page: Column, site: Site = SITE) -> Column:
+    """403 when the title or a button shows a block notice, else 200."""
+    asked = H.block(page, "title").contains(site.captcha_title)
+    landed = F.array_contains(H.texts(page, "button"), site.landing_button)
     return F.when(asked | landed, PAGE_BLOCKED).otherwise(PAGE_OK)
 
 
@@ -33,8 +29,8 @@ def status_column(pages: DataFrame, classifier: Callable[[DataFrame], Column] |
     return F.coalesce(verdict.try_cast("int"), F.lit(PAGE_OK))
 
 
-def default_classifier(pages: DataFrame) -> Column:
-    return page_verdict(pages["html"])
+def default_classifier(pages: DataFrame, site: Site = SITE) -> Column:
+    return page_verdict(pages["html"], site)
 
 
 def with_verdict(pages: DataFrame, classifier: Callable[[DataFrame], Column] | None = default_classifier) -> DataFrame:

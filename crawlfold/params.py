@@ -34,3 +34,22 @@ class PoolParams:
     death_n: int = DEATH_N
     ban_n: int = BAN_N
     pool_n: int = POOL_N
+
+
+@dataclass(frozen=True)
+class Site:
+    """Addresses and notices of the directory whose pages are stored. Set your own.
+
+    A URL is its base followed by the area and cuisine codes, the shop id or the shop name.
+    A page is a block notice when its title holds `captcha_title` or one of its buttons
+    reads exactly `landing_button`.
+    """
+
+    seed_base: str = "http://www.example.com/shanghai/ch10/"
+    detail_base: str = "http://www.example.com/shop/"
+    search_base: str = "https://www.example.com/search/keyword/1/10_"
+    captcha_title: str = "验证"
+    landing_button: str = "去首页"
+
+
+SITE = Site()

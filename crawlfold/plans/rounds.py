@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawlfold.operators import claims, detail, listing, pool as pool_ops, seeds, shops as shop_ops, verdict
-from crawlfold.params import PoolParams
+from crawlfold.params import SITE, PoolParams, Site
 
 LISTING_FIELDS = [
     "name", "address", "type_", "tag", "comments_n", "consumption_per_capita", "stars",
@@ -17,10 +17,10 @@ LISTING_FIELDS = [
 DETAIL_FIELDS = ["lon", "lat", "key_words"]
 
 
-def listing_requests(areas: DataFrame, level: int, inclusive: bool = False) -> DataFrame:
+def listing_requests(areas: DataFrame, level: int, inclusive: bool = False, site: Site = SITE) -> DataFrame:
     """Seed URLs of a listing crawl."""
     chosen = seeds.areas_up_to(areas, level) if inclusive else seeds.areas_of_level(areas, level)
-    return seeds.seed_urls(chosen)
+    return seeds.seed_urls(chosen, site)
 
 
 def listing_observations(pages: DataFrame) -> DataFrame:
@@ -29,13 +29,14 @@ def listing_observations(pages: DataFrame) -> DataFrame:
     return listing.extract(verdict.usable(pages)).withColumnRenamed("pos", "seq")
 
 
-def detail_requests(shops: DataFrame, pool: DataFrame, n: int, params: PoolParams = PoolParams()) -> DataFrame:
+def detail_requests(shops: DataFrame, pool: DataFrame, n: int, params: PoolParams = PoolParams(),
+                    site: Site = SITE) -> DataFrame:
     """Claims of the next detail batch.
 
     Empty when no shop qualifies, or when members are required and none is eligible: the
     sign to stop.
     """
-    batch = claims.claim_batch(shops, n, *shop_ops.WORK_PREDICATES)
+    batch = claims.claim_batch(shops, n, *shop_ops.WORK_PREDICATES, site=site)
     if params.pool_n > 0 and pool_ops.eligible(pool, params).isEmpty():
         return batch.limit(0)
     return batch

@@ -7,6 +7,8 @@ the old version in force and a repeated write replaces only its own folder.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,9 +35,27 @@ def write_batch(df: DataFrame, log: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
 
 
-def read_log(spark: SparkSession, log: str) -> DataFrame:
-    """All stored batches, with the column batch_id."""
-    return spark.read.parquet(log)
+def read_log(spark: SparkSession, log: str, snapshots: str | None = None) -> DataFrame:
+    """All stored batches, with the column batch_id.
+
+    With `snapshots`, the latest one stands for the batches up to its version, and only the
+    folders of later batches are read.
+    """
+    batches = spark.read.parquet(log)
+    version = latest_version(spark, snapshots) if snapshots else None
+    if version is None:
+        return batches
+    base = spark.read.parquet(f"{snapshots}/v={version}")
+    later = batches.filter(F.col("batch_id") > version)
+    return base.withColumn("batch_id", F.lit(version)).unionByName(later)
+
+
+def compact(spark: SparkSession, log: str, snapshots: str, fold: Callable[[DataFrame], DataFrame]) -> int:
+    """Fold the log into a new snapshot, so that reading does not grow with the batch count."""
+    rows = read_log(spark, log, snapshots)
+    newest = rows.agg(F.max("batch_id")).first()[0]
+    write_snapshot(fold(rows), snapshots, newest)
+    return newest
 
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:

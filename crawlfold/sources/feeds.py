@@ -7,17 +7,24 @@ from pyspark.sql import functions as F
 
 from crawlfold.schemas import LEASE_REPLY
 
+# More leases than any reply holds.
+LEASES_PER_REPLY = 1_000_000
+
 
 def _parsed(replies: DataFrame) -> DataFrame:
     return replies.withColumn("_r", F.from_json("body", LEASE_REPLY))
 
 
 def leases(replies: DataFrame, lifetime_class: int = 1, scheme: str = "http") -> DataFrame:
-    """Lease rows of all successful replies `(feed_id, status, received_at, body)`."""
+    """Lease rows of all successful replies `(feed_id, status, received_at, body)`.
+
+    `seq` numbers the leases by reply and place in it, for `operators.leases`.
+    """
     good = _parsed(replies).filter((F.col("status") == 200) & F.col("_r.success"))
-    rows = good.select("feed_id", "received_at", F.explode("_r.data").alias("_d"))
+    rows = good.select("feed_id", "received_at", F.posexplode("_r.data").alias("_pos", "_d"))
     return rows.select(
         "feed_id",
+        (F.col("feed_id") * LEASES_PER_REPLY + F.col("_pos")).alias("seq"),
         F.format_string("%s://%s:%s", F.lit(scheme), F.col("_d.ip"), F.col("_d.port")).alias("proxy"),
         F.col("_d.ip").alias("ip"),
         F.col("_d.port").alias("port"),

@@ -17,6 +17,9 @@ from crawlfold.operators import detail, outcomes as oc, shops as shop_ops, verdi
 from crawlfold.operators.skew import SEGMENT_ROWS
 from crawlfold.params import BAN_N
 
+# How logged summaries follow each other.
+BATCHES = ("batch_id", "seg")
+
 
 def run_batches(stream: DataFrame, checkpoint: str, store: Callable[[DataFrame, int], None]) -> StreamingQuery:
     """Feed all available input through `store`, batch by batch, and wait for the end."""
@@ -60,9 +63,14 @@ def upsert_shops(observations: DataFrame, fields: list[str], log: str, checkpoin
     return run_batches(observations, checkpoint, store)
 
 
-def read_shop_updates(spark: SparkSession, log: str, fields: list[str]) -> DataFrame:
+def read_shop_updates(spark: SparkSession, log: str, fields: list[str], snapshots: str | None = None) -> DataFrame:
     """Current field values per id from all logged batches, in whatever order they came."""
-    return shop_ops.values(shop_ops.refold(sinks.read_log(spark, log), fields), fields)
+    return shop_ops.values(shop_ops.refold(sinks.read_log(spark, log, snapshots), fields), fields)
+
+
+def compact_shop_updates(spark: SparkSession, log: str, fields: list[str], snapshots: str) -> int:
+    """Fold the logged batches into one stamped row per id."""
+    return sinks.compact(spark, log, snapshots, lambda rows: shop_ops.refold(rows, fields))
 
 
 def fold_pool(outcomes: DataFrame, log: str, checkpoint: str, ban_n: int = BAN_N,
@@ -80,6 +88,11 @@ def fold_pool(outcomes: DataFrame, log: str, checkpoint: str, ban_n: int = BAN_N
     return run_batches(outcomes, checkpoint, store)
 
 
-def read_pool_state(spark: SparkSession, log: str, ban_n: int = BAN_N) -> DataFrame:
+def read_pool_state(spark: SparkSession, log: str, ban_n: int = BAN_N, snapshots: str | None = None) -> DataFrame:
     """Member state from all logged batches."""
-    return oc.fold(sinks.read_log(spark, log), ban_n, order=("batch_id", "seg"))
+    return oc.fold(sinks.read_log(spark, log, snapshots), ban_n, order=BATCHES)
+
+
+def compact_pool(spark: SparkSession, log: str, snapshots: str, ban_n: int = BAN_N) -> int:
+    """Fold the logged batches into one summary per key."""
+    return sinks.compact(spark, log, snapshots, lambda rows: oc.compacted(rows, ban_n, BATCHES))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlfold.operators import outcomes as oc, seeds
+from crawlfold.params import SITE
 from crawlfold.sources import dims
 
 CARDS_PER_PAGE = 15
@@ -170,7 +171,7 @@ def seeded(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "customer").select(
         F.col("c_custkey").cast("string").alias("id"),
         F.concat(
-            F.lit(seeds.SEED_BASE), F.lit("r"), F.expr("cast(c_custkey%1000 as string)"),
+            F.lit(SITE.seed_base), F.lit("r"), F.expr("cast(c_custkey%1000 as string)"),
             F.element_at(codes, F.expr("cast(c_custkey%37+1 as int)")),
         ).alias("url"),
     )
@@ -273,12 +274,13 @@ def lease_replies(spark: SparkSession, sf: str) -> DataFrame:
         F.expr("date_format(ts + interval 20 minutes, 'yyyy-MM-dd HH:mm:ss')").alias("expire_time"),
     )
     feeds = table(spark, sf, "events").groupBy(F.expr("event_id div 100").alias("feed_id")).agg(
-        F.collect_list(lease).alias("data"), F.min("ts").alias("received_at")
+        F.array_sort(F.collect_list(F.struct("event_id", lease.alias("lease")))).alias("data"),
+        F.min("ts").alias("received_at"),
     )
     body = F.to_json(F.struct(
         F.expr("feed_id%5<>0").alias("success"),
         F.concat(F.lit("reply "), F.col("feed_id").cast("string")).alias("msg"),
-        F.col("data"),
+        F.col("data.lease").alias("data"),
     ))
     return feeds.select(
         "feed_id",

@@ -6,7 +6,7 @@ see the rendered HTML.
 
 from __future__ import annotations
 
-from crawlfold.operators.seeds import DETAIL_BASE, SEARCH_BASE, SEED_BASE
+from crawlfold.params import SITE
 from crawlfold.sources import dims
 from driver.bindings import CARDS_PER_PAGE, CHAIN, LIST_HOST
 
@@ -68,7 +68,7 @@ cards AS (SELECT c_custkey k, CAST(c_custkey AS VARCHAR) id,
 FROM customer)"""
 
 DETAILS = f"""
-details AS (SELECT c_custkey k, CAST(c_custkey AS VARCHAR) id, '{DETAIL_BASE}' || c_custkey AS url,
+details AS (SELECT c_custkey k, CAST(c_custkey AS VARCHAR) id, '{SITE.detail_base}' || c_custkey AS url,
   c_name AS name,
   TIMESTAMP '2024-01-01 00:00:00' + to_seconds(c_custkey) AS ts,
   CASE WHEN c_custkey%9=0 OR c_custkey%13=0 THEN NULL
@@ -189,21 +189,21 @@ SQL: dict[str, str] = {
         UNION ALL SELECT area_code FROM areas WHERE level <= 2
         UNION ALL SELECT area_code FROM areas WHERE level <= 1""",
     "area_codes_up_to": f"WITH {AREAS} SELECT area_code FROM areas WHERE level <= 2",
-    "seed_urls": f"""WITH {AREAS} SELECT '{SEED_BASE}' || area_code || unnest({CUISINE_CODES}) AS url
+    "seed_urls": f"""WITH {AREAS} SELECT '{SITE.seed_base}' || area_code || unnest({CUISINE_CODES}) AS url
         FROM areas WHERE level = 1""",
     "seed_url_decode": f"""WITH {AREAS},
         s AS (SELECT CAST(c_custkey AS VARCHAR) id, 'r' || (c_custkey % 1000) AS area_code,
                      CAST(c_custkey % 37 + 1 AS INT) AS c FROM customer)
         SELECT id, area_code, {CUISINE_CODES}[c] AS cuisine_code, area, district, {CUISINE_NAMES}[c] AS cuisine
         FROM s LEFT JOIN areas USING (area_code)""",
-    "detail_urls": f"SELECT CAST(c_custkey AS VARCHAR) id, '{DETAIL_BASE}' || c_custkey AS url FROM customer",
+    "detail_urls": f"SELECT CAST(c_custkey AS VARCHAR) id, '{SITE.detail_base}' || c_custkey AS url FROM customer",
     "search_urls": f"""SELECT CAST(c_custkey AS VARCHAR) id,
-        '{SEARCH_BASE}' || replace(c_name, '#', '%23') AS search_url FROM customer""",
+        '{SITE.search_base}' || replace(c_name, '#', '%23') AS search_url FROM customer""",
     # Feeds
-    "lease_feed": f"""SELECT feed_id, 'http://' || ip || ':' || port AS proxy, ip, port, 'http' AS scheme,
+    "lease_feed": f"""SELECT feed_id, feed_id * 1000000 + n AS seq, 'http://' || ip || ':' || port AS proxy, ip, port, 'http' AS scheme,
           1 AS lifetime_class, min(ts) OVER (PARTITION BY feed_id) AS birth_time,
           date_trunc('second', ts + INTERVAL 20 MINUTE) AS expire_time
-        FROM (SELECT event_id // 100 AS feed_id, '10.0.' || (user_id % 256) || '.' || (event_id % 256) AS ip,
+        FROM (SELECT event_id // 100 AS feed_id, event_id % 100 AS n, '10.0.' || (user_id % 256) || '.' || (event_id % 256) AS ip,
                      CAST(8000 + event_id % 1000 AS VARCHAR) AS port, ts FROM events WHERE {GOOD_FEED})""",
     "lease_rejects": """SELECT feed_id, CASE WHEN feed_id % 11 = 0 THEN 'malformed' ELSE 'refused' END AS reason,
           CASE WHEN feed_id % 11 = 0 THEN NULL ELSE 'reply ' || feed_id END AS msg
@@ -233,7 +233,7 @@ SQL: dict[str, str] = {
     "geo_extract": f"WITH {DETAILS} SELECT url, lon, lat FROM details",
     "detail_extract": f"WITH {DETAILS} SELECT id, ts, lon, lat, key_words FROM details WHERE NOT blocked",
     "new_shop_extract": f"WITH {DETAILS} SELECT id, name, lon, lat FROM details",
-    "new_shop_searches": f"""WITH {DETAILS} SELECT id, '{SEARCH_BASE}' || replace(name, '#', '%23') AS search_url
+    "new_shop_searches": f"""WITH {DETAILS} SELECT id, '{SITE.search_base}' || replace(name, '#', '%23') AS search_url
         FROM details""",
     "keywords_join": f"""SELECT page_id, nullif({UNESCAPE.format(
         "array_to_string(regexp_extract_all(regexp_extract(html, '(?s)<nav[^>]*>(.*?)</nav>', 1), "
@@ -262,14 +262,14 @@ SQL: dict[str, str] = {
           CAST(c_nationkey AS VARCHAR) AS address,
           count(*) OVER (PARTITION BY c_mktsegment, c_nationkey) AS n FROM customer""",
     # Claims
-    "claim_batch": f"""WITH {SHOPS} SELECT id, 1 AS code, '{DETAIL_BASE}' || id AS url
+    "claim_batch": f"""WITH {SHOPS} SELECT id, 1 AS code, '{SITE.detail_base}' || id AS url
         FROM (SELECT DISTINCT id FROM shops WHERE {CLAIMABLE}) ORDER BY id LIMIT 100""",
     "lock_state": f"WITH {LOCKS} SELECT id, lock_, since FROM locks",
     "lock_state_ttl": f"""WITH {LOCKS} SELECT id, CASE WHEN lock_ = 1
           AND since < TIMESTAMP '2024-01-26 00:00:00' THEN 0 ELSE lock_ END AS lock_ FROM locks""",
     "locked_shops": f"""WITH {SHOPS}, {LOCKS} SELECT s.id, coalesce(l.lock_, s.lock_) AS lock_
         FROM shops s LEFT JOIN locks l ON l.id = s.id""",
-    "requeue": f"""SELECT '{DETAIL_BASE}' || user_id AS url, count(*) FILTER (WHERE event_type='error') AS blocks
+    "requeue": f"""SELECT '{SITE.detail_base}' || user_id AS url, count(*) FILTER (WHERE event_type='error') AS blocks
         FROM events WHERE event_type IN ('purchase','error') GROUP BY user_id
         HAVING arg_max(event_type, event_id) = 'error'""",
     "fetched_no_geo": f"WITH {SHOPS} SELECT id FROM shops WHERE lock_ = 20 AND (lon IS NULL OR lat IS NULL)",
@@ -292,6 +292,10 @@ SQL: dict[str, str] = {
           count(*) FILTER (WHERE birth_time > TIMESTAMP '2024-01-11 00:00:00') AS born_today,
           count(*) FILTER (WHERE death < 1) AS alive,
           greatest(1000 - count(*) FILTER (WHERE death < 1), 0) AS gap FROM pool""",
+    "pool_gap_current": f"""{HISTORY} SELECT
+          count(*) FILTER (WHERE birth_time > TIMESTAMP '2024-01-11 00:00:00') AS born_today,
+          count(*) FILTER (WHERE death < 1) AS alive,
+          greatest(1000 - count(*) FILTER (WHERE death < 1), 0) AS gap FROM hist WHERE superseded_at IS NULL""",
     "dead_members": f"WITH {MEMBERS}, {DEAD.format(as_of='2024-01-11')} SELECT * FROM dead",
     "lifetime_class": f"""WITH {MEMBERS} SELECT proxy, CASE WHEN m < 5 THEN NULL WHEN m < 25 THEN 1
           WHEN m < 180 THEN 2 WHEN m < 360 THEN 3 WHEN m < 720 THEN 4 WHEN m <= 1440 THEN 5 END AS lifetime_class

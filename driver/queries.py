@@ -13,7 +13,7 @@ from crawlfold.operators import (
     claims, detail, frontier, leases, listing, outcomes as oc, pool as pool_ops, seeds,
     shops as shop_ops, verdict,
 )
-from crawlfold.params import PoolParams
+from crawlfold.params import PoolParams, Site
 from crawlfold.plans import rounds
 from crawlfold.session import new_folder
 from crawlfold.sources import dims, feeds
@@ -98,8 +98,10 @@ def page_scan(spark, sf):
 
 
 def page_verdict(spark, sf):
+    """The stored pages show no captcha; a run of stars in the title stands for it."""
+    site = Site(captcha_title="***")
     return b.table(spark, sf, "pages").select(
-        "page_id", verdict.page_verdict(F.col("html"), title_word="***").alias("status")
+        "page_id", verdict.page_verdict(F.col("html"), site).alias("status")
     )
 
 
@@ -287,6 +289,11 @@ def pool_gap(spark, sf):
     return pool_ops.gap(b.pool(spark, sf), AS_OF, NOMINAL)
 
 
+def pool_gap_current(spark, sf):
+    """The gap over leases that still hold their key; older ones no longer count as alive."""
+    return pool_ops.gap(leases.current(b.leases(spark, sf)), AS_OF, NOMINAL)
+
+
 def dead_members(spark, sf):
     return pool_ops.dead_members(b.pool(spark, sf), AS_OF)
 
@@ -384,7 +391,7 @@ ALL = {
         upsert_updates, dup_listing_count,
         claim_batch, lock_state, lock_state_ttl, locked_shops, requeue, fetched_no_geo,
         pool_state, ban_streak_running, first_death, pool_in_use, pool_eligible,
-        pool_eligible_count, pool_sweep, births_today, pool_gap, dead_members, lifetime_classes,
+        pool_eligible_count, pool_sweep, births_today, pool_gap, pool_gap_current, dead_members, lifetime_classes,
         pool_report, pool_report_empty, pool_report_lenient, random_pick, balanced_assignment,
         lease_history, lease_current,
         next_page_links, listing_depth, stream_extract, stream_upsert, stream_pool,

@@ -122,6 +122,7 @@ def test_lease_history(spark, segment_rows):
             stamp = int((nxt - dt.datetime(1970, 1, 1)) / dt.timedelta(milliseconds=10))
             assert got[seq]["stored_key"] == f"{proxy}_{stamp}"
         following[proxy] = born
+    # A lease that lost its key is neither alive nor eligible, though nobody killed it.
     now = {r["proxy"] for r in leases.current(df, segment_rows).collect()}
     assert now == {r[0] for r in rows} and leases.current(df, segment_rows).count() == len(now)
 
@@ -131,6 +132,7 @@ def test_feeds(spark):
     rows = [(1, 200, TODAY, good), (2, 200, TODAY, '{"success": false, "msg": "no money"}'), (3, 500, TODAY, good),
             (4, 200, TODAY, "<html>"), (5, 200, TODAY, '{"success": true, "data": []}')]
     replies = spark.createDataFrame(rows, "feed_id long, status int, received_at timestamp_ntz, body string")
+    assert [r["seq"] for r in feeds.leases(replies).collect()] == [1_000_000, 1_000_001]
     got = [(r["feed_id"], r["proxy"], r["expire_time"]) for r in feeds.leases(replies).collect()]
     assert got == [(1, "http://1.2.3.4:80", TODAY + dt.timedelta(hours=1)), (1, "http://1.2.3.5:81", None)]
     bad = {r["feed_id"]: (r["reason"], r["msg"]) for r in feeds.lease_rejects(replies).collect()}

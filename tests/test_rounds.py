@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from crawlfold.operators import pool as pool_ops
+from crawlfold.operators import pool as pool_ops, verdict
 from crawlfold.params import PoolParams
 from crawlfold.plans import rounds
 from crawlfold.schemas import OUTCOMES, PAGES
@@ -53,6 +53,14 @@ def test_listing_observations(spark):
     assert set(merged) == {"1", "2", "9"} and merged["1"]["name"] == "new"
 
 
+def test_a_blocked_page_counts_against_its_member(spark):
+    rows = [(f"u{i}", "<title>验证</title>" if i < 3 else "", 200, T0 + dt.timedelta(seconds=i), {"proxy": "a"}) for i in range(3)]
+    rows += [("v", "", 200, T0, {"proxy": "b"}), ("w", "", 200, T0, {})]
+    judged = verdict.with_verdict(spark.createDataFrame(rows, PAGES))
+    state = oc.member_state(oc.of_pages(judged))
+    assert {r["key"]: (r["score"], r["ban"], r["death"]) for r in state.collect()} == {"a": (0, 3, 1), "b": (1, 0, 0)}
+
+
 def test_pool_round(spark):
     members = pool(spark, member("a"), member("b"), member("c")).drop("score", "ban", "using_n", "death", "death_time")
     log = [("a", i, T0, "block") for i in range(3)] + [("b", 5, T0, "ok")]

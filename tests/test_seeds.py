@@ -3,6 +3,7 @@
 import pytest
 
 from crawlfold.operators import seeds
+from crawlfold.params import SITE
 from crawlfold.plans import rounds
 from crawlfold.sources import dims
 
@@ -43,7 +44,7 @@ def test_repeated_levels(areas, level, count):
 def test_shipped_level_is_exact(areas):
     urls = [r["url"] for r in rounds.listing_requests(areas, 3).collect()]
     assert len(urls) == 37 and len(set(urls)) == 37
-    assert seeds.SEED_BASE + "r64598g101" in urls
+    assert SITE.seed_base + "r64598g101" in urls
     assert rounds.listing_requests(areas, 3, inclusive=True).count() == 5 * 37
 
 

@@ -91,3 +91,28 @@ def test_pages_delivered_twice(spark, tmp_path):
     in_files(spark.createDataFrame(rows, PAGES), tmp_path / "in", "fetched_at", 2)
     jobs.extract_details(stream(spark, tmp_path / "in", PAGES), str(tmp_path / "out"), str(tmp_path / "cp"), "1 hour")
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def test_compacted_logs_read_the_same(spark, sf, tmp_path):
+    log = random_log(300, 41)
+    pool_log, pool_snaps = str(tmp_path / "pool"), str(tmp_path / "pool-snapshots")
+    observed = b.observations(spark, sf)
+    shop_log, shop_snaps = str(tmp_path / "shops"), str(tmp_path / "shop-snapshots")
+    for i in range(6):
+        part = spark.createDataFrame(log[i * 50:(i + 1) * 50], OUTCOMES)
+        sinks.write_batch(oc.summarise(part, 3, 5), pool_log, i)
+        some = observed.filter(F.pmod(F.xxhash64("seq"), F.lit(6)) == i)
+        sinks.write_batch(shop_ops.fold_observations(some, b.OBSERVED), shop_log, i)
+        if i in (1, 3):
+            assert jobs.compact_pool(spark, pool_log, pool_snaps) == i
+            assert jobs.compact_shop_updates(spark, shop_log, b.OBSERVED, shop_snaps) == i
+    text = lambda df: sorted(map(str, df.collect()))
+    assert text(jobs.read_pool_state(spark, pool_log, snapshots=pool_snaps)) == text(jobs.read_pool_state(spark, pool_log))
+    assert text(jobs.read_shop_updates(spark, shop_log, b.OBSERVED, shop_snaps)) == text(
+        shop_ops.values(shop_ops.fold_observations(observed, b.OBSERVED), b.OBSERVED))
+    rows = sinks.read_log(spark, pool_log, pool_snaps)
+    assert {r["batch_id"] for r in rows.select("batch_id").distinct().collect()} == {3, 4, 5}
+    members, _ = replay(log, 3)
+    state = jobs.read_pool_state(spark, pool_log, snapshots=pool_snaps)
+    assert {r["key"]: (r["ban"], r["death"], r["death_time"]) for r in state.collect()} == {
+        k: (m["ban"], m["death"], m["death_time"]) for k, m in members.items()}

@@ -49,7 +49,7 @@ def as_observations(orders: DataFrame) -> DataFrame:
         "o_orderdate ts",
         "o_orderkey seq",
         "case when o_orderstatus='O' then null else o_orderpriority end type_",
-        "case when o_orderstatus='P' then null else round(o_totalprice/1000,2) end consumption_per_capita",
+        "case when o_orderstatus='P' then null else o_totalprice/1000 end consumption_per_capita",
     )
 
 

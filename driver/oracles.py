@@ -42,7 +42,7 @@ OBSERVATIONS = """
 obs AS (SELECT CAST(o_custkey + CASE WHEN o_orderkey%50=0 THEN 1000000 ELSE 0 END AS VARCHAR) id,
   o_orderdate ts, o_orderkey seq,
   CASE WHEN o_orderstatus='O' THEN NULL ELSE o_orderpriority END type_,
-  CASE WHEN o_orderstatus='P' THEN NULL ELSE round(o_totalprice/1000,2) END cpc
+  CASE WHEN o_orderstatus='P' THEN NULL ELSE o_totalprice/1000 END cpc
 FROM orders)"""
 
 UPSERTED = f"""

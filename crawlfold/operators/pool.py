@@ -139,11 +139,12 @@ def numbered(members: DataFrame, key: str) -> DataFrame:
 def assign(work: DataFrame, pool: DataFrame, params: PoolParams = DEFAULTS) -> DataFrame:
     """Give each work item `(item)` one eligible member, evenly by the item's hash.
 
-    The member count is needed for the hash anyway, so it also decides the join: a small
-    pool is broadcast, since its few members would otherwise be hot keys; with a large one
+    The eligible members are stored once, because numbering reads them twice. Their count
+    is needed for the hash anyway, so it also decides the join: a small pool is broadcast, since its few members would otherwise be hot keys; with a large one
     every member gets a small share of the work and both sides are shuffled.
     """
-    members, total = written(numbered(eligible(pool, params).select("proxy"), "proxy"))
+    stored, total = written(eligible(pool, params).select("proxy"))
+    members = numbered(stored, "proxy")
     hashed = F.conv(F.substring(F.md5(F.col("item").cast("string")), 1, 15), 16, 10).cast("bigint")
     placed = work.withColumn("n", F.pmod(hashed, F.lit(max(total, 1))))
     side = F.broadcast(members) if total <= BROADCAST_MEMBERS else members

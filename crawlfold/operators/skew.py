@@ -19,6 +19,9 @@ def with_segments(rows: DataFrame, key: str, seq: str, segment_rows: int = SEGME
     `seq` is a unique arrival number, so a stretch of `segment_rows` numbers holds at most
     that many rows, however the keys are spread. A key is hot when it has more rows than
     that; there are at most count(rows) / segment_rows hot keys, which bounds the broadcast.
+
+    The keys of `rows` are read once more to count them: pass a stored table, not the end of
+    a long plan.
     """
     hot = (
         rows.groupBy(key)

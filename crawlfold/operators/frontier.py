@@ -27,21 +27,22 @@ def depth(edges: DataFrame, seeds: DataFrame, salts: int = SALTS) -> DataFrame:
     Each round is stored, so a lost executor does not replay the earlier ones.
     """
     # A page stored twice counts once.
-    jump, _ = written(edges.groupBy("url").agg(F.max("next_url").alias("ahead")))
-    reached, known = written(seeds.select("url", F.lit(0).alias("depth")).distinct())
-    step = 1
+    jump = written(edges.groupBy("url").agg(F.max("next_url").alias("ahead")))
+    reached = written(seeds.select("url", F.lit(0).alias("depth")).distinct())
+    known, step = reached.count(), 1
     while True:
         ahead = reached.join(jump, "url").select(
             F.col("ahead").alias("url"), (F.col("depth") + step).alias("depth")
         )
-        reached, found = written(
+        reached = written(
             reached.unionByName(ahead).groupBy("url").agg(F.min("depth").alias("depth"))
         )
+        found = reached.count()
         if found == known:
             return reached
         known, step = found, step * 2
         # Many pages may point to the same page, so the lookup of its next page is salted.
         table = jump.select(F.col("url").alias("ahead"), F.col("ahead").alias("_further"))
-        jump, _ = written(
+        jump = written(
             salted_lookup(jump, table, "ahead", "url", salts).select("url", F.col("_further").alias("ahead"))
         )

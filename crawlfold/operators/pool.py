@@ -143,8 +143,8 @@ def assign(work: DataFrame, pool: DataFrame, params: PoolParams = DEFAULTS) -> D
     is needed for the hash anyway, so it also decides the join: a small pool is broadcast, since its few members would otherwise be hot keys; with a large one
     every member gets a small share of the work and both sides are shuffled.
     """
-    stored, total = written(eligible(pool, params).select("proxy"))
-    members = numbered(stored, "proxy")
+    stored = written(eligible(pool, params).select("proxy"))
+    members, total = numbered(stored, "proxy"), stored.count()
     hashed = F.conv(F.substring(F.md5(F.col("item").cast("string")), 1, 15), 16, 10).cast("bigint")
     placed = work.withColumn("n", F.pmod(hashed, F.lit(max(total, 1))))
     side = F.broadcast(members) if total <= BROADCAST_MEMBERS else members

@@ -60,7 +60,7 @@ def fold_observations(observations: DataFrame, fields: list[str]) -> DataFrame:
         F.max(F.when(F.col(f).isNotNull(), F.struct("ts", "seq", F.col(f).alias("value")))).alias(f)
         for f in fields
     ]
-    return observations.groupBy("id").agg(*stamped)
+    return observations.filter(F.col("id").isNotNull()).groupBy("id").agg(*stamped)
 
 
 def refold(states: DataFrame, fields: list[str]) -> DataFrame:

@@ -5,8 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int = 8, app: str = "crawlfold") -> SparkSession:
@@ -50,14 +49,12 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame) -> tuple[DataFrame, int]:
-    """Store `df` in the shared folder; returns the stored table and its row count.
+def written(df: DataFrame) -> DataFrame:
+    """Store `df` in the shared folder and return the stored table.
 
-    Cuts the lineage: later steps start from files that outlive any executor, and know
-    their size.
+    Cuts the lineage: later steps start from files that outlive any executor, know their
+    size, and are counted from the files' footers.
     """
-    spark = df.sparkSession
-    seen = Observation(f"written-{uuid.uuid4().hex}")
-    folder = new_folder(spark, "step")
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder), seen.get["rows"]
+    folder = new_folder(df.sparkSession, "step")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

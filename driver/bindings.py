@@ -241,10 +241,9 @@ def pool(spark: SparkSession, sf: str, swept: bool = True) -> DataFrame:
 
 def leases(spark: SparkSession, sf: str) -> DataFrame:
     """Successive leases of one key: the members above under their user's id, stored once."""
-    members, _ = written(pool(spark, sf).select(
+    return written(pool(spark, sf).select(
         F.expr("cast(cast(proxy as bigint) div 10 as string)").alias("proxy"), "seq", "birth_time", "death"
     ))
-    return members
 
 
 def claims(spark: SparkSession, sf: str) -> DataFrame:

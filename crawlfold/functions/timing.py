@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def wall_clock(moment: dt.datetime) -> Column:
+    """A zone-less moment, whatever the zones of the session and the driver."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def minutes_between(start: Column, end: Column) -> Column:
     """Whole elapsed seconds over 60."""
     return F.timestamp_diff("SECOND", start, end) / F.lit(60)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawlfold import params as P
+from crawlfold.functions.timing import wall_clock
 from crawlfold.operators import seeds, shops as shop_ops
 from crawlfold.params import SITE, Site
 
@@ -31,7 +32,7 @@ def lock_state(claims: DataFrame, as_of: dt.datetime | None = None,
     if claim_ttl is not None:
         if as_of is None:
             raise ValueError("claim_ttl needs as_of")
-        expired = (code == P.CLAIMED) & (F.col("since") < F.lit(as_of - claim_ttl).cast("timestamp_ntz"))
+        expired = (code == P.CLAIMED) & (F.col("since") < wall_clock(as_of - claim_ttl))
         code = F.when(expired, P.FREE).otherwise(code)
     return latest.select("id", code.cast("int").alias("lock_"), "since")
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from crawlfold.functions.timing import minutes_between
+from crawlfold.functions.timing import minutes_between, wall_clock
 from crawlfold.params import PoolParams
 from crawlfold.session import written
 
@@ -18,10 +18,6 @@ DEFAULTS = PoolParams()
 BROADCAST_MEMBERS = 500_000
 
 
-def _moment(as_of: dt.datetime) -> Column:
-    return F.lit(as_of).cast("timestamp_ntz")
-
-
 def apply_state(members: DataFrame, state: DataFrame) -> DataFrame:
     """Members with their folded state; members without outcomes start at zero."""
     counters = ("score", "ban", "using_n", "death")
@@ -40,13 +36,13 @@ def sweep(pool: DataFrame, now: dt.datetime, params: PoolParams = DEFAULTS) -> D
     return pool.withColumns({
         "swept": over,
         "death": F.when(over, params.death_n).otherwise(F.col("death")),
-        "death_time": F.when(over, _moment(now)).otherwise(F.col("death_time")),
+        "death_time": F.when(over, wall_clock(now)).otherwise(F.col("death_time")),
     })
 
 
 def born_today(as_of: dt.datetime) -> Column:
     """Strictly after midnight; `as_of` is the midnight of the day in question."""
-    return F.col("birth_time") > _moment(as_of)
+    return F.col("birth_time") > wall_clock(as_of)
 
 
 def births_today(pool: DataFrame, as_of: dt.datetime) -> DataFrame:

@@ -33,6 +33,18 @@ def test_eligible_and_sweep(spark):
     assert {r["proxy"] for r in ops.eligible(p, strict).collect()} == {"a"}
 
 
+def test_the_zone_of_the_session_does_not_matter(spark):
+    p = pool(spark, member("a", born=1, died=3, death=1, score=2), member("b", born=-1))
+    expected = tuple(ops.report(p, TODAY).first())
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert tuple(ops.report(p, TODAY).first()) == expected
+        assert expected[:2] == (1, 1)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_births_are_strictly_after_midnight(spark):
     p = pool(spark, member("a", born=0), member("b", born=0.001), member("c", born=-3))
     assert ops.births_today(p, TODAY).first()["n"] == 1

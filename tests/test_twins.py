@@ -2,8 +2,10 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from compare import connect, difference
+from driver.oracles import SQL
+from driver.queries import ALL
 
 
 @pytest.fixture(scope="module")
@@ -12,12 +14,12 @@ def con(sf):
 
 
 def test_every_query_has_a_twin():
-    assert set(queries()) == set(oracle_sql())
+    assert set(ALL) == set(SQL)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(ALL))
 def test_twin(spark, con, sf, name):
-    assert difference(spark, con, sf, queries()[name], oracle_sql()[name]) is None
+    assert difference(spark, con, sf, ALL[name], SQL[name]) is None
 
 
 def test_entry(spark):

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from crawlfold.llm import line_dedup
+from crawlfold.llm import hilbert_shards, line_dedup
 
 QUERIES = {
+    "op2_hilbert_shards": hilbert_shards.op2_hilbert_shards,
     "op9_line_dedup": line_dedup.op9_line_dedup,
 }
 SQL = {

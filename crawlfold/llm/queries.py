@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from crawlfold.llm import hilbert_shards, line_dedup
+from crawlfold.llm import decontaminate, hilbert_shards, line_dedup
 
 QUERIES = {
     "op2_hilbert_shards": hilbert_shards.op2_hilbert_shards,
+    "op3_decontaminate": decontaminate.op3_decontaminate,
     "op9_line_dedup": line_dedup.op9_line_dedup,
 }
 SQL = {
+    "op3_decontaminate": decontaminate.SQL,
     "op9_line_dedup": line_dedup.SQL,
 }

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from crawlfold.llm import decontaminate, hilbert_shards, line_dedup
+from crawlfold.llm import decontaminate, hilbert_shards, line_dedup, quality_rules
 
 QUERIES = {
     "op2_hilbert_shards": hilbert_shards.op2_hilbert_shards,
     "op3_decontaminate": decontaminate.op3_decontaminate,
+    "op6_quality_rules": quality_rules.op6_quality_rules,
     "op9_line_dedup": line_dedup.op9_line_dedup,
 }
 SQL = {

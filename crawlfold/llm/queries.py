@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from crawlfold.llm import decontaminate, hilbert_shards, line_dedup, quality_rules
+from crawlfold.llm import decontaminate, hilbert_shards, line_dedup, main_text, quality_rules
 
 QUERIES = {
     "op2_hilbert_shards": hilbert_shards.op2_hilbert_shards,
     "op3_decontaminate": decontaminate.op3_decontaminate,
     "op6_quality_rules": quality_rules.op6_quality_rules,
+    "op8_main_text": main_text.op8_main_text,
     "op9_line_dedup": line_dedup.op9_line_dedup,
 }
 SQL = {

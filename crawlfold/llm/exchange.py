@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -155,3 +156,34 @@ def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+_PACKED = pa.schema([(SHARD, pa.int64()), ("ids", pa.binary()), ("sizes", pa.binary()), ("texts", pa.binary())])
+PACKED = f"{SHARD} long, ids binary, sizes binary, texts binary"
+
+
+def packed(base: DataFrame, limit: int = 8 << 20) -> DataFrame:
+    """Documents of `texts` in rows of up to `limit` bytes of one shard, compressed: texts shuffle at half their size."""
+
+    def pack(batches):
+        press = zstandard.ZstdCompressor(level=3)
+        rows = Rows(_PACKED)
+        for shard, ids, bodies in by_shard(batches, limit):
+            sizes = np.array([-1 if b is None else len(b) for b in bodies], np.int64)
+            blob = press.compress(b"".join(b or b"" for b in bodies))
+            yield from rows.add(shard, np.array(ids, np.int64).tobytes(), sizes.tobytes(), blob)
+        yield from rows.rest()
+
+    return base.mapInArrow(pack, PACKED)
+
+
+def unpacked(table: pa.Table) -> Iterator[tuple[np.ndarray, list[bytes | None]]]:
+    """(ids, texts) of each packed row of a shard."""
+    press = zstandard.ZstdDecompressor()
+    for row in table.select(["ids", "sizes", "texts"]).to_pylist():
+        sizes = longs(row["sizes"], np.int64)
+        data = press.decompress(row["texts"])
+        ends = np.cumsum(np.maximum(sizes, 0)).tolist()
+        starts = [0, *ends[:-1]]
+        yield longs(row["ids"], np.int64), [
+            None if n < 0 else data[a:b] for n, a, b in zip(sizes.tolist(), starts, ends)]

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from crawlfold.llm import decontaminate, hilbert_shards, line_dedup, main_text, quality_rules
+from crawlfold.llm import decontaminate, hilbert_shards, line_dedup, main_text, phrase_dedup, quality_rules, radix_dedup
 
 QUERIES = {
     "op2_hilbert_shards": hilbert_shards.op2_hilbert_shards,
     "op3_decontaminate": decontaminate.op3_decontaminate,
+    "op4_radix_dedup": radix_dedup.op4_radix_dedup,
+    "op5_phrase_dedup": phrase_dedup.op5_phrase_dedup,
     "op6_quality_rules": quality_rules.op6_quality_rules,
     "op8_main_text": main_text.op8_main_text,
     "op9_line_dedup": line_dedup.op9_line_dedup,

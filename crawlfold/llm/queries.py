@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from crawlfold.llm import decontaminate, hilbert_shards, line_dedup, main_text, phrase_dedup, quality_rules, radix_dedup
+from crawlfold.llm import decontaminate, hilbert_shards, jaccard_join, line_dedup, main_text, phrase_dedup, quality_rules, radix_dedup
 
 QUERIES = {
     "op2_hilbert_shards": hilbert_shards.op2_hilbert_shards,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_quality_rules": quality_rules.op6_quality_rules,
     "op8_main_text": main_text.op8_main_text,
     "op9_line_dedup": line_dedup.op9_line_dedup,
+    "op10_jaccard_join": jaccard_join.op10_jaccard_join,
 }
 SQL = {
     "op3_decontaminate": decontaminate.SQL,

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from crawlfold.llm import decontaminate, hilbert_shards, jaccard_join, line_dedup, main_text, phrase_dedup, quality_rules, radix_dedup
+from crawlfold.llm import (
+    context_tree, decontaminate, hilbert_shards, jaccard_join, line_dedup, main_text, phrase_dedup, quality_rules,
+    radix_dedup,
+)
 
 QUERIES = {
     "op2_hilbert_shards": hilbert_shards.op2_hilbert_shards,
@@ -10,6 +13,7 @@ QUERIES = {
     "op4_radix_dedup": radix_dedup.op4_radix_dedup,
     "op5_phrase_dedup": phrase_dedup.op5_phrase_dedup,
     "op6_quality_rules": quality_rules.op6_quality_rules,
+    "op7_context_tree": context_tree.op7_context_tree,
     "op8_main_text": main_text.op8_main_text,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_jaccard_join": jaccard_join.op10_jaccard_join,

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from crawlfold.llm import (
     context_tree, decontaminate, hilbert_shards, jaccard_join, line_dedup, main_text, phrase_dedup, quality_rules,
-    radix_dedup,
+    radix_dedup, sentencepiece_sampling,
 )
 
 QUERIES = {
+    "op1_sentencepiece_sampling": sentencepiece_sampling.op1_sentencepiece_sampling,
     "op2_hilbert_shards": hilbert_shards.op2_hilbert_shards,
     "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_radix_dedup": radix_dedup.op4_radix_dedup,

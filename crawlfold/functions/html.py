@@ -1,9 +1,9 @@
 """Column functions that read stored HTML with built-in regular expressions.
 
-They never leave the JVM. The layout they assume: attributes are quoted, and a block is
-closed by the first closing tag of its own name. A pattern only ever describes an opening
-tag or a run of text; the end of a block is found by a plain search, because lazy
-quantifiers over a whole page cost many times as much.
+They never leave the JVM. The layout they assume: attributes are quoted. A pattern only ever
+describes an opening tag or a run of text; the end of a block is found by a plain search, or
+by counting tags where elements of its name nest, because lazy quantifiers over a whole page
+cost many times as much.
 
 What is not found is the empty string until `known` turns it into NULL. Catalyst copies an
 expression into every place that uses it, so build these in steps: give each pattern its own
@@ -54,10 +54,47 @@ def before(html: Column, end: str) -> Column:
     return F.substring_index(html, end, 1)
 
 
+def _tag_pieces(html: Column, tag: str) -> Column:
+    """The text cut in front of every opening and closing tag of the name."""
+    return F.split(html, rf"(?i)(?=</?{tag}[\s/>])")
+
+
+def _step(piece: Column, tag: str) -> Column:
+    """Change of depth that a piece of `_tag_pieces` begins with."""
+    head = F.lower(F.substring(piece, 1, len(tag) + 2))
+    return F.when(head == f"</{tag}", -1).when(head.startswith(f"<{tag}"), 1).otherwise(0)
+
+
+def inside(html: Column, tag: str) -> Column:
+    """Everything in front of the closing tag that matches an opening tag just read; all of it when there is none."""
+    def walk(state: Column, piece: Column) -> Column:
+        depth = state["depth"] + _step(piece, tag)
+        done = state["end"].isNotNull() | (depth < 0)
+        end = F.coalesce(state["end"], F.when(depth < 0, state["size"]))
+        return F.struct(F.when(done, 0).otherwise(depth).alias("depth"), (state["size"] + F.length(piece)).alias("size"), end.alias("end"))
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("size"), F.lit(None).cast("int").alias("end"))
+    end = F.aggregate(_tag_pieces(html, tag), start, walk)["end"]
+    nested = html.rlike(rf"(?is)^(?:(?!</{tag}[\s/>]).)*?<{tag}[\s/>]")
+    return F.when(nested, F.coalesce(F.substring(html, F.lit(1), end), html)).otherwise(before(html, f"</{tag}>"))
+
+
+def own(html: Column, tag: str) -> Column:
+    """As `inside`, without the elements of the same name in it."""
+    def walk(state: Column, piece: Column) -> Column:
+        depth = state["depth"] + _step(piece, tag)
+        done = state["done"] | (depth < 0)
+        text = F.when(~done & (depth == 0), F.concat(state["text"], piece)).otherwise(state["text"])
+        return F.struct(depth.alias("depth"), done.alias("done"), text.alias("text"))
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("done"), F.lit("").alias("text"))
+    return F.aggregate(_tag_pieces(html, tag), start, walk)["text"]
+
+
 def block(html: Column, tag: str, attr: str | None = None, value: str | None = None,
           part: bool = False) -> Column:
-    """Inner HTML of the first matching element."""
-    return before(after(html, opening(tag, attr, value, part)), f"</{tag}>")
+    """Inner HTML of the first matching element, up to its own closing tag."""
+    return inside(after(html, opening(tag, attr, value, part)), tag)
 
 
 def pieces(html: Column, pattern: str) -> Column:
@@ -65,6 +102,11 @@ def pieces(html: Column, pattern: str) -> Column:
     return F.slice(F.split(html, "(?s)" + pattern), 2, 1_000_000_000)
 
 
+def spans(html: Column) -> Column:
+    """Inner HTML of the spans of a text, each up to the first closing tag."""
+    return F.transform(pieces(html, opening("span")), lambda s: before(s, "</span>"))
+
+
 def attribute(tag_text: Column, name: str) -> Column:
     """Value of an attribute in the text of one opening tag."""
     return first(tag_text, rf"""\s{name}\s*=\s*["']([^"']*)["']""")
@@ -85,25 +127,36 @@ def known(col: Column) -> Column:
     return F.nullif(col, F.lit(""))
 
 
+# Named references besides those resolved last.
+ENTITIES = {
+    "nbsp": "\u00a0", "yen": "¥", "middot": "·", "hellip": "…", "mdash": "—", "ndash": "–", "lsquo": "‘", "rsquo": "’",
+    "ldquo": "“", "rdquo": "”", "times": "×", "copy": "©", "reg": "®", "trade": "™", "euro": "€", "pound": "£",
+    "cent": "¢", "deg": "°", "bull": "•", "laquo": "«", "raquo": "»", "lt": "<", "gt": ">", "quot": '"', "apos": "'",
+}
+
+
 def unescape(col: Column) -> Column:
-    """Resolve the predefined entities, the no-break space and decimal references.
+    """Resolve numeric references, decimal or hexadecimal, and the named ones of `ENTITIES`.
 
-    The ampersand comes last, so that text escaped twice is resolved once.
+    A number that is no character gives U+FFFD. The ampersand comes last, so that text escaped
+    twice is resolved once.
     """
-    def character(whole: Column, number: Column) -> Column:
-        code = F.lpad(F.hex(number.cast("int")), 8, "0")
-        letter = F.decode(F.unhex(code), "UTF-32")
-        return F.replace(whole, F.concat(F.lit("&#"), number, F.lit(";")), letter)
-
-    numbers = F.array_remove(
-        F.array_distinct(F.regexp_extract_all(col, F.lit(r"&#(\d{1,6});"), F.lit(1))), "38"
-    )
-    plain = F.when(col.contains("&#"), F.aggregate(numbers, col, character)).otherwise(col)
-    # Fixed values.
-    for entity, letter in (("&#38;", "&amp;"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
-                           ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        plain = F.replace(plain, F.lit(entity), F.lit(letter))
-    return plain
+    def character(whole: Column, reference: Column) -> Column:
+        hexadecimal = F.lower(F.substring(reference, 1, 1)) == "x"
+        code = F.coalesce(
+            F.when(hexadecimal, F.conv(F.substring(reference, 2, 100), 16, 10)).otherwise(reference)
+            .try_cast("decimal(38,0)").try_cast("bigint"), F.lit(0))
+        no_letter = (code <= 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+        letter = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        resolved = F.when(no_letter, "\ufffd").when(code == 38, "&amp;").otherwise(letter)
+        return F.replace(whole, F.concat(F.lit("&#"), reference, F.lit(";")), resolved)
+
+    references = F.array_distinct(F.regexp_extract_all(col, F.lit(r"&#([xX][0-9a-fA-F]+|\d+);"), F.lit(1)))
+    plain = F.when(col.contains("&#"), F.aggregate(references, col, character)).otherwise(col)
+    for entity, letter in (*ENTITIES.items(), ("amp", "&")):
+        plain = F.replace(plain, F.lit(f"&{entity};"), F.lit(letter))
+    # Most texts have no reference at all; they cost one search.
+    return F.when(col.contains("&"), plain).otherwise(col)
 
 
 def unescaped(df: DataFrame, *names: str) -> DataFrame:

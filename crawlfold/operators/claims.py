@@ -10,23 +10,32 @@ from pyspark.sql import functions as F
 from crawlfold import params as P
 from crawlfold.functions.timing import wall_clock
 from crawlfold.operators import seeds, shops as shop_ops
+from crawlfold.operators.ordering import numbered
 from crawlfold.params import SITE, Site
 
 
+# Ids that one task may merge.
+MERGED_IDS = 10_000
+
+
 def claim_batch(shops: DataFrame, n: int, *predicates: str, site: Site = SITE) -> DataFrame:
     """The `n` smallest claimable ids. One job claims them all, so no id goes out twice.
 
     Returns id, the claim code and the detail URL; append (id, code) with a time to the log.
     """
-    ids = shop_ops.claimable(shops, *predicates).orderBy("id").limit(n)
-    return ids.select("id", F.lit(P.CLAIMED).alias("code"), seeds.detail_url(F.col("id"), site).alias("url"))
+    ids = shop_ops.claimable(shops, *predicates)
+    # A small batch is the merge of each task's n smallest; a large one is cut from a numbered order.
+    taken = ids.orderBy("id").limit(n) if n <= MERGED_IDS else numbered(ids, ["id"], "_n").filter(F.col("_n") < n)
+    return taken.select("id", F.lit(P.CLAIMED).alias("code"), seeds.detail_url(F.col("id"), site).alias("url"))
 
 
 def lock_state(claims: DataFrame, as_of: dt.datetime | None = None,
                claim_ttl: dt.timedelta | None = None) -> DataFrame:
     """Latest code per id. With `claim_ttl`, claims older than that at `as_of` are free again."""
-    latest = claims.groupBy("id").agg(
-        F.max_by("code", "seq").alias("code"), F.max_by("ts", "seq").alias("since")
+    # One order for claims and releases, whatever numbers their sources give: time, number, code.
+    order = F.struct("ts", "seq", "code")
+    latest = claims.groupBy("id").agg(F.max(order).alias("_last")).select(
+        "id", F.col("_last.code").alias("code"), F.col("_last.ts").alias("since")
     )
     code = F.col("code")
     if claim_ttl is not None:
@@ -50,8 +59,8 @@ def apply_locks(shops: DataFrame, locks: DataFrame) -> DataFrame:
 def release_codes(pages: DataFrame) -> DataFrame:
     """Release events of visited pages: fetched when usable, free again when blocked.
 
-    Listing pages carry no shop id and release nothing. The fetch time in microseconds
-    stands for the arrival number.
+    Listing pages carry no shop id and release nothing. The log is ordered by time first; the
+    fetch time in microseconds only stands for the arrival number.
     """
     code = F.when(F.col("status") == P.PAGE_OK, P.FETCHED).otherwise(P.FREE)
     shop_id = F.col("meta")["shopId"]

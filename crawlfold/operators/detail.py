@@ -32,28 +32,41 @@ def with_position(pages: DataFrame) -> DataFrame:
 
 
 def link_words(section: Column) -> Column:
-    """All link texts of a section joined by a vertical bar, NULL when there are none.
+    """All link texts of a section joined by a vertical bar, NULL when there are none."""
+    return H.known(H.unescape(F.array_join(H.texts(section, "a"), "|")))
+
 
-    `section` is used several times: pass a column that already holds the section.
+def keyword_sections(page: Column) -> Column:
+    """The spans of every content block inside the wrapper of the review keywords, as one text.
+
+    The wrapper and its blocks end with their own closing tags; what another block further inside
+    holds counts for that block.
     """
-    return H.known(H.unescape(F.array_join(H.texts(section, "a"), "|")))
+    wrapper = H.block(page, "div", "id", "summaryfilter-wrapper")
+    # Each opening tag of a content block, and what follows it, put back one after the other.
+    parts = F.split(wrapper, "(?s)" + H.opening("div", "class", "content"))
 
+    def walk(state: Column, part: Column) -> Column:
+        """From the last block to the first: the text behind an opening tag is what was joined so far."""
+        behind = F.concat(part, state["behind"])
+        return F.struct(
+            F.concat(F.lit("<div>"), behind).alias("behind"),
+            F.concat(F.array_join(H.spans(H.own(behind, "div")), ""), state["found"]).alias("found"))
 
-def keyword_section(page: Column) -> Column:
-    """The block of a detail page that holds the review keywords."""
-    # The wrapper may hold further blocks, so everything behind its opening tag is searched
-    # for the first content block.
-    wrapped = H.after(page, H.opening("div", "id", "summaryfilter-wrapper"))
-    return H.block(wrapped, "div", "class", "content")
+    start = F.struct(F.lit("").alias("behind"), F.lit("").alias("found"))
+    return F.aggregate(F.reverse(F.slice(parts, 2, 1_000_000_000)), start, walk)["found"]
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """Detail records: id from the request, lon, lat and key_words from the page."""
-    located = with_position(pages.withColumn("_words", keyword_section(F.col("html"))))
-    return located.select(
-        F.col("meta")["shopId"].alias("id"), F.col("fetched_at").alias("ts"), "lon", "lat",
-        link_words(F.col("_words")).alias("key_words"),
-    )
+    return with_details(pages).select(
+        F.col("meta")["shopId"].alias("id"), F.col("fetched_at").alias("ts"), "url", "lon", "lat", "key_words")
+
+
+def with_details(pages: DataFrame) -> DataFrame:
+    """Add lon, lat and key_words."""
+    words = H.once(pages.withColumn("_words", keyword_sections(F.col("html"))))
+    return with_position(words).withColumn("key_words", link_words(F.col("_words"))).drop("_words")
 
 
 def heading(page: Column) -> Column:

@@ -13,19 +13,56 @@ PER_HEAD = "人均"
 FLAVOR, ENVIRONMENT, SERVICE = "口味", "环境", "服务"
 
 
+_LIST_TAGS = r"(?i)(?=</?(?:ul|li|div)[\s/>])"
+
+
+def _places(pieces: Column) -> Column:
+    """Where cards begin and end among the pieces of the shop list, each cut in front of a tag.
+
+    One run over the tags with the open elements as letters: u, l, d. A card is a `div.txt` inside
+    a list item of a list directly below the list's `div`, as many lists as there are; it ends with
+    its own closing tag, and a page cut off inside a card ends it too.
+    """
+    def walk(state: Column, piece: Column) -> Column:
+        tag = F.lower(F.regexp_extract(piece, r"^<(/?[a-zA-Z]+)", 1))
+        letter = F.when(tag.endswith("ul"), "u").when(tag.endswith("li"), "l").when(tag.endswith("div"), "d").otherwise("")
+        closes = tag.startswith("/")
+        open_ = state["open"]
+        # A list item ends where the next one of its list begins.
+        base = F.when((letter == "l") & open_.endswith("l"), F.regexp_replace(open_, "l$", "")).otherwise(open_)
+        entered = F.concat(base, letter)
+        left = (
+            F.when(letter == "u", F.regexp_replace(open_, "u[^u]*$", ""))
+            .when(letter == "l", F.regexp_replace(open_, "l[^lu]*$", ""))
+            .otherwise(F.regexp_replace(open_, "d[^d]*$", ""))
+        )
+        over = state["over"] | (closes & (letter == "d") & ~open_.contains("d"))
+        now = F.when(closes, left).otherwise(F.when(letter == "", open_).otherwise(entered))
+        begins = ~state["over"] & ~closes & (letter == "d") & (now == "uld") & piece.rlike("(?s)^" + H.opening("div", "class", "txt"))
+        ends = state["from"].isNotNull() & ~now.startswith("uld")
+        done = F.when(ends | (over & state["from"].isNotNull()),
+                      F.concat(state["cards"], F.array(F.struct(state["from"].alias("a"), state["i"].alias("b"))))
+                      ).otherwise(state["cards"])
+        began = F.when(begins, state["i"]).when(ends | over, F.lit(None).cast("int")).otherwise(state["from"])
+        return F.struct((state["i"] + 1).alias("i"), now.alias("open"), over.alias("over"), began.alias("from"), done.alias("cards"))
+
+    start = F.struct(
+        F.lit(1).alias("i"), F.lit("").alias("open"), F.lit(False).alias("over"), F.lit(None).cast("int").alias("from"),
+        F.array().cast("array<struct<a:int,b:int>>").alias("cards"))
+    return F.aggregate(pieces, start, walk, lambda s: F.when(
+        s["from"].isNotNull(), F.concat(s["cards"], F.array(F.struct(s["from"].alias("a"), s["i"].alias("b"))))
+    ).otherwise(s["cards"]))
+
+
 def cards(pages: DataFrame) -> DataFrame:
     """One row per card of the shop list, with its position on the page and the page's time."""
-    shop_list = H.opening("div", "id", "shop-all-list") + r"\s*" + H.opening("ul")
-    found = F.split(
-        H.before(H.after(F.col("html"), shop_list), "</ul>"), H.opening("div", "class", "txt")
-    )
-    # What precedes the first card comes out as position 0 and is left out.
-    split = pages.select(
-        "url", F.col("fetched_at").alias("ts"), F.posexplode_outer(found).alias("_n", "_text")
-    ).filter(F.col("_n") > 0)
-    return split.select(
-        "url", "ts", (F.col("_n") - 1).alias("pos"), H.before(F.col("_text"), "</li>").alias("card")
-    )
+    behind = H.after(F.col("html"), H.opening("div", "id", "shop-all-list"))
+    cut = H.once(pages.select("url", F.col("fetched_at").alias("ts"), F.split(behind, _LIST_TAGS).alias("_pieces")))
+    found = H.once(cut.select("url", "ts", "_pieces", _places(F.col("_pieces")).alias("_cards")))
+    split = found.select("url", "ts", "_pieces", F.posexplode("_cards").alias("pos", "_c"))
+    whole = F.array_join(F.slice("_pieces", F.col("_c.a"), F.col("_c.b") - F.col("_c.a")), "")
+    # Without the card's own opening tag.
+    return split.select("url", "ts", "pos", H.after(whole, H.opening("div", "class", "txt")).alias("card"))
 
 
 def stars(css_class: Column) -> Column:
@@ -84,7 +121,7 @@ def parse_cards(card_rows: DataFrame) -> DataFrame:
         F.coalesce(F.try_element_at(tags, F.lit(1)), F.lit("")).alias("TYPE"),
         F.coalesce(F.try_element_at(tags, F.lit(2)), F.lit("")).alias("TAG"),
     )
-    plain = H.unescaped(H.once(raw), "ID", "NAME", "ADDRESS", "TYPE", "TAG")
+    plain = H.unescaped(H.once(raw), "ID", "NAME", "ADDRESS", "TYPE", "TAG", "CPC")
     required = {"id": "ID", "name": "NAME", "address": "ADDRESS", "tags": "TAG", "stars": "_rank"}
     lacking = [F.when(F.col(c) == "", F.lit(name)) for name, c in required.items()]
     items = plain.select(

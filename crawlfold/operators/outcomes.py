@@ -3,7 +3,7 @@
 Outcomes `(key, seq, ts, kind)` are ordered per key by the unique arrival number `seq`.
 Kinds: handout, ok, block, kill. A stretch of a key's outcomes folds into one summary row,
 and summaries of consecutive stretches chain into the state of the whole key. A stretch is
-a piece of a hot key (see `skew.with_segments`) or a micro-batch of a stream.
+a piece of a hot key (see `skew.cut`) or a micro-batch of a stream.
 """
 
 from __future__ import annotations
@@ -12,24 +12,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from crawlfold.operators.skew import SEGMENT_ROWS, with_segments
+from crawlfold.operators.skew import SEGMENT_ROWS, cut
+from crawlfold.operators.leases import lease_id
 from crawlfold.params import BAN_N, PAGE_OK
 
 
 # Arrival number and time.
 MOMENTS = "array<struct<seq:bigint,ts:timestamp_ntz>>"
+# Arrival order; two outcomes of one key with the same number follow their time, then their kind.
+ORDER = ("seq", "ts", "kind")
 
 
 def _is(kind: str) -> Column:
     return F.col("kind") == kind
 
 
+def _used() -> Column:
+    return F.when(_is("handout"), 1).when(_is("ok") | _is("block"), -1).otherwise(0)
+
+
 def _with_runs(segmented: DataFrame) -> DataFrame:
     """Add `run`, the failures since the last success inside the stretch, and `after_ok`.
 
     Both windows share one sort; the run is the block count minus the count at the last ok.
     """
-    w = W.partitionBy("key", "seg").orderBy("seq").rowsBetween(W.unboundedPreceding, W.currentRow)
+    w = W.partitionBy("key", "seg").orderBy(*ORDER).rowsBetween(W.unboundedPreceding, W.currentRow)
     counted = segmented.withColumn("_blocks", F.count_if(_is("block")).over(w))
     at_ok = F.max(F.when(_is("ok"), F.col("_blocks"))).over(w)
     return (
@@ -46,8 +53,11 @@ def summarise(outcomes: DataFrame, ban_n: int = BAN_N, segment_rows: int = SEGME
     `lead` holds the blocks before the first ok that could complete a run begun earlier,
     `own_death` the first block that completes a run inside the stretch.
     """
-    runs = _with_runs(with_segments(outcomes.filter(F.col("key").isNotNull()), "key", "seq", segment_rows))
-    return _summarise_runs(runs, ban_n)
+    return _summarise_runs(_with_runs(_cut(outcomes, segment_rows)[0]), ban_n)
+
+
+def _cut(outcomes: DataFrame, segment_rows: int) -> tuple[DataFrame, bool]:
+    return cut(outcomes.filter(F.col("key").isNotNull()), "key", list(ORDER), segment_rows)
 
 
 def _summarise_runs(runs: DataFrame, ban_n: int) -> DataFrame:
@@ -57,16 +67,15 @@ def _summarise_runs(runs: DataFrame, ban_n: int) -> DataFrame:
     def earliest(condition: Column) -> Column:
         return F.min(F.when(condition, moment))
 
-    used = F.when(_is("handout"), 1).when(_is("ok") | _is("block"), -1).otherwise(0)
     lead = [earliest(leading & (F.col("run") == i)) for i in range(1, ban_n)]
     return runs.groupBy("key", "seg").agg(
         F.count_if(_is("ok")).alias("score"),
-        F.sum(used).alias("using_n"),
+        F.sum(_used()).alias("using_n"),
         F.count_if(_is("kill")).alias("kills"),
         earliest(_is("kill")).alias("first_kill"),
         F.max(F.when(_is("kill"), moment)).alias("last_kill"),
         F.max("after_ok").alias("has_ok"),
-        F.max_by("run", "seq").alias("trailing"),
+        F.max_by("run", F.struct(*ORDER)).alias("trailing"),
         F.array(*lead).cast(MOMENTS).alias("lead"),
         earliest(_is("block") & (F.col("run") >= ban_n)).alias("own_death"),
         F.min("seq").alias("first_seq"),
@@ -138,11 +147,14 @@ def running_streak(outcomes: DataFrame, segment_rows: int = SEGMENT_ROWS) -> Dat
     Stretches of hot keys start from the streak carried out of the stretch before; only
     those are looked up, by the partitioning the window already has.
     """
-    runs = _with_runs(with_segments(outcomes.filter(F.col("key").isNotNull()), "key", "seq", segment_rows))
+    segmented, any_hot = _cut(outcomes, segment_rows)
+    runs = _with_runs(segmented)
+    if not any_hot:
+        return runs.select("key", "seq", "ts", "kind", F.col("run").alias("streak"))
     stretches = (
         runs.filter(F.col("seg") >= 0)
         .groupBy("key", "seg")
-        .agg(F.max("after_ok").alias("has_ok"), F.max_by("run", "seq").alias("trailing"))
+        .agg(F.max("after_ok").alias("has_ok"), F.max_by("run", F.struct(*ORDER)).alias("trailing"))
     )
     carried = _chain(stretches, ["seg"]).select("key", "seg", "carry")
     start = F.when(F.col("after_ok"), 0).otherwise(F.coalesce("carry", F.lit(0)))
@@ -176,14 +188,27 @@ def of_pages(pages: DataFrame) -> DataFrame:
     )
 
 
+def by_lease(outcomes: DataFrame, leases: DataFrame) -> DataFrame:
+    """Outcomes under the lease that held their key: `key` becomes the lease's id (`leases.lease_id`).
+
+    `leases` are those of `leases.history`. A lease holds its key from its birth until the next
+    one takes it over, so a new lease starts without the outcomes of older ones. Outcomes of a
+    key without a lease at that time count for none.
+    """
+    held = leases.select(
+        F.col("proxy").alias("key"), lease_id().alias("_lease"),
+        F.col("birth_time").alias("_from"), F.col("superseded_at").alias("_to"))
+    inside = (F.col("ts") >= F.col("_from")) & (F.col("_to").isNull() | (F.col("ts") < F.col("_to")))
+    return outcomes.join(held, "key").filter(inside).select(F.col("_lease").alias("key"), "seq", "ts", "kind")
+
+
 def in_use(outcomes: DataFrame) -> DataFrame:
     """Open hand-outs per key: plus one per hand-out, minus one per completed outcome."""
-    used = F.when(_is("handout"), 1).when(_is("ok") | _is("block"), -1).otherwise(0)
-    return outcomes.groupBy("key").agg(F.sum(used).alias("using_n"))
+    return outcomes.groupBy("key").agg(F.sum(_used()).alias("using_n"))
 
 
 def late_keys(summaries: DataFrame, order: tuple[str, ...] = ("batch_id", "seg")) -> DataFrame:
-    """Keys whose stretches overlap in arrival order; fold these again from the log."""
+    """Keys whose stretches overlap in arrival order; their summaries do not chain, their outcomes do."""
     before = W.partitionBy("key").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     seen = summaries.withColumn("_seen", F.max("last_seq").over(before))
     return seen.filter(F.col("first_seq") <= F.col("_seen")).select("key").distinct()

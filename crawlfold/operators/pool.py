@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from crawlfold.functions.timing import minutes_between, wall_clock
+from crawlfold.operators.leases import lease_id
 from crawlfold.params import PoolParams
 from crawlfold.session import written
 
@@ -19,10 +20,21 @@ BROADCAST_MEMBERS = 500_000
 
 
 def apply_state(members: DataFrame, state: DataFrame) -> DataFrame:
-    """Members with their folded state; members without outcomes start at zero."""
+    """Members with their folded state in place of the one they carry; without outcomes they start at zero."""
+    return _stated(members, state, F.col("proxy"))
+
+
+def apply_lease_state(members: DataFrame, state: DataFrame) -> DataFrame:
+    """As `apply_state`, with a state folded from `outcomes.by_lease`."""
+    return _stated(members, state, lease_id())
+
+
+def _stated(members: DataFrame, state: DataFrame, key: Column) -> DataFrame:
     counters = ("score", "ban", "using_n", "death")
-    joined = members.join(state.withColumnRenamed("key", "proxy"), "proxy", "left")
-    return joined.withColumns({c: F.coalesce(c, F.lit(0)) for c in counters}).drop("ban_death_time")
+    carried = (*counters, "death_time", "ban_death_time")
+    found = state.select(F.col("key").alias("_key"), *(c for c in (*counters, "death_time")))
+    joined = members.drop(*carried).withColumn("_key", key).join(found, "_key", "left").drop("_key")
+    return joined.withColumns({c: F.coalesce(c, F.lit(0)) for c in counters})
 
 
 def eligible(pool: DataFrame, params: PoolParams = DEFAULTS) -> DataFrame:

@@ -40,7 +40,7 @@ def completeness(ids: DataFrame, shops: DataFrame) -> DataFrame:
     Incoming ids are made distinct first, which collapses repeated ids before the shuffle
     and leaves a join of unique keys.
     """
-    graded = shops.select("id", completeness_code().alias("code"))
+    graded = one_per_id(shops).select("id", completeness_code().alias("code"))
     return (
         ids.select("id").distinct()
         .join(graded, "id", "left")
@@ -48,16 +48,28 @@ def completeness(ids: DataFrame, shops: DataFrame) -> DataFrame:
     )
 
 
+def one_per_id(shops: DataFrame) -> DataFrame:
+    """One row per stored id: of several the greatest, compared column by column. Collapses on the
+    map side, and leaves the rows where the join by id needs them."""
+    rest = [c for c in shops.columns if c != "id"]
+    if not rest:
+        return shops.distinct()
+    whole = shops.groupBy("id").agg(F.max(F.struct(*rest)).alias("_row"))
+    return whole.select(*[F.col(c) if c == "id" else F.col(f"_row.{c}").alias(c) for c in shops.columns])
+
+
 def fold_observations(observations: DataFrame, fields: list[str]) -> DataFrame:
-    """Last known value of every field per id, each with the (ts, seq) it was seen at.
+    """Last known value of every field per id, each with the (ts, seq, url) it was seen at.
 
-    A field's state is the greatest struct(ts, seq, value) over the rows that know the
-    value. Taking the greatest is associative, commutative and idempotent, so partial
+    A field's state is the greatest struct(ts, seq, url, value) over the rows that know the
+    value, so two pages of the same moment do not mix. Observations without a URL have an
+    empty one. Taking the greatest is associative, commutative and idempotent, so partial
     results of tasks, files or micro-batches can be folded again in any order, and the
     shuffle carries one row per id and task however often an id occurs.
     """
+    url = F.coalesce("url", F.lit("")) if "url" in observations.columns else F.lit("")
     stamped = [
-        F.max(F.when(F.col(f).isNotNull(), F.struct("ts", "seq", F.col(f).alias("value")))).alias(f)
+        F.max(F.when(F.col(f).isNotNull(), F.struct("ts", "seq", url.alias("url"), F.col(f).alias("value")))).alias(f)
         for f in fields
     ]
     return observations.filter(F.col("id").isNotNull()).groupBy("id").agg(*stamped)
@@ -76,22 +88,26 @@ def values(states: DataFrame, fields: list[str]) -> DataFrame:
 def merge(shops: DataFrame, updates: DataFrame, fields: list[str]) -> DataFrame:
     """Apply one row of updates per id: known new values win, NULL keeps the old value.
 
-    `action` says what happened to the row: insert, update or keep. Both sides hold an id
-    once, so the join has no hot keys.
+    `action` says what happened to the row: insert, update or keep. Rows that the stored table
+    holds of one id are collapsed first, so both sides hold an id once and the join has no hot
+    keys.
     """
-    old, new = shops.alias("old"), updates.withColumn("_new", F.lit(True)).alias("new")
-    joined = old.join(new, "id", "full_outer")
+    for name in fields:
+        if name not in shops.columns:  # a field the stored table lacks is added to it
+            shops = shops.withColumn(name, F.lit(None).cast(updates.schema[name].dataType))
+    old = one_per_id(shops).withColumn("_old", F.lit(True)).alias("old")
+    joined = old.join(updates.withColumn("_new", F.lit(True)).alias("new"), "id", "full_outer")
     columns: list[Column] = []
     for name in shops.columns:
-        if name in fields:
-            columns.append(F.coalesce(F.col(f"new.{name}"), F.col(f"old.{name}")).alias(name))
-        elif name == "lock_":
-            columns.append(F.coalesce(F.col("old.lock_"), F.lit(P.FREE)).alias(name))
+        both = [F.col(f"new.{name}"), F.col(f"old.{name}")] if name in fields else [F.col(f"old.{name}")]
+        if name == "lock_":
+            columns.append(F.coalesce(*both, F.lit(P.FREE)).alias(name))
+        elif name in fields:
+            columns.append(F.coalesce(*both).alias(name))
         else:
             columns.append(F.col("id") if name == "id" else F.col(f"old.{name}"))
-    # Every stored shop has a lock code, so a missing one marks a new id.
     action = (
-        F.when(F.col("old.lock_").isNull(), "insert")
+        F.when(F.col("old._old").isNull(), "insert")
         .when(F.col("new._new"), "update")
         .otherwise("keep")
     )

@@ -33,11 +33,20 @@ def default_classifier(pages: DataFrame, site: Site = SITE) -> Column:
     return page_verdict(pages["html"], site)
 
 
+def judged_status(pages: DataFrame, classifier: Callable[[DataFrame], Column] | None = default_classifier) -> Column:
+    """The stored HTTP status where it is known and not 200, else the classifier's verdict."""
+    verdict = status_column(pages, classifier)
+    if "status" not in pages.columns:
+        return verdict
+    stored = pages["status"]
+    return F.when(stored.isNotNull() & (stored != PAGE_OK), stored).otherwise(verdict)
+
+
 def with_verdict(pages: DataFrame, classifier: Callable[[DataFrame], Column] | None = default_classifier) -> DataFrame:
-    """Pages with `status` set by the classifier."""
-    return pages.withColumn("status", status_column(pages, classifier))
+    """Pages with `status` judged: a page stored as refused stays so, the others go by their text."""
+    return pages.withColumn("status", judged_status(pages, classifier))
 
 
 def usable(pages: DataFrame, classifier: Callable[[DataFrame], Column] | None = default_classifier) -> DataFrame:
     """Pages that may be parsed."""
-    return pages.filter(status_column(pages, classifier) == PAGE_OK).withColumn("status", F.lit(PAGE_OK))
+    return pages.filter(judged_status(pages, classifier) == PAGE_OK).withColumn("status", F.lit(PAGE_OK))

@@ -7,8 +7,10 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crawlfold import sinks
+from crawlfold.functions import html as H
 from crawlfold.operators import claims, detail, listing, pool as pool_ops, seeds, shops as shop_ops, verdict
-from crawlfold.params import SITE, PoolParams, Site
+from crawlfold.params import FETCHED, FREE, PAGE_OK, SITE, PoolParams, Site
 
 LISTING_FIELDS = [
     "name", "address", "type_", "tag", "comments_n", "consumption_per_capita", "stars",
@@ -26,7 +28,7 @@ def listing_requests(areas: DataFrame, level: int, inclusive: bool = False, site
 def listing_observations(pages: DataFrame) -> DataFrame:
     """Observations of usable listing pages, in arrival order of page and card."""
     # A card's place in the arrival order: page time, then position on the page.
-    return listing.extract(verdict.usable(pages)).withColumnRenamed("pos", "seq")
+    return listing.extract(verdict.usable(pages)).withColumnRenamed("pos", "seq")  # the page's URL breaks ties
 
 
 def detail_requests(shops: DataFrame, pool: DataFrame, n: int, params: PoolParams = PoolParams(),
@@ -43,11 +45,31 @@ def detail_requests(shops: DataFrame, pool: DataFrame, n: int, params: PoolParam
 
 
 def detail_round(shops: DataFrame, pages: DataFrame) -> DataFrame:
-    """Shop table after a batch of detail pages: extracted fields merged, locks released."""
-    judged = verdict.with_verdict(pages)
-    seen = detail.extract(verdict.usable(pages.filter(F.col("meta")["shopId"].isNotNull())))
-    merged = shop_ops.upsert(shops, seen.withColumn("seq", F.lit(0)), DETAIL_FIELDS)
-    return claims.apply_locks(merged, claims.lock_state(claims.release_codes(judged)))
+    """Shop table after a batch of detail pages: extracted fields merged, locks released.
+
+    One pass over the pages, one fold per id that holds the fields and the lock, one join with
+    the shops. Pages that are not usable bring no fields and free their id.
+    """
+    visited = verdict.with_verdict(pages.filter(F.col("meta")["shopId"].isNotNull()))
+    read = H.once(detail.with_details(visited).select(
+        F.col("meta")["shopId"].alias("id"), F.col("fetched_at").alias("ts"), "url", "status", *DETAIL_FIELDS))
+    usable = F.col("status") == PAGE_OK
+    seen = read.select(
+        "id", "ts", F.lit(0).alias("seq"), "url",
+        *[F.when(usable, F.col(f)).alias(f) for f in DETAIL_FIELDS],
+        F.when(usable, FETCHED).otherwise(FREE).alias("lock_"))
+    fields = [*DETAIL_FIELDS, "lock_"]
+    merged = shop_ops.upsert(shops, seen, fields)
+    # A page that is refused does not make a shop.
+    found = F.coalesce(*[F.col(f).cast("string") for f in DETAIL_FIELDS]).isNotNull()
+    return merged.filter((F.col("action") != "insert") | found | (F.col("lock_") == FETCHED))
+
+
+def store_round(merged: DataFrame, root: str, version: int) -> dict[str, int]:
+    """Write a merged shop table as a new version; rows, inserts and updates are counted while it is written."""
+    counted, seen = sinks.counted(merged, f"round-{version}")
+    sinks.write_snapshot(counted.drop("action"), root, version)
+    return seen.get
 
 
 def pool_round(members: DataFrame, state: DataFrame, now: dt.datetime, today: dt.datetime,

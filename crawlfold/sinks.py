@@ -17,12 +17,17 @@ def write_snapshot(df: DataFrame, root: str, version: int) -> None:
     df.write.mode("overwrite").parquet(f"{root}/v={version}")
 
 
+def _committed(spark: SparkSession, root: str, name: str) -> dict[int, str]:
+    """Folders `name`=number below the root whose write was committed, by number."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}=*/_SUCCESS")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    folders = [s.getPath().getParent() for s in found or []]
+    return {int(f.getName().removeprefix(f"{name}=")): f.toString() for f in folders}
+
+
 def latest_version(spark: SparkSession, root: str) -> int | None:
     """Greatest version whose write was committed, None when there is none."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/v=*/_SUCCESS")
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    versions = [int(s.getPath().getParent().getName().removeprefix("v=")) for s in found or []]
-    return max(versions, default=None)
+    return max(_committed(spark, root, "v"), default=None)
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
@@ -35,26 +40,40 @@ def write_batch(df: DataFrame, log: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
 
 
-def read_log(spark: SparkSession, log: str, snapshots: str | None = None) -> DataFrame:
-    """All stored batches, with the column batch_id.
+def read_log(spark: SparkSession, log: str, snapshots: str | None = None) -> DataFrame | None:
+    """All committed batches, with the column batch_id; None when there are none.
 
     With `snapshots`, the latest one stands for the batches up to its version, and only the
     folders of later batches are read.
     """
-    batches = spark.read.parquet(log)
     version = latest_version(spark, snapshots) if snapshots else None
+    later = [f for n, f in sorted(_committed(spark, log, "batch_id").items()) if version is None or n > version]
+    batches = spark.read.option("basePath", log).parquet(*later) if later else None
+    if batches is not None:  # the folder's number, whatever type its text was read as
+        batches = batches.withColumn("batch_id", F.col("batch_id").cast("bigint"))
     if version is None:
         return batches
-    base = spark.read.parquet(f"{snapshots}/v={version}")
-    later = batches.filter(F.col("batch_id") > version)
-    return base.withColumn("batch_id", F.lit(version)).unionByName(later)
+    base = spark.read.parquet(f"{snapshots}/v={version}").withColumn("batch_id", F.lit(version).cast("bigint"))
+    return base if batches is None else base.unionByName(batches)
+
 
+def compact(spark: SparkSession, log: str, snapshots: str, fold: Callable[[DataFrame], DataFrame]) -> int | None:
+    """Fold the log into a new snapshot and remove the batch folders it stands for.
 
-def compact(spark: SparkSession, log: str, snapshots: str, fold: Callable[[DataFrame], DataFrame]) -> int:
-    """Fold the log into a new snapshot, so that reading does not grow with the batch count."""
+    Reading then does not grow with the number of batches. Folders go only once the snapshot is
+    committed, so a failure in between costs nothing but their space. Returns the newest batch.
+    """
+    batches = _committed(spark, log, "batch_id")
+    newest = max([*batches, *([v] if (v := latest_version(spark, snapshots)) is not None else [])], default=None)
     rows = read_log(spark, log, snapshots)
-    newest = rows.agg(F.max("batch_id")).first()[0]
-    write_snapshot(fold(rows), snapshots, newest)
+    if rows is None:
+        return None
+    if newest != v:
+        write_snapshot(fold(rows), snapshots, newest)
+    for number, folder in batches.items():
+        if number <= newest:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     return newest
 
 

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crawlfold import sinks
 from crawlfold.schemas import LEASE_REPLY
 
-# More leases than any reply holds.
-LEASES_PER_REPLY = 1_000_000
+# Order of the leases of a key.
+ORDER = ("feed_id", "pos")
 
 
 def _parsed(replies: DataFrame) -> DataFrame:
@@ -18,13 +19,12 @@ def _parsed(replies: DataFrame) -> DataFrame:
 def leases(replies: DataFrame, lifetime_class: int = 1, scheme: str = "http") -> DataFrame:
     """Lease rows of all successful replies `(feed_id, status, received_at, body)`.
 
-    `seq` numbers the leases by reply and place in it, for `operators.leases`.
+    `feed_id` and `pos`, the place in the reply, order the leases (`ORDER`, for `operators.leases`).
+    An entry without an address or with a time that cannot be read is left to `lease_rejects`.
     """
-    good = _parsed(replies).filter((F.col("status") == 200) & F.col("_r.success"))
-    rows = good.select("feed_id", "received_at", F.posexplode("_r.data").alias("_pos", "_d"))
-    return rows.select(
+    return _entries(replies).filter(F.col("_fault").isNull()).select(
         "feed_id",
-        (F.col("feed_id") * LEASES_PER_REPLY + F.col("_pos")).alias("seq"),
+        "pos",
         F.format_string("%s://%s:%s", F.lit(scheme), F.col("_d.ip"), F.col("_d.port")).alias("proxy"),
         F.col("_d.ip").alias("ip"),
         F.col("_d.port").alias("port"),
@@ -35,8 +35,24 @@ def leases(replies: DataFrame, lifetime_class: int = 1, scheme: str = "http") ->
     )
 
 
+def _entries(replies: DataFrame) -> DataFrame:
+    """Entries of successful replies, with what is wrong with them."""
+    good = _parsed(replies).filter((F.col("status") == 200) & F.col("_r.success"))
+    rows = good.select("feed_id", "received_at", F.posexplode("_r.data").alias("pos", "_d"))
+    fault = (
+        F.when(F.col("_d.ip").isNull() | F.col("_d.port").isNull(), "no address")
+        .when(F.col("_d.expire_time").try_cast("timestamp_ntz").isNull(), "no expiry")
+    )
+    return rows.withColumn("_fault", fault)
+
+
+def append_leases(replies: DataFrame, log: str, batch_id: int, lifetime_class: int = 1) -> None:
+    """Add the leases of a batch of replies to the lease log; a retry of the batch replaces it."""
+    sinks.write_batch(leases(replies, lifetime_class), log, batch_id)
+
+
 def lease_rejects(replies: DataFrame) -> DataFrame:
-    """Replies that bring no lease: refused by the vendor, or not readable.
+    """Replies that bring no lease: refused by the vendor, or not readable; and faulty entries of the others.
 
     Replies with another HTTP status than 200 say nothing about leases and are left out.
     """
@@ -44,7 +60,9 @@ def lease_rejects(replies: DataFrame) -> DataFrame:
         (F.col("status") == 200) & ~F.coalesce(F.col("_r.success"), F.lit(False))
     )
     reason = F.when(F.col("_r.success").isNull(), F.lit("malformed")).otherwise(F.lit("refused"))
-    return bad.select("feed_id", reason.alias("reason"), F.col("_r.msg").alias("msg"))
+    entries = _entries(replies).filter(F.col("_fault").isNotNull())
+    return bad.select("feed_id", reason.alias("reason"), F.col("_r.msg").alias("msg")).unionByName(
+        entries.select("feed_id", F.col("_fault").alias("reason"), F.to_json("_d").alias("msg")))
 
 
 def probe_verdicts(replies: DataFrame, field: str = "origin") -> DataFrame:

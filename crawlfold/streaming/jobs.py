@@ -10,15 +10,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from crawlfold import sinks
 from crawlfold.operators import detail, outcomes as oc, shops as shop_ops, verdict
 from crawlfold.operators.skew import SEGMENT_ROWS
 from crawlfold.params import BAN_N
+from crawlfold.plans import rounds
+from crawlfold.schemas import OUTCOMES
+from crawlfold.session import written
 
 # How logged summaries follow each other.
 BATCHES = ("batch_id", "seg")
+# Folders of a pool log.
+RAW, SUMMARIES = "outcomes", "summaries"
 
 
 def run_batches(stream: DataFrame, checkpoint: str, store: Callable[[DataFrame, int], None]) -> StreamingQuery:
@@ -33,19 +39,9 @@ def run_batches(stream: DataFrame, checkpoint: str, store: Callable[[DataFrame,
     return query
 
 
-def extract_details(pages: DataFrame, out: str, checkpoint: str, dedup_within: str | None = None) -> StreamingQuery:
-    """Append the detail records of every usable page as it arrives.
-
-    `dedup_within` drops a URL delivered again within that time; the watermark bounds the
-    state this needs.
-    """
-    if dedup_within:
-        # A watermark needs a zoned timestamp.
-        timed = pages.withColumn("_at", pages["fetched_at"].cast("timestamp"))
-        pages = timed.withWatermark("_at", dedup_within).dropDuplicatesWithinWatermark(["url"]).drop("_at")
+def _append(records: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     query = (
-        detail.extract(verdict.usable(pages))
-        .writeStream.format("parquet")
+        records.writeStream.format("parquet")
         .option("path", out)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -55,6 +51,25 @@ def extract_details(pages: DataFrame, out: str, checkpoint: str, dedup_within: s
     return query
 
 
+def _first_deliveries(pages: DataFrame, within: str | None) -> DataFrame:
+    """`within` drops a URL delivered again within that time; the watermark bounds the state this needs."""
+    if not within:
+        return pages
+    # A watermark needs a zoned timestamp.
+    timed = pages.withColumn("_at", pages["fetched_at"].cast("timestamp"))
+    return timed.withWatermark("_at", within).dropDuplicatesWithinWatermark(["url"]).drop("_at")
+
+
+def extract_details(pages: DataFrame, out: str, checkpoint: str, dedup_within: str | None = None) -> StreamingQuery:
+    """Append the detail records of every usable page as it arrives."""
+    return _append(detail.extract(verdict.usable(_first_deliveries(pages, dedup_within))), out, checkpoint)
+
+
+def extract_listings(pages: DataFrame, out: str, checkpoint: str, dedup_within: str | None = None) -> StreamingQuery:
+    """Append the observations of every usable listing page as it arrives."""
+    return _append(rounds.listing_observations(_first_deliveries(pages, dedup_within)), out, checkpoint)
+
+
 def upsert_shops(observations: DataFrame, fields: list[str], log: str, checkpoint: str) -> StreamingQuery:
     """Fold every batch of observations to one stamped row per id and log it."""
     def store(batch: DataFrame, batch_id: int) -> None:
@@ -75,24 +90,46 @@ def compact_shop_updates(spark: SparkSession, log: str, fields: list[str], snaps
 
 def fold_pool(outcomes: DataFrame, log: str, checkpoint: str, ban_n: int = BAN_N,
               segment_rows: int = SEGMENT_ROWS) -> StreamingQuery:
-    """Fold every batch of outcomes to summaries and log them.
+    """Log every batch of outcomes as it is, and its summaries, below `log`.
 
-    Batches must come in arrival order per key; `outcomes.late_keys` finds keys that did not.
+    The outcomes are kept because a key whose batches come out of arrival order has to be folded
+    from them again. A batch is written once and its summaries are made from what was written.
     """
     def store(batch: DataFrame, batch_id: int) -> None:
-        # Looking for hot keys reads the batch once more; keep it instead of its source.
-        batch.persist()
-        sinks.write_batch(oc.summarise(batch, ban_n, segment_rows), log, batch_id)
-        batch.unpersist()
+        rows = batch.select(*(f.name for f in OUTCOMES.fields))
+        sinks.write_batch(rows, f"{log}/{RAW}", batch_id)
+        stored = batch.sparkSession.read.schema(rows.schema).parquet(f"{log}/{RAW}/batch_id={batch_id}")
+        sinks.write_batch(oc.summarise(stored, ban_n, segment_rows), f"{log}/{SUMMARIES}", batch_id)
 
     return run_batches(outcomes, checkpoint, store)
 
 
-def read_pool_state(spark: SparkSession, log: str, ban_n: int = BAN_N, snapshots: str | None = None) -> DataFrame:
-    """Member state from all logged batches."""
-    return oc.fold(sinks.read_log(spark, log, snapshots), ban_n, order=BATCHES)
-
+def read_pool_state(spark: SparkSession, log: str, ban_n: int = BAN_N, snapshots: str | None = None,
+                    segment_rows: int = SEGMENT_ROWS) -> DataFrame:
+    """Member state from all logged batches, in whatever order they came.
 
-def compact_pool(spark: SparkSession, log: str, snapshots: str, ban_n: int = BAN_N) -> int:
-    """Fold the logged batches into one summary per key."""
-    return sinks.compact(spark, log, snapshots, lambda rows: oc.compacted(rows, ban_n, BATCHES))
+    Keys whose batches overlap in arrival order are folded from their outcomes; a snapshot does
+    not change that, since it knows the numbers it covers.
+    """
+    summaries = sinks.read_log(spark, f"{log}/{SUMMARIES}", snapshots)
+    if summaries is None:
+        return oc.member_state(spark.createDataFrame([], OUTCOMES), ban_n)
+    late = written(oc.late_keys(summaries, BATCHES))
+    state = oc.fold(summaries.join(late, "key", "left_anti"), ban_n, order=BATCHES)
+    if late.isEmpty():
+        return state
+    raw = sinks.read_log(spark, f"{log}/{RAW}").drop("batch_id").join(late, "key", "left_semi")
+    return state.unionByName(oc.member_state(raw, ban_n, segment_rows))
+
+
+def compact_pool(spark: SparkSession, log: str, snapshots: str, ban_n: int = BAN_N) -> int | None:
+    """Fold the logged summaries into one per key. Keys that are late already stay as they are, to be found again."""
+    def fold(rows: DataFrame) -> DataFrame:
+        late = written(oc.late_keys(rows, BATCHES))
+        kept = rows.join(late, "key", "left_semi")
+        folded = oc.compacted(rows.join(late, "key", "left_anti"), ban_n, BATCHES)
+        # Two overlapping summaries keep a late key late, whatever comes.
+        first = oc.compacted(kept, ban_n, BATCHES)
+        return folded.unionByName(first).unionByName(first.withColumn("seg", F.col("seg") + 1))
+
+    return sinks.compact(spark, f"{log}/{SUMMARIES}", snapshots, fold)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from crawlfold.operators import outcomes as oc, seeds
 from crawlfold.params import SITE
+from crawlfold.schemas import SHOPS
 from crawlfold.session import written
 from crawlfold.sources import dims
 
@@ -41,6 +42,13 @@ def shops(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def full_shops(spark: SparkSession, sf: str) -> DataFrame:
+    """The same shops with every declared column."""
+    few = shops(spark, sf)
+    return few.select(*[
+        (F.col(f.name) if f.name in few.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in SHOPS.fields])
+
+
 OBSERVED = ["type_", "consumption_per_capita"]
 
 
@@ -65,21 +73,25 @@ def _tag(condition: str, *parts: Column) -> Column:
     return F.when(F.expr(condition), F.concat(*parts)).otherwise("")
 
 
-def _card(faults: bool) -> Column:
+def _card(faults: bool, nested: bool) -> Column:
+    """A card of the list. `nested`: blocks inside its blocks, a list inside it, an escaped currency sign."""
     k = F.col("k").cast("string")
     text = F.lit
+    sign = F.expr("case when k%2=0 then '&#xA5;' else '&yen;' end") if nested else text("￥")
+    tip = text('<div class="tip"><p>x</p><div>y</div></div>' if nested else "")
+    inner = text('<ul><li><div class="txt"><div class="tit">no card</div></div></li></ul>' if nested else "")
     one_tag, no_id, no_rank = (("k%13=0", "k%17=0", "k%19=0") if faults else ("false",) * 3)
     return F.concat(
         text('<li><div class="pic"><a href="#"><img src="x.png"></a></div>\n<div class="txt">'
              '<div class="tit"><a data-hippo-type="shop"'),
         _tag(f"not ({no_id})", text(' data-shopid="'), k, text('"')),
-        text("><h4>"), F.col("name"), text('</h4></a></div>\n<div class="comment">'),
+        text("><h4>"), F.col("name"), text('</h4></a></div>\n<div class="comment">'), tip,
         _tag(f"not ({no_rank})", text('<span class="sml-rank-stars sml-str'),
              F.expr("cast(k%6*10 as string)"), text('"></span>')),
         _tag("k%3<>0", text('<a href="#" onclick="shopreview()"><b>'), F.expr("cast(k*7 as string)"),
              text("</b> 条点评</a>")),
-        _tag("k%4<>0", text("<a>人均 <b>￥"), F.expr("cast(k%500 as string)"), text("</b></a>")),
-        text('</div>\n<div class="tag-addr"><a href="#"><span class="tag">'), F.col("segment"),
+        _tag("k%4<>0", text("<a>人均 <b>"), sign, F.expr("cast(k%500 as string)"), text("</b></a>")),
+        text("</div>\n"), inner, text('<div class="tag-addr"><a href="#"><span class="tag">'), F.col("segment"),
         text("</span></a>"),
         _tag(f"not ({one_tag})", text('<a href="#"><span class="tag">T'), F.col("nation").cast("string"),
              text("</span></a>")),
@@ -92,11 +104,14 @@ def _card(faults: bool) -> Column:
     )
 
 
-def listing_pages(spark: SparkSession, sf: str, faults: bool = False) -> DataFrame:
-    """Listing pages of 15 cards. 50 pages make a chain; every fifth chain is a ring."""
+def listing_pages(spark: SparkSession, sf: str, faults: bool = False, nested: bool = False) -> DataFrame:
+    """Listing pages of 15 cards. 50 pages make a chain; every fifth chain is a ring.
+
+    `nested`: a sort bar in front, the cards in two lists, and another list behind the shop list.
+    """
     cards = table(spark, sf, "customer").selectExpr(
         "c_custkey k", "c_name name", "c_mktsegment segment", "c_nationkey nation"
-    ).select(F.expr(f"k div {CARDS_PER_PAGE}").alias("page"), "k", _card(faults).alias("card"))
+    ).select(F.expr(f"k div {CARDS_PER_PAGE}").alias("page"), "k", _card(faults, nested).alias("card"))
     pages = cards.groupBy("page").agg(
         F.array_sort(F.collect_list(F.struct("k", "card"))).alias("cards")
     )
@@ -108,10 +123,16 @@ def listing_pages(spark: SparkSession, sf: str, faults: bool = False) -> DataFra
         ahead.isNotNull(),
         F.concat(F.lit(f'<a class="next" href="{LIST_HOST}'), ahead.cast("string"), F.lit('">next</a>')),
     ).otherwise("")
+    rows = F.col("cards.card")
+    bar, between, behind = "", F.lit(""), ""
+    if nested:
+        bar = '<div class="sort"><ul><li><div class="txt">sort</div></li></ul></div><p>all</p>'
+        between = F.lit("</ul><p>more</p><ul>")
+        behind = '<ul><li><div class="txt">not a shop</div></li></ul>'
     html = F.concat(
-        F.lit('<html><head><title>list</title></head><body><div id="shop-all-list"><ul>'),
-        F.array_join(F.col("cards.card"), ""),
-        F.lit('</ul></div><div class="page"><a class="prev" href="#">prev</a>'), pager,
+        F.lit(f'<html><head><title>list</title></head><body><div id="shop-all-list">{bar}<ul>'),
+        F.array_join(F.slice(rows, 1, 7), ""), between, F.array_join(F.slice(rows, 8, CARDS_PER_PAGE), ""),
+        F.lit(f'</ul></div>{behind}<div class="page"><a class="prev" href="#">prev</a>'), pager,
         F.lit("</div></body></html>"),
     )
     return pages.select(
@@ -123,9 +144,18 @@ def listing_pages(spark: SparkSession, sf: str, faults: bool = False) -> DataFra
     )
 
 
-def as_detail_pages(customers: DataFrame) -> DataFrame:
-    """One detail page per customer; every 23rd is a block notice."""
+def as_detail_pages(customers: DataFrame, nested: bool = False, statuses: bool = False) -> DataFrame:
+    """One detail page per customer; every 23rd is a block notice.
+
+    `nested`: keywords in two blocks, with other links around them and a foreign block behind.
+    `statuses`: some pages are stored with a refusal, some without a status.
+    """
     key = customers.selectExpr("c_custkey k", "c_name name", "c_nationkey nation")
+    aside = second = foreign = ""
+    if nested:
+        aside = '<div class="sub"><a>no word</a></div>'
+        second = '</div><div class="head"><a>no</a></div><div class="content"><b><a>bold</a></b><span><a>B</a></span>'
+        foreign = '<div class="content"><span><a>foreign</a></span></div>'
     digits = "lpad(cast(k%1000 as string), 3, '0')"
     lon = F.expr(f"concat(case when k%13=0 then '121x' else '121.' end, {digits})")
     lat = F.expr(f"concat('31.', {digits})")
@@ -136,22 +166,26 @@ def as_detail_pages(customers: DataFrame) -> DataFrame:
         _tag("k%9<>0", F.lit('<script>window.cfg = {shopGlat: "'), lat, F.lit('" , shopGlng: " '), lon,
              F.lit('"}</script>')),
         F.lit('<div id="summaryfilter-wrapper"><div class="content">'),
-        _tag("k%6<>0", F.lit("<span><a>W"), F.expr("cast(k%7 as string)"), F.lit("</a></span><span><a>N"),
-             F.col("nation").cast("string"), F.lit("</a></span>")),
-        F.lit("</div></div></body></html>"),
+        _tag("k%6<>0", F.lit("<span><a>W"), F.expr("cast(k%7 as string)"), F.lit("</a></span>"), F.lit(aside),
+             F.lit("<span><a>N"), F.col("nation").cast("string"), F.lit("</a></span>"), F.lit(second)),
+        F.lit(f"</div></div>{foreign}</body></html>"),
     )
+    status = F.expr(STORED_STATUS) if statuses else F.lit(200)
     shop_id = F.col("k").cast("string")
     return key.select(
         seeds.detail_url(shop_id).alias("url"),
         html.alias("html"),
-        F.lit(200).alias("status"),
+        status.alias("status"),
         F.expr(f"{START} + make_dt_interval(0, 0, 0, k)").alias("fetched_at"),
         F.create_map(F.lit("shopId"), shop_id).alias("meta"),
     )
 
 
-def detail_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return as_detail_pages(table(spark, sf, "customer"))
+STORED_STATUS = "cast(case when k%29=0 then 403 when k%31=0 then 500 when k%37=0 then null else 200 end as int)"
+
+
+def detail_pages(spark: SparkSession, sf: str, nested: bool = False, statuses: bool = False) -> DataFrame:
+    return as_detail_pages(table(spark, sf, "customer"), nested, statuses)
 
 
 # Dimensions and seeds
@@ -246,6 +280,18 @@ def leases(spark: SparkSession, sf: str) -> DataFrame:
     ))
 
 
+def user_leases(spark: SparkSession, sf: str) -> DataFrame:
+    """Successive leases of every user's key: one per ten days, born with its first event."""
+    return table(spark, sf, "events").groupBy(
+        F.col("user_id").cast("string").alias("proxy"), F.expr(LEASE).alias("_lease")
+    ).agg(F.min("ts").alias("birth_time"), F.min("event_id").alias("seq")).drop("_lease")
+
+
+def late_claims(spark: SparkSession, sf: str) -> DataFrame:
+    """The claims below under numbers that run against time, as two sources with numbers of their own give."""
+    return claims(spark, sf).withColumn("seq", -F.col("seq"))
+
+
 def claims(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").filter("event_type in ('view','purchase','error')").selectExpr(
         "cast(user_id as string) id", "event_id seq", "ts",

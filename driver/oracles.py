@@ -174,6 +174,9 @@ links AS (SELECT page, CASE WHEN page % {CHAIN} < {CHAIN} - 1 THEN page + 1
                             WHEN (page // {CHAIN}) % 5 = 0 THEN page - ({CHAIN} - 1) END AS ahead
           FROM listing)"""
 
+STATUS = """CAST(CASE WHEN k % 29 = 0 THEN 403 WHEN k % 31 = 0 THEN 500
+                  WHEN blocked THEN 403 ELSE 200 END AS INT)"""
+
 GOOD_FEED = "event_id // 100 % 5 <> 0 AND event_id // 100 % 7 <> 0 AND event_id // 100 % 11 <> 0"
 
 SQL: dict[str, str] = {
@@ -200,7 +203,7 @@ SQL: dict[str, str] = {
     "search_urls": f"""SELECT CAST(c_custkey AS VARCHAR) id,
         '{SITE.search_base}' || replace(c_name, '#', '%23') AS search_url FROM customer""",
     # Feeds
-    "lease_feed": f"""SELECT feed_id, feed_id * 1000000 + n AS seq, 'http://' || ip || ':' || port AS proxy, ip, port, 'http' AS scheme,
+    "lease_feed": f"""SELECT feed_id, CAST(n AS INT) AS pos, 'http://' || ip || ':' || port AS proxy, ip, port, 'http' AS scheme,
           1 AS lifetime_class, min(ts) OVER (PARTITION BY feed_id) AS birth_time,
           date_trunc('second', ts + INTERVAL 20 MINUTE) AS expire_time
         FROM (SELECT event_id // 100 AS feed_id, event_id % 100 AS n, '10.0.' || (user_id % 256) || '.' || (event_id % 256) AS ip,
@@ -222,6 +225,8 @@ SQL: dict[str, str] = {
     "cards_explode": f"WITH {CARDS} SELECT url, pos FROM cards",
     "listing_extract": f"""WITH {CARDS} SELECT id, url, name, address, type_, tag, comments_n,
           consumption_per_capita, stars, flavor, envir, service FROM cards""",
+    "listing_extract_nested": f"""WITH {CARDS} SELECT id, url, pos, name, address, type_, tag, comments_n,
+          consumption_per_capita, stars, flavor, envir, service FROM cards""",
     "listing_optional_fields": f"WITH {CARDS} SELECT id, comments_n, consumption_per_capita FROM cards",
     "listing_tags": f"WITH {CARDS} SELECT id, type_, tag FROM cards",
     "stars_decode": f"WITH {CARDS} SELECT id, stars FROM cards",
@@ -232,6 +237,14 @@ SQL: dict[str, str] = {
         FROM cards WHERE k % 17 = 0 OR k % 13 = 0 OR k % 19 = 0""",
     "geo_extract": f"WITH {DETAILS} SELECT url, lon, lat FROM details",
     "detail_extract": f"WITH {DETAILS} SELECT id, ts, lon, lat, key_words FROM details WHERE NOT blocked",
+    "detail_keywords": f"WITH {DETAILS} SELECT id, key_words || '|B' AS key_words FROM details",
+    "detail_heading": f"WITH {DETAILS} SELECT url, name FROM details",
+    "page_status_verdict": f"WITH {DETAILS} SELECT url, {STATUS} AS status FROM details",
+    "detail_round": f"""WITH {SHOPS}, {DETAILS}, j AS (SELECT *, {STATUS} AS status FROM details)
+        SELECT s.id, CASE WHEN status = 200 THEN coalesce(d.lon, s.lon) ELSE s.lon END AS lon,
+               CASE WHEN status = 200 THEN coalesce(d.lat, s.lat) ELSE s.lat END AS lat,
+               CAST(CASE WHEN status = 200 THEN 20 ELSE 0 END AS INT) AS lock_, 'update' AS "action"
+        FROM shops s JOIN j d ON d.id = s.id""",
     "new_shop_extract": f"WITH {DETAILS} SELECT id, name, lon, lat FROM details",
     "new_shop_searches": f"""WITH {DETAILS} SELECT id, '{SITE.search_base}' || replace(name, '#', '%23') AS search_url
         FROM details""",
@@ -265,6 +278,10 @@ SQL: dict[str, str] = {
     "claim_batch": f"""WITH {SHOPS} SELECT id, 1 AS code, '{SITE.detail_base}' || id AS url
         FROM (SELECT DISTINCT id FROM shops WHERE {CLAIMABLE}) ORDER BY id LIMIT 100""",
     "lock_state": f"WITH {LOCKS} SELECT id, lock_, since FROM locks",
+    "lock_state_late": """SELECT id, arg_max(code, row(ts, -event_id, code)) AS lock_, max(ts) AS since
+        FROM (SELECT CAST(user_id AS VARCHAR) id, event_id, ts, CAST(CASE event_type WHEN 'view' THEN 1
+                WHEN 'purchase' THEN 20 ELSE 0 END AS INT) code
+              FROM events WHERE event_type IN ('view','purchase','error')) GROUP BY id""",
     "lock_state_ttl": f"""WITH {LOCKS} SELECT id, CASE WHEN lock_ = 1
           AND since < TIMESTAMP '2024-01-26 00:00:00' THEN 0 ELSE lock_ END AS lock_ FROM locks""",
     "locked_shops": f"""WITH {SHOPS}, {LOCKS} SELECT s.id, coalesce(l.lock_, s.lock_) AS lock_
@@ -275,6 +292,9 @@ SQL: dict[str, str] = {
     "fetched_no_geo": f"WITH {SHOPS} SELECT id FROM shops WHERE lock_ = 20 AND (lon IS NULL OR lat IS NULL)",
     # Outcomes and pool
     "pool_state": STATE,
+    "pool_state_by_lease": f"""WITH {MEMBERS}
+        SELECT CAST(CAST(proxy AS BIGINT) // 10 AS VARCHAR) || '@' || strftime(birth_time, '%Y%m%d%H%M%S.%f') AS "key",
+               score, ban_last AS ban, ban_death AS ban_death_time FROM life""",
     "ban_streak_running": f'WITH {_streaks(PLAIN)} SELECT "key", seq, run AS streak FROM r',
     "first_death": f'WITH {_streaks(PLAIN)} SELECT "key", min(ts) AS death_time FROM r WHERE run >= 3 GROUP BY "key"',
     "pool_in_use": """SELECT CAST(user_id AS VARCHAR) AS "key",
@@ -330,3 +350,5 @@ SQL: dict[str, str] = {
 SQL["stream_extract"] = SQL["detail_extract"]
 SQL["stream_upsert"] = SQL["upsert_merge"]
 SQL["stream_pool"] = SQL["pool_state"]
+SQL["stream_pool_late"] = SQL["pool_state"]
+SQL["stream_listing"] = SQL["listing_extract_nested"]

@@ -126,6 +126,11 @@ def listing_extract(spark, sf):
     return _cards(spark, sf, "url", *rounds.LISTING_FIELDS)
 
 
+def listing_extract_nested(spark, sf):
+    """Two lists, a sort bar, lists and blocks inside cards, escaped currency signs."""
+    return listing.extract(b.listing_pages(spark, sf, nested=True)).select("id", "url", "pos", *rounds.LISTING_FIELDS)
+
+
 def listing_optional_fields(spark, sf):
     return _cards(spark, sf, "comments_n", "consumption_per_capita")
 
@@ -151,7 +156,26 @@ def geo_extract(spark, sf):
 
 
 def detail_extract(spark, sf):
-    return detail.extract(verdict.usable(b.detail_pages(spark, sf)))
+    return detail.extract(verdict.usable(b.detail_pages(spark, sf))).drop("url")
+
+
+def detail_keywords(spark, sf):
+    """Keywords in two blocks, with other links around them and a foreign block behind."""
+    return detail.extract(b.detail_pages(spark, sf, nested=True)).select("id", "key_words")
+
+
+def detail_heading(spark, sf):
+    return detail.with_heading(b.detail_pages(spark, sf)).select("url", "name")
+
+
+def page_status_verdict(spark, sf):
+    """A stored refusal stands; the text decides about the others."""
+    return verdict.with_verdict(b.detail_pages(spark, sf, statuses=True)).select("url", "status")
+
+
+def detail_round(spark, sf):
+    return rounds.detail_round(b.full_shops(spark, sf), b.detail_pages(spark, sf, statuses=True)).select(
+        "id", "lon", "lat", "lock_", "action")
 
 
 def new_shop_extract(spark, sf):
@@ -189,12 +213,9 @@ def completeness_codes(spark, sf):
 def completeness_by_code(spark, sf):
     """Stored shops after a listing round and a detail round, counted by code."""
     listed = shop_ops.upsert(
-        b.shops(spark, sf), rounds.listing_observations(b.listing_pages(spark, sf)),
-        [f for f in rounds.LISTING_FIELDS if f in ("type_", "stars", "consumption_per_capita")],
+        b.full_shops(spark, sf), rounds.listing_observations(b.listing_pages(spark, sf)), rounds.LISTING_FIELDS,
     ).drop("action")
-    merged = rounds.detail_round(
-        listed.withColumn("key_words", F.lit(None).cast("string")), b.detail_pages(spark, sf)
-    )
+    merged = rounds.detail_round(listed, b.detail_pages(spark, sf))
     return merged.groupBy(shop_ops.completeness_code().alias("code"), "lock_").agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -233,6 +254,10 @@ def lock_state(spark, sf):
     return claims.lock_state(b.claims(spark, sf))
 
 
+def lock_state_late(spark, sf):
+    return claims.lock_state(b.late_claims(spark, sf))
+
+
 def lock_state_ttl(spark, sf):
     return claims.lock_state(b.claims(spark, sf), NOW, dt.timedelta(days=5)).select("id", "lock_")
 
@@ -255,6 +280,12 @@ def pool_state(spark, sf):
     return oc.member_state(b.as_outcomes_with_kills(b.table(spark, sf, "events")))
 
 
+def pool_state_by_lease(spark, sf):
+    """Outcomes count for the lease that held the key at the time; a key leased again starts anew."""
+    held = leases.history(b.user_leases(spark, sf))
+    return oc.member_state(oc.by_lease(b.outcomes(spark, sf), held)).select("key", "score", "ban", "ban_death_time")
+
+
 def ban_streak_running(spark, sf):
     return oc.running_streak(b.outcomes(spark, sf)).select("key", "seq", "streak")
 
@@ -349,6 +380,13 @@ def listing_depth(spark, sf):
 
 # Streams: files of the given tables are the input, a shared folder takes the output.
 
+def _stored_stream(df: DataFrame, folder: str, files: int, by) -> DataFrame:
+    """`df` stored in several files, then read as a stream of one file per batch."""
+    for i in range(files):
+        df.filter(by == i).coalesce(1).write.mode("append").parquet(folder)
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
 def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
     schema = b.table(spark, sf, name).schema
     # A file source wants a folder or a pattern; the pattern fits a table of either form.
@@ -359,7 +397,15 @@ def stream_extract(spark, sf):
     folder = new_folder(spark, "extract")
     pages = b.as_detail_pages(_stream(spark, sf, "customer"))
     jobs.extract_details(pages, f"{folder}/out", f"{folder}/checkpoint")
-    return spark.read.parquet(f"{folder}/out")
+    return spark.read.parquet(f"{folder}/out").drop("url")
+
+
+def stream_listing(spark, sf):
+    folder = new_folder(spark, "listing")
+    pages = b.listing_pages(spark, sf, nested=True)
+    stream = _stored_stream(pages, f"{folder}/pages", 3, F.pmod(F.xxhash64("url"), F.lit(3)))
+    jobs.extract_listings(stream, f"{folder}/out", f"{folder}/checkpoint")
+    return spark.read.parquet(f"{folder}/out").select("id", "url", F.col("seq").alias("pos"), *rounds.LISTING_FIELDS)
 
 
 def stream_upsert(spark, sf):
@@ -377,6 +423,15 @@ def stream_pool(spark, sf):
     return jobs.read_pool_state(spark, f"{folder}/log")
 
 
+def stream_pool_late(spark, sf):
+    """Three files, each with every third event, so that every batch reaches back behind the one before."""
+    folder = new_folder(spark, "late")
+    outcomes = b.as_outcomes_with_kills(b.table(spark, sf, "events"))
+    stream = _stored_stream(outcomes, f"{folder}/in", 3, F.col("seq") % 3)
+    jobs.fold_pool(stream, f"{folder}/log", f"{folder}/checkpoint")
+    return jobs.read_pool_state(spark, f"{folder}/log")
+
+
 ALL = {
     f.__name__: f
     for f in (
@@ -384,17 +439,17 @@ ALL = {
         area_codes_up_to, seed_urls, seed_url_decode, detail_urls, search_urls,
         lease_feed, lease_rejects, probe_verdicts,
         page_scan, page_verdict, page_verdict_custom, cards_explode, listing_extract,
-        listing_optional_fields, listing_tags, stars_decode, listing_ratings, listing_rejects,
-        geo_extract, detail_extract, new_shop_extract, new_shop_searches, keywords_join,
+        listing_extract_nested, listing_optional_fields, listing_tags, stars_decode, listing_ratings, listing_rejects,
+        geo_extract, detail_extract, detail_keywords, detail_heading, page_status_verdict, detail_round, new_shop_extract, new_shop_searches, keywords_join,
         heading_extract, url_last_segment,
         claimable_ids, completeness_codes, completeness_by_code, upsert_merge, upsert_inserts,
         upsert_updates, dup_listing_count,
-        claim_batch, lock_state, lock_state_ttl, locked_shops, requeue, fetched_no_geo,
-        pool_state, ban_streak_running, first_death, pool_in_use, pool_eligible,
+        claim_batch, lock_state, lock_state_late, lock_state_ttl, locked_shops, requeue, fetched_no_geo,
+        pool_state, pool_state_by_lease, ban_streak_running, first_death, pool_in_use, pool_eligible,
         pool_eligible_count, pool_sweep, births_today, pool_gap, pool_gap_current, dead_members, lifetime_classes,
         pool_report, pool_report_empty, pool_report_lenient, random_pick, balanced_assignment,
         lease_history, lease_current,
-        next_page_links, listing_depth, stream_extract, stream_upsert, stream_pool,
+        next_page_links, listing_depth, stream_extract, stream_listing, stream_upsert, stream_pool, stream_pool_late,
     )
 }
 ALL["lifetime_class"] = ALL.pop("lifetime_classes")

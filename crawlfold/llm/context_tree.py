@@ -88,6 +88,9 @@ def _slices(bodies: list[bytes | None], limit: int = 2 << 20) -> Iterator[slice]
 
 
 def _runs(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each run of equal values begins, and its length."""
+    if not len(ordered):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     at = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
     return at, np.diff(np.r_[at, len(ordered)])
 

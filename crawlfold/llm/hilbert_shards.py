@@ -10,9 +10,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from crawlfold.session import written
+from crawlfold.operators.ordering import numbered
 
 DIMENSIONS = ("lang", "source", "n_chars")
 BITS = 6
@@ -86,36 +85,13 @@ def curve_order(docs: DataFrame, dimensions=DIMENSIONS, bits: int = BITS) -> Dat
     return docs.withColumn("__curve", place(*values))
 
 
-def numbered(rows: DataFrame, order: list) -> tuple[DataFrame, DataFrame]:
-    """`rows`, stored sorted by `order`, with `__row`: a number without gaps from 0; and per stored
-    partition its count.
-
-    One range shuffle; the partitions' counts, one small row each, give the numbers. The order must end
-    in something close to unique, or a hot value makes one partition large.
-    """
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    stored = written(
-        rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
-        .withColumn("__at", F.monotonically_increasing_id())
-    )
-    file = F.shiftright("__at", 33)
-    counts = stored.groupBy(file.alias("__file")).agg(F.count("*").alias("__n"))
-    before = F.coalesce(
-        F.sum("__n").over(Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    # One row per partition of the shuffle above: as many as partitions, whatever the data.
-    counts = written(counts.withColumn("__before", before))
-    return stored.withColumn("__file", file).join(F.broadcast(counts), "__file").withColumn(
-        "__row", F.col("__before") + F.col("__at").bitwiseAND((1 << 33) - 1)
-    ).drop("__file", "__at", "__n", "__before"), counts
-
-
 def cut_runs(rows: DataFrame, order: list, shards: int) -> DataFrame:
     """`rows` with `__shard` and `__slot`: runs of the order whose counts differ by at most one.
 
     An empty table gives no rows. Equal rows get different slots.
     """
-    found, counts = numbered(rows, order)
-    total = counts.agg(F.coalesce(F.sum("__n"), F.lit(0))).first()[0]
+    found = numbered(rows, order, "__row")
+    total = found.agg(F.coalesce(F.max("__row") + 1, F.lit(0))).first()[0]
     shard = F.expr(f"(__row * {shards}) div {max(total, 1)}")
     start = F.expr(f"(__shard * {total} + {shards - 1}) div {shards}")
     return found.withColumn("__shard", shard.cast("int")).withColumn("__slot", F.col("__row") - start).drop("__row")

@@ -159,9 +159,13 @@ class Lattices:
             total[self.target[e[new]]] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, size)), new))
         self.mass = np.exp(total[self.source] + weight - total[self.target])
         self.log_mass = total[self.source] + weight - total[self.target]
-        run = np.cumsum(self.mass)
         group = self.begin[self.target]
-        self.upto = run - np.where(group > 0, run[group - 1], 0.0)
+        # Added up node by node, so that a word's sums do not depend on the other words of its batch.
+        nth = np.arange(len(group)) - group
+        self.upto = self.mass.copy()
+        for k in range(1, int(nth.max(initial=0)) + 1):
+            e = np.flatnonzero(nth == k)
+            self.upto[e] += self.upto[e - 1]
         degree = self.begin[self.target + 1] - group
         # What the other edges into the node share; nothing if there are none.
         self.others = np.where(degree > 1, np.maximum(1 - self.mass, 1e-300), 0.0)
@@ -288,16 +292,18 @@ class Sampler:
             path = Paths(edge, word, ends)
             paths.append(path)
             log_mass = lat.log_mass[edge]
-            run = np.cumsum(log_mass)
             start = np.r_[0, ends[:-1]]
-            base = np.where(start > 0, run[np.maximum(start - 1, 0)] if len(run) else 0.0, 0.0)
-            score = np.where(ends > start, (run[np.maximum(ends - 1, 0)] if len(run) else 0.0) - base, 0.0)
+            run, score = np.empty(len(edge)), np.zeros(len(texts))
+            for t, (a, b) in enumerate(zip(start.tolist(), ends.tolist())):
+                if b > a:
+                    np.cumsum(log_mass[a:b], out=run[a:b])
+                    score[t] = run[b - 1]
             scores.append(score)
             bounds.append(bound.copy())
             # Nodes that this path leaves: at each new piece, all paths that agree before and differ there.
             noise = -np.log(uniform(mixed(_keys(ids, self.seed, rank)[text] + np.arange(len(edge), dtype=np.uint64) - start[text].astype(np.uint64), 11)))
             with np.errstate(divide="ignore"):
-                rest = run - log_mass - base[text] + np.log(lat.others[edge])
+                rest = run - log_mass + np.log(lat.others[edge])
                 value = -np.logaddexp(-bound[text], np.log(noise) - rest)
             value[~fresh | (lat.others[edge] == 0)] = -np.inf
             agenda.append(value)

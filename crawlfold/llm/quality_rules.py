@@ -212,3 +212,66 @@ def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     return judge(counted, references(counted)).select(
         "doc_id", *[F.col(f"__{n}").alias(n) for n in names])
+
+
+def _sql_lists() -> str:
+    lists = ", ".join(f"('{lang}', [{', '.join(repr(w) for w in words)}])" for lang, words in COMMON.items())
+    return f"lists(lang, common) as (values {lists})"
+
+
+def _sql_distance(counts: str, shares: str) -> str:
+    pairs = f"list_zip({counts}, {shares})"
+    p, q = f"(x[1] / list_sum({counts}))", "x[2]"
+    m = f"(({p} + {q}) / 2)"
+    term = f"(case when {p} > 0 then {p} * log2({p} / {m}) else 0 end + case when {q} > 0 then {q} * log2({q} / {m}) else 0 end)"
+    return f"sqrt(greatest(list_sum(list_transform({pairs}, lambda x: {term})) / 2, 0))"
+
+
+def _sql_shares(counts: str, n: int, judged: str) -> str:
+    """Per language the medians of each share, scaled to sum to one."""
+    medians = ", ".join(f"quantile_disc(case when {judged} then {counts}[{i}] / list_sum({counts}) end, 0.5)" for i in range(1, n + 1))
+    return f"[{medians}]"
+
+
+SQL = rf"""
+with {_sql_lists()},
+d as (select doc_id, lang, coalesce(text, '') as t from documents),
+w as (select *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from d),
+win as (
+  select doc_id, i, array_to_string(w[i:i+{WINDOW - 1}], ' ') as g
+  from (select doc_id, w, unnest(range(1, len(w) - {WINDOW - 2})) as i from w where len(w) >= {WINDOW})),
+again as (select doc_id, i, count(*) over (partition by doc_id, g) as n from win),
+rep as (select doc_id, count(distinct k) as n from (select doc_id, unnest(range(i, i + {WINDOW})) as k from again where n > 1) group by doc_id),
+c as (
+  select w.doc_id, w.lang, t, len(w)::bigint as n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::bigint as word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
+    (len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))
+     - len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))))::bigint as n_dup_lines,
+    coalesce(rep.n, 0)::bigint as n_repeat_words,
+    regexp_replace(t, '[a-zA-Z0-9\x20\x09-\x0D]|[^\x00-\x7F]', '', 'g') as marks,
+    [length(regexp_replace(t, '[^a-z0-9]', '', 'g')), length(regexp_replace(t, '[^A-Z]', '', 'g')),
+     length(regexp_replace(t, '[^\x20\x09-\x0D]', '', 'g')), length(regexp_replace(t, '[\x00-\x7F]', '', 'g'))] as four,
+    case when common is not null then list_transform(common, lambda x: len(list_filter(w, lambda y: y = x or y = upper(x[1]) || x[2:]))) end as found
+  from w left join rep using (doc_id) left join lists on lists.lang = w.lang),
+k as (
+  select *, list_transform([four[1], four[2], four[3], length(marks) - length(regexp_replace(marks, '[.,;:''"()?-]', '', 'g')),
+      length(regexp_replace(marks, '[.,;:''"()?-]', '', 'g')), four[4]], lambda x: x::double) as cn,
+    case when found is not null then list_transform(list_append(found, n_words - list_sum(found)), lambda x: x::double) end as wn
+  from c),
+ref as (
+  select lang, {_sql_shares('cn', len(CLASSES), f'list_sum(cn) >= {MIN_CHARS_JUDGED}')} as cm,
+    {_sql_shares('wn', len(COMMON['en']) + 1, f'n_words >= {MIN_WORDS_JUDGED}')} as wm
+  from k where wn is not null group by lang),
+scaled as (
+  select lang, case when list_sum(cm) > 0 and len(list_filter(cm, lambda x: x is null)) = 0 then list_transform(cm, lambda x: x / list_sum(cm)) end as cs,
+    case when list_sum(wm) > 0 and len(list_filter(wm, lambda x: x is null)) = 0 then list_transform(wm, lambda x: x / list_sum(wm)) end as ws
+  from ref),
+v as (
+  select k.*, n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words as base_failed,
+    case when list_sum(cn) >= {MIN_CHARS_JUDGED} and cs is not null then {_sql_distance('cn', 'cs')} end as cd,
+    case when n_words >= {MIN_WORDS_JUDGED} and ws is not null and wn is not null then {_sql_distance('wn', 'ws')} end as wd
+  from k left join scaled on scaled.lang = k.lang)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and not coalesce(cd > {MAX_CLASS_DISTANCE}, false) and not coalesce(wd > {MAX_WORD_DISTANCE}, false) as kept
+from v
+"""

@@ -21,5 +21,6 @@ QUERIES = {
 }
 SQL = {
     "op3_decontaminate": decontaminate.SQL,
+    "op6_quality_rules": quality_rules.SQL,
     "op9_line_dedup": line_dedup.SQL,
 }

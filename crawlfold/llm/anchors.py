@@ -8,7 +8,7 @@ in which documents stand between pads of n tokens that occur in no document.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -47,13 +47,14 @@ class Tokens:
     def part(self, a: int, b: int) -> np.ndarray:
         return _BYTE_TOKENS[self.raw[a:b]] if self.raw.dtype == np.uint8 else self.raw[a:b]
 
-    def digits(self, at: np.ndarray, n: int) -> np.ndarray:
-        """(rows, digits): the n tokens from each place on, as 64-bit numbers; the last may overlap the one before."""
+    def digits(self, at: np.ndarray, n: int) -> Iterator[np.ndarray]:
+        """The n tokens from each place on as 64-bit numbers, one array per digit; the last bytes may overlap those before."""
         if self.raw.dtype != np.uint8:
-            return self.raw[at[:, None] + np.arange(n)]
-        step = [*range(0, n - 7, 8), *([n - 8] if n % 8 else [])]
+            yield from (self.raw[at + j] for j in range(n))
+            return
         views = np.lib.stride_tricks.sliding_window_view(self.raw, 8)
-        return np.ascontiguousarray(views[at[:, None] + np.array(step)]).view(">u8").reshape(len(at), len(step)).astype(np.uint64)
+        for step in (*range(0, n - 7, 8), *([n - 8] if n % 8 else [])):
+            yield views[at + step].view(">u8")[:, 0].astype(np.uint64)
 
 
 def of_bytes(bodies: list[bytes | None], n: int) -> Tokens:
@@ -118,10 +119,9 @@ def _window_min(keys: np.ndarray, w: int) -> np.ndarray:
 
 def surroundings(tokens: Tokens, at: np.ndarray, n: int, k: int) -> np.ndarray:
     """Hash of all tokens that a window of n around the k tokens at each place can reach, pads included."""
-    digits = tokens.digits(at - (n - k), 2 * n - k)
     out = np.zeros(len(at), np.uint64)
-    for j in range(digits.shape[1]):
-        out = combined(out, digits[:, j])
+    for digit in tokens.digits(at - (n - k), 2 * n - k):
+        out = combined(out, digit)
     return out
 
 
@@ -158,6 +158,7 @@ def find(tokens: Tokens, n: int, k: int) -> Anchors:
     at, first, gram = at[lead], first[lead], gram[lead]
     last = last[np.r_[lead[1:], len(new)] - 1]
     low, high = at - last, at - first
+    gram = mixed(gram, 5)  # anchors have small hashes; key ranges want even ones
     near = surroundings(tokens, at, n, k)
     if tokens.raw.dtype == np.uint8:  # text that is not UTF-8 may hold the pad's byte: tell it from a pad
         near = combined(near, (low * 65536 + high).astype(np.uint64))
@@ -205,7 +206,7 @@ Lay = Callable[[list], Tokens]
 def _ask(lay: Lay, n: int, k: int, parts: int):
     def ask(batches):
         rows = Rows(_ASKED)
-        for shard, _, bodies in by_shard(batches, 8 << 20):
+        for shard, _, bodies in by_shard(batches, 4 << 20):
             a = find(lay(bodies), n, k)
             order, starts = classes(a.gram, a.near)
             counts = np.minimum(np.diff(np.r_[starts, len(order)]), 2).astype(np.uint8)

@@ -136,6 +136,13 @@ def longs(packed: bytes, kind=np.uint64) -> np.ndarray:
     return np.frombuffer(packed, kind)
 
 
+def among(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys are in `known`, sorted."""
+    if not len(known):
+        return np.zeros(len(keys), bool)
+    return known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys
+
+
 def as_text(bodies: list[bytes | None]) -> pa.Array:
     """Strings from UTF-8 bytes, without a check: Spark's own strings may hold any bytes."""
     return pc.cast(pa.array(bodies, pa.binary()), options=pc.CastOptions.unsafe(pa.string()))
@@ -162,7 +169,7 @@ _PACKED = pa.schema([(SHARD, pa.int64()), ("ids", pa.binary()), ("sizes", pa.bin
 PACKED = f"{SHARD} long, ids binary, sizes binary, texts binary"
 
 
-def packed(base: DataFrame, limit: int = 8 << 20) -> DataFrame:
+def packed(base: DataFrame, limit: int = 4 << 20) -> DataFrame:
     """Documents of `texts` in rows of up to `limit` bytes of one shard, compressed: texts shuffle at half their size."""
 
     def pack(batches):

@@ -8,9 +8,9 @@ by rarity their prefixes of n - t + 1 share one.
 1. A set whose long prefix has too few shingles that any other set holds is linked with nothing: most
    texts end here. Equal sets go on as one.
 2. The rest are indexed by their rarest shingles. Each list is first compared with its first set only.
-3. What a list then still holds are sets of different components. Its entries are cut into blocks in
-   order of size; pairs of blocks are skipped by size and position. For the pairs of sets that are left
-   the answer is derived, where it can be, from a highly similar set's computed answers: distance is a
+3. Sets are indexed once more by shingles that several of the components found hold. A list's entries
+   are cut into blocks in order of size; pairs of blocks are skipped by size and position. For the pairs
+   of sets that are left the answer is derived, where it can be, from a highly similar set's computed answers: distance is a
    metric, so two sets are apart if the sets they resemble are far enough apart. The others are compared.
 """
 
@@ -25,7 +25,7 @@ from pyspark.sql.window import Window
 
 from crawlfold.llm.anchors import combined
 from crawlfold.llm.exchange import (
-    NULL_ID, SHARD, Rows, by_shard, cuts, hash64, longs, packed, part, parts_of, texts, unpacked,
+    NULL_ID, SHARD, Rows, among, by_shard, cuts, hash64, longs, mixed, packed, part, parts_of, texts, unpacked,
 )
 from crawlfold.session import written
 
@@ -81,14 +81,16 @@ def _low(h: np.ndarray) -> np.ndarray:
 
 
 def _prefix(s: np.ndarray, percent: int) -> np.ndarray:
+    """The long prefix of a sorted set, sorted; ordered by another hash, so that its shingles fall evenly on the key ranges."""
     n = len(s)
-    return s[: min(n, n - at_least(n, percent) + _spare(n))]
+    order = np.argsort(mixed(s, 3))
+    return s[np.sort(order[: min(n, n - at_least(n, percent) + _spare(n))])]
 
 
 def _ask(size: int, percent: int, parts: int):
     def ask(batches):
         rows = Rows(_ASKED)
-        for shard, ids, bodies in by_shard(batches, 8 << 20):
+        for shard, ids, bodies in by_shard(batches, 4 << 20):
             sets: dict[bytes, tuple[int, np.ndarray]] = {}
             for doc, s in zip(ids, shingles(bodies, size)):
                 if len(s):
@@ -123,11 +125,15 @@ def _tell(table: pa.Table) -> pa.Table:
         for i, doc in enumerate(longs(r["first"], np.int64).tolist()):
             key = r["key"][16 * i : 16 * i + 16]
             first[key] = min(doc, first.get(key, doc))
-    out, rows = [], Rows(_TOLD)
+    by: dict[int, list[dict]] = {}
     for r in asked:
-        own = longs(r["shingle"], np.uint32)
-        keys = [r["key"][i : i + 16] for i in range(0, len(r["key"]), 16)]
-        out += rows.add(r[SHARD], r["part"], np.unique(own[np.isin(own, shared)]).tobytes(), r["key"],
+        by.setdefault(r[SHARD], []).append(r)
+    out, rows = [], Rows(_TOLD)
+    for shard, own_rows in by.items():
+        own = np.unique(np.concatenate([longs(r["shingle"], np.uint32) for r in own_rows]))
+        data = b"".join(r["key"] for r in own_rows)
+        keys = list(dict.fromkeys(data[i : i + 16] for i in range(0, len(data), 16)))
+        out += rows.add(shard, own_rows[0]["part"], own[among(shared, own)].tobytes(), b"".join(keys),
                         np.array([first[k] for k in keys], np.int64).tobytes())
     out += rows.rest()
     return pa.Table.from_batches(out, schema=_TOLD)
@@ -165,8 +171,7 @@ def _survivors(size: int, percent: int, parts: int):
                 if rep == doc and doc not in sent and len(shared):
                     head = _prefix(s, percent)
                     keys = (part(head, parts) << np.uint64(32)) | _low(head).astype(np.uint64)
-                    i = np.minimum(np.searchsorted(shared, keys), len(shared) - 1)
-                    if int((shared[i] == keys).sum()) >= _spare(at_least(n, percent)):
+                    if int(among(shared, keys).sum()) >= _spare(at_least(n, percent)):
                         data = _pack(s)
                         sent.add(doc)
                 out += res.add(shard, doc, n, rep, data)
@@ -176,10 +181,18 @@ def _survivors(size: int, percent: int, parts: int):
     return survive
 
 
-# Index: shingles of the surviving sets with their counts, then the rarest of each set.
+# Index: which shingles of the surviving sets stand in several components, then the rarest of each set.
+
+_COUNT = pa.schema([("part", pa.int32()), (SHARD, pa.int64()), *((c, pa.binary()) for c in ("shingle", "n", "least", "most"))])
+COUNT = f"part int, {SHARD} long, shingle binary, n binary, least binary, most binary"
+_ENTRY = "shingle long, rep long, comp long, n int, pos int, common int"
+
 
-_COUNT = pa.schema([("part", pa.int32()), (SHARD, pa.int64()), ("shingle", pa.binary()), ("n", pa.binary())])
-_ENTRY = "shingle long, rep long, n int, pos int"
+def _grouped(shingle: np.ndarray, n: np.ndarray, least: np.ndarray, most: np.ndarray):
+    order = np.argsort(shingle, kind="stable")
+    shingle = shingle[order]
+    at = np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1]])
+    return shingle[at], np.add.reduceat(n[order], at), np.minimum.reduceat(least[order], at), np.maximum.reduceat(most[order], at)
 
 
 def _count(parts: int):
@@ -187,12 +200,13 @@ def _count(parts: int):
         rows = Rows(_COUNT)
         for batch in batches:
             shards: dict[int, list] = {}
-            for shard, data in zip(batch.column(SHARD).to_pylist(), batch.column("set").to_pylist()):
-                shards.setdefault(shard, []).append(unpack(data))
+            for shard, comp, data in zip(*(batch.column(c).to_pylist() for c in (SHARD, "comp", "set"))):
+                shards.setdefault(shard, []).append((unpack(data), comp))
             for shard, sets in shards.items():
-                found, n = np.unique(np.concatenate(sets), return_counts=True)
-                for p, s in cuts(found << np.uint64(16), parts):
-                    yield from rows.add(p, shard, found[s].tobytes(), n[s].astype(np.int64).tobytes())
+                comp = np.repeat(np.array([c for _, c in sets], np.int64), [len(x) for x, _ in sets])
+                found = _grouped(np.concatenate([x for x, _ in sets]), np.ones(len(comp), np.int64), comp, comp)
+                for p, s in cuts(found[0] << np.uint64(16), parts):
+                    yield from rows.add(p, shard, *(x[s].tobytes() for x in found))
         yield from rows.rest()
 
     return count
@@ -200,50 +214,67 @@ def _count(parts: int):
 
 def _summed(table: pa.Table) -> pa.Table:
     asked = table.to_pylist()
-    shingle = np.concatenate([longs(r["shingle"]) for r in asked])
-    n = np.concatenate([longs(r["n"], np.int64) for r in asked])
-    known, at = np.unique(shingle, return_inverse=True)
-    total = np.bincount(at, n, len(known)).astype(np.int64)
+    kinds = {"shingle": np.uint64, "n": np.int64, "least": np.int64, "most": np.int64}
+    known, total, least, most = _grouped(*(np.concatenate([longs(r[c], t) for r in asked]) for c, t in kinds.items()))
+    mixed = least < most
+    known, total = known[mixed], total[mixed]
     out, rows, seen = [], Rows(_COUNT), {}
     for r in asked:
         seen.setdefault(r[SHARD], []).append(longs(r["shingle"]))
     for shard, own in seen.items():
         own = np.unique(np.concatenate(own))
-        own = own[total[np.searchsorted(known, own)] > 1]
-        out += rows.add(asked[0]["part"], shard, own.tobytes(), total[np.searchsorted(known, own)].tobytes())
+        own = own[among(known, own)]
+        out += rows.add(asked[0]["part"], shard, own.tobytes(), total[np.searchsorted(known, own)].tobytes(), b"", b"")
     out += rows.rest()
     return pa.Table.from_batches(out, schema=_COUNT)
 
 
 def _entries(percent: int):
+    """Per set its rarest shingles that it can share with another component.
+
+    The shingles no other component holds come first in the order of rarity and match nothing, so of
+    the prefix only what lies behind them is listed; nothing at all if too few are left for a link.
+    `pos` counts the listed kind only, `common` is how many of it the set has.
+    """
+
     def entries(sets: pa.Table, told: pa.Table) -> pa.Table:
         rows = told.to_pylist()
         known = np.concatenate([longs(r["shingle"]) for r in rows] or [np.empty(0, np.uint64)])
         count = np.concatenate([longs(r["n"], np.int64) for r in rows] or [np.empty(0, np.int64)])
         order = np.argsort(known)
         known, count = known[order], count[order]
-        cols: list[list[np.ndarray]] = [[], [], [], []]
-        for rep, data in zip(sets.column("rep").to_pylist(), sets.column("set").to_pylist()):
-            s = unpack(data)
-            n = len(s)
-            df = np.ones(n, np.int64)
-            if len(known):
-                i = np.minimum(np.searchsorted(known, s), len(known) - 1)
-                df = np.where(known[i] == s, count[i], 1)
-            by = np.lexsort((s, df))[: n - at_least(n, percent) + 1]  # rarest first
-            pos = np.flatnonzero(df[by] > 1)
-            for c, x in zip(cols, (s[by[pos]].astype(np.int64), np.full(len(pos), rep), np.full(len(pos), n, np.int32), pos.astype(np.int32))):
+        cols: list[list[np.ndarray]] = [[], [], [], [], [], []]
+        for rep, comp, data in zip(*(sets.column(c).to_pylist() for c in ("rep", "comp", "set"))):
+            whole = unpack(data)
+            s = whole[among(known, whole)]
+            n, least = len(whole), at_least(len(whole), percent)
+            if len(s) < least:
+                continue
+            by = np.lexsort((s, count[np.searchsorted(known, s)]))[: len(s) - least + 1]  # rarest first
+            m = len(by)
+            row = (s[by].astype(np.int64), np.full(m, rep), np.full(m, comp), np.full(m, n), np.arange(m), np.full(m, len(s)))
+            for c, x in zip(cols, row):
                 c.append(x)
-        kinds = (np.int64, np.int64, np.int32, np.int32)
-        return pa.table({k: np.concatenate(c or [np.empty(0)]).astype(t) for k, c, t in zip(("shingle", "rep", "n", "pos"), cols, kinds)})
+        kinds = (np.int64, np.int64, np.int64, np.int32, np.int32, np.int32)
+        names = ("shingle", "rep", "comp", "n", "pos", "common")
+        return pa.table({k: np.concatenate(c or [np.empty(0)]).astype(t) for k, c, t in zip(names, cols, kinds)})
 
     return entries
 
 
-def may_link(a: Column, i: Column, b: Column, j: Column, percent: int) -> Column:
-    """Whether sets of sizes a and b with a common shingle at positions i and j can be linked at all."""
-    most = F.least(i, j) + 1 + F.least(a - i, b - j) - 1
-    return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & ((100 + percent) * most >= percent * (a + b))
+def index(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Lists of the shingles by which sets of different components may be linked, stored."""
+    parts = parts_of(sets)
+    marked = sets.join(labels, "rep").select(SHARD, "rep", "comp", "set")
+    counts = marked.mapInArrow(_count(parts), COUNT).groupBy("part").applyInArrow(_summed, COUNT)
+    return written(marked.groupBy(SHARD).cogroup(counts.groupBy(SHARD)).applyInArrow(_entries(percent), _ENTRY))
+
+
+def may_link(a: dict[str, Column], b: dict[str, Column], percent: int) -> Column:
+    """Whether two sets with an entry in one list can be linked at all, by size and position."""
+    most = F.least(a["pos"], b["pos"]) + F.least(a["common"] - a["pos"], b["common"] - b["pos"])
+    return (100 * F.least(a["n"], b["n"]) >= percent * F.greatest(a["n"], b["n"])) & (
+        (100 + percent) * most >= percent * (a["n"] + b["n"]))
 
 
 def _overlap(one: pa.Table, others: pa.Table) -> pa.Table:
@@ -293,9 +324,9 @@ def _cross(percent: int):
         for batch in batches:
             xs, ys = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             for r in batch.to_pylist():
-                a, b = ({k: np.array([e[k] for e in r[side]], np.int64) for k in ("rep", "n", "pos", "comp")} for side in ("a", "b"))
+                a, b = ({k: np.array([e[k] for e in r[side]], np.int64) for k in ("rep", "comp", "n", "pos", "common")} for side in ("a", "b"))
                 n, m, i, j = a["n"][:, None], b["n"][None], a["pos"][:, None], b["pos"][None]
-                most = np.minimum(i, j) + np.minimum(n - i, m - j)
+                most = np.minimum(i, j) + np.minimum(a["common"][:, None] - i, b["common"][None] - j)
                 ok = (a["comp"][:, None] != b["comp"][None]) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (
                     (100 + percent) * most >= percent * (n + m))
                 p, q = np.nonzero(ok)
@@ -312,17 +343,16 @@ def _cross(percent: int):
     return cross
 
 
-def _left_over(entries: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+def _left_over(entries: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs of different components that share a list, blocks of lists skipped by size and position."""
-    marked = entries.join(labels, "rep")
-    mixed = marked.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("shingle")
-    marked = marked.join(mixed, "shingle", "left_semi")
+    mixed = entries.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("shingle")
+    entries = entries.join(mixed, "shingle", "left_semi")
     row = F.row_number().over(Window.partitionBy("shingle").orderBy("n", "rep"))
     blocks = written(
-        marked.withColumn("block", F.floor((row - 1) / BLOCK)).groupBy("shingle", "block").agg(
-            F.collect_list(F.struct("rep", "n", "pos", "comp")).alias("entries"),  # at most BLOCK
-            F.min("n").alias("least"), F.max("n").alias("most"), F.max("pos").alias("pos"), F.max(F.col("n") - F.col("pos")).alias("tail"),
-            F.min("comp").alias("lo"), F.max("comp").alias("hi")))
+        entries.withColumn("block", F.floor((row - 1) / BLOCK)).groupBy("shingle", "block").agg(
+            F.collect_list(F.struct("rep", "comp", "n", "pos", "common")).alias("entries"),  # at most BLOCK
+            F.min("n").alias("least"), F.max("n").alias("most"), F.max("pos").alias("pos"),
+            F.max(F.col("common") - F.col("pos")).alias("tail"), F.min("comp").alias("lo"), F.max("comp").alias("hi")))
     a, b = blocks.alias("a"), blocks.alias("b")
     meet = a.join(b, (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.block") <= F.col("b.block"))
                   & (100 * F.col("a.most") >= percent * F.col("b.least"))
@@ -331,26 +361,36 @@ def _left_over(entries: DataFrame, labels: DataFrame, percent: int) -> DataFrame
     return meet.select(F.col("a.entries").alias("a"), F.col("b.entries").alias("b")).mapInArrow(_cross(percent), "x long, y long").distinct()
 
 
-def links(entries: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(`x`, `y` of found links, which connect all linked sets; components of the sets)."""
+def _star(entries: DataFrame, percent: int) -> DataFrame:
+    """Every list's first set with the others of it, as distinct pairs."""
+    names = ("n", "pos", "common")
+    hub = entries.groupBy("shingle").agg(F.min(F.struct("rep", "comp", *names)).alias("hub"))
+    met = entries.join(hub, "shingle").filter(F.col("comp") != F.col("hub.comp")).filter(
+        may_link({c: F.col(f"hub.{c}") for c in names}, {c: F.col(c) for c in names}, percent))
+    return met.select(F.col("hub.rep").alias("x"), F.col("rep").alias("y")).distinct()
+
+
+def links(sets: DataFrame, percent: int) -> DataFrame:
+    """Components of the sets: `rep`, `comp`."""
     is_link = F.expr(f"100 * inter >= {percent} * union")
-    hub = entries.groupBy("shingle").agg(F.min(F.struct("rep", "n", "pos")).alias("hub"))
-    with_hub = entries.join(hub, "shingle").filter(F.col("rep") != F.col("hub.rep")).filter(
-        may_link(F.col("hub.n"), F.col("hub.pos"), F.col("n"), F.col("pos"), percent))
-    star = compared(with_hub.select(F.col("hub.rep").alias("x"), F.col("rep").alias("y")).distinct(), sets)
+    away = 1 - F.col("inter") / F.col("union")
+    labels = written(sets.select("rep", F.col("rep").alias("comp")))
+    star = compared(_star(index(sets, labels, percent), percent), sets)
     found = star.filter(is_link)
     labels = components(sets, found)
+    # What is left is between components: shingles that only one of them holds no longer count.
+    rest = written(_left_over(index(sets, labels, percent), percent).join(star.select("x", "y"), ["x", "y"], "left_anti"))
+    if rest.isEmpty():
+        return labels
     # Each set's guide: the most similar set it was compared with and linked to, at a known distance.
-    away = 1 - F.col("inter") / F.col("union")
     guide = found.groupBy(F.col("y").alias("rep")).agg(F.min(F.struct(away.alias("d"), F.col("x").alias("g"))).alias("s"))
     guide = written(sets.select("rep").join(guide, "rep", "left").select(
         "rep", F.coalesce("s.g", "rep").alias("g"), F.coalesce("s.d", F.lit(0.0)).alias("d")))
-    rest = written(_left_over(entries, labels, percent).join(star.select("x", "y"), ["x", "y"], "left_anti"))
     guided = (rest.join(guide.select(F.col("rep").alias("x"), F.col("g").alias("gx"), F.col("d").alias("dx")), "x")
               .join(guide.select(F.col("rep").alias("y"), F.col("g").alias("gy"), F.col("d").alias("dy")), "y")
               .withColumn("p", F.least("gx", "gy")).withColumn("q", F.greatest("gx", "gy")))
     guided = written(guided)
-    asked = guided.filter("p < q and not (x = p and y = q)").select(F.col("p").alias("x"), F.col("q").alias("y")).distinct()
+    asked = guided.filter("p < q").select(F.col("p").alias("x"), F.col("q").alias("y")).distinct()
     known = star.join(asked, ["x", "y"], "left_semi")
     fresh = compared(asked.join(star.select("x", "y"), ["x", "y"], "left_anti"), sets)
     apart = known.union(fresh).select(F.col("x").alias("p"), F.col("y").alias("q"), away.alias("far"))
@@ -358,8 +398,7 @@ def links(entries: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame,
     open_ = guided.join(apart, ["p", "q"], "left").filter(
         f"far is null or far - dx - dy <= {1 - percent / 100} + 1e-9").select("x", "y")
     more = compared(open_.join(fresh.select("x", "y"), ["x", "y"], "left_anti"), sets)
-    all_links = found.union(fresh.filter(is_link)).union(more.filter(is_link)).select("x", "y")
-    return all_links, components(sets, all_links)
+    return components(sets, found.union(fresh.filter(is_link)).union(more.filter(is_link)))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = SHINGLE,
@@ -378,12 +417,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     told = written(asked.groupBy("part").applyInArrow(_tell, TOLD))
     every = written(packed(base).groupBy(SHARD).cogroup(told.groupBy(SHARD)).applyInArrow(
         _survivors(shingle, percent, parts), SETS))
-    # A repeated id with different texts may bring several sets: one of them stands for the id.
     sets = every.filter("set is not null").select(SHARD, "rep", "set")
-    count = f"part int, {SHARD} long, shingle binary, n binary"
-    counts = sets.mapInArrow(_count(parts), count).groupBy("part").applyInArrow(_summed, count)
-    entries = written(sets.groupBy(SHARD).cogroup(counts.groupBy(SHARD)).applyInArrow(_entries(percent), _ENTRY))
-    _, labels = links(entries, sets, percent)
+    labels = links(sets, percent)
     found = every.select("id", "n", "rep").join(labels, "rep", "left")
     none = F.lit(NULL_ID)
     return found.select(F.nullif("id", none).alias("id"), F.col("n").cast("long").alias("n"),

@@ -8,17 +8,19 @@ forward scores of the lattice give exactly, below the score of the node it was c
 the largest bound is opened next; completing it costs one pass and leaves new nodes along its path.
 
 Pieces never hold a space but at their start, so the lattice of a text is a chain of lattices of its
-words, and each distinct word of a batch is built once. Texts of a batch run side by side in numpy.
+words, and a word's lattice is built once for many texts. Texts of a batch run side by side in numpy.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +31,10 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 SHARPNESS = 1.0
 SEED = 17
-_BATCH_BYTES = 2 << 20
+_BATCH_BYTES = 1 << 20
+#: Edges after which words are forgotten: about 40 bytes each.
+_MOST_EDGES = 1_200_000
+_NEW_WORDS = 15_000
 _WORD = re.compile(r" *[^ ]+| +")
 _OUT = ("rank int, ids array<int>, n_pieces int, log_prob double, perturbed double, log_inclusion double, exact boolean")
 _TYPES = (pa.int32(), pa.list_(pa.int32()), pa.int32(), pa.float64(), pa.float64(), pa.float64(), pa.bool_())
@@ -72,10 +77,11 @@ class Vocabulary:
 
 
 class Lattices:
-    """Lattices of a batch's distinct words, all in one numbering of nodes.
+    """Lattices of distinct words, all in one numbering of nodes; words stay until there are many.
 
-    Edges are sorted by the node they lead to; `begin[v] : begin[v + 1]` are those into v. `mass` is an
-    edge's share of its node's paths, `upto` the running sum of these shares.
+    Edges are sorted by the node they lead to; `begin[v] : begin[v + 1]` are those into v. `piece` is the
+    piece of an edge, or -1 - c for a letter c that is spelled in bytes. `mass` is an edge's share of
+    its node's paths, `upto` the running sum of these shares. A word's numbers do not depend on other words.
     """
 
     def __init__(self, vocabulary: Vocabulary):
@@ -88,29 +94,52 @@ class Lattices:
             keys.append(int(h[0]))
         order = np.argsort(np.array(keys, np.uint64))
         self.keys = np.array(keys, np.uint64)[order]
-        self.ids = np.array(list(vocabulary.pieces.values()))[order]
-        self.slot = np.searchsorted(self.keys, np.arange(1 << 20, dtype=np.uint64) << np.uint64(44))
+        self.ids = np.array(list(vocabulary.pieces.values()), np.int32)[order]
+        self.slot = np.searchsorted(self.keys, np.arange(1 << 20, dtype=np.uint64) << np.uint64(44)).astype(np.int32)
         self.depth = int(np.diff(np.r_[self.slot, len(self.keys)]).max())
         self.vocabulary = vocabulary
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}
+        none, real = np.empty(0, np.int32), np.empty(0)
+        self.source, self.target, self.piece, self.n_ids = none, none, none, np.empty(0, np.int8)
+        self.mass, self.log_mass, self.upto, self.only = real, real, real, np.empty(0, bool)
+        self.first_node, self.last_node, self.begin = none, none, np.zeros(1, np.int32)
 
     def _find(self, h: np.ndarray) -> np.ndarray:
         at = self.slot[(h >> np.uint64(44)).astype(np.int64)]
-        found = np.full(len(h), -1)
+        found = np.full(len(h), -1, np.int32)
+        open_ = np.arange(len(h))
         for i in range(self.depth):
-            j = np.minimum(at + i, len(self.keys) - 1)
-            hit = self.keys[j] == h
-            found[hit] = self.ids[j[hit]]
+            j = np.minimum(at[open_] + i, len(self.keys) - 1)
+            hit = self.keys[j] == h[open_]
+            found[open_[hit]] = self.ids[j[hit]]
+            open_ = open_[~hit & (self.keys[j] < h[open_])]
+            if not len(open_):
+                break
         return found
 
-    def build(self, words: list[str]) -> None:
+    def numbered(self, words: list[list[str]]) -> np.ndarray:
+        """Numbers of the words of a batch; lattices of new ones are added."""
+        if len(self.piece) > _MOST_EDGES:
+            self.clear()
+        new = [w for w in dict.fromkeys(itertools.chain.from_iterable(words)) if w not in self.number]
+        if new:
+            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+            for a in range(0, len(new), _NEW_WORDS):
+                self._add(new[a : a + _NEW_WORDS])
+        return np.array(list(map(self.number.__getitem__, itertools.chain.from_iterable(words))), np.int64)
+
+    def _add(self, words: list[str]) -> None:
         points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
-        sizes = np.array([len(w) for w in words], np.int64)
-        ends = np.cumsum(sizes)
-        left = np.repeat(ends, sizes) - np.arange(len(points))  # letters up to the word's end
-        word = np.repeat(np.arange(len(words)), sizes)
+        sizes = np.array([len(w) for w in words], np.int32)
+        ends = np.cumsum(sizes, dtype=np.int32)
+        left = np.repeat(ends, sizes) - np.arange(len(points), dtype=np.int32)  # letters up to the word's end
+        word = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
         start, stop, piece = [], [], []
-        single = np.full(len(points), -1)
-        at, h = np.arange(len(points)), np.zeros(len(points), np.uint64)
+        single = np.full(len(points), -1, np.int32)
+        at, h = np.arange(len(points), dtype=np.int32), np.zeros(len(points), np.uint64)
         for n in range(1, self.longest + 1):
             keep = left[at] >= n
             at, h = at[keep], h[keep]
@@ -122,53 +151,56 @@ class Lattices:
             start.append(at[hit])
             stop.append(at[hit] + n)
             piece.append(found[hit])
-        alone = np.flatnonzero(single < 0)  # letters without a piece are spelled in bytes
+        alone = np.flatnonzero(single < 0).astype(np.int32)  # letters without a piece are spelled in bytes
         start.append(alone)
         stop.append(alone + 1)
-        piece.append(np.full(len(alone), -1))
-        start, stop, piece = (np.concatenate(x) for x in (start, stop, piece))
+        piece.append(-1 - points[alone].astype(np.int32))
+        start, stop, piece = (np.concatenate(x[::-1]) for x in (start, stop, piece))
         # Node numbers: letter i of word w begins at node i + w and ends at node i + w + 1.
         source, target = start + word[start], stop + word[start]
-        order = np.lexsort((source, target))
-        self.source, self.target, self.piece = source[order], target[order], piece[order]
-        letter = start[order]
+        order = np.argsort(target, kind="stable")  # into a node the longest piece first
+        source, target, piece = source[order], target[order], piece[order]
         n_nodes = len(points) + len(words)
-        self.begin = np.searchsorted(self.target, np.arange(n_nodes + 1))
-        self.first_node = np.r_[0, ends[:-1]] + np.arange(len(words)) if len(words) else np.empty(0, np.int64)
-        self.last_node = self.first_node + sizes
+        begin = np.searchsorted(target, np.arange(n_nodes + 1)).astype(np.int32)
+        first_node = np.r_[0, ends[:-1]].astype(np.int32) + np.arange(len(words), dtype=np.int32)
+        spelled = piece < 0
+        n_ids = np.ones(len(piece), np.int8)
         weights = self.vocabulary.weights
-        spelled = self.piece < 0
-        n_bytes = np.ones(len(self.piece), np.int64)
+        weight = weights[np.where(spelled, self.vocabulary.first_byte, piece)]
         if spelled.any():
-            c = points[letter[spelled]]
-            n_bytes[spelled] = 1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000)
-        self.letters, self.letter = points, letter
-        self.n_ids = n_bytes
-        weight = np.where(spelled, n_bytes * weights[self.vocabulary.first_byte], weights[self.piece])
+            c = -1 - piece[spelled]
+            n_ids[spelled] = 1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000)
+            weight[spelled] *= n_ids[spelled]
         # Forward scores, all words side by side, one letter after the other.
         total = np.zeros(n_nodes)
-        place = self.target - np.repeat(self.first_node, np.diff(np.searchsorted(self.target, np.r_[self.first_node, n_nodes]))) if len(words) else self.target
-        by_place = np.argsort(place, kind="stable")
-        cut = np.searchsorted(place[by_place], np.arange(1, (place.max() if len(place) else 0) + 2))
-        for a, b in zip(cut[:-1], cut[1:]):
+        place = stop[order] - (ends - sizes)[word[start[order]]]
+        by_place = np.argsort(place.astype(np.uint16) if place.max(initial=0) < 1 << 16 else place, kind="stable")
+        cut = np.searchsorted(place[by_place], np.arange(1, place.max(initial=0) + 2))
+        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
             e = by_place[a:b]
-            value = total[self.source[e]] + weight[e]
-            new = np.flatnonzero(np.r_[True, self.target[e][1:] != self.target[e][:-1]])
+            value, to = total[source[e]] + weight[e], target[e]
+            new = np.flatnonzero(np.r_[True, to[1:] != to[:-1]])
             top = np.maximum.reduceat(value, new)
             size = np.diff(np.r_[new, len(e)])
-            total[self.target[e[new]]] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, size)), new))
-        self.mass = np.exp(total[self.source] + weight - total[self.target])
-        self.log_mass = total[self.source] + weight - total[self.target]
-        group = self.begin[self.target]
-        # Added up node by node, so that a word's sums do not depend on the other words of its batch.
-        nth = np.arange(len(group)) - group
-        self.upto = self.mass.copy()
+            total[to[new]] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, size)), new))
+        log_mass = total[source] + weight - total[target]
+        mass = np.exp(log_mass)
+        nth = np.arange(len(target), dtype=np.int32) - begin[target]
+        upto = mass.copy()
         for k in range(1, int(nth.max(initial=0)) + 1):
             e = np.flatnonzero(nth == k)
-            self.upto[e] += self.upto[e - 1]
-        degree = self.begin[self.target + 1] - group
-        # What the other edges into the node share; nothing if there are none.
-        self.others = np.where(degree > 1, np.maximum(1 - self.mass, 1e-300), 0.0)
+            upto[e] += upto[e - 1]
+        nodes, edges = len(self.begin) - 1, len(self.piece)
+        add = lambda name, x: setattr(self, name, np.concatenate([getattr(self, name), x]))
+        add("only", begin[target + 1] - begin[target] == 1)
+        for name, x in (("source", source + np.int32(nodes)), ("target", target + np.int32(nodes)), ("piece", piece), ("n_ids", n_ids),
+                        ("mass", mass), ("log_mass", log_mass), ("upto", upto), ("first_node", first_node + np.int32(nodes)),
+                        ("last_node", first_node + sizes + np.int32(nodes)), ("begin", begin[1:] + np.int32(edges))):
+            add(name, x)
+
+    def others(self, edge: np.ndarray) -> np.ndarray:
+        """What the other edges into the same node share; nothing if there are none."""
+        return np.where(self.only[edge], 0.0, np.maximum(1 - self.mass[edge], 1e-300))
 
     def pick(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
         """For each node an edge into it by shares."""
@@ -235,11 +267,9 @@ class Sampler:
 
     def draw(self, ids: np.ndarray, texts: list[str], k: int) -> Iterator[tuple[int, int, np.ndarray, float, float, float]]:
         """(text, rank, ids, log probability, perturbed score, log inclusion probability)."""
-        number: dict[str, int] = {}
         words = [_WORD.findall(" " + t) if t else [] for t in texts]
-        kind = np.array([number.setdefault(w, len(number)) for ws in words for w in ws], np.int64)
         lat = self.lattices
-        lat.build(list(number))
+        kind = lat.numbered(words)
         counts = np.array([len(w) for w in words], np.int64)
         owner = np.repeat(np.arange(len(texts)), counts)  # text of each word
         begins = np.cumsum(counts) - counts
@@ -303,9 +333,10 @@ class Sampler:
             # Nodes that this path leaves: at each new piece, all paths that agree before and differ there.
             noise = -np.log(uniform(mixed(_keys(ids, self.seed, rank)[text] + np.arange(len(edge), dtype=np.uint64) - start[text].astype(np.uint64), 11)))
             with np.errstate(divide="ignore"):
-                rest = run - log_mass + np.log(lat.others[edge])
+                others = lat.others(edge)
+                rest = run - log_mass + np.log(others)
                 value = -np.logaddexp(-bound[text], np.log(noise) - rest)
-            value[~fresh | (lat.others[edge] == 0)] = -np.inf
+            value[~fresh | (others == 0)] = -np.inf
             agenda.append(value)
             for t in alive.tolist():
                 taken[t].append((len(paths) - 1, rank))
@@ -339,8 +370,8 @@ class Sampler:
         lat = self.lattices
         edge = int(path.edge[path.of(t)][i])
         node = int(lat.target[edge])
-        all_ = np.arange(lat.begin[node], lat.begin[node + 1])
-        left = all_[~np.isin(all_, [edge, *cut.get((p, t, i), [])])]
+        gone = {edge, *cut.get((p, t, i), ())}
+        left = [e for e in range(int(lat.begin[node]), int(lat.begin[node + 1])) if e not in gone]
         return left, lat.mass[left]
 
     def _other(self, path: Paths, cut: dict, p: int, t: int, i: int, row: int, sample: int) -> int:
@@ -376,7 +407,7 @@ class Sampler:
             for j in np.flatnonzero(lat.piece[edge] < 0).tolist():
                 e = int(edge[j])
                 if e not in spelled:
-                    data = chr(int(lat.letters[lat.letter[e]])).encode("utf-8", "surrogatepass")
+                    data = chr(-1 - int(lat.piece[e])).encode("utf-8", "surrogatepass")
                     spelled[e] = np.frombuffer(data, np.uint8).astype(np.int32) + lat.vocabulary.first_byte
                 ids[ends[j] - n_ids[j] : ends[j]] = spelled[e]
             flat.append((ids, np.r_[0, ends][path.ends]))
@@ -400,10 +431,11 @@ def _sampler(model: bytes, sharpness: float, seed: int) -> Sampler:
     return _SAMPLERS[key]
 
 
-def _batches(ids: list, bodies: list, limit: int) -> Iterator[slice]:
+def _batches(bodies: pa.Array, limit: int) -> Iterator[slice]:
+    """Runs of texts of up to `limit` bytes, or one longer text."""
     a, size = 0, 0
-    for i, body in enumerate(bodies):
-        size += len(body or b"")
+    for i, n in enumerate(pc.binary_length(bodies).to_pylist()):
+        size += n or 0
         if size >= limit:
             yield slice(a, i + 1)
             a, size = i + 1, 0
@@ -417,18 +449,19 @@ def _encode(sent, k: int, sharpness: float, seed: int, names: list[str]):
         vocabulary = sampler.lattices.vocabulary
         for batch in batches:
             last = batch.num_columns - 1
-            ids, bodies = batch.column(last - 1).to_pylist(), batch.column(last).to_pylist()
-            for some in _batches(ids, bodies, _BATCH_BYTES):
-                texts = [(b or b"").decode("utf-8", "replace") for b in bodies[some]]
-                found = list(sampler.draw(np.array(ids[some], np.int64), texts, k))
-                rows = pa.array([some.start + f[0] for f in found], pa.int64())
+            for some in _batches(batch.column(last), _BATCH_BYTES):
+                part = batch.slice(some.start, some.stop - some.start)
+                ids, bodies = part.column(last - 1).to_pylist(), part.column(last).to_pylist()
+                texts = [(b or b"").decode("utf-8", "replace") for b in bodies]
+                found = list(sampler.draw(np.array(ids, np.int64), texts, k))
+                rows = pa.array([f[0] for f in found], pa.int64())
                 flat = np.concatenate([f[2] for f in found] or [np.empty(0, np.int32)])
                 ends = np.cumsum([0, *(len(f[2]) for f in found)])
-                exact = [vocabulary.decode(f[2].tolist()) == (bodies[some.start + f[0]] or b"") for f in found]
+                exact = [vocabulary.decode(f[2].tolist()) == (bodies[f[0]] or b"") for f in found]
                 new = [pa.array([f[1] + 1 for f in found], _TYPES[0]), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32())),
                        pa.array([len(f[2]) for f in found], _TYPES[2]), *(pa.array([f[j] for f in found], pa.float64()) for j in (3, 4, 5)),
                        pa.array(exact, pa.bool_())]
-                own = [batch.column(i).take(rows) for i in range(last - 1)]
+                own = [part.column(i).take(rows) for i in range(last - 1)]
                 yield pa.RecordBatch.from_arrays([*own, *new], names=names)
 
     return encode

@@ -57,11 +57,12 @@ def read_log(spark: SparkSession, log: str, snapshots: str | None = None) -> Dat
     return base if batches is None else base.unionByName(batches)
 
 
-def compact(spark: SparkSession, log: str, snapshots: str, fold: Callable[[DataFrame], DataFrame]) -> int | None:
-    """Fold the log into a new snapshot and remove the batch folders it stands for.
+def compact(spark: SparkSession, log: str, snapshots: str, fold: Callable[[DataFrame], DataFrame],
+            retire: bool = False) -> int | None:
+    """Fold the log into a new snapshot, so that reading does not grow with the number of batches.
 
-    Reading then does not grow with the number of batches. Folders go only once the snapshot is
-    committed, so a failure in between costs nothing but their space. Returns the newest batch.
+    With `retire`, the batch folders that the snapshot stands for are removed once it is committed;
+    from then on the log is only whole together with its snapshots. Returns the newest batch.
     """
     batches = _committed(spark, log, "batch_id")
     newest = max([*batches, *([v] if (v := latest_version(spark, snapshots)) is not None else [])], default=None)
@@ -71,7 +72,7 @@ def compact(spark: SparkSession, log: str, snapshots: str, fold: Callable[[DataF
     if newest != v:
         write_snapshot(fold(rows), snapshots, newest)
     for number, folder in batches.items():
-        if number <= newest:
+        if retire and number <= newest:
             path = spark._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     return newest

@@ -23,8 +23,8 @@ from crawlfold.session import written
 
 # How logged summaries follow each other.
 BATCHES = ("batch_id", "seg")
-# Folders of a pool log.
-RAW, SUMMARIES = "outcomes", "summaries"
+# Folder of the outcomes themselves, inside a pool log.
+RAW = "outcomes"
 
 
 def run_batches(stream: DataFrame, checkpoint: str, store: Callable[[DataFrame, int], None]) -> StreamingQuery:
@@ -83,14 +83,14 @@ def read_shop_updates(spark: SparkSession, log: str, fields: list[str], snapshot
     return shop_ops.values(shop_ops.refold(sinks.read_log(spark, log, snapshots), fields), fields)
 
 
-def compact_shop_updates(spark: SparkSession, log: str, fields: list[str], snapshots: str) -> int:
+def compact_shop_updates(spark: SparkSession, log: str, fields: list[str], snapshots: str, retire: bool = False) -> int | None:
     """Fold the logged batches into one stamped row per id."""
-    return sinks.compact(spark, log, snapshots, lambda rows: shop_ops.refold(rows, fields))
+    return sinks.compact(spark, log, snapshots, lambda rows: shop_ops.refold(rows, fields), retire)
 
 
 def fold_pool(outcomes: DataFrame, log: str, checkpoint: str, ban_n: int = BAN_N,
               segment_rows: int = SEGMENT_ROWS) -> StreamingQuery:
-    """Log every batch of outcomes as it is, and its summaries, below `log`.
+    """Log the summaries of every batch of outcomes, and the outcomes as they are in a folder inside.
 
     The outcomes are kept because a key whose batches come out of arrival order has to be folded
     from them again. A batch is written once and its summaries are made from what was written.
@@ -99,7 +99,7 @@ def fold_pool(outcomes: DataFrame, log: str, checkpoint: str, ban_n: int = BAN_N
         rows = batch.select(*(f.name for f in OUTCOMES.fields))
         sinks.write_batch(rows, f"{log}/{RAW}", batch_id)
         stored = batch.sparkSession.read.schema(rows.schema).parquet(f"{log}/{RAW}/batch_id={batch_id}")
-        sinks.write_batch(oc.summarise(stored, ban_n, segment_rows), f"{log}/{SUMMARIES}", batch_id)
+        sinks.write_batch(oc.summarise(stored, ban_n, segment_rows), log, batch_id)
 
     return run_batches(outcomes, checkpoint, store)
 
@@ -111,7 +111,7 @@ def read_pool_state(spark: SparkSession, log: str, ban_n: int = BAN_N, snapshots
     Keys whose batches overlap in arrival order are folded from their outcomes; a snapshot does
     not change that, since it knows the numbers it covers.
     """
-    summaries = sinks.read_log(spark, f"{log}/{SUMMARIES}", snapshots)
+    summaries = sinks.read_log(spark, log, snapshots)
     if summaries is None:
         return oc.member_state(spark.createDataFrame([], OUTCOMES), ban_n)
     late = written(oc.late_keys(summaries, BATCHES))
@@ -122,7 +122,7 @@ def read_pool_state(spark: SparkSession, log: str, ban_n: int = BAN_N, snapshots
     return state.unionByName(oc.member_state(raw, ban_n, segment_rows))
 
 
-def compact_pool(spark: SparkSession, log: str, snapshots: str, ban_n: int = BAN_N) -> int | None:
+def compact_pool(spark: SparkSession, log: str, snapshots: str, ban_n: int = BAN_N, retire: bool = False) -> int | None:
     """Fold the logged summaries into one per key. Keys that are late already stay as they are, to be found again."""
     def fold(rows: DataFrame) -> DataFrame:
         late = written(oc.late_keys(rows, BATCHES))
@@ -132,4 +132,4 @@ def compact_pool(spark: SparkSession, log: str, snapshots: str, ban_n: int = BAN
         first = oc.compacted(kept, ban_n, BATCHES)
         return folded.unionByName(first).unionByName(first.withColumn("seg", F.col("seg") + 1))
 
-    return sinks.compact(spark, f"{log}/{SUMMARIES}", snapshots, fold)
+    return sinks.compact(spark, log, snapshots, fold, retire)

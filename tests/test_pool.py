@@ -144,8 +144,9 @@ def test_feeds(spark):
     rows = [(1, 200, TODAY, good), (2, 200, TODAY, '{"success": false, "msg": "no money"}'), (3, 500, TODAY, good),
             (4, 200, TODAY, "<html>"), (5, 200, TODAY, '{"success": true, "data": []}')]
     replies = spark.createDataFrame(rows, "feed_id long, status int, received_at timestamp_ntz, body string")
-    assert [(r["feed_id"], r["pos"]) for r in feeds.leases(replies).collect()] == [(1, 0), (1, 1)]
+    assert [(r["feed_id"], r["pos"]) for r in feeds.leases(replies).collect()] == [(1, 0)]
     got = [(r["feed_id"], r["proxy"], r["expire_time"]) for r in feeds.leases(replies).collect()]
-    assert got == [(1, "http://1.2.3.4:80", TODAY + dt.timedelta(hours=1)), (1, "http://1.2.3.5:81", None)]
+    assert got == [(1, "http://1.2.3.4:80", TODAY + dt.timedelta(hours=1))]
     bad = {r["feed_id"]: (r["reason"], r["msg"]) for r in feeds.lease_rejects(replies).collect()}
-    assert bad == {2: ("refused", "no money"), 4: ("malformed", None)}
+    entry = '{"ip":"1.2.3.5","port":"81","expire_time":"soon"}'  # its time cannot be read
+    assert bad == {1: ("no expiry", entry), 2: ("refused", "no money"), 4: ("malformed", None)}

@@ -164,8 +164,8 @@ def test_batches_out_of_order_and_compaction(spark, tmp_path):
     jobs.fold_pool(_feed(spark, tmp_path, parts), f"{tmp_path}/log", f"{tmp_path}/cp", segment_rows=7)
     want = {tuple(r) for r in oc.member_state(spark.createDataFrame(log, OUTCOMES)).collect()}
     assert {tuple(r) for r in jobs.read_pool_state(spark, f"{tmp_path}/log").collect()} == want
-    newest = jobs.compact_pool(spark, f"{tmp_path}/log", f"{tmp_path}/snap")
-    assert newest == 1 and sinks.read_log(spark, f"{tmp_path}/log/summaries") is None  # folders that the snapshot covers are gone
+    newest = jobs.compact_pool(spark, f"{tmp_path}/log", f"{tmp_path}/snap", retire=True)
+    assert newest == 1 and sinks.read_log(spark, f"{tmp_path}/log") is None  # folders that the snapshot covers are gone
     assert {tuple(r) for r in jobs.read_pool_state(spark, f"{tmp_path}/log", snapshots=f"{tmp_path}/snap").collect()} == want
 
 

@@ -31,13 +31,13 @@ BLOCK = frozenset((
 BOILER = frozenset("nav header footer aside form button select dialog menu head svg math object audio video canvas".split())
 CONTAINER = frozenset("article main section div td body".split())
 CLOSES_P = BLOCK - {"html", "body"}
-# Words in a class, id or role that mark what is not main text.
+# Words that mark what is not main text, where a class, id or role consists of nothing else.
 MARKS = (
     "ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus "
     "footer header menu modal nav navbar navigation newsletter notice overlay pager pagination popup promo promoted "
     "related reply replies respond share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget"
 ).split()
-_MARK = re.compile(r"(?:^|[^a-z])(?:" + "|".join(MARKS) + r")(?:$|[^a-z])")
+_MARK = re.compile(r"(?:^|\s)[^a-z\s]*(?:" + "|".join(MARKS) + r")(?:[^a-z\s]+(?:" + "|".join(MARKS) + r"))*[^a-z\s]*(?:$|\s)")
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
 _ATTR = re.compile(r"""(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/"'>]|$)""", re.I)
@@ -58,26 +58,39 @@ def _step(name: str, attrs: dict[str, str]) -> str:
     return ".".join([name, *classes])
 
 
-def _marked(attrs: dict[str, str]) -> bool:
+def _hidden(attrs: dict[str, str]) -> bool:
     if not attrs:
         return False
-    said = " ".join(attrs.get(k, "") for k in ("class", "id", "role")).lower()
     style = attrs.get("style", "").replace(" ", "").lower()
-    return ("hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or "display:none" in style
-            or bool(said and _MARK.search(said)))
+    return "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or "display:none" in style
+
+
+def _marked(attrs: dict[str, str]) -> bool:
+    """Whether a whole class, id or role, like `ad-1` or `cookie-notice` but not `has-sidebar`, marks the element."""
+    said = " ".join(attrs.get(k, "") for k in ("class", "id", "role")).lower() if attrs else ""
+    return bool(said and _MARK.search(said))
+
+
+def _tag(path: str) -> str:
+    return path.rpartition("/")[2].partition(".")[0]
 
 
 class Page:
     """Blocks of a page in order, each with the containers it stands in; boilerplate left out.
 
     One run over the tags. `blocks` are (container number, text); container 0 is the whole page.
+    Marked elements are left out once the whole page is known, see `_settle`; `article` and `main` never by a mark.
     """
 
     def __init__(self, source: str):
         self.paths, self.parents, self.links = [""], [-1], [0]
         self.blocks: list[tuple[int, str]] = []
-        stack: list[tuple[str, int, bool, str]] = []  # name, container, dropped, path
-        box, dropped, path = 0, False, ""
+        stack: list[tuple[str, int, bool, str, int]] = []  # name, container, dropped, path, marked element
+        box, dropped, path, mark = 0, False, "", 0
+        found: list[tuple[int, int, str]] = []  # marked element, container, text
+        marks = [-1]  # the marked element around each marked element; 0 is none
+        linked: dict[tuple[int, int], int] = {}
+        heads: list[int] = []
         parts: list[str] = []
         in_link = 0
 
@@ -85,7 +98,7 @@ class Page:
             if parts:
                 text = _SPACE.sub(" ", html.unescape("".join(parts))).strip(" ")
                 if text:
-                    self.blocks.append((box, text))
+                    found.append((mark, box, text))
                 parts.clear()
 
         at, n = 0, len(source)
@@ -98,7 +111,7 @@ class Page:
             if m.start() > at and not dropped:
                 parts.append(source[at : m.start()])
                 if in_link:
-                    self.links[box] += m.start() - at
+                    linked[mark, box] = linked.get((mark, box), 0) + m.start() - at
             at = m.end()
             name = m.group(2)
             if name is None:
@@ -107,10 +120,10 @@ class Page:
             if m.group(1):  # closing tag: closes the nearest open element of its name
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == name:
-                        if name in BLOCK or any(s[0] in BLOCK for s in stack[i:]):
+                        if name in BLOCK or any(s[0] in BLOCK for s in stack[i:]) or (stack[i - 1][4] if i else 0) != mark:
                             flush()
                         del stack[i:]
-                        box, dropped, path = (stack[-1][1:] if stack else (0, False, ""))
+                        box, dropped, path, mark = (stack[-1][1:] if stack else (0, False, "", 0))
                         break
                 if name == "a":
                     in_link = 0
@@ -134,7 +147,7 @@ class Page:
                     for i in range(len(stack) - 1, -1, -1):
                         if stack[i][0] == "p":
                             del stack[i:]
-                            box, dropped, path = (stack[-1][1:] if stack else (0, False, ""))
+                            box, dropped, path, mark = (stack[-1][1:] if stack else (0, False, "", 0))
                             break
                         if stack[i][0] in CONTAINER or stack[i][0] in ("li", "table", "blockquote"):
                             break
@@ -142,18 +155,71 @@ class Page:
                 continue
             if name == "a":
                 in_link = 1
-            gone = dropped or name in BOILER or (name not in ("html", "body") and _marked(attrs))
-            if gone and not dropped:
+            gone = dropped or name in BOILER or (name not in ("html", "body") and _hidden(attrs))
+            odd = not gone and name not in ("html", "body", "article", "main") and _marked(attrs)
+            if odd or (gone and not dropped):
                 flush()
+            if odd:
+                marks.append(mark)
+                mark = len(marks) - 1
             step = f"{path}/{_step(name, attrs)}" if name in BLOCK else path
             if name in CONTAINER and not gone:
                 self.paths.append(step)
                 self.parents.append(box)
                 self.links.append(0)
                 box = len(self.paths) - 1
-            stack.append((name, box, gone, step))
+            if name == "h1" and not gone:
+                heads.append(box)
+            stack.append((name, box, gone, step, mark))
             dropped, path = gone, step
         flush()
+        left_out = self._settle(found, marks, heads)
+        self.blocks = [(box, text) for mark, box, text in found if not left_out[mark]]
+        for (mark, box), n in linked.items():
+            if not left_out[mark]:
+                self.links[box] += n
+
+    def _settle(self, found: list[tuple[int, int, str]], marks: list[int], heads: list[int]) -> list[bool]:
+        """Which marked elements are left out.
+
+        One stays if it holds most of the page's text, or one `article` or `main` and more text than stands
+        outside marks, unless the page has its main text elsewhere: an `article` or `main` without a mark around
+        it, or a container with an `h1` and more. All stay if nothing else is left.
+        """
+        if len(marks) == 1:
+            return [False]
+        size = [0] * len(marks)
+        proper: list[set[int]] = [set() for _ in marks]
+        for mark, box, text in found:
+            around = {b for b in self._around(box) if _tag(self.paths[b]) in ("article", "main")}
+            while mark >= 0:
+                size[mark] += len(text)
+                proper[mark] |= around
+                mark = marks[mark]
+        heads = [b for b in heads if _tag(self.paths[b]) not in ("body", "")]
+        out = [False] + [True] * (len(marks) - 1)
+
+        def elsewhere() -> bool:
+            under = dict.fromkeys(heads, 0)
+            for mark, box, _ in found:
+                if not out[mark]:
+                    for b in self._around(box):
+                        if _tag(self.paths[b]) in ("article", "main"):
+                            return True
+                        if b in under:
+                            under[b] += 1
+            return any(n > 1 for n in under.values())
+
+        for i in range(1, len(marks)):
+            if not out[marks[i]] and (2 * size[i] > size[0] or (
+                    len(proper[i]) == 1 and size[i] > sum(len(t) for mark, _, t in found if not out[mark]))):
+                out[i] = elsewhere()
+        return out if any(not out[mark] for mark, _, _ in found) else [False] * len(marks)
+
+    def _around(self, box: int):
+        while box >= 0:
+            yield box
+            box = self.parents[box]
 
     def best(self) -> int:
         """The container whose own blocks hold most text that is not in links; `article` and `main` count more."""

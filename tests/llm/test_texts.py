@@ -123,6 +123,21 @@ def test_consensus_outvotes_a_page(spark):
     assert got[9] == "short"
 
 
+@pytest.mark.parametrize("wrapper", [
+    "article class='post comments-open'", "div class='page has-sidebar'", "main class='no-header'", "div id='social-policy'",
+    "main class='widget'", "article class='comment'", "div class='page sidebar'", "div class='overlay' id='modal'"])
+def test_a_mark_does_not_drop_the_article(spark, wrapper):
+    name = wrapper.split()[0]
+    page = f"<body><p>top</p><{wrapper}><h2>Head</h2><p>{'text ' * 40}end</p><div class='ad-1'>buy</div><p>tail</p></{name}></body>"
+    rows = [(i, f"http://w.example/{i}", page) for i in range(2)]
+    got = {r["__main"] for r in main_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {f"Head\n{'text ' * 40}end\ntail"}
+
+
+def test_a_page_of_marks_alone_keeps_text():
+    assert main_text.Page("<div class='widget'>one</div><div class='promo'>two</div>").blocks == [(1, "one"), (2, "two")]
+
+
 def test_pages_of_the_table(spark, sf):
     for r, p in zip(main_text.op8_main_text(spark, sf).orderBy("page_id").collect(), spark.read.parquet(f"{sf}/pages.parquet").orderBy("page_id").collect()):
         inner = p["html"].partition("<article>")[2].partition("</article>")[0]

@@ -31,6 +31,8 @@ BLOCK = frozenset((
 BOILER = frozenset("nav header footer aside form button select dialog menu head svg math object audio video canvas".split())
 CONTAINER = frozenset("article main section div td body".split())
 CLOSES_P = BLOCK - {"html", "body"}
+#: What a container adds of its score to the one around it.
+DECAY = 0.95
 # Words that mark what is not main text, where a class, id or role consists of nothing else.
 MARKS = (
     "ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus "
@@ -221,19 +223,30 @@ class Page:
             yield box
             box = self.parents[box]
 
-    def best(self) -> int:
-        """The container whose own blocks hold most text that is not in links; `article` and `main` count more."""
+    def scores(self) -> list[float]:
+        """Per container its text that is not in links, and nearly all that its containers, at any depth, score.
+
+        So a container of two blocks beats the longer one, unless the other is under a twentieth of it, and a
+        wrapper of one block does not. `article` and `main` count more. Lists of links add nothing further up.
+        """
         score = [0.0] * len(self.paths)
         for box, text in self.blocks:
             score[box] += len(text) + 20
-            if self.parents[box] >= 0:
-                score[self.parents[box]] += (len(text) + 20) / 2
-        for i, path in enumerate(self.paths):
+        for i in range(len(score) - 1, 0, -1):  # containers come before those inside
             score[i] -= 2 * self.links[i]
-            name = path.rpartition("/")[2].partition(".")[0]
-            score[i] *= {"article": 4.0, "main": 3.0}.get(name, 0.5 if name in ("body", "") else 1.0)
+            score[self.parents[i]] += DECAY * max(score[i], 0.0)
+        score[0] -= 2 * self.links[0]
+        weight = {"article": 4.0, "main": 3.0, "body": 0.5, "": 0.5}
+        return [x * weight.get(_tag(path), 1.0) for x, path in zip(score, self.paths)]
+
+    def best(self, score: list[float] | None = None) -> int:
+        """The container with the greatest score, or the nearest `article` or `main` around it."""
+        score = score or self.scores()
         top = max(score)
-        return score.index(top) if top > 0 else 0
+        if top <= 0:
+            return 0
+        box = score.index(top)
+        return next((b for b in self._around(box) if _tag(self.paths[b]) in ("article", "main")), box)
 
     def under(self, chosen: set[int]) -> str:
         inside: dict[int, bool] = {-1: False}

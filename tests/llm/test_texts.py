@@ -138,6 +138,27 @@ def test_a_page_of_marks_alone_keeps_text():
     assert main_text.Page("<div class='widget'>one</div><div class='promo'>two</div>").blocks == [(1, "one"), (2, "two")]
 
 
+@pytest.mark.parametrize("page, path", [
+    ("<body><article><div class='wrap'><div class='a'>{a}</div><div class='b'>{b}</div></div></article><div class='x'>out</div></body>", "/body/article"),
+    ("<body><main><div><div class='a'>{a}</div><div><div><div class='b'>{b}</div></div></div></div></main><div>out</div></body>", "/body/main"),
+    ("<body><div class='content'><div class='lead'>{a}</div><div class='body'>{b}</div></div><div class='x'>out</div></body>", "/body/div.content"),
+    ("<body><div class='content'><div class='lead'>{a}</div><div><div class='body'>{b}</div></div></div><div class='x'>out</div></body>", "/body/div.content"),
+    ("<body><div class='wrap'><div class='content'><div>{a}</div><div>{b}</div></div></div><div>out</div></body>", "/body/div.wrap/div.content"),
+])
+def test_an_article_in_several_blocks_is_whole(spark, page, path):
+    a, b = "lead " * 12 + "end", "body " * 150 + "end"
+    rows = [(i, f"http://s.example/{i}", page.format(a=a, b=b)) for i in range(3)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r["__main"] for r in main_text.extract(frame).collect()} == {f"{a}\n{b}"}
+    assert [(r["path"], r["votes"]) for r in main_text.host_paths(frame).collect()] == [(path, 3)]
+
+
+def test_a_list_of_links_is_not_the_best():
+    links = "".join(f"<div class='l'><a href='/{i}'>a title of some words {i}</a></div>" for i in range(80))
+    page = main_text.Page(f"<body><div class='list'>{links}</div><div class='story'><p>{'text ' * 60}</p></div></body>")
+    assert page.paths[page.best()] == "/body/div.story"
+
+
 def test_pages_of_the_table(spark, sf):
     for r, p in zip(main_text.op8_main_text(spark, sf).orderBy("page_id").collect(), spark.read.parquet(f"{sf}/pages.parquet").orderBy("page_id").collect()):
         inner = p["html"].partition("<article>")[2].partition("</article>")[0]

@@ -2,15 +2,16 @@
 
 1. Every page scores its containers and votes for the generalised path (tags and classes from the
    root) of the best one.
-2. Spark adds the votes up per host; the path with the most votes wins.
-3. Every page is read again: the text under its host's path, or under its own best container where
-   the page does not have that path.
+2. Spark adds up per host the votes for a path and the pages that have it; several paths win.
+3. Every page is read again: the text under the best of the winning paths that it has, or under its own
+   best container where it has none of them, or where that stands out and other pages do not vote it down.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +32,12 @@ BLOCK = frozenset((
 BOILER = frozenset("nav header footer aside form button select dialog menu head svg math object audio video canvas".split())
 CONTAINER = frozenset("article main section div td body".split())
 CLOSES_P = BLOCK - {"html", "body"}
+#: A path wins with two votes, a quarter of the pages that have it, and one percent of the host's votes.
+MIN_VOTES = 2
+MIN_PERCENT_OF_HOLDERS = 25
+MIN_PERCENT_OF_HOST = 1
+#: A page's own container stands against winning paths if it is an `article` or `main`, or scores so many times as much.
+STANDS_OUT = 4
 #: What a container adds of its score to the one around it.
 DECAY = 0.95
 # Words that mark what is not main text, where a class, id or role consists of nothing else.
@@ -254,13 +261,31 @@ class Page:
             inside[i] = i in chosen or inside[parent]
         return "\n".join(text for box, text in self.blocks if inside[box])
 
-    def text(self, path: str | None) -> str:
-        """Text under all containers with the path; without any, or without text there, under the best container."""
-        if path:
-            found = self.under({i for i, p in enumerate(self.paths) if p == path})
-            if found:
-                return found
-        return self.under({self.best()})
+    def held(self) -> set[str]:
+        """Paths of the containers that have text."""
+        boxes: set[int] = set()
+        for box, _ in self.blocks:
+            for b in self._around(box):
+                if b in boxes:
+                    break
+                boxes.add(b)
+        return {self.paths[b] for b in boxes}
+
+    def text(self, winners: list[str] | None, denied: list[str] | None = None) -> str:
+        """Text under all containers with the best of the winning paths by the page's own scores, or under its own best."""
+        score = self.scores()
+        own = self.best(score)
+        path = self.paths[own]
+        present = self.held().intersection(winners or ())
+        if not present:
+            return self.under({own})
+        if path not in present:
+            at, box = max((x, -i) for i, (x, p) in enumerate(zip(score, self.paths)) if p in present)
+            stands = _tag(path) in ("article", "main") or score[own] >= STANDS_OUT * at
+            if stands and path not in (denied or ()):
+                return self.under({own})
+            path = self.paths[-box]
+        return self.under({i for i, p in enumerate(self.paths) if p == path})
 
 
 def host_of(url: Column) -> Column:
@@ -270,51 +295,69 @@ def host_of(url: Column) -> Column:
 
 def _votes(batches):
     for batch in batches:
-        paths = []
-        for source in batch.column("html").to_pylist():
+        votes: Counter = Counter()
+        held: Counter = Counter()
+        for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
             page = Page((source or b"").decode("utf-8", "replace"))
-            paths.append(page.paths[page.best()])
-        yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(paths, pa.string())], names=["host", "path"])
+            votes[host, page.paths[page.best()]] += 1
+            held.update((host, path) for path in page.held())
+        keys = list(votes.keys() | held.keys())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
+             pa.array([votes[k] for k in keys], pa.int64()), pa.array([held[k] for k in keys], pa.int64())],
+            names=["host", "path", "votes", "held"])
 
 
 def _texts(n_own: int):
     def extract(batches):
         for batch in batches:
             found = []
-            for source, path in zip(batch.column(n_own).to_pylist(), batch.column(n_own + 1).to_pylist()):
-                found.append(Page((source or b"").decode("utf-8", "replace")).text(path).encode("utf-8", "replace"))
+            for source, winners, denied in zip(*(batch.column(n_own + i).to_pylist() for i in range(3))):
+                found.append(Page((source or b"").decode("utf-8", "replace")).text(winners, denied).encode("utf-8", "replace"))
             names = [batch.schema.field(i) for i in range(n_own)] + [pa.field("__main", pa.string())]
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(n_own)] + [as_text(found)], schema=pa.schema(names))
 
     return extract
 
 
-def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One row per host: `host`, `path`, `votes`; on a tie the deeper path, then the first by name.
+def _judged_paths(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
+    """`host`, `path`, `votes`, `held` (pages with text at the path), `wins`: winning paths, and those voted down.
 
-    Votes are added up on the map side, so a hot host is a few rows per task.
+    A path is voted down if it has a vote and does not win, though other pages have it. Paths that fewer pages
+    have than one percent of the host's votes are not judged, so a host has at most a hundred winners. The pages of
+    host "" do not belong together and do not vote. Votes are added up on the map side, so a hot host is a few
+    rows per task.
     """
     asked = pages.select(host_of(F.col(f"`{url_col}`")).alias("host"), F.col(f"`{html_col}`").cast("binary").alias("html"))
-    votes = asked.mapInArrow(_votes, "host string, path string").groupBy("host", "path").agg(F.count("*").alias("votes"))
-    votes = votes.filter(F.col("path") != "")
-    rank = Window.partitionBy("host").orderBy(F.desc("votes"), F.desc(F.size(F.split("path", "/"))), "path")
-    return votes.withColumn("__rank", F.row_number().over(rank)).filter("__rank = 1").drop("__rank")
+    asked = asked.filter("host <> ''").mapInArrow(_votes, "host string, path string, votes long, held long")
+    votes = asked.groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.sum("held").alias("held"))
+    votes = votes.filter("path <> '' and votes > 0").withColumn("__all", F.sum("votes").over(Window.partitionBy("host")))
+    wins = (f"votes >= {MIN_VOTES} and 100 * votes >= {MIN_PERCENT_OF_HOLDERS} * held "
+            f"and 100 * votes >= {MIN_PERCENT_OF_HOST} * __all")
+    return votes.withColumn("wins", F.expr(wins)).filter(
+        f"wins or (held > 1 and 100 * held >= {MIN_PERCENT_OF_HOST} * __all)").drop("__all")
+
+
+def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """One row per host and winning path: `host`, `path`, `votes`, and `held`, the host's pages that have the path."""
+    return _judged_paths(pages, url_col, html_col).filter("wins").drop("wins")
 
 
 def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """The columns of `pages` without the HTML, and `__main`: the main text, blocks joined by a line feed.
 
-    NULL, empty and textless pages give an empty text. A NULL or hostless URL belongs to the host "".
+    NULL, empty and textless pages give an empty text. A page with a NULL or hostless URL is judged alone.
     Repeated rows vote each for itself and get equal texts. Columns that begin with `__` are reserved.
 
-    The winners, one short row per host, are stored first: their size is then known, so that Spark
+    The winners, one row per host, are stored first: their size is then known, so that Spark
     sends them to all tasks only if they are small, and else joins by host with skewed hosts split.
     """
-    paths = written(host_paths(pages, url_col, html_col))
+    judged = _judged_paths(pages, url_col, html_col).groupBy(F.col("host").alias("__host")).agg(
+        F.collect_list(F.when(F.col("wins"), F.col("path"))).alias("__paths"),
+        F.collect_list(F.when(~F.col("wins"), F.col("path"))).alias("__denied"))
     own = [c for c in pages.columns if c != html_col]
-    winners = paths.select(F.col("host").alias("__host"), F.col("path").alias("__path"))
-    rows = pages.withColumn("__host", host_of(F.col(f"`{url_col}`"))).join(winners, "__host", "left").select(
-        *(f"`{c}`" for c in own), F.col(f"`{html_col}`").cast("binary").alias("__html"), "__path")
+    rows = pages.withColumn("__host", host_of(F.col(f"`{url_col}`"))).join(written(judged), "__host", "left").select(
+        *(f"`{c}`" for c in own), F.col(f"`{html_col}`").cast("binary").alias("__html"), "__paths", "__denied")
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema.fields if f.name != html_col]
     return rows.mapInArrow(_texts(len(own)), ", ".join([*kept, "__main string"]))
 

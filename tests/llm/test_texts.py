@@ -159,6 +159,30 @@ def test_a_list_of_links_is_not_the_best():
     assert page.paths[page.best()] == "/body/div.story"
 
 
+@pytest.mark.parametrize("n_small", [1, 4])
+def test_two_templates_of_a_host(spark, n_small):
+    """Pages of the smaller template have an element at the other one's path too."""
+    big = "<body><div><p>" + "story " * 40 + "end</p></div></body>"
+    small = "<body><div>teaser</div><article>" + "long " * 60 + "end</article></body>"
+    odd = "<body><div>teaser</div><section>" + "long " * 60 + "end</section></body>"
+    rows = [(0, f"http://t.example/{i}", big) for i in range(9)] + [(1, f"http://t.example/s{i}", small) for i in range(n_small)]
+    rows += [(2, "http://t.example/odd", odd)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {(r["page_id"], r["__main"]) for r in main_text.extract(frame).collect()}
+    assert got == {(0, "story " * 40 + "end"), (1, "long " * 60 + "end"), (2, "long " * 60 + "end")}
+    want = {"/body/div": (9, 10 + n_small), "/body/article": (n_small, n_small)}
+    assert {r["path"]: (r["votes"], r["held"]) for r in main_text.host_paths(frame).collect()} == {k: v for k, v in want.items() if v[0] > 1}
+
+
+def test_pages_without_a_host_do_not_vote_for_one_another(spark):
+    rows = [(i, None, "<body><div class='a'>" + "text " * 30 + "</div><div class='b'>more</div></body>") for i in range(5)]
+    rows += [(9, "no url", "<body><div class='a'>short</div><div class='b'>" + "long " * 60 + "end</div></body>")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["__main"] for r in main_text.extract(frame).collect()}
+    assert got[9] == "long " * 60 + "end" and got[0] == ("text " * 30).strip()
+    assert main_text.host_paths(frame).count() == 0
+
+
 def test_pages_of_the_table(spark, sf):
     for r, p in zip(main_text.op8_main_text(spark, sf).orderBy("page_id").collect(), spark.read.parquet(f"{sf}/pages.parquet").orderBy("page_id").collect()):
         inner = p["html"].partition("<article>")[2].partition("</article>")[0]

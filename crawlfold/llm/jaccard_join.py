@@ -36,11 +36,12 @@ BYTES_PER_SHARD = 8 << 20
 GROUP = 256
 BLOCK = 128
 _ASKED = pa.schema([("part", pa.int32()), (SHARD, pa.int64()), *((c, pa.binary()) for c in ("shingle", "n", "key", "first"))])
-_TOLD = pa.schema([(SHARD, pa.int64()), ("part", pa.int32()), *((c, pa.binary()) for c in ("shared", "key", "first"))])
-_SETS = pa.schema([(SHARD, pa.int64()), ("id", pa.int64()), ("n", pa.int32()), ("rep", pa.int64()), ("set", pa.binary())])
+_TOLD = pa.schema([(SHARD, pa.int64()), ("part", pa.int32()), *((c, pa.binary()) for c in ("shared", "key", "first", "own"))])
+_SETS = pa.schema([(SHARD, pa.int64()), ("id", pa.int64()), ("n", pa.int32()), ("key", pa.binary()), ("first", pa.int64()),
+                   ("set", pa.binary())])
 ASKED = f"part int, {SHARD} long, shingle binary, n binary, key binary, first binary"
-TOLD = f"{SHARD} long, part int, shared binary, key binary, first binary"
-SETS = f"{SHARD} long, id long, n int, rep long, set binary"
+TOLD = f"{SHARD} long, part int, shared binary, key binary, first binary, own binary"
+SETS = f"{SHARD} long, id long, n int, key binary, first long, set binary"
 _KEY = np.dtype([("a", ">u8"), ("b", ">u8")])
 
 
@@ -120,11 +121,11 @@ def _tell(table: pa.Table) -> pa.Table:
     low, n = low[order], n[order].astype(np.int64)
     at = np.flatnonzero(np.r_[True, low[1:] != low[:-1]]) if len(low) else np.empty(0, np.int64)
     shared = low[at][np.add.reduceat(n, at) > 1] if len(low) else low
-    first: dict[bytes, int] = {}
+    first: dict[bytes, tuple[int, int]] = {}  # smallest id of the class, and the one shard that sends its set
     for r in asked:
         for i, doc in enumerate(longs(r["first"], np.int64).tolist()):
-            key = r["key"][16 * i : 16 * i + 16]
-            first[key] = min(doc, first.get(key, doc))
+            key, here = r["key"][16 * i : 16 * i + 16], (doc, r[SHARD])
+            first[key] = min(here, first.get(key, here))
     by: dict[int, list[dict]] = {}
     for r in asked:
         by.setdefault(r[SHARD], []).append(r)
@@ -134,7 +135,7 @@ def _tell(table: pa.Table) -> pa.Table:
         data = b"".join(r["key"] for r in own_rows)
         keys = list(dict.fromkeys(data[i : i + 16] for i in range(0, len(data), 16)))
         out += rows.add(shard, own_rows[0]["part"], own[among(shared, own)].tobytes(), b"".join(keys),
-                        np.array([first[k] for k in keys], np.int64).tobytes())
+                        np.array([first[k][0] for k in keys], np.int64).tobytes(), bytes(first[k][1] == shard for k in keys))
     out += rows.rest()
     return pa.Table.from_batches(out, schema=_TOLD)
 
@@ -156,7 +157,8 @@ def _survivors(size: int, percent: int, parts: int):
         shared = np.unique(np.concatenate(
             [(np.uint64(r["part"]) << np.uint64(32)) | longs(r["shared"], np.uint32).astype(np.uint64) for r in rows]
             or [np.empty(0, np.uint64)]))
-        first = {r["key"][16 * i : 16 * i + 16]: doc for r in rows for i, doc in enumerate(longs(r["first"], np.int64).tolist())}
+        first = {r["key"][16 * i : 16 * i + 16]: (doc, own) for r in rows
+                 for i, (doc, own) in enumerate(zip(longs(r["first"], np.int64).tolist(), r["own"]))}
         shard = docs.column(SHARD)[0].as_py()
         out, res = [], Rows(_SETS)
         sent = set()
@@ -164,17 +166,18 @@ def _survivors(size: int, percent: int, parts: int):
             for doc, s in zip(ids.tolist(), shingles(bodies, size)):
                 n = len(s)
                 if not n:
-                    out += res.add(shard, doc, 0, doc, None)
+                    out += res.add(shard, doc, 0, None, doc, None)
                     continue
-                rep = first[xxhash.xxh3_128_digest(s.tobytes())]
+                key = xxhash.xxh3_128_digest(s.tobytes())
+                least, own = first[key]
                 data = None
-                if rep == doc and doc not in sent and len(shared):
+                if own and key not in sent and len(shared):
                     head = _prefix(s, percent)
                     keys = (part(head, parts) << np.uint64(32)) | _low(head).astype(np.uint64)
                     if int(among(shared, keys).sum()) >= _spare(at_least(n, percent)):
                         data = _pack(s)
-                        sent.add(doc)
-                out += res.add(shard, doc, n, rep, data)
+                        sent.add(key)
+                out += res.add(shard, doc, n, key, least, data)
         out += res.rest()
         return pa.Table.from_batches(out, schema=_SETS)
 
@@ -408,8 +411,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Words are lower-cased (A-Z) runs between white space. A text of fewer words than a shingle has its
     whole sequence as its one shingle; one without words, or NULL, has an empty set and is linked with
     nothing. Two documents are linked when 100 times the intersection is at least `percent` times the
-    union of their sets; no link between different sets is lost. Equal sets are one class. Repeated rows
-    of an id are members of one component; a NULL id is an id before all others. Other columns are not read.
+    union of their sets; no link between different sets is lost. Equal sets are one class, known by the
+    128-bit hash of the set, and stored once; classes get their ids at the end. All rows of an id, whatever
+    their texts, are members of one component; a NULL id is an id before all others. Other columns are not read.
     """
     base = texts(docs, id_col, text_col, bytes_per_shard)
     parts = parts_of(docs)
@@ -417,12 +421,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     told = written(asked.groupBy("part").applyInArrow(_tell, TOLD))
     every = written(packed(base).groupBy(SHARD).cogroup(told.groupBy(SHARD)).applyInArrow(
         _survivors(shingle, percent, parts), SETS))
-    sets = every.filter("set is not null").select(SHARD, "rep", "set")
+    sets = _numbered(every)
     labels = links(sets, percent)
-    found = every.select("id", "n", "rep").join(labels, "rep", "left")
     none = F.lit(NULL_ID)
-    return found.select(F.nullif("id", none).alias("id"), F.col("n").cast("long").alias("n"),
-                        F.nullif(F.coalesce("comp", "rep"), none).alias("component"))
+    return _with_ids(every, sets, labels).select(
+        F.nullif("id", none).alias("id"), F.col("n").cast("long").alias("n"), F.nullif("least", none).alias("component"))
+
+
+def _numbered(every: DataFrame) -> DataFrame:
+    """One row per class that may be linked, stored with a short number `rep` for its key."""
+    return written(every.filter("set is not null").select(SHARD, "key", "first", "set", F.monotonically_increasing_id().alias("rep")))
+
+
+def _with_ids(every: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
+    """`id`, `n`, `least` of all rows: the smallest id of the row's component, which also joins all rows of an id."""
+    named = sets.select("key", "first", "rep").join(labels, "rep")
+    least = named.groupBy("comp").agg(F.min("first").alias("least"))
+    named = written(named.join(least, "comp").select("key", "least"))
+    rows = written(every.select("id", "n", "key", "first").join(named, "key", "left").select(
+        "id", "n", F.coalesce("least", "first").alias("least")))
+    several = rows.groupBy("id").agg(F.min("least").alias("x"), F.max("least").alias("y")).filter("x < y").select("id", "x")
+    again = written(rows.join(several, "id").filter("x < least").select("x", F.col("least").alias("y")).distinct())
+    if again.isEmpty():
+        return rows
+    nodes = again.select(F.col("x").alias("rep")).union(again.select(F.col("y").alias("rep"))).distinct()
+    joined = components(nodes, again).select(F.col("rep").alias("least"), "comp")
+    return rows.join(joined, "least", "left").select("id", "n", F.coalesce("comp", "least").alias("least"))
 
 
 def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:

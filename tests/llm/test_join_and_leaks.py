@@ -54,6 +54,29 @@ def test_a_short_set_is_its_whole_sequence(spark):
     assert _components(jaccard_join.near_duplicates(frame)) == Counter({(1, 1, 1): 1, (2, 1, 1): 1, (3, 1, 3): 1, (4, 1, 4): 1, (5, 0, 5): 1, (6, 0, 6): 1})
 
 
+def _copies(name, n=40):
+    w = [f"{name}{i}" for i in range(n)]
+    return " ".join(w), " ".join([*w[:-1], "other"])
+
+
+def test_different_texts_under_one_id(spark):
+    """Ids that stand for several texts, in one shard and in several, and texts without an id."""
+    (a, a2), (b, b2), (c, c2), (d, d2), (e, e2) = (_copies(x) for x in "abcde")
+    rows = [(5, a), (5, b), (2, a2), (3, b2), (1, c), (1, d), (8, c2), (9, d2), (None, e), (None, f"{e} {a2}"), (11, e2), (12, f"{e} {a2} z"),
+            (5, ""), (13, "none of them"), (13, c)]
+    for n in (1, 4):
+        frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(n)
+        assert _components(jaccard_join.near_duplicates(frame)) == brute.components(rows)
+
+
+def test_equal_rows_in_two_files(spark, tmp_path):
+    (a, a2), (b, _) = _copies("a"), _copies("b")
+    for own in ([(1, a), (2, a2), (4, b)], [(1, a), (2, a2), (3, a), (4, b)]):
+        spark.createDataFrame(own, "doc_id long, text string").coalesce(1).write.mode("append").parquet(str(tmp_path / "docs"))
+    rows = [(1, a), (2, a2), (4, b)] * 2 + [(3, a)]
+    assert _components(jaccard_join.near_duplicates(spark.read.parquet(str(tmp_path / "docs")))) == brute.components(rows)
+
+
 def test_leaks_of_the_table(spark, sf):
     assert difference(spark, connect(sf), sf, decontaminate.op3_decontaminate, decontaminate.SQL) is None
 

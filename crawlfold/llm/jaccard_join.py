@@ -7,11 +7,13 @@ by rarity their prefixes of n - t + 1 share one.
 
 1. A set whose long prefix has too few shingles that any other set holds is linked with nothing: most
    texts end here. Equal sets go on as one.
-2. The rest are indexed by their rarest shingles. Each list is first compared with its first set only.
-3. Sets are indexed once more by shingles that several of the components found hold. A list's entries
-   are cut into blocks in order of size; pairs of blocks are skipped by size and position. For the pairs
-   of sets that are left the answer is derived, where it can be, from a highly similar set's computed answers: distance is a
-   metric, so two sets are apart if the sets they resemble are far enough apart. The others are compared.
+2. The rest are indexed by their rarest shingles. Each list is first compared with its first set only;
+   a set's guide is the most similar set it is linked to by that, at a known distance.
+3. Partners are derived from the guide's: distance is a metric, so two partners of one guide are linked if
+   their distances from it add up to little enough. These pairs are never listed or compared.
+4. The lists' entries are cut into blocks in order of size; pairs of blocks are skipped by size and position.
+   A pair that is left is linked, or apart, without a comparison where the distances to and between the two
+   guides decide it; the others are compared.
 """
 
 from __future__ import annotations
@@ -320,47 +322,85 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         labels = written(new.join(jump, "new").select("rep", F.least("new", "jump").alias("comp")))
 
 
+def _distinct(xs: list[np.ndarray], ys: list[np.ndarray]):
+    """Pairs x < y of a batch, each once."""
+    x, y = (np.concatenate(c or [np.empty(0, np.int64)]) for c in (xs, ys))
+    if len(x):
+        x, y = np.minimum(x, y), np.maximum(x, y)
+        order = np.lexsort((y, x))
+        x, y = x[order], y[order]
+        new = np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])]
+        yield pa.RecordBatch.from_arrays([pa.array(x[new]), pa.array(y[new])], names=["x", "y"])
+
+
+def _columns(entries: list[dict], *names: str) -> dict[str, np.ndarray]:
+    return {k: np.array([e[k] for e in entries]) for k in names}
+
+
+def sure(percent: int) -> float:
+    """Sets no farther apart than this are linked; a little slack covers rounding."""
+    return 1 - percent / 100 - 1e-9
+
+
 def _cross(percent: int):
-    """Pairs of entries of two blocks of a list that are of different components and may be linked."""
+    """Pairs of entries of two blocks of a list that may be linked and are not derived from a guide both have."""
 
     def cross(batches):
         for batch in batches:
-            xs, ys = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            xs, ys = [], []
             for r in batch.to_pylist():
-                a, b = ({k: np.array([e[k] for e in r[side]], np.int64) for k in ("rep", "comp", "n", "pos", "common")} for side in ("a", "b"))
+                a, b = (_columns(r[side], "rep", "n", "pos", "common", "g", "d") for side in ("a", "b"))
                 n, m, i, j = a["n"][:, None], b["n"][None], a["pos"][:, None], b["pos"][None]
                 most = np.minimum(i, j) + np.minimum(a["common"][:, None] - i, b["common"][None] - j)
-                ok = (a["comp"][:, None] != b["comp"][None]) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (
-                    (100 + percent) * most >= percent * (n + m))
+                known = (a["g"][:, None] == b["g"][None]) & (a["d"][:, None] + b["d"][None] <= sure(percent))
+                ok = (a["rep"][:, None] != b["rep"][None]) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (
+                    (100 + percent) * most >= percent * (n + m)) & ~known
                 p, q = np.nonzero(ok)
-                x, y = a["rep"][p], b["rep"][q]
-                xs.append(np.minimum(x, y))
-                ys.append(np.maximum(x, y))
-            x, y = np.concatenate(xs), np.concatenate(ys)
-            if len(x):
-                order = np.lexsort((y, x))
-                x, y = x[order], y[order]
-                new = np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])]
-                yield pa.RecordBatch.from_arrays([pa.array(x[new]), pa.array(y[new])], names=["x", "y"])
+                xs.append(a["rep"][p])
+                ys.append(b["rep"][q])
+            yield from _distinct(xs, ys)
 
     return cross
 
 
-def _left_over(entries: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of different components that share a list, blocks of lists skipped by size and position."""
-    mixed = entries.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("shingle")
-    entries = entries.join(mixed, "shingle", "left_semi")
+def _kin(percent: int):
+    """Pairs of two blocks of a guide's partners whose distances from it add up to little enough."""
+
+    def kin(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                a, b = (_columns(r[side], "rep", "d") for side in ("a", "b"))
+                p, q = np.nonzero((a["d"][:, None] + b["d"][None] <= sure(percent)) & (a["rep"][:, None] != b["rep"][None]))
+                yield from _distinct([a["rep"][p]], [b["rep"][q]])
+
+    return kin
+
+
+def _derived(guide: DataFrame, percent: int) -> DataFrame:
+    """Links between the partners of a guide that follow from their distances to it, as distinct pairs."""
+    row = F.row_number().over(Window.partitionBy("g").orderBy("d", "rep"))
+    blocks = written(guide.filter("rep <> g").withColumn("block", F.floor((row - 1) / BLOCK)).groupBy("g", "block").agg(
+        F.collect_list(F.struct("rep", "d")).alias("entries"), F.min("d").alias("least")))  # at most BLOCK
+    a, b = blocks.alias("a"), blocks.alias("b")
+    meet = a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.block") <= F.col("b.block"))
+                  & (F.col("a.least") + F.col("b.least") <= sure(percent)))
+    return meet.select(F.col("a.entries").alias("a"), F.col("b.entries").alias("b")).mapInArrow(_kin(percent), "x long, y long")
+
+
+def _left_over(entries: DataFrame, guide: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs that share a list, blocks of lists skipped by size and position, derived pairs left out."""
+    several = entries.groupBy("shingle").agg(F.count("*").alias("sets")).filter("sets > 1").select("shingle")
+    entries = entries.join(several, "shingle", "left_semi").join(guide, "rep")
     row = F.row_number().over(Window.partitionBy("shingle").orderBy("n", "rep"))
     blocks = written(
         entries.withColumn("block", F.floor((row - 1) / BLOCK)).groupBy("shingle", "block").agg(
-            F.collect_list(F.struct("rep", "comp", "n", "pos", "common")).alias("entries"),  # at most BLOCK
+            F.collect_list(F.struct("rep", "n", "pos", "common", "g", "d")).alias("entries"),  # at most BLOCK
             F.min("n").alias("least"), F.max("n").alias("most"), F.max("pos").alias("pos"),
-            F.max(F.col("common") - F.col("pos")).alias("tail"), F.min("comp").alias("lo"), F.max("comp").alias("hi")))
+            F.max(F.col("common") - F.col("pos")).alias("tail")))
     a, b = blocks.alias("a"), blocks.alias("b")
     meet = a.join(b, (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.block") <= F.col("b.block"))
                   & (100 * F.col("a.most") >= percent * F.col("b.least"))
-                  & ((100 + percent) * (F.least("a.pos", "b.pos") + F.least("a.tail", "b.tail")) >= percent * (F.col("a.least") + F.col("b.least")))
-                  & ((F.col("a.lo") < F.col("a.hi")) | (F.col("b.lo") < F.col("b.hi")) | (F.col("a.lo") != F.col("b.lo"))))
+                  & ((100 + percent) * (F.least("a.pos", "b.pos") + F.least("a.tail", "b.tail")) >= percent * (F.col("a.least") + F.col("b.least"))))
     return meet.select(F.col("a.entries").alias("a"), F.col("b.entries").alias("b")).mapInArrow(_cross(percent), "x long, y long").distinct()
 
 
@@ -374,34 +414,61 @@ def _star(entries: DataFrame, percent: int) -> DataFrame:
 
 
 def links(sets: DataFrame, percent: int) -> DataFrame:
-    """Components of the sets: `rep`, `comp`."""
+    """All links between the sets, stored: `x`, `y` (distinct pairs x < y), `inter` and `union`, NULL where derived."""
     is_link = F.expr(f"100 * inter >= {percent} * union")
     away = 1 - F.col("inter") / F.col("union")
-    labels = written(sets.select("rep", F.col("rep").alias("comp")))
-    star = compared(_star(index(sets, labels, percent), percent), sets)
+    entries = index(sets, sets.select("rep", F.col("rep").alias("comp")), percent)
+    star = compared(_star(entries, percent), sets)
     found = star.filter(is_link)
-    labels = components(sets, found)
-    # What is left is between components: shingles that only one of them holds no longer count.
-    rest = written(_left_over(index(sets, labels, percent), percent).join(star.select("x", "y"), ["x", "y"], "left_anti"))
-    if rest.isEmpty():
-        return labels
-    # Each set's guide: the most similar set it was compared with and linked to, at a known distance.
     guide = found.groupBy(F.col("y").alias("rep")).agg(F.min(F.struct(away.alias("d"), F.col("x").alias("g"))).alias("s"))
     guide = written(sets.select("rep").join(guide, "rep", "left").select(
         "rep", F.coalesce("s.g", "rep").alias("g"), F.coalesce("s.d", F.lit(0.0)).alias("d")))
-    guided = (rest.join(guide.select(F.col("rep").alias("x"), F.col("g").alias("gx"), F.col("d").alias("dx")), "x")
-              .join(guide.select(F.col("rep").alias("y"), F.col("g").alias("gy"), F.col("d").alias("dy")), "y")
-              .withColumn("p", F.least("gx", "gy")).withColumn("q", F.greatest("gx", "gy")))
-    guided = written(guided)
-    asked = guided.filter("p < q").select(F.col("p").alias("x"), F.col("q").alias("y")).distinct()
-    known = star.join(asked, ["x", "y"], "left_semi")
-    fresh = compared(asked.join(star.select("x", "y"), ["x", "y"], "left_anti"), sets)
-    apart = known.union(fresh).select(F.col("x").alias("p"), F.col("y").alias("q"), away.alias("far"))
-    # Too far apart: |xy| >= |gx gy| - |x gx| - |y gy|; a little slack covers rounding.
-    open_ = guided.join(apart, ["p", "q"], "left").filter(
-        f"far is null or far - dx - dy <= {1 - percent / 100} + 1e-9").select("x", "y")
-    more = compared(open_.join(fresh.select("x", "y"), ["x", "y"], "left_anti"), sets)
-    return components(sets, found.union(fresh.filter(is_link)).union(more.filter(is_link)))
+    # Partners of a guide that are themselves first in a list are compared above already.
+    known = star.select("x", "y")
+    kin = written(_derived(guide, percent).join(known, ["x", "y"], "left_anti"))
+    rest = _left_over(entries, guide, percent).join(known, ["x", "y"], "left_anti")
+    guided = written(rest.join(guide.select(F.col("rep").alias("x"), F.col("g").alias("gx"), F.col("d").alias("dx")), "x")
+                     .join(guide.select(F.col("rep").alias("y"), F.col("g").alias("gy"), F.col("d").alias("dy")), "y")
+                     .withColumn("p", F.least("gx", "gy")).withColumn("q", F.greatest("gx", "gy")))
+    pairs = guided.filter("p < q").select("p", "q").distinct()
+    apart = star.join(pairs.select(F.col("p").alias("x"), F.col("q").alias("y")), ["x", "y"], "left_semi").select(
+        F.col("x").alias("p"), F.col("y").alias("q"), away.alias("far"))
+    # |xy| lies between |gx gy| - |x gx| - |y gy| and the sum of the three.
+    far = F.when(F.col("p") == F.col("q"), 0.0).otherwise(F.col("far"))
+    bounds = written(guided.join(apart, ["p", "q"], "left").select(
+        "x", "y", (far - F.col("dx") - F.col("dy")).alias("low"), (far + F.col("dx") + F.col("dy")).alias("high")).filter(
+        f"low is null or low <= {1 - percent / 100} + 1e-9"))
+    near = F.coalesce(F.col("high") <= sure(percent), F.lit(False))
+    more = compared(bounds.filter(~near).select("x", "y"), sets)
+    none = F.lit(None).cast("long")
+    derived = kin.union(bounds.filter(near).select("x", "y")).select("x", "y", none.alias("inter"), none.alias("union"))
+    return written(found.union(more.filter(is_link)).union(derived))
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, bytes_per_shard: int) -> tuple[DataFrame, DataFrame]:
+    """All rows with the key of their class, and the sets of the classes that may be linked."""
+    base = texts(docs, id_col, text_col, bytes_per_shard)
+    parts = parts_of(docs)
+    asked = base.mapInArrow(_ask(shingle, percent, parts), ASKED)
+    told = written(asked.groupBy("part").applyInArrow(_tell, TOLD))
+    every = written(packed(base).groupBy(SHARD).cogroup(told.groupBy(SHARD)).applyInArrow(
+        _survivors(shingle, percent, parts), SETS))
+    return every, _numbered(every)
+
+
+def near_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = SHINGLE,
+               percent: int = PERCENT, bytes_per_shard: int = BYTES_PER_SHARD) -> tuple[DataFrame, DataFrame]:
+    """All links between classes, and the members of the classes.
+
+    Links: `x_key`, `y_key`, once per pair of linked sets that differ, `x_id`, `y_id`, the smallest ids of the
+    classes, and `inter`, `union`, NULL for links that were derived and not compared. Members: `id`, `n` and
+    `key`, one row per document; NULL for an empty set. Sets, links and ids are as in `near_duplicates`.
+    """
+    every, sets = _classes(docs, id_col, text_col, shingle, percent, bytes_per_shard)
+    none = F.lit(NULL_ID)
+    one, two = (sets.select(F.col("rep").alias(c), F.col("key").alias(f"{c}_key"), F.nullif("first", none).alias(f"{c}_id")) for c in "xy")
+    found = links(sets, percent).join(one, "x").join(two, "y").select("x_key", "y_key", "x_id", "y_id", "inter", "union")
+    return found, every.select(F.nullif("id", none).alias("id"), F.col("n").cast("long").alias("n"), "key")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = SHINGLE,
@@ -415,14 +482,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     128-bit hash of the set, and stored once; classes get their ids at the end. All rows of an id, whatever
     their texts, are members of one component; a NULL id is an id before all others. Other columns are not read.
     """
-    base = texts(docs, id_col, text_col, bytes_per_shard)
-    parts = parts_of(docs)
-    asked = base.mapInArrow(_ask(shingle, percent, parts), ASKED)
-    told = written(asked.groupBy("part").applyInArrow(_tell, TOLD))
-    every = written(packed(base).groupBy(SHARD).cogroup(told.groupBy(SHARD)).applyInArrow(
-        _survivors(shingle, percent, parts), SETS))
-    sets = _numbered(every)
-    labels = links(sets, percent)
+    every, sets = _classes(docs, id_col, text_col, shingle, percent, bytes_per_shard)
+    labels = components(sets, links(sets, percent))
     none = F.lit(NULL_ID)
     return _with_ids(every, sets, labels).select(
         F.nullif("id", none).alias("id"), F.col("n").cast("long").alias("n"), F.nullif("least", none).alias("component"))

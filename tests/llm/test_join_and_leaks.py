@@ -77,6 +77,33 @@ def test_equal_rows_in_two_files(spark, tmp_path):
     assert _components(jaccard_join.near_duplicates(spark.read.parquet(str(tmp_path / "docs")))) == brute.components(rows)
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_all_links_between_texts(spark, seed, monkeypatch):
+    """Links inside families too: copies of one text and copies of copies, equal texts once."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 4)
+    rng = random.Random(seed)
+    docs = []
+    for family in range(4):
+        first = w = [f"f{family}x{i}" for i in range(150)]
+        for i in range(14):
+            w = list(w if i % 2 else first)
+            for _ in range(rng.randrange(3)):
+                w[rng.randrange(len(w))] = f"n{rng.randrange(10**6)}"
+            docs.append(" ".join(w))
+    docs += docs[:5]
+    rows = list(enumerate(docs))
+    sets, want = {}, set()
+    for i, text in rows:
+        w = text.split()
+        sets.setdefault(frozenset(tuple(w[k:k + 5]) for k in range(len(w) - 4)), i)
+    for a, i in sets.items():
+        want |= {(i, j) for b, j in sets.items() if i < j and 100 * len(a & b) >= 75 * len(a | b)}
+    links, members = jaccard_join.near_links(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    found = links.collect()
+    assert Counter((min(r["x_id"], r["y_id"]), max(r["x_id"], r["y_id"])) for r in found) == Counter(want)
+    assert any(r["inter"] is None for r in found) and len({r["key"] for r in members.collect()}) == len(sets)
+
+
 def test_leaks_of_the_table(spark, sf):
     assert difference(spark, connect(sf), sf, decontaminate.op3_decontaminate, decontaminate.SQL) is None
 

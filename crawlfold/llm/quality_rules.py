@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from crawlfold.session import written
 
@@ -25,7 +26,10 @@ MIN_WORDS_JUDGED = 50
 MAX_CLASS_DISTANCE = 0.18
 MAX_WORD_DISTANCE = 0.33
 
-# Frequent function words of each language, in common order of frequency.
+#: A language needs so many documents for common words and references of its own.
+MIN_DOCUMENTS = 100
+
+# Frequent function words of some languages, in common order of frequency; those of others are counted.
 COMMON = {
     "en": ("the", "of", "and", "to", "in", "a", "is", "that", "for", "it", "was", "on", "are", "as", "with"),
     "de": ("der", "die", "und", "in", "den", "von", "zu", "das", "mit", "sich", "des", "auf", "für", "ist", "im"),
@@ -34,7 +38,30 @@ COMMON = {
 }
 #: Numbers and keys inside clean prose must not look odd, so digits count with the small letters.
 CLASSES = ("small", "upper", "space", "stop", "symbol", "beyond")
-_WORDS = tuple(dict.fromkeys(w for words in COMMON.values() for w in words))
+N_COMMON = len(COMMON["en"])
+
+
+def language(lang_col: str) -> Column:
+    """The language of a code in small letters, without region: `EN`, `en-US` and `en_GB` are `en`; NULL if empty."""
+    return F.nullif(F.regexp_extract(F.lower(F.trim(F.col(f"`{lang_col}`"))), "^[^-_]*", 0), F.lit(""))
+
+
+def common_words(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, tuple[str, ...]]:
+    """`COMMON`, and the words most documents hold of every other language with enough documents.
+
+    Languages are found from their column alone; texts are read only if there are others than those of `COMMON`.
+    """
+    lang = docs.select(language(lang_col).alias("lang"))
+    others = [r["lang"] for r in lang.filter(~F.col("lang").isin(*COMMON)).groupBy("lang").count().filter(
+        f"count >= {MIN_DOCUMENTS}").collect()]
+    if not others:
+        return dict(COMMON)
+    words = docs.select(language(lang_col).alias("lang"), F.col(f"`{text_col}`").alias("text")).filter(F.col("lang").isin(others))
+    words = words.select("lang", F.explode(F.array_distinct(F.split(F.lower("text"), WHITE))).alias("word"))
+    counts = words.filter(F.col("word").rlike(r"^\p{L}+$")).groupBy("lang", "word").count()
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "word"))
+    top = counts.withColumn("rank", rank).filter(F.col("rank") <= N_COMMON).groupBy("lang").agg(F.collect_list("word").alias("words"))
+    return COMMON | {r["lang"]: tuple(r["words"]) for r in top.collect() if len(r["words"]) == N_COMMON}
 
 
 def _gone(text: Column, pattern: str) -> Column:
@@ -50,14 +77,23 @@ def _held(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(values)))
 
 
-def histograms(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def _by_language(values: dict[str, list], lang_col: str) -> Column:
+    """The list of the row's language, NULL without one."""
+    if not values:
+        return F.lit(None).cast("array<string>")
+    table = F.create_map(*[x for k, v in values.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
+    return F.try_element_at(table, language(lang_col))
+
+
+def histograms(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
+               common: dict[str, tuple[str, ...]] = COMMON) -> DataFrame:
     """`docs` with `__text`, `__words`, `__n_words`, `__word_chars`, `__n_symbols`, `__class_n` (counts by
     `CLASSES`) and `__word_n` (counts of the language's common words, small or with a capital, then of all
     other words; NULL for a language without a list)."""
     df = _held(docs, __text=F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
     df = _held(df, __words=F.filter(F.split("__text", WHITE), lambda w: w != ""),
                __no_lower=_gone(F.col("__text"), "[a-z]+"))
-    forms = [f for w in _WORDS for f in (w, w.capitalize())]
+    forms = [f for words in common.values() for w in words for f in (w, w.capitalize())]
     df = _held(df, __rest=_gone(F.col("__no_lower"), WHITE),
                __common=F.transform(F.filter("__words", lambda w: w.isin(forms)), F.lower))
     df = _held(df, __signs=_gone(F.col("__rest"), r"[^\x00-\x7F]+"))
@@ -71,11 +107,8 @@ def histograms(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
         "beyond": size("__rest") - size("__signs"),
     }
     counts["stop"] = size(marks) - counts["symbol"]
-    per_lang = F.lit(None).cast("array<double>")
-    for lang, words in COMMON.items():
-        own = F.transform(F.array(*map(F.lit, words)), lambda w: F.size(
-            F.filter("__common", lambda c: c == w)).cast("double"))
-        per_lang = F.when(F.col(f"`{lang_col}`") == lang, own).otherwise(per_lang)
+    df = _held(df, __own=_by_language(common, lang_col))
+    per_lang = F.transform("__own", lambda w: F.size(F.filter("__common", lambda c: c == w)).cast("double"))
     df = _held(
         df,
         __n_words=F.size("__words").cast("long"),
@@ -86,7 +119,7 @@ def histograms(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     )
     total = F.aggregate("__common_n", F.lit(0.0), lambda a, x: a + x)
     return df.withColumn("__word_n", F.concat("__common_n", F.array(F.col("__n_words") - total))).drop(
-        "__no_lower", "__rest", "__signs", "__common", "__common_n")
+        "__no_lower", "__rest", "__signs", "__common", "__own", "__common_n")
 
 
 def _judged(kind: str) -> Column:
@@ -96,24 +129,31 @@ def _judged(kind: str) -> Column:
     return F.col("__n_words") >= MIN_WORDS_JUDGED
 
 
-def references(counted: DataFrame, lang_col: str = "lang") -> dict[str, dict[str, list]]:
-    """Language -> its typical shares of the character classes and of the common words.
+def references(counted: DataFrame, lang_col: str = "lang") -> dict[str | None, dict[str, list]]:
+    """Language -> its typical shares of the character classes and of the common words; None -> of all documents.
 
     A share is the median over all documents of the language that are long enough, so that junk, as
-    long as it is the lesser part, does not move it; the medians are scaled to sum to one. At most one
-    row per language of `COMMON` comes to the driver.
+    long as it is the lesser part, does not move it; the medians are scaled to sum to one. One row per language
+    of `COMMON`, or with `MIN_DOCUMENTS`, comes to the driver. If documents of no such language are left, the classes
+    of the whole corpus are their reference.
     """
-    aggs = []
-    for kind, n in (("__class_n", len(CLASSES)), ("__word_n", len(COMMON["en"]) + 1)):
+    def medians(kind: str, n: int) -> list[Column]:
         total = F.aggregate(kind, F.lit(0.0), lambda a, x: a + x)
-        aggs += [F.percentile_approx(F.when(_judged(kind), F.col(kind)[i] / total), 0.5, 10_000).alias(f"{kind}{i}")
-                 for i in range(n)]
-    rows = counted.filter("__word_n is not null").groupBy(F.col(f"`{lang_col}`").alias("__lang")).agg(*aggs).collect()
-    out: dict[str, dict[str, list]] = {}
+        return [F.percentile_approx(F.when(_judged(kind), F.get(kind, i) / total), 0.5, 10_000).alias(f"{kind}{i}")
+                for i in range(n)]
+
+    classes = medians("__class_n", len(CLASSES))
+    own = counted.groupBy(language(lang_col).alias("__lang")).agg(
+        *classes, *medians("__word_n", N_COMMON + 1), F.count_if(_judged("__class_n")).alias("n"))
+    rows = own.filter(F.col("__lang").isin(*COMMON) | (F.col("__lang").isNotNull() & (F.col("n") >= MIN_DOCUMENTS))).collect()
+    rest = ~F.coalesce(language(lang_col).isin([r["__lang"] for r in rows]), F.lit(False))
+    if not counted.filter(rest).isEmpty():
+        rows += counted.agg(F.lit(None).alias("__lang"), *classes).collect()
+    out: dict[str | None, dict[str, list]] = {}
     for row in rows:
         for kind in ("__class_n", "__word_n"):
             shares = [v for k, v in row.asDict().items() if k.startswith(kind)]
-            if None not in shares and sum(shares) > 0:
+            if shares and None not in shares and sum(shares) > 0:
                 out.setdefault(row["__lang"], {})[kind] = [x / sum(shares) for x in shares]
     return out
 
@@ -161,10 +201,11 @@ def _repeats(df: DataFrame) -> DataFrame:
         "__hashes", "__sorted", "__same", "__places")
 
 
-def count(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def count(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
+          common: dict[str, tuple[str, ...]] = COMMON) -> DataFrame:
     """The columns of `docs` and `__n_words`, `__word_chars`, `__n_symbols`, `__n_dup_lines`,
     `__n_repeat_words` and the histograms `__class_n` and `__word_n`; one pass, no shuffle."""
-    df = _repeats(histograms(docs, text_col, lang_col))
+    df = _repeats(histograms(docs, text_col, lang_col, common))
     lines = F.filter(F.split("__text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     df = _held(df, __lines=lines)
     repeated = F.size("__lines") - F.size(F.array_distinct("__lines"))
@@ -176,21 +217,28 @@ def judge(counted: DataFrame, shares: dict[str, dict[str, list]], lang_col: str
 
     A document fails the base rules with under `MIN_WORDS` words or with over `MAX_REPEAT_PERCENT` percent
     of its words in repeated windows. It fails the divergence rule if its language has a reference and a
-    histogram with enough counts (the guards above) is farther from it than allowed. A language without
-    a word list, or NULL, has no reference and passes. NULL and empty texts have no words and fail the
+    histogram with enough counts (the guards above) is farther from it than allowed. A rare language, or NULL,
+    is held against the classes of the whole corpus, by stops, symbols and all else if over a quarter of the text is
+    beyond ASCII, as other scripts have other letters and spaces; its words are not judged. NULL and empty texts have no words and fail the
     base rules. Each row is judged alone, so repeated rows agree; an empty table has no references.
     """
 
     def share(kind: str) -> Column:
-        out = F.lit(None).cast("array<double>")
-        for lang, both in shares.items():
-            if kind in both:
-                out = F.when(F.col(f"`{lang_col}`") == lang, F.array(*map(F.lit, both[kind]))).otherwise(out)
-        return out
-
+        return _by_language({k: v[kind] for k, v in shares.items() if k is not None and kind in v}, lang_col).cast("array<double>")
+
+    far_classes = distance(F.col("__class_n"), share("__class_n"))
+    whole = shares.get(None, {}).get("__class_n")
+    if whole:
+        def folded(x) -> list:
+            return [x[0] + x[1] + x[2] + x[5], x[3], x[4]]  # in the order of CLASSES
+
+        own = [F.get("__class_n", i) for i in range(len(CLASSES))]
+        corpus = F.when(4 * own[5] > sum(own[:5], own[5]), distance(F.array(*folded(own)), F.array(*map(F.lit, folded(whole))))).otherwise(
+            distance(F.col("__class_n"), F.array(*map(F.lit, whole))))
+        far_classes = F.when(share("__class_n").isNull(), corpus).otherwise(far_classes)
     df = _held(
         counted,
-        __class_distance=distance(F.col("__class_n"), share("__class_n")),
+        __class_distance=far_classes,
         __word_distance=distance(F.col("__word_n"), share("__word_n")),
         __base_failed=(F.col("__n_words") < MIN_WORDS)
         | (100 * F.col("__n_repeat_words") > MAX_REPEAT_PERCENT * F.col("__n_words")),
@@ -201,14 +249,15 @@ def judge(counted: DataFrame, shares: dict[str, dict[str, list]], lang_col: str
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The documents that pass, with their own columns. Two scans and no shuffle of texts."""
-    shares = references(histograms(docs.select(text_col, lang_col), text_col, lang_col), lang_col)
-    return judge(count(docs, text_col, lang_col), shares, lang_col).filter("__kept").select(*(f"`{c}`" for c in docs.columns))
+    """The documents that pass, with their own columns. Two scans, one more if words are counted, and no shuffle of texts."""
+    common = common_words(docs, text_col, lang_col)
+    shares = references(histograms(docs.select(text_col, lang_col), text_col, lang_col, common), lang_col)
+    return judge(count(docs, text_col, lang_col, common), shares, lang_col).filter("__kept").select(*(f"`{c}`" for c in docs.columns))
 
 
 def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
-    counted = written(count(docs).drop("text"))
+    counted = written(count(docs, common=common_words(docs)).drop("text"))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     return judge(counted, references(counted)).select(
         "doc_id", *[F.col(f"__{n}").alias(n) for n in names])

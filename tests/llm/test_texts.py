@@ -1,6 +1,7 @@
 """Quality rules, scores, main text, shards and sampled segmentations."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -55,6 +56,29 @@ def test_an_unknown_language_is_not_judged(spark):
     assert quality_rules.keep_good(docs).count() == 2
 
 
+@pytest.mark.parametrize("langs", [("it",), ("EN", "en-US", "en_GB"), (None, "xx"), ("",)])
+def test_every_language_is_judged(spark, langs):
+    """Clean texts stay and junk of many words goes, whatever the language code."""
+    own = [f"parola{chr(97 + i)}" for i in range(20)] if langs == ("it",) else [*quality_rules.COMMON["en"], "some", "other", "plain", "words"]
+
+    def clean(i):
+        rng = random.Random(i)
+        return " ".join(rng.choice(own) + (f", word{chr(97 + j % 26)}" if j % 9 == 0 else "") for j in range(120))
+
+    rows = [(i, clean(i), "en" if langs[0] in (None, "") and i else langs[i % len(langs)]) for i in range(150)]
+    rows += [(1000 + i, " ".join(f"|{j}#" for j in range(i, i + 120)), langs[i % len(langs)]) for i in range(6)]
+    rows += [(2000, "中文。" * 20 + " ".join(chr(0x4e00 + j) * 9 for j in range(60)), None)]
+    kept = {r["doc_id"] for r in quality_rules.keep_good(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert not [i for i in kept if 1000 <= i < 2000] and 2000 in kept and len(kept) >= 140
+
+
+def test_common_words_are_counted(spark):
+    words = [f"parola{chr(97 + i)}" for i in range(15)]
+    rows = [(" ".join(w.capitalize() for w in words) + f" rara{chr(97 + i % 26)} 12", "IT-it") for i in range(120)] + [("the", "en")]
+    found = quality_rules.common_words(spark.createDataFrame(rows, "text string, lang string"))
+    assert set(found["it"]) == set(words) and found["en"] == quality_rules.COMMON["en"]
+
+
 # Scores
 
 def test_score_against_single_nodes(spark):

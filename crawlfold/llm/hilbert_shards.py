@@ -1,7 +1,8 @@
 """Shards cut from a Hilbert curve over metadata, so that a filter on any of it skips most files.
 
 Each dimension is quantised to `2**bits` cells at its own quantiles, counted over all rows; the cells
-of a row give its place on the curve; rows are sorted by place and cut into runs.
+of a row give its place on the curve; rows are sorted by place and cut into runs. Strings are compared whole:
+their distinct values are numbered in order, and a value's number stands for it.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlfold.operators.ordering import numbered
+from crawlfold.session import written
 
 DIMENSIONS = ("lang", "source", "n_chars")
 BITS = 6
@@ -47,19 +49,26 @@ def curve_index(cells: np.ndarray, bits: int) -> np.ndarray:
 
 
 def ordered_number(df: DataFrame, name: str) -> Column:
-    """A number that sorts as the column does: a string by its first seven bytes, NULL before all others."""
+    """A number that sorts as the column, not a string, does; NULL before all others."""
     col = F.col(f"`{name}`")
     kind = dict(df.dtypes)[name]
-    if kind in ("string", "binary"):
-        head = F.substring(F.rpad(F.hex(F.substring(col.cast("binary"), 1, 7)), 14, "0"), 1, 14)
-        value = F.conv(head, 16, 10).cast("long").cast("double")
-    elif kind.startswith(("timestamp", "date")):
+    if kind.startswith(("timestamp", "date")):
         value = F.unix_micros(col.cast("timestamp")).cast("double")
     else:
         value = col.cast("double")
     return F.coalesce(F.when(~F.isnan(value), value), F.lit(float("-inf")))
 
 
+def _is_text(df: DataFrame, name: str) -> bool:
+    return dict(df.dtypes)[name] in ("string", "binary")
+
+
+def ranked(docs: DataFrame, name: str) -> DataFrame:
+    """Distinct values of a string column, in the order of their bytes: `__value` and its place `__place`, stored."""
+    values = docs.select(F.col(f"`{name}`").cast("binary").alias("__value")).filter("__value is not null").distinct()
+    return written(numbered(values, ["__value"], "__place").select("__value", F.col("__place").cast("double").alias("__place")))
+
+
 def curve_order(docs: DataFrame, dimensions=DIMENSIONS, bits: int = BITS) -> DataFrame:
     """`docs` with `__curve`: the place of each row on the curve over `dimensions`.
 
@@ -68,7 +77,15 @@ def curve_order(docs: DataFrame, dimensions=DIMENSIONS, bits: int = BITS) -> Dat
     """
     if len(dimensions) * bits > 62:
         raise ValueError("dimensions times bits must not exceed 62")
-    values = [ordered_number(docs, d) for d in dimensions]
+    columns, values = docs.columns, []
+    for i, d in enumerate(dimensions):
+        if _is_text(docs, d):
+            places = ranked(docs.select(*(f"`{c}`" for c in columns)), d)
+            places = places.select(F.col("__value").alias(f"__value{i}"), F.col("__place").alias(f"__place{i}"))
+            docs = docs.join(places, F.col(f"`{d}`").cast("binary") == F.col(f"__value{i}"), "left").drop(f"__value{i}")
+            values.append(F.coalesce(f"__place{i}", F.lit(float("-inf"))))
+        else:
+            values.append(ordered_number(docs, d))
     shares = [i / (1 << bits) for i in range(1, 1 << bits)]
     exact = docs.select(*[v.alias(f"v{i}") for i, v in enumerate(values)]).agg(
         *[F.percentile_approx(f"v{i}", shares, 10_000).alias(f"v{i}") for i in range(len(values))]
@@ -82,7 +99,7 @@ def curve_order(docs: DataFrame, dimensions=DIMENSIONS, bits: int = BITS) -> Dat
                           for c, x in zip(cuts, columns)])
         return pd.Series(curve_index(cells, bits))
 
-    return docs.withColumn("__curve", place(*values))
+    return docs.select(*(f"`{c}`" for c in columns), place(*values).alias("__curve"))
 
 
 def cut_runs(rows: DataFrame, order: list, shards: int) -> DataFrame:
@@ -107,9 +124,9 @@ def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, s
     than the dimensions, id and text do not matter.
     """
     data = F.coalesce(F.col(f"`{text_col}`").cast("binary"), F.lit(b""))
-    at = curve_order(docs.select(*dict.fromkeys([id_col, text_col, *dimensions])), dimensions, bits)
-    rows = at.select(F.col(f"`{id_col}`"), (F.octet_length(data) + 1).cast("long").alias("__size"),
-                     F.crc32(data).alias("__crc"), "__curve")
+    short = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([id_col, *dimensions])],
+                        (F.octet_length(data) + 1).cast("long").alias("__size"), F.crc32(data).alias("__crc"))
+    rows = curve_order(short, dimensions, bits).select(F.col(f"`{id_col}`"), "__size", "__crc", "__curve")
     return cut_runs(rows, ["__curve", "__crc", id_col], shards)
 
 

@@ -237,6 +237,16 @@ def test_the_curve_is_a_walk_through_all_cells(n, bits):
     assert (np.abs(np.diff(cells[:, np.argsort(place)], axis=1)).sum(axis=0) == 1).all()
 
 
+def test_strings_with_a_common_start_have_their_own_cells(spark):
+    names = [f"https://www.a-long-common-start.example/crawl-2024-{i:03}" for i in range(64)]
+    rows = [(i, "t", "en", names[i % 64], 7) for i in range(640)] + [(700, "t", None, None, 7), (701, "t", "en", "", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    at = hilbert_shards.curve_order(docs, ("source",)).collect()
+    places = {r["source"]: r["__curve"] for r in at}
+    assert len(at) == len(rows) and len(set(places.values())) >= 60 and min(places.values()) == places[None]
+    assert [places[n] for n in names] == sorted(places[n] for n in names)
+
+
 def test_files_are_skipped(spark, sf, tmp_path):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     manifest = hilbert_shards.write_shards(docs, str(tmp_path / "out"))

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from crawlfold.llm import (
-    context_tree, decontaminate, hilbert_shards, jaccard_join, line_dedup, main_text, phrase_dedup, quality_rules,
-    radix_dedup, sentencepiece_sampling,
+    bisector_clusters, context_tree, decontaminate, dimension_scan, hilbert_shards, jaccard_join, line_dedup, main_text,
+    phrase_dedup, quality_rules, radix_dedup, sentencepiece_sampling, token_alignment,
 )
 
 QUERIES = {
@@ -18,9 +18,13 @@ QUERIES = {
     "op8_main_text": main_text.op8_main_text,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_jaccard_join": jaccard_join.op10_jaccard_join,
+    "op11_dimension_scan": dimension_scan.op11_dimension_scan,
+    "op12_token_alignment": token_alignment.op12_token_alignment,
+    "op13_bisector_clusters": bisector_clusters.op13_bisector_clusters,
 }
 SQL = {
     "op3_decontaminate": decontaminate.SQL,
     "op6_quality_rules": quality_rules.SQL,
     "op9_line_dedup": line_dedup.SQL,
+    "op13_bisector_clusters": bisector_clusters.SQL,
 }

@@ -27,6 +27,7 @@ import math
 import os
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +50,7 @@ RUNS_A_TASK = 64
 #: Pairs of one stored block of a merged run.
 BLOCK_PAIRS = 1 << 16
 #: Words whose tokens a task keeps, and links of these words.
-KEPT_WORDS, KEPT_LINKS = 150_000, 1_500_000
+KEPT_WORDS, KEPT_LINKS = 300_000, 4_000_000
 #: Texts tokenized at once.
 CHUNK_BYTES, CHUNK_DOCS = 1 << 19, 1024
 #: White space behind a word, as far as a word follows it.
@@ -75,6 +76,10 @@ class Vocabularies:
         self.a_size = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
         self.n_b = len(self.b_bytes)
+        # An id in decimal and the sign behind it, by sign and id; the widest is six bytes, and empty bytes are taken out.
+        digits = [str(i) for i in range(max(len(self.a_bytes), self.n_b))]
+        self.written = np.array([[d + sign for d in digits] for sign in ",|;"], "S6")
+        self.width = np.char.str_len(self.written[0]).astype(np.int64)
 
     def encode(self, words: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of both tokenizers for words that begin with a space, which B adds itself."""
@@ -114,7 +119,7 @@ def _text(body: bytes | None) -> str:
 def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     """Values of all lists, and which list each is of."""
     sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-    values = np.fromiter((x for v in lists for x in v), np.int64, int(sizes.sum()))
+    values = np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum()))
     return values, np.repeat(np.arange(len(lists)), sizes)
 
 
@@ -133,12 +138,12 @@ class Words:
 
     def clear(self) -> None:
         self.number: dict[str, int] = {}
-        self.groups: list[str] = []
+        self.groups: list[bytes] = []  # as they are written, each with a semicolon behind it
         self.broken = np.zeros(0, bool)  # the tokens do not give back the word
         self.facts = np.empty((0, 4), np.int64)  # n_a, n_b, n_groups, n_links
         self.ends = np.zeros(1, np.int64)
-        self.pairs = np.empty(0, np.int64)
-        self.weights = np.empty(0, np.int64)
+        self.pairs = np.empty(0, np.int32)
+        self.weights = np.empty(0, np.int32)
 
     def learn(self, texts: list[list[str]]) -> None:
         """Number the words of some texts; forget all others first if too many are known."""
@@ -151,11 +156,9 @@ class Words:
 
     def _add(self, words: list[str]) -> None:
         a, b = self.v.encode(words)
-        texts = [w.encode() for w in words]
-        good = np.array([
-            b"".join(map(self.v.a_bytes.__getitem__, x)) == t and b"".join(map(self.v.b_bytes.__getitem__, y)) == t
-            for x, y, t in zip(a, b, texts)], bool)
-        a, b = [x if g else [] for x, g in zip(a, good)], [x if g else [] for x, g in zip(b, good)]
+        good = self._given_back(words, a, b)
+        if not good.all():
+            a, b = [x if g else [] for x, g in zip(a, good)], [x if g else [] for x, g in zip(b, good)]
         (a_ids, a_word), (b_ids, b_word) = _flat(a), _flat(b)
         a_end, b_end = np.cumsum(self.v.a_size[a_ids]), np.cumsum(self.v.b_size[b_ids])
         cuts = np.intersect1d(a_end, b_end)
@@ -172,38 +175,47 @@ class Words:
         left = np.repeat(np.arange(len(ga)), many)
         right = np.arange(len(left)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first, many)
         per_word = np.bincount(word[ga[left]], minlength=n)
-        self.pairs = np.concatenate([self.pairs, ia[left] * self.v.n_b + ib[right]])
-        self.weights = np.concatenate([self.weights, ca[left] * cb[right]])
+        self.pairs = np.concatenate([self.pairs, (ia[left] * self.v.n_b + ib[right]).astype(np.int32)])
+        self.weights = np.concatenate([self.weights, (ca[left] * cb[right]).astype(np.int32)])
         self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(per_word)])
         self.facts = np.concatenate([self.facts, facts])
-        self.groups += self._written(a, b, a_group, b_group)
+        self.groups += self._written(a_ids, b_ids, a_group, b_group, a_word, b_word, n)
         self.broken = np.concatenate([self.broken, ~good])
         self.number |= zip(words, range(len(self.number), len(self.number) + n))
 
-    @staticmethod
-    def _written(a, b, a_group, b_group) -> list[str]:
-        out = []
-        i = j = 0
-        ga, gb = a_group.tolist(), b_group.tolist()
-        for x, y in zip(a, b):
-            if len(x) == 1 and len(y) == 1:
-                out.append(f"{x[0]}|{y[0]}")
-            else:
-                parts: dict[int, tuple[list, list]] = {}
-                for k, t in enumerate(x, i):
-                    parts.setdefault(ga[k], ([], []))[0].append(str(t))
-                for k, t in enumerate(y, j):
-                    parts.setdefault(gb[k], ([], []))[1].append(str(t))
-                out.append(";".join(f"{','.join(p)}|{','.join(q)}" for p, q in parts.values()))
-            i, j = i + len(x), j + len(y)
-        return out
+    def _given_back(self, words: list[str], a: list[list[int]], b: list[list[int]]) -> np.ndarray:
+        """Which words both tokenizers give back byte by byte."""
+        v, texts = self.v, [w.encode() for w in words]
+        whole, sizes = b"".join(texts), np.fromiter(map(len, texts), np.int64, len(texts))
+        good = np.ones(len(words), bool)
+        for lists, of, size in ((a, v.a_bytes, v.a_size), (b, v.b_bytes, v.b_size)):
+            ids, word = _flat(lists)
+            if (np.bincount(word, size[ids], len(words)) != sizes).any() or b"".join(map(of.__getitem__, ids.tolist())) != whole:
+                good &= np.array([b"".join(map(of.__getitem__, x)) == t for x, t in zip(lists, texts)], bool)
+        return good
+
+    def _written(self, a_ids, b_ids, a_group, b_group, a_word, b_word, n: int) -> list[bytes]:
+        """The groups of each word, `a1,a2|b1;a3|b2;`: every id with the sign behind it, put in place at once."""
+        v = self.v
+        a_of, b_of = np.bincount(a_group, minlength=len(b_group) and b_group[-1] + 1), np.bincount(b_group)
+        at_a = np.arange(len(a_ids)) + (np.cumsum(b_of) - b_of)[a_group]
+        at_b = np.arange(len(b_ids)) + np.cumsum(a_of)[b_group]
+        signs = np.zeros(len(a_ids) + len(b_ids), np.int64)
+        signs[at_a[np.cumsum(a_of) - 1]] = 1
+        signs[at_b[np.cumsum(b_of) - 1]] = 2
+        ids = np.empty(len(signs), np.int64)
+        ids[at_a], ids[at_b] = a_ids, b_ids
+        data = v.written[signs, ids].tobytes().replace(b"\0", b"")
+        sizes = np.bincount(a_word, v.width[a_ids], n) + np.bincount(b_word, v.width[b_ids], n)
+        ends = np.cumsum(sizes).astype(np.int64).tolist()
+        return [data[x:y] for x, y in zip([0, *ends], ends)]
 
     def links(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(place in `numbers`, pair, how often) of all links of the words."""
         many = self.ends[numbers + 1] - self.ends[numbers]
         at = np.repeat(np.arange(len(numbers)), many)
         row = np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(self.ends[numbers], many)
-        return at, self.pairs[row], self.weights[row]
+        return at, self.pairs[row].astype(np.int64), self.weights[row]
 
 
 def radix_of(a_ids: np.ndarray, radix: int) -> np.ndarray:
@@ -251,14 +263,14 @@ class _Run:
         cut = [words_of(" " + t) if (t := _text(b)) else [] for b in bodies]
         w.learn(cut)
         sizes = np.fromiter(map(len, cut), np.int64, len(cut))
-        numbers = np.fromiter((w.number[x] for words in cut for x in words), np.int64, int(sizes.sum()))
+        numbers = np.fromiter(map(w.number.__getitem__, chain.from_iterable(cut)), np.int64, int(sizes.sum()))
         doc = np.repeat(np.arange(len(cut)), sizes)
-        parts = [w.groups[i] for i in numbers.tolist()]
+        parts = list(map(w.groups.__getitem__, numbers.tolist()))
         broken = np.zeros(len(cut), bool)
         broken[doc[w.broken[numbers]]] = True
         ends = np.cumsum(sizes).tolist()
         for n, end, bad in zip(sizes.tolist(), ends, broken.tolist()):
-            self.shas.append(hashlib.sha256(";".join(parts[end - n : end]).encode()).hexdigest() if n and not bad else "")
+            self.shas.append(hashlib.sha256(b"".join(parts[end - n : end])[:-1]).hexdigest() if n and not bad else "")
         whole = ~broken[doc]
         numbers, doc = numbers[whole], doc[whole]
         facts = np.zeros((len(cut), 4), np.int64)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crawlfold.functions import html as H
+from crawlfold.functions import html as H, markup as M
 
 # Patterns of the coordinates inside the page script.
 LON = r'shopGlng: *" *(\d{3}.\d+) *"'
@@ -14,8 +14,7 @@ LAT = r'shopGlat: *" *(\d{2}.\d+) *"'
 
 def position_script(page: Column) -> Column:
     """First script that names both coordinates, NULL when no script does."""
-    scripts = F.transform(H.pieces(page, H.opening("script")), lambda s: H.before(s, "</script>"))
-    both = F.filter(scripts, lambda s: s.contains("shopGlat") & s.contains("shopGlng"))
+    both = F.filter(M.scripts(page), lambda s: s.contains("shopGlat") & s.contains("shopGlng"))
     return F.try_element_at(both, F.lit(1))
 
 
@@ -36,25 +35,31 @@ def link_words(section: Column) -> Column:
     return H.known(H.unescape(F.array_join(H.texts(section, "a"), "|")))
 
 
-def keyword_sections(page: Column) -> Column:
-    """The spans of every content block inside the wrapper of the review keywords, as one text.
-
-    The wrapper and its blocks end with their own closing tags; what another block further inside
-    holds counts for that block.
-    """
-    wrapper = H.block(page, "div", "id", "summaryfilter-wrapper")
-    # Each opening tag of a content block, and what follows it, put back one after the other.
-    parts = F.split(wrapper, "(?s)" + H.opening("div", "class", "content"))
-
-    def walk(state: Column, part: Column) -> Column:
-        """From the last block to the first: the text behind an opening tag is what was joined so far."""
-        behind = F.concat(part, state["behind"])
-        return F.struct(
-            F.concat(F.lit("<div>"), behind).alias("behind"),
-            F.concat(F.array_join(H.spans(H.own(behind, "div")), ""), state["found"]).alias("found"))
-
-    start = F.struct(F.lit("").alias("behind"), F.lit("").alias("found"))
-    return F.aggregate(F.reverse(F.slice(parts, 2, 1_000_000_000)), start, walk)["found"]
+def key_words(shown: Column) -> Column:
+    """Texts of the links directly inside the spans of every content block of the wrapper of the review keywords, in
+    page order; `shown` is the page without comments and scripts."""
+    wrapper = H.after(shown, H.opening("div", "id", "summaryfilter-wrapper"))
+    content = {"d": ("c", H.opening("div", "class", "content"))}
+    tags = F.transform(M.pieces(wrapper, "div", "span", "a"), lambda p: F.struct(
+        M.code(p, {"d": "d", "s": "s", "a": "a"}, content).alias("code"), p.alias("piece")))
+
+    def walk(state: Column, tag: Column) -> Column:
+        path, code = state["path"], tag["code"]
+        now = (
+            F.when(code == "", path)
+            .when(code == "a", F.concat(M.closed(path, "a", "cds"), F.lit("a")))
+            .when(code == "A", M.closed(path, "a", "cd"))
+            .when(code == "S", M.closed(path, "s", "cd"))
+            .when(code == "D", M.closed(path, "cd"))
+            .otherwise(F.concat(path, code))
+        )
+        over = state["over"] | ((code == "D") & ~path.rlike("[cd]"))
+        word = M.leading_text(tag["piece"])
+        found = F.when(~over & (code == "a") & now.endswith("csa"), F.concat(state["words"], F.array(word))).otherwise(state["words"])
+        return F.struct(now.alias("path"), over.alias("over"), found.alias("words"))
+
+    start = F.struct(F.lit("").alias("path"), F.lit(False).alias("over"), F.array().cast("array<string>").alias("words"))
+    return F.filter(F.aggregate(tags, start, walk)["words"], lambda w: w != "")
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -65,13 +70,14 @@ def extract(pages: DataFrame) -> DataFrame:
 
 def with_details(pages: DataFrame) -> DataFrame:
     """Add lon, lat and key_words."""
-    words = H.once(pages.withColumn("_words", keyword_sections(F.col("html"))))
-    return with_position(words).withColumn("key_words", link_words(F.col("_words"))).drop("_words")
+    shown = H.once(pages.withColumn("_shown", M.visible(F.col("html"))))
+    words = H.once(shown.withColumn("_words", F.array_join(key_words(F.col("_shown")), "|")).drop("_shown"))
+    return with_position(words).withColumn("key_words", H.known(H.unescape(F.col("_words")))).drop("_words")
 
 
 def heading(page: Column) -> Column:
     """Raw shop name of a detail page: the leading text of its heading."""
-    return H.text(H.after(page, H.opening("div", "id", "basic-info")), "h1", "class", "shop-name")
+    return H.text(H.after(M.visible(page), H.opening("div", "id", "basic-info")), "h1", "class", "shop-name")
 
 
 def with_heading(pages: DataFrame) -> DataFrame:

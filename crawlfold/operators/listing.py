@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crawlfold.functions import html as H
+from crawlfold.functions import html as H, markup as M
 from crawlfold.schemas import ITEM_COLUMNS
 
 # Markers in the page text.
@@ -13,52 +13,53 @@ PER_HEAD = "人均"
 FLAVOR, ENVIRONMENT, SERVICE = "口味", "环境", "服务"
 
 
-_LIST_TAGS = r"(?i)(?=</?(?:ul|li|div)[\s/>])"
+def _places(codes: Column) -> Column:
+    """Where cards begin and end among the pieces of the shop list, given by the letters of their tags.
 
-
-def _places(pieces: Column) -> Column:
-    """Where cards begin and end among the pieces of the shop list, each cut in front of a tag.
-
-    One run over the tags with the open elements as letters: u, l, d. A card is a `div.txt` inside
-    a list item of a list directly below the list's `div`, as many lists as there are; it ends with
-    its own closing tag, and a page cut off inside a card ends it too.
+    u, l, d are open lists, items and blocks; t is a block of class `txt`. A card is a t inside an item of a list
+    directly below the list's block, as many lists as there are; it ends with its own closing tag, with its item, or
+    with the page. The list ends with the closing tag of its own block.
     """
-    def walk(state: Column, piece: Column) -> Column:
-        tag = F.lower(F.regexp_extract(piece, r"^<(/?[a-zA-Z]+)", 1))
-        letter = F.when(tag.endswith("ul"), "u").when(tag.endswith("li"), "l").when(tag.endswith("div"), "d").otherwise("")
-        closes = tag.startswith("/")
-        open_ = state["open"]
-        # A list item ends where the next one of its list begins.
-        base = F.when((letter == "l") & open_.endswith("l"), F.regexp_replace(open_, "l$", "")).otherwise(open_)
-        entered = F.concat(base, letter)
-        left = (
-            F.when(letter == "u", F.regexp_replace(open_, "u[^u]*$", ""))
-            .when(letter == "l", F.regexp_replace(open_, "l[^lu]*$", ""))
-            .otherwise(F.regexp_replace(open_, "d[^d]*$", ""))
+    def walk(state: Column, code: Column) -> Column:
+        path = state["path"]
+        now = (
+            F.when(code == "", path)
+            .when(code.isin("d", "t"), F.concat(path, F.lit("d")))
+            .when(code == "u", F.concat(path, F.lit("u")))
+            .when(code == "l", F.concat(M.closed(path, "l", "u"), F.lit("l")))
+            .when(code == "D", M.closed(path, "d"))
+            .when(code == "U", M.closed(path, "u"))
+            .otherwise(M.closed(path, "l", "u"))
         )
-        over = state["over"] | (closes & (letter == "d") & ~open_.contains("d"))
-        now = F.when(closes, left).otherwise(F.when(letter == "", open_).otherwise(entered))
-        begins = ~state["over"] & ~closes & (letter == "d") & (now == "uld") & piece.rlike("(?s)^" + H.opening("div", "class", "txt"))
-        ends = state["from"].isNotNull() & ~now.startswith("uld")
-        done = F.when(ends | (over & state["from"].isNotNull()),
-                      F.concat(state["cards"], F.array(F.struct(state["from"].alias("a"), state["i"].alias("b"))))
+        over = state["over"] | ((code == "D") & ~path.contains("d"))
+        begun = state["from"].isNotNull()
+        ends = begun & (over | ~now.startswith("uld"))
+        begins = ~over & (code == "t") & (now == "uld")
+        done = F.when(ends, F.concat(state["cards"], F.array(F.struct(state["from"].alias("a"), state["i"].alias("b"))))
                       ).otherwise(state["cards"])
-        began = F.when(begins, state["i"]).when(ends | over, F.lit(None).cast("int")).otherwise(state["from"])
-        return F.struct((state["i"] + 1).alias("i"), now.alias("open"), over.alias("over"), began.alias("from"), done.alias("cards"))
+        began = F.when(begins, state["i"]).when(ends, F.lit(None).cast("int")).otherwise(state["from"])
+        return F.struct((state["i"] + 1).alias("i"), now.alias("path"), over.alias("over"), began.alias("from"), done.alias("cards"))
 
     start = F.struct(
-        F.lit(1).alias("i"), F.lit("").alias("open"), F.lit(False).alias("over"), F.lit(None).cast("int").alias("from"),
+        F.lit(1).alias("i"), F.lit("").alias("path"), F.lit(False).alias("over"), F.lit(None).cast("int").alias("from"),
         F.array().cast("array<struct<a:int,b:int>>").alias("cards"))
-    return F.aggregate(pieces, start, walk, lambda s: F.when(
+    return F.aggregate(codes, start, walk, lambda s: F.when(
         s["from"].isNotNull(), F.concat(s["cards"], F.array(F.struct(s["from"].alias("a"), s["i"].alias("b"))))
     ).otherwise(s["cards"]))
 
 
 def cards(pages: DataFrame) -> DataFrame:
-    """One row per card of the shop list, with its position on the page and the page's time."""
-    behind = H.after(F.col("html"), H.opening("div", "id", "shop-all-list"))
-    cut = H.once(pages.select("url", F.col("fetched_at").alias("ts"), F.split(behind, _LIST_TAGS).alias("_pieces")))
-    found = H.once(cut.select("url", "ts", "_pieces", _places(F.col("_pieces")).alias("_cards")))
+    """One row per card of the shop list, with its position on the page and the page's time.
+
+    Comments, scripts and styles are no part of a card, and what looks like a tag inside them is none.
+    """
+    shown = H.once(pages.select("url", F.col("fetched_at").alias("ts"), M.visible(F.col("html")).alias("_html")))
+    behind = H.after(F.col("_html"), H.opening("div", "id", "shop-all-list"))
+    cut = H.once(shown.select("url", "ts", M.pieces(behind, "ul", "li", "div").alias("_pieces")))
+    letters = {"u": "u", "l": "l", "d": "d"}
+    text_block = {"d": ("t", H.opening("div", "class", "txt"))}
+    codes = F.transform("_pieces", lambda p: M.code(p, letters, text_block))
+    found = H.once(cut.select("url", "ts", "_pieces", _places(codes).alias("_cards")))
     split = found.select("url", "ts", "_pieces", F.posexplode("_cards").alias("pos", "_c"))
     whole = F.array_join(F.slice("_pieces", F.col("_c.a"), F.col("_c.b") - F.col("_c.a")), "")
     # Without the card's own opening tag.

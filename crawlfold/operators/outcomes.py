@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from crawlfold.operators.asof import attributed
 from crawlfold.operators.skew import SEGMENT_ROWS, cut
 from crawlfold.operators.leases import lease_id
 from crawlfold.params import BAN_N, PAGE_OK
@@ -188,18 +189,30 @@ def of_pages(pages: DataFrame) -> DataFrame:
     )
 
 
-def by_lease(outcomes: DataFrame, leases: DataFrame) -> DataFrame:
+def with_lease(outcomes: DataFrame, leases: DataFrame, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
+    """Outcomes with `lease`, the id of the lease that held their key at the time; NULL where none did.
+
+    `leases` are those of `leases.history`. A lease holds its key from its birth until the next one takes it
+    over; of two born at one moment the one that was not taken over at once. Births and outcomes are one
+    ordered stream per key, so a key with many leases and many outcomes costs their sum, not their product.
+    """
+    held = leases.withColumn("_lease", F.struct(lease_id().alias("id"), F.col("superseded_at").alias("to"))).select(
+        F.col("proxy").alias("key"), "birth_time", "_lease")
+    # A lease that lasts, or the one taken over last, wins.
+    ties = [F.col("_lease.to").isNull(), F.col("_lease.to")]
+    found = attributed(outcomes, held, "key", "ts", F.col("_lease"), "birth_time", ties, "_held", segment_rows)
+    open_ = F.col("_held.to").isNull() | (F.col("ts") < F.col("_held.to"))
+    return found.withColumn("lease", F.when(open_, F.col("_held.id"))).drop("_held")
+
+
+def by_lease(outcomes: DataFrame, leases: DataFrame, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
     """Outcomes under the lease that held their key: `key` becomes the lease's id (`leases.lease_id`).
 
-    `leases` are those of `leases.history`. A lease holds its key from its birth until the next
-    one takes it over, so a new lease starts without the outcomes of older ones. Outcomes of a
-    key without a lease at that time count for none.
+    A new lease starts without the outcomes of older ones. Outcomes of a key without a lease at that time
+    count for none.
     """
-    held = leases.select(
-        F.col("proxy").alias("key"), lease_id().alias("_lease"),
-        F.col("birth_time").alias("_from"), F.col("superseded_at").alias("_to"))
-    inside = (F.col("ts") >= F.col("_from")) & (F.col("_to").isNull() | (F.col("ts") < F.col("_to")))
-    return outcomes.join(held, "key").filter(inside).select(F.col("_lease").alias("key"), "seq", "ts", "kind")
+    found = with_lease(outcomes, leases, segment_rows).filter(F.col("lease").isNotNull())
+    return found.select(F.col("lease").alias("key"), "seq", "ts", "kind")
 
 
 def in_use(outcomes: DataFrame) -> DataFrame:

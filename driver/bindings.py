@@ -73,16 +73,21 @@ def _tag(condition: str, *parts: Column) -> Column:
     return F.when(F.expr(condition), F.concat(*parts)).otherwise("")
 
 
-def _card(faults: bool, nested: bool) -> Column:
-    """A card of the list. `nested`: blocks inside its blocks, a list inside it, an escaped currency sign."""
+def _card(faults: bool, nested: bool, odd: bool = False) -> Column:
+    """A card of the list. `nested`: blocks inside its blocks, a list inside it, an escaped currency sign. `odd`: tags in
+    values, comments and scripts, an item without an end tag."""
     k = F.col("k").cast("string")
     text = F.lit
     sign = F.expr("case when k%2=0 then '&#xA5;' else '&yen;' end") if nested else text("￥")
     tip = text('<div class="tip"><p>x</p><div>y</div></div>' if nested else "")
     inner = text('<ul><li><div class="txt"><div class="tit">no card</div></div></li></ul>' if nested else "")
     one_tag, no_id, no_rank = (("k%13=0", "k%17=0", "k%19=0") if faults else ("false",) * 3)
+    picture, hidden = "<img src=\"x.png\">", ""
+    if odd:
+        picture = "<img alt=\"<div><li>\" data-x=it's title='</ul>' src=x.png>"
+        hidden = '<!-- </div></li> <div class="tit"> --><script>document.write("</div><li><div class=\\"txt\\">")</script>'
     return F.concat(
-        text('<li><div class="pic"><a href="#"><img src="x.png"></a></div>\n<div class="txt">'
+        text(f'<li><div class="pic"><a href="#">{picture}</a></div>\n<div class="txt">{hidden}'
              '<div class="tit"><a data-hippo-type="shop"'),
         _tag(f"not ({no_id})", text(' data-shopid="'), k, text('"')),
         text("><h4>"), F.col("name"), text('</h4></a></div>\n<div class="comment">'), tip,
@@ -104,14 +109,15 @@ def _card(faults: bool, nested: bool) -> Column:
     )
 
 
-def listing_pages(spark: SparkSession, sf: str, faults: bool = False, nested: bool = False) -> DataFrame:
+def listing_pages(spark: SparkSession, sf: str, faults: bool = False, nested: bool = False, odd: bool = False) -> DataFrame:
     """Listing pages of 15 cards. 50 pages make a chain; every fifth chain is a ring.
 
     `nested`: a sort bar in front, the cards in two lists, and another list behind the shop list.
+    `odd`: comments, scripts and styles that hold tags, before the list and between its cards.
     """
     cards = table(spark, sf, "customer").selectExpr(
         "c_custkey k", "c_name name", "c_mktsegment segment", "c_nationkey nation"
-    ).select(F.expr(f"k div {CARDS_PER_PAGE}").alias("page"), "k", _card(faults, nested).alias("card"))
+    ).select(F.expr(f"k div {CARDS_PER_PAGE}").alias("page"), "k", _card(faults, nested, odd).alias("card"))
     pages = cards.groupBy("page").agg(
         F.array_sort(F.collect_list(F.struct("k", "card"))).alias("cards")
     )
@@ -129,8 +135,13 @@ def listing_pages(spark: SparkSession, sf: str, faults: bool = False, nested: bo
         bar = '<div class="sort"><ul><li><div class="txt">sort</div></li></ul></div><p>all</p>'
         between = F.lit("</ul><p>more</p><ul>")
         behind = '<ul><li><div class="txt">not a shop</div></li></ul>'
+    before = ""
+    if odd:
+        before = '<!-- <div id="shop-all-list"><ul><li><div class="txt">old</div></li></ul></div> -->'
+        bar = '<!-- <div class="old"> --><!-- </div> --><script>var s = "<div class=x><ul><li>";</script><style>ul > li { }</style>'
+        between = F.lit("<!-- </ul> </div> -->")
     html = F.concat(
-        F.lit(f'<html><head><title>list</title></head><body><div id="shop-all-list">{bar}<ul>'),
+        F.lit(f'<html><head><title>list</title></head><body>{before}<div id="shop-all-list">{bar}<ul>'),
         F.array_join(F.slice(rows, 1, 7), ""), between, F.array_join(F.slice(rows, 8, CARDS_PER_PAGE), ""),
         F.lit(f'</ul></div>{behind}<div class="page"><a class="prev" href="#">prev</a>'), pager,
         F.lit("</div></body></html>"),
@@ -144,11 +155,12 @@ def listing_pages(spark: SparkSession, sf: str, faults: bool = False, nested: bo
     )
 
 
-def as_detail_pages(customers: DataFrame, nested: bool = False, statuses: bool = False) -> DataFrame:
+def as_detail_pages(customers: DataFrame, nested: bool = False, statuses: bool = False, odd: bool = False) -> DataFrame:
     """One detail page per customer; every 23rd is a block notice.
 
     `nested`: keywords in two blocks, with other links around them and a foreign block behind.
     `statuses`: some pages are stored with a refusal, some without a status.
+    `odd`: comments that hold end tags, a heading, a script and other keywords; a span inside a span.
     """
     key = customers.selectExpr("c_custkey k", "c_name name", "c_nationkey nation")
     aside = second = foreign = ""
@@ -156,17 +168,23 @@ def as_detail_pages(customers: DataFrame, nested: bool = False, statuses: bool =
         aside = '<div class="sub"><a>no word</a></div>'
         second = '</div><div class="head"><a>no</a></div><div class="content"><b><a>bold</a></b><span><a>B</a></span>'
         foreign = '<div class="content"><span><a>foreign</a></span></div>'
+    hidden, inner = "", ""
+    if odd:
+        hidden = ('<!-- <div id="basic-info"><h1 class="shop-name">old</h1></div>'
+                  '<script>window.cfg = {shopGlat: "11.1", shopGlng: "111.1"}</script><div id="summaryfilter-wrapper"></div> -->')
+        aside = "<!-- </div></div> --><script>'</div></div>'</script>"
+        inner = "<span>n</span>"
     digits = "lpad(cast(k%1000 as string), 3, '0')"
     lon = F.expr(f"concat(case when k%13=0 then '121x' else '121.' end, {digits})")
     lat = F.expr(f"concat('31.', {digits})")
     html = F.concat(
         F.lit("<html><head><title>"), F.expr("case when k%23=0 then '验证中心' else name end"),
-        F.lit('</title></head><body><div id="basic-info"><h1 class="shop-name">\n  '), F.col("name"),
+        F.lit(f'</title></head><body>{hidden}<div id="basic-info"><h1 class="shop-name">\n  '), F.col("name"),
         F.lit(" <a>more</a></h1></div><script>var shopGlat = null;</script>"),
         _tag("k%9<>0", F.lit('<script>window.cfg = {shopGlat: "'), lat, F.lit('" , shopGlng: " '), lon,
              F.lit('"}</script>')),
         F.lit('<div id="summaryfilter-wrapper"><div class="content">'),
-        _tag("k%6<>0", F.lit("<span><a>W"), F.expr("cast(k%7 as string)"), F.lit("</a></span>"), F.lit(aside),
+        _tag("k%6<>0", F.lit(f"<span>{inner}<a>W"), F.expr("cast(k%7 as string)"), F.lit("</a></span>"), F.lit(aside),
              F.lit("<span><a>N"), F.col("nation").cast("string"), F.lit("</a></span>"), F.lit(second)),
         F.lit(f"</div></div>{foreign}</body></html>"),
     )
@@ -184,8 +202,8 @@ def as_detail_pages(customers: DataFrame, nested: bool = False, statuses: bool =
 STORED_STATUS = "cast(case when k%29=0 then 403 when k%31=0 then 500 when k%37=0 then null else 200 end as int)"
 
 
-def detail_pages(spark: SparkSession, sf: str, nested: bool = False, statuses: bool = False) -> DataFrame:
-    return as_detail_pages(table(spark, sf, "customer"), nested, statuses)
+def detail_pages(spark: SparkSession, sf: str, nested: bool = False, statuses: bool = False, odd: bool = False) -> DataFrame:
+    return as_detail_pages(table(spark, sf, "customer"), nested, statuses, odd)
 
 
 # Dimensions and seeds

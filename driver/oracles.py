@@ -238,6 +238,7 @@ SQL: dict[str, str] = {
     "geo_extract": f"WITH {DETAILS} SELECT url, lon, lat FROM details",
     "detail_extract": f"WITH {DETAILS} SELECT id, ts, lon, lat, key_words FROM details WHERE NOT blocked",
     "detail_keywords": f"WITH {DETAILS} SELECT id, key_words || '|B' AS key_words FROM details",
+    "detail_extract_odd": f"WITH {DETAILS} SELECT url, name, lon, lat, key_words FROM details",
     "detail_heading": f"WITH {DETAILS} SELECT url, name FROM details",
     "page_status_verdict": f"WITH {DETAILS} SELECT url, {STATUS} AS status FROM details",
     "detail_round": f"""WITH {SHOPS}, {DETAILS}, j AS (SELECT *, {STATUS} AS status FROM details)
@@ -295,6 +296,9 @@ SQL: dict[str, str] = {
     "pool_state_by_lease": f"""WITH {MEMBERS}
         SELECT CAST(CAST(proxy AS BIGINT) // 10 AS VARCHAR) || '@' || strftime(birth_time, '%Y%m%d%H%M%S.%f') AS "key",
                score, ban_last AS ban, ban_death AS ban_death_time FROM life""",
+    "outcomes_with_lease": """SELECT CAST(user_id AS VARCHAR) AS "key", event_id AS seq,
+          user_id || '@' || strftime(min(ts) OVER (PARTITION BY user_id, least(CAST(floor((day(ts)-1)/10) AS INT), 2)),
+                                     '%Y%m%d%H%M%S.%f') AS lease FROM events""",
     "ban_streak_running": f'WITH {_streaks(PLAIN)} SELECT "key", seq, run AS streak FROM r',
     "first_death": f'WITH {_streaks(PLAIN)} SELECT "key", min(ts) AS death_time FROM r WHERE run >= 3 GROUP BY "key"',
     "pool_in_use": """SELECT CAST(user_id AS VARCHAR) AS "key",
@@ -351,4 +355,5 @@ SQL["stream_extract"] = SQL["detail_extract"]
 SQL["stream_upsert"] = SQL["upsert_merge"]
 SQL["stream_pool"] = SQL["pool_state"]
 SQL["stream_pool_late"] = SQL["pool_state"]
+SQL["listing_extract_odd"] = SQL["listing_extract_nested"]
 SQL["stream_listing"] = SQL["listing_extract_nested"]

@@ -131,6 +131,17 @@ def listing_extract_nested(spark, sf):
     return listing.extract(b.listing_pages(spark, sf, nested=True)).select("id", "url", "pos", *rounds.LISTING_FIELDS)
 
 
+def listing_extract_odd(spark, sf):
+    """Comments, scripts, styles and values that hold tags, items without end tags."""
+    return listing.extract(b.listing_pages(spark, sf, odd=True)).select("id", "url", "pos", *rounds.LISTING_FIELDS)
+
+
+def detail_extract_odd(spark, sf):
+    """Comments that hold end tags, scripts and other keywords, a span inside a span."""
+    pages = b.detail_pages(spark, sf, odd=True)
+    return detail.with_heading(detail.with_details(pages)).select("url", "name", "lon", "lat", "key_words")
+
+
 def listing_optional_fields(spark, sf):
     return _cards(spark, sf, "comments_n", "consumption_per_capita")
 
@@ -286,6 +297,12 @@ def pool_state_by_lease(spark, sf):
     return oc.member_state(oc.by_lease(b.outcomes(spark, sf), held)).select("key", "score", "ban", "ban_death_time")
 
 
+def outcomes_with_lease(spark, sf):
+    """Every outcome with the lease that held its key; users' keys change hands every ten days."""
+    held = leases.history(b.user_leases(spark, sf))
+    return oc.with_lease(b.outcomes(spark, sf), held).select("key", "seq", "lease")
+
+
 def ban_streak_running(spark, sf):
     return oc.running_streak(b.outcomes(spark, sf)).select("key", "seq", "streak")
 
@@ -439,13 +456,13 @@ ALL = {
         area_codes_up_to, seed_urls, seed_url_decode, detail_urls, search_urls,
         lease_feed, lease_rejects, probe_verdicts,
         page_scan, page_verdict, page_verdict_custom, cards_explode, listing_extract,
-        listing_extract_nested, listing_optional_fields, listing_tags, stars_decode, listing_ratings, listing_rejects,
+        listing_extract_nested, listing_extract_odd, detail_extract_odd, listing_optional_fields, listing_tags, stars_decode, listing_ratings, listing_rejects,
         geo_extract, detail_extract, detail_keywords, detail_heading, page_status_verdict, detail_round, new_shop_extract, new_shop_searches, keywords_join,
         heading_extract, url_last_segment,
         claimable_ids, completeness_codes, completeness_by_code, upsert_merge, upsert_inserts,
         upsert_updates, dup_listing_count,
         claim_batch, lock_state, lock_state_late, lock_state_ttl, locked_shops, requeue, fetched_no_geo,
-        pool_state, pool_state_by_lease, ban_streak_running, first_death, pool_in_use, pool_eligible,
+        pool_state, pool_state_by_lease, outcomes_with_lease, ban_streak_running, first_death, pool_in_use, pool_eligible,
         pool_eligible_count, pool_sweep, births_today, pool_gap, pool_gap_current, dead_members, lifetime_classes,
         pool_report, pool_report_empty, pool_report_lenient, random_pick, balanced_assignment,
         lease_history, lease_current,

@@ -21,6 +21,10 @@ _COMMENT = r"<!--(?:-?>|.*?(?:--!?>|\z))"
 _RAW = r"script|style|textarea|xmp|iframe|noembed|noframes"
 
 
+#: A script's body, or nothing for a comment.
+SCRIPT = rf"(?is){_COMMENT}|<script(?=[\s/>]){_REST}(.*?)(?:</script|\z)"
+
+
 def visible(html: Column) -> Column:
     """The page without comments and without elements that hold raw text, scripts among them."""
     hidden = rf"(?is){_COMMENT}|<({_RAW})(?=[\s/>]){_REST}.*?(?:</\1(?=[\s/>]){_REST}|\z)|(</?[a-z]{_REST})"
@@ -30,7 +34,7 @@ def visible(html: Column) -> Column:
 
 def scripts(html: Column) -> Column:
     """Bodies of all scripts that are not commented out, in order. What is no script gives the empty text."""
-    return F.regexp_extract_all(html, F.lit(rf"(?is){_COMMENT}|<script(?=[\s/>]){_REST}(.*?)(?:</script|\z)"), F.lit(1))
+    return F.regexp_extract_all(html, F.lit(SCRIPT), F.lit(1))
 
 
 def pieces(shown: Column, *names: str) -> Column:

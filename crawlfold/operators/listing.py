@@ -54,16 +54,23 @@ def cards(pages: DataFrame) -> DataFrame:
     Comments, scripts and styles are no part of a card, and what looks like a tag inside them is none.
     """
     shown = H.once(pages.select("url", F.col("fetched_at").alias("ts"), M.visible(F.col("html")).alias("_html")))
+    return split_cards(shown, ["url", "ts"])
+
+
+def split_cards(shown: DataFrame, keep: list[str], outer: bool = False) -> DataFrame:
+    """The columns `keep` of pages without comments and scripts (`_html`), and `pos` and `card` of each card. With `outer`
+    a page without cards is one row without either."""
     behind = H.after(F.col("_html"), H.opening("div", "id", "shop-all-list"))
-    cut = H.once(shown.select("url", "ts", M.pieces(behind, "ul", "li", "div").alias("_pieces")))
+    cut = H.once(shown.select(*keep, M.pieces(behind, "ul", "li", "div").alias("_pieces")))
     letters = {"u": "u", "l": "l", "d": "d"}
     text_block = {"d": ("t", H.opening("div", "class", "txt"))}
     codes = F.transform("_pieces", lambda p: M.code(p, letters, text_block))
-    found = H.once(cut.select("url", "ts", "_pieces", _places(codes).alias("_cards")))
-    split = found.select("url", "ts", "_pieces", F.posexplode("_cards").alias("pos", "_c"))
+    found = H.once(cut.select(*keep, "_pieces", _places(codes).alias("_cards")))
+    explode = F.posexplode_outer if outer else F.posexplode
+    split = found.select(*keep, "_pieces", explode("_cards").alias("pos", "_c"))
     whole = F.array_join(F.slice("_pieces", F.col("_c.a"), F.col("_c.b") - F.col("_c.a")), "")
     # Without the card's own opening tag.
-    return split.select("url", "ts", "pos", H.after(whole, H.opening("div", "class", "txt")).alias("card"))
+    return split.select(*keep, "pos", H.after(whole, H.opening("div", "class", "txt")).alias("card"))
 
 
 def stars(css_class: Column) -> Column:
@@ -84,12 +91,12 @@ def _rating(marker: str) -> Column:
     return H.first(F.col("_ratings"), rf"{marker}[^<]*" + H.opening("b") + "([^<]+)")
 
 
-def parse_cards(card_rows: DataFrame) -> DataFrame:
+def parse_cards(card_rows: DataFrame, keep: list[str] = []) -> DataFrame:
     """Typed fields of every card, plus `missing`: the required fields it lacks.
 
-    Columns: url, ts, pos, missing and the eleven listing fields under their shop names.
+    Columns: url, ts, pos, those of `keep`, missing and the eleven listing fields under their shop names.
     """
-    place = ["url", "ts", "pos"]
+    place = ["url", "ts", "pos", *keep]
     title, comment, tags = F.col("_title"), F.col("_comment"), F.col("_tags")
     blocks = card_rows.select(
         *place,

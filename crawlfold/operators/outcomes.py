@@ -1,7 +1,7 @@
 """Request outcomes folded into member state: score, failure streak, use and death.
 
 Outcomes `(key, seq, ts, kind)` are ordered per key by the unique arrival number `seq`.
-Kinds: handout, ok, block, kill. A stretch of a key's outcomes folds into one summary row,
+Kinds: handout, ok, block, kill, and timeout for a hand-out that nobody answered. A stretch of a key's outcomes folds into one summary row,
 and summaries of consecutive stretches chain into the state of the whole key. A stretch is
 a piece of a hot key (see `skew.cut`) or a micro-batch of a stream.
 """
@@ -29,7 +29,7 @@ def _is(kind: str) -> Column:
 
 
 def _used() -> Column:
-    return F.when(_is("handout"), 1).when(_is("ok") | _is("block"), -1).otherwise(0)
+    return F.when(_is("handout"), 1).when(F.col("kind").isin("ok", "block", "timeout"), -1).otherwise(0)
 
 
 def _with_runs(segmented: DataFrame) -> DataFrame:
@@ -216,7 +216,7 @@ def by_lease(outcomes: DataFrame, leases: DataFrame, segment_rows: int = SEGMENT
 
 
 def in_use(outcomes: DataFrame) -> DataFrame:
-    """Open hand-outs per key: plus one per hand-out, minus one per completed outcome."""
+    """Open hand-outs per key: plus one per hand-out, minus one per outcome, a timeout included."""
     return outcomes.groupBy("key").agg(F.sum(_used()).alias("using_n"))
 
 

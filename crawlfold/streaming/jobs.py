@@ -11,13 +11,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from crawlfold import sinks
-from crawlfold.operators import detail, outcomes as oc, shops as shop_ops, verdict
+from crawlfold.operators import detail, listing, outcomes as oc, shops as shop_ops, verdict
 from crawlfold.operators.skew import SEGMENT_ROWS
-from crawlfold.params import BAN_N
-from crawlfold.plans import rounds
+from crawlfold.params import BAN_N, PAGE_OK
 from crawlfold.schemas import OUTCOMES
 from crawlfold.session import written
 
@@ -39,18 +38,66 @@ def run_batches(stream: DataFrame, checkpoint: str, store: Callable[[DataFrame,
     return query
 
 
-def _append(records: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    query = (
-        records.writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+def append(records: DataFrame, out: str, checkpoint: str, counts: str | None = None) -> StreamingQuery:
+    """Append all available records to files and wait for the end; with `counts`, store what the stream observed."""
+    spark = records.sparkSession
+    listener = _Observed()
+    if counts:
+        spark.streams.addListener(listener)
+    try:
+        query = (
+            records.writeStream.format("parquet")
+            .option("path", out)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    finally:
+        if counts:
+            spark.streams.removeListener(listener)
+    if counts:
+        listener.store(spark, query, counts)
     return query
 
 
+class _Observed(StreamingQueryListener):
+    """What the batches of a query have counted while they ran (`DataFrame.observe`)."""
+
+    def __init__(self):
+        self.rows: dict[str, dict[int, dict[str, int]]] = {}
+
+    def _add(self, progress) -> None:
+        found = {f"{name}.{k}": v for name, row in progress.observedMetrics.items() for k, v in row.asDict().items()}
+        if found:
+            self.rows.setdefault(str(progress.runId), {})[progress.batchId] = found
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self._add(event.progress)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def store(self, spark: SparkSession, query: StreamingQuery, counts: str) -> None:
+        """Append one row per batch and count. The query itself still knows its latest batches, should the listener be behind."""
+        for progress in query.recentProgress:
+            self._add(progress)
+        rows = [(batch, name, int(n)) for batch, found in self.rows.get(str(query.runId), {}).items() for name, n in found.items()]
+        if rows:
+            spark.createDataFrame(rows, "batch_id long, name string, n long").coalesce(1).write.mode("append").parquet(counts)
+
+
+def read_counts(spark: SparkSession, counts: str) -> DataFrame:
+    """Counts per batch, `name` being what was observed. A batch that ran again after a failure counts once."""
+    return spark.read.parquet(counts).groupBy("batch_id", "name").agg(F.max("n").alias("n"))
+
+
 def _first_deliveries(pages: DataFrame, within: str | None) -> DataFrame:
     """`within` drops a URL delivered again within that time; the watermark bounds the state this needs."""
     if not within:
@@ -60,14 +107,26 @@ def _first_deliveries(pages: DataFrame, within: str | None) -> DataFrame:
     return timed.withWatermark("_at", within).dropDuplicatesWithinWatermark(["url"]).drop("_at")
 
 
-def extract_details(pages: DataFrame, out: str, checkpoint: str, dedup_within: str | None = None) -> StreamingQuery:
+def extract_details(pages: DataFrame, out: str, checkpoint: str, dedup_within: str | None = None,
+                    counts: str | None = None) -> StreamingQuery:
     """Append the detail records of every usable page as it arrives."""
-    return _append(detail.extract(verdict.usable(_first_deliveries(pages, dedup_within))), out, checkpoint)
+    return append(detail.extract(_judged(_first_deliveries(pages, dedup_within))), out, checkpoint, counts)
+
+
+def _judged(pages: DataFrame) -> DataFrame:
+    """Usable pages; those that came and those that may be parsed are counted as `pages`."""
+    ok = F.col("status") == PAGE_OK
+    counted = verdict.with_verdict(pages).observe("pages", F.count(F.lit(1)).alias("seen"), F.count_if(ok).alias("usable"))
+    return counted.filter(ok)
 
 
-def extract_listings(pages: DataFrame, out: str, checkpoint: str, dedup_within: str | None = None) -> StreamingQuery:
-    """Append the observations of every usable listing page as it arrives."""
-    return _append(rounds.listing_observations(_first_deliveries(pages, dedup_within)), out, checkpoint)
+def extract_listings(pages: DataFrame, out: str, checkpoint: str, dedup_within: str | None = None,
+                     counts: str | None = None) -> StreamingQuery:
+    """Append the observations of every usable listing page as it arrives; cards are counted as `cards`."""
+    read = listing.parse_cards(listing.cards(_judged(_first_deliveries(pages, dedup_within))))
+    faulty = F.col("missing").isNotNull()
+    counted = read.observe("cards", F.count(F.lit(1)).alias("seen"), F.count_if(faulty).alias("rejected"))
+    return append(counted.filter(~faulty).drop("missing").withColumnRenamed("pos", "seq"), out, checkpoint, counts)
 
 
 def upsert_shops(observations: DataFrame, fields: list[str], log: str, checkpoint: str) -> StreamingQuery:

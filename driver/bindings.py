@@ -263,6 +263,18 @@ def usage(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def handouts(spark: SparkSession, sf: str) -> DataFrame:
+    """Views and clicks as requests handed to a member, each for a shop."""
+    return table(spark, sf, "events").filter("event_type in ('view','click')").selectExpr(
+        "cast(event_id as string) request", "cast(user_id as string) key", "cast(event_id%1000 as string) id", "ts")
+
+
+def answers(spark: SparkSession, sf: str) -> DataFrame:
+    """Two of three requests are answered, after 0 to 49 minutes."""
+    return table(spark, sf, "events").filter("event_type in ('view','click') and event_id%3<>0").selectExpr(
+        "cast(event_id as string) request", "ts + make_dt_interval(0, 0, cast(event_id%50 as int)) at")
+
+
 LEASE = "user_id*10+least(cast(floor((day(ts)-1)/10) as int),2)"
 
 

@@ -357,3 +357,31 @@ SQL["stream_pool"] = SQL["pool_state"]
 SQL["stream_pool_late"] = SQL["pool_state"]
 SQL["listing_extract_odd"] = SQL["listing_extract_nested"]
 SQL["stream_listing"] = SQL["listing_extract_nested"]
+SQL["stream_extract_dedup"] = SQL["detail_extract"]
+SQL["stream_claims_ttl"] = SQL["lock_state_ttl"]
+SQL["stream_counts"] = f"""WITH {CARDS},
+    c AS (SELECT k // {CARDS_PER_PAGE} % 3 AS batch_id, k, k % 17 = 0 OR k % 13 = 0 OR k % 19 = 0 AS faulty FROM cards),
+    s AS (SELECT batch_id, count(DISTINCT k // {CARDS_PER_PAGE}) AS pages, count(*) AS cards, count(*) FILTER (WHERE faulty) AS rejected
+          FROM c GROUP BY batch_id)
+    SELECT batch_id, 'pages.seen' AS name, pages AS n FROM s UNION ALL SELECT batch_id, 'pages.usable', pages FROM s
+    UNION ALL SELECT batch_id, 'cards.seen', cards FROM s UNION ALL SELECT batch_id, 'cards.rejected', rejected FROM s"""
+SQL["stream_unanswered"] = """SELECT CAST(event_id AS VARCHAR) AS request, CAST(user_id AS VARCHAR) AS "key",
+    CAST(event_id % 1000 AS VARCHAR) AS id, ts + INTERVAL 30 MINUTE AS ts FROM events
+    WHERE event_type IN ('view', 'click') AND (event_id % 3 = 0 OR event_id % 50 > 30)"""
+SQL["pool_in_use_timeouts"] = """SELECT CAST(user_id AS VARCHAR) AS "key",
+    CAST(count(*) FILTER (WHERE user_id % 7 = 0 AND NOT (event_id % 3 = 0 OR event_id % 50 > 30)) AS BIGINT) AS using_n
+    FROM events WHERE event_type IN ('view', 'click') GROUP BY 1"""
+
+# Names in SQL, and one scan for several tables.
+SQL["sql_pool_report"] = SQL["pool_report"]
+SQL["sql_dead_members"] = SQL["dead_members"]
+SQL["sql_detail_extract"] = f"""WITH {DETAILS} SELECT id, lon, lat, CAST(CASE WHEN blocked THEN 403 ELSE 200 END AS INT) AS status FROM details"""
+SQL["mixed_round"] = f"""WITH {CARDS}, {DETAILS},
+    c AS (SELECT *, concat_ws(',', CASE WHEN k % 17 = 0 THEN 'id' END, CASE WHEN k % 13 = 0 THEN 'tags' END,
+                              CASE WHEN k % 19 = 0 THEN 'stars' END) AS lacks FROM cards),
+    d AS (SELECT *, {STATUS} AS status FROM details)
+    SELECT 'card' AS kind, id, url, pos, name, stars, CAST(NULL AS DOUBLE) AS lon, CAST(NULL AS VARCHAR) AS key_words,
+           CAST(NULL AS VARCHAR) AS missing, CAST(NULL AS INT) AS status FROM c WHERE lacks = ''
+    UNION ALL SELECT 'reject', CASE WHEN k % 17 = 0 THEN NULL ELSE id END, url, pos, NULL, NULL, NULL, NULL, lacks, NULL FROM c WHERE lacks <> ''
+    UNION ALL SELECT 'record', id, url, NULL, NULL, NULL, lon, key_words, NULL, NULL FROM d WHERE status = 200
+    UNION ALL SELECT 'refused', NULL, url, NULL, NULL, NULL, NULL, NULL, NULL, status FROM d WHERE status <> 200"""

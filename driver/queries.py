@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crawlfold import sql
 from crawlfold.functions import html as H
 from crawlfold.functions.timing import lifetime_class, minutes_between
 from crawlfold.operators import (
@@ -14,10 +16,10 @@ from crawlfold.operators import (
     shops as shop_ops, verdict,
 )
 from crawlfold.params import PoolParams, Site
-from crawlfold.plans import rounds
-from crawlfold.session import new_folder
+from crawlfold.plans import mixed, rounds
+from crawlfold.session import new_folder, written
 from crawlfold.sources import dims, feeds
-from crawlfold.streaming import jobs
+from crawlfold.streaming import expiry, jobs
 from driver import bindings as b
 
 AS_OF = dt.datetime(2024, 1, 11)
@@ -449,6 +451,103 @@ def stream_pool_late(spark, sf):
     return jobs.read_pool_state(spark, f"{folder}/log")
 
 
+#: How late rows may be in streams whose files are in no order, and a moment after all of them.
+LATE, END = "60 days", dt.datetime(2024, 12, 1)
+
+
+def stream_extract_dedup(spark, sf):
+    """Every page delivered twice, the second time in later files; the job is restarted between these."""
+    folder = new_folder(spark, "dedup")
+    pages = b.detail_pages(spark, sf)
+    again = pages.withColumn("fetched_at", F.expr("fetched_at + interval 10 minutes"))
+    half = F.pmod(F.xxhash64("url"), F.lit(2))
+
+    def run() -> None:
+        stream = spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+        jobs.extract_details(stream, f"{folder}/out", f"{folder}/checkpoint", dedup_within="2 days")
+
+    for part in (pages, again.filter(half == 0)):
+        part.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    run()
+    again.filter(half == 1).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    run()
+    return spark.read.parquet(f"{folder}/out").drop("url")
+
+
+def stream_counts(spark, sf):
+    """Pages, usable pages, cards and rejects of every batch, counted while the stream ran."""
+    folder = new_folder(spark, "counts")
+    pages = b.listing_pages(spark, sf, faults=True)
+    number = F.regexp_extract("url", r"(\d+)$", 1).cast("bigint")
+    stream = _stored_stream(pages, f"{folder}/pages", 3, number % 3)
+    jobs.extract_listings(stream, f"{folder}/out", f"{folder}/checkpoint", counts=f"{folder}/counts")
+    return jobs.read_counts(spark, f"{folder}/counts")
+
+
+def stream_claims_ttl(spark, sf):
+    """Claims and releases in three files, each with every third event, and a tick at the end of the time."""
+    folder = new_folder(spark, "ttl")
+    rows = b.claims(spark, sf)
+    _stored_stream(rows, f"{folder}/in", 3, F.col("seq") % 3)
+    tick = spark.createDataFrame([(None, 0, NOW + dt.timedelta(days=60), 0)], "id string, seq long, ts timestamp_ntz, code int")
+    tick.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    expiry.expire_claims(stream, f"{folder}/out", f"{folder}/checkpoint", dt.timedelta(days=5), LATE)
+    return claims.lock_state(spark.read.parquet(f"{folder}/out")).select("id", "lock_")
+
+
+def stream_unanswered(spark, sf):
+    """Requests and answers as two streams of files in no order; what nobody answered within half an hour."""
+    folder = new_folder(spark, "unanswered")
+    streams = []
+    for rows, name, tick in ((b.handouts(spark, sf), "h", (expiry.TICK, None, None, END)), (b.answers(spark, sf), "o", (expiry.TICK, END))):
+        _stored_stream(rows, f"{folder}/{name}", 3, F.pmod(F.xxhash64("request"), F.lit(3)))
+        spark.createDataFrame([tick], rows.schema).coalesce(1).write.mode("append").parquet(f"{folder}/{name}")
+        streams.append(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/{name}"))
+    expiry.release_unanswered(*streams, f"{folder}/out", f"{folder}/checkpoint", "30 minutes", LATE)
+    return spark.read.parquet(f"{folder}/out")
+
+
+def pool_in_use_timeouts(spark, sf):
+    """Open hand-outs per member when those that nobody answered are taken back."""
+    given = b.handouts(spark, sf)
+    ended = expiry.unanswered(given, b.answers(spark, sf), "30 minutes")
+    answered = given.join(ended.select("request"), "request", "left_anti").select("key", F.lit("ok").alias("kind"))
+    log = given.select("key", F.lit("handout").alias("kind")).unionByName(expiry.as_outcomes(ended).select("key", "kind")).unionByName(
+        answered.filter("cast(key as bigint) % 7 <> 0"))
+    return oc.in_use(log)
+
+
+# Names in SQL
+
+def _sql(spark, sf, query: str) -> DataFrame:
+    b.pool(spark, sf).createOrReplaceTempView("crawlfold_pool")
+    b.detail_pages(spark, sf).createOrReplaceTempView("crawlfold_pages")
+    sql.register(spark, "crawlfold_pool")
+    return spark.sql(query)
+
+
+def sql_pool_report(spark, sf):
+    return _sql(spark, sf, "SELECT * FROM pool_report(TIMESTAMP_NTZ'2024-01-11')")
+
+
+def sql_dead_members(spark, sf):
+    return _sql(spark, sf, "SELECT * FROM dead_members(TIMESTAMP_NTZ'2024-01-11')")
+
+
+def sql_detail_extract(spark, sf):
+    return _sql(spark, sf, "SELECT url_id(url) AS id, shop_lon(html) AS lon, shop_lat(html) AS lat, page_status(html) AS status FROM crawlfold_pages")
+
+
+def mixed_round(spark, sf):
+    """Listing and detail pages in one table, read once; cards, rejects, records and refused pages as four tables."""
+    pages = written(b.listing_pages(spark, sf, faults=True).unionByName(b.detail_pages(spark, sf, statuses=True)))
+    tables = mixed.write_tables(mixed.routed(pages), new_folder(spark, "mixed"))
+    columns = ["id", "url", "pos", "name", "stars", "lon", "key_words", "missing", "status"]
+    rows = [t.select(F.lit(kind).alias("kind"), *[c if c in t.columns else F.lit(None).alias(c) for c in columns]) for kind, t in tables.items()]
+    return functools.reduce(DataFrame.unionByName, rows)
+
+
 ALL = {
     f.__name__: f
     for f in (
@@ -467,6 +566,8 @@ ALL = {
         pool_report, pool_report_empty, pool_report_lenient, random_pick, balanced_assignment,
         lease_history, lease_current,
         next_page_links, listing_depth, stream_extract, stream_listing, stream_upsert, stream_pool, stream_pool_late,
+        stream_extract_dedup, stream_counts, stream_claims_ttl, stream_unanswered, pool_in_use_timeouts,
+        sql_pool_report, sql_dead_members, sql_detail_extract, mixed_round,
     )
 }
 ALL["lifetime_class"] = ALL.pop("lifetime_classes")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from crawlfold.functions import html as H
@@ -33,18 +33,19 @@ def depth(edges: DataFrame, seeds: DataFrame, salts: int = SALTS) -> DataFrame:
     """
     jump = written(edges.select("url", F.col("next_url").alias("ahead")).distinct())
     reached = written(seeds.select("url", F.lit(0).alias("depth")).distinct())
-    known, step = reached.count(), 1
+    known, step = -1, 1
     while True:
         ahead = reached.join(jump, "url").select(
             F.col("ahead").alias("url"), (F.col("depth") + step).alias("depth")
         )
+        # Counted while it is written.
+        seen = Observation()
         reached = written(
-            reached.unionByName(ahead).groupBy("url").agg(F.min("depth").alias("depth"))
+            reached.unionByName(ahead).groupBy("url").agg(F.min("depth").alias("depth")).observe(seen, F.count(F.lit(1)).alias("n"))
         )
-        found = reached.count()
-        if found == known:
+        if seen.get["n"] == known:
             return reached
-        known, step = found, step * 2
+        known, step = seen.get["n"], step * 2
         # Many pages may point to the same page, so the lookup of its next page is salted.
         table = jump.select(F.col("url").alias("ahead"), F.col("ahead").alias("_further"))
         jump = written(

@@ -9,7 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from crawlfold import params as P
-from crawlfold.operators.skew import SALTS, salt
+from crawlfold.operators.skew import SEGMENT_ROWS
+from crawlfold.session import written
 
 # A shop worth a detail visit.
 WORK_PREDICATES = (
@@ -119,18 +120,20 @@ def upsert(shops: DataFrame, observations: DataFrame, fields: list[str]) -> Data
     return merge(shops, values(fold_observations(observations, fields), fields), fields)
 
 
-def same_listing_count(shops: DataFrame, salts: int = SALTS) -> DataFrame:
+def same_listing_count(shops: DataFrame, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
     """Add `n`: how many shops share name and address.
 
-    Counted per salt first and summed over at most `salts` rows per listing, so a listing
-    shared by a large part of all shops is neither sorted nor joined in one task.
+    Listings of more than `segment_rows` shops are found by a count that combines on the map side; their rows get the
+    count by a join with these few listings, at most count(rows) / segment_rows. All other rows are counted by one
+    window, so without hot listings the rows travel once. `shops` are read twice: pass a stored table.
     """
     keys = ["name", "address"]
-    salted = shops.withColumn("_salt", salt(F.col("id"), salts=salts))
-    partial = salted.groupBy(*keys, "_salt").agg(F.count(F.lit(1)).alias("_part"))
-    total = partial.withColumn("n", F.sum("_part").over(W.partitionBy(*keys)))
-    left, right = salted.alias("l"), total.alias("r")
-    same = reduce(
-        Column.__and__, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in [*keys, "_salt"]]
-    )
-    return left.join(right, same).select(*[F.col(f"l.{c}") for c in shops.columns], F.col("r.n"))
+    counts = shops.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > segment_rows)
+    hot = written(counts)
+    inside = F.count(F.lit(1)).over(W.partitionBy(*keys))
+    if hot.isEmpty():
+        return shops.withColumn("n", inside)
+    left, right = shops.alias("l"), hot.alias("r")
+    same = reduce(Column.__and__, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys])
+    cold = left.join(right, same, "left_anti").withColumn("n", inside)
+    return cold.unionByName(left.join(right, same).select(*[F.col(f"l.{c}") for c in shops.columns], F.col("r.n")))

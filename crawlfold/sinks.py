@@ -76,13 +76,18 @@ def _folder(spark: SparkSession, root: str, version: int) -> str:
         stream.close()
 
 
-def write_snapshot(df: DataFrame, root: str, version: int) -> None:
-    """Store `df` as a version of the table; `Conflict` when somebody else has committed that version.
+def _writer(df: DataFrame, by: str | None):
+    return df.write.partitionBy(by) if by else df.write
+
+
+def write_snapshot(df: DataFrame, root: str, version: int, by: str | None = None) -> None:
+    """Store `df` as a version of the table, in folders of the column `by` if given; `Conflict` when somebody else has
+    committed that version.
 
     What a loser has written stays in a folder that nothing names; `sweep_snapshots` removes such folders.
     """
     folder = f"data-{version}-{uuid.uuid4().hex}"
-    df.write.parquet(f"{root}/{folder}")
+    _writer(df, by).parquet(f"{root}/{folder}")
     if not _publish(df.sparkSession, f"{root}/v={version}{_COMMIT}", folder):
         raise Conflict(f"version {version} of {root} is taken")
 
@@ -140,9 +145,9 @@ def _batches(spark: SparkSession, root: str) -> dict[int, str]:
     return {int(f.getName().removeprefix("batch_id=")): f.toString() for f in folders}
 
 
-def write_batch(df: DataFrame, log: str, batch_id: int) -> None:
-    """Store a micro-batch under its id; a retry of the batch replaces it."""
-    df.write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
+def write_batch(df: DataFrame, log: str, batch_id: int, by: str | None = None) -> None:
+    """Store a micro-batch under its id, in folders of the column `by` if given; a retry of the batch replaces it."""
+    _writer(df, by).mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
 
 
 def read_log(spark: SparkSession, log: str, snapshots: str | None = None) -> DataFrame | None:
@@ -163,7 +168,7 @@ def read_log(spark: SparkSession, log: str, snapshots: str | None = None) -> Dat
 
 
 def compact(spark: SparkSession, log: str, snapshots: str, fold: Callable[[DataFrame], DataFrame],
-            retire: bool = False) -> int | None:
+            retire: bool = False, by: str | None = None) -> int | None:
     """Fold the log into a new snapshot, so that reading does not grow with the number of batches.
 
     With `retire`, the batch folders that the snapshot stands for are removed once it is committed;
@@ -175,7 +180,7 @@ def compact(spark: SparkSession, log: str, snapshots: str, fold: Callable[[DataF
     if rows is None:
         return None
     if newest != v:
-        write_snapshot(fold(rows), snapshots, newest)
+        write_snapshot(fold(rows), snapshots, newest, by)
     for number, folder in batches.items():
         if retire and number <= newest:
             path, fs, _ = _files(spark, folder)

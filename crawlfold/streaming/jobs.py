@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
@@ -24,6 +24,8 @@ from crawlfold.session import written
 BATCHES = ("batch_id", "seg")
 # Folder of the outcomes themselves, inside a pool log.
 RAW = "outcomes"
+# Slices of a raw log by key, and tasks that write one slice of a batch.
+SLICES, SLICE_TASKS = 32, 4
 
 
 def run_batches(stream: DataFrame, checkpoint: str, store: Callable[[DataFrame, int], None]) -> StreamingQuery:
@@ -147,24 +149,43 @@ def compact_shop_updates(spark: SparkSession, log: str, fields: list[str], snaps
     return sinks.compact(spark, log, snapshots, lambda rows: shop_ops.refold(rows, fields), retire)
 
 
+def _slice() -> Column:
+    """Which folder of a raw log a key's outcomes lie in."""
+    return F.pmod(F.xxhash64("key"), F.lit(SLICES)).cast("int").alias("slice")
+
+
+def _clustered(rows: DataFrame) -> DataFrame:
+    """Outcomes dealt by slice, a hot slice over several tasks, and sorted by key."""
+    dealt = rows.withColumn("slice", _slice()).withColumn("_salt", F.pmod(F.xxhash64("seq"), F.lit(SLICE_TASKS)))
+    return dealt.repartition("slice", "_salt").sortWithinPartitions("slice", "key", "seq").drop("_salt")
+
+
 def fold_pool(outcomes: DataFrame, log: str, checkpoint: str, ban_n: int = BAN_N,
               segment_rows: int = SEGMENT_ROWS) -> StreamingQuery:
     """Log the summaries of every batch of outcomes, and the outcomes as they are in a folder inside.
 
     The outcomes are kept because a key whose batches come out of arrival order has to be folded
-    from them again. A batch is written once and its summaries are made from what was written.
+    from them again; they lie in slices by key, so that a late key costs its own slice. A batch is written
+    once and its summaries are made from what was written.
     """
     def store(batch: DataFrame, batch_id: int) -> None:
         rows = batch.select(*(f.name for f in OUTCOMES.fields))
-        sinks.write_batch(rows, f"{log}/{RAW}", batch_id)
+        sinks.write_batch(_clustered(rows), f"{log}/{RAW}", batch_id, by="slice")
         stored = batch.sparkSession.read.schema(rows.schema).parquet(f"{log}/{RAW}/batch_id={batch_id}")
         sinks.write_batch(oc.summarise(stored, ban_n, segment_rows), log, batch_id)
 
     return run_batches(outcomes, checkpoint, store)
 
 
+def raw_outcomes(spark: SparkSession, log: str, keys: DataFrame, snapshots: str | None = None) -> DataFrame:
+    """The stored outcomes of a table of keys. Only the slices these keys lie in are read; of `snapshots` (`compact_raw`) too."""
+    slices = [r["slice"] for r in keys.select(_slice()).distinct().collect()]  # at most SLICES numbers
+    raw = sinks.read_log(spark, f"{log}/{RAW}", snapshots).filter(F.col("slice").isin(slices))
+    return raw.drop("batch_id", "slice").join(keys, "key", "left_semi")
+
+
 def read_pool_state(spark: SparkSession, log: str, ban_n: int = BAN_N, snapshots: str | None = None,
-                    segment_rows: int = SEGMENT_ROWS) -> DataFrame:
+                    segment_rows: int = SEGMENT_ROWS, raw_snapshots: str | None = None) -> DataFrame:
     """Member state from all logged batches, in whatever order they came.
 
     Keys whose batches overlap in arrival order are folded from their outcomes; a snapshot does
@@ -177,8 +198,14 @@ def read_pool_state(spark: SparkSession, log: str, ban_n: int = BAN_N, snapshots
     state = oc.fold(summaries.join(late, "key", "left_anti"), ban_n, order=BATCHES)
     if late.isEmpty():
         return state
-    raw = sinks.read_log(spark, f"{log}/{RAW}").drop("batch_id").join(late, "key", "left_semi")
-    return state.unionByName(oc.member_state(raw, ban_n, segment_rows))
+    return state.unionByName(oc.member_state(raw_outcomes(spark, log, late, raw_snapshots), ban_n, segment_rows))
+
+
+def compact_raw(spark: SparkSession, log: str, snapshots: str, retire: bool = False) -> int | None:
+    """Gather the outcomes of all committed batches into one set of slices, so that a late key does not read a file per
+    batch. A batch that still runs is not among them. With `retire` the batches' own files go; from then on pass
+    `snapshots` as `raw_snapshots` when reading."""
+    return sinks.compact(spark, f"{log}/{RAW}", snapshots, lambda rows: _clustered(rows.drop("batch_id", "slice")), retire, by="slice")
 
 
 def compact_pool(spark: SparkSession, log: str, snapshots: str, ban_n: int = BAN_N, retire: bool = False) -> int | None:

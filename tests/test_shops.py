@@ -113,11 +113,12 @@ def test_claimable(spark):
     assert {r["id"] for r in ops.claimable(table, "stars > 0", "lon IS NULL").collect()} == {"1", "4", "6"}
 
 
-@pytest.mark.parametrize("salts", [1, 4])
-def test_same_listing_count(spark, salts):
+@pytest.mark.parametrize("segment_rows", [10**6, 8, 0])
+def test_same_listing_count(spark, segment_rows):
+    """No listing is hot, some are, all are; a NULL address is an address."""
     rows = [shop(str(i), name="hot" if i % 3 == 0 else f"n{i % 7}", address=None if i % 2 else "a") for i in range(60)]
     table = shops(spark, *rows)
-    counted = ops.same_listing_count(table, salts)
+    counted = ops.same_listing_count(table, segment_rows)
     groups = {}
     for r in rows:
         groups[r[1], r[2]] = groups.get((r[1], r[2]), 0) + 1

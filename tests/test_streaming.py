@@ -116,3 +116,33 @@ def test_compacted_logs_read_the_same(spark, sf, tmp_path):
     state = jobs.read_pool_state(spark, pool_log, snapshots=pool_snaps)
     assert {r["key"]: (r["ban"], r["death"], r["death_time"]) for r in state.collect()} == {
         k: (m["ban"], m["death"], m["death_time"]) for k, m in members.items()}
+
+
+def test_late_keys_read_their_slices(spark, tmp_path):
+    """Batches that reach back behind each other: only the slices of late keys are read, before and after compaction."""
+    log = random_log(300, 41)
+    hot = [r for r in log if r[0] == "hot"]
+    rest = [r for r in log if r[0] != "hot"]
+    parts = [hot[::2] + rest, hot[1::2]]
+    for i, part in enumerate(parts):
+        in_files(spark.createDataFrame(part, OUTCOMES), tmp_path / f"in{i}", "seq", 1)
+        jobs.fold_pool(stream(spark, tmp_path / "in*", OUTCOMES), str(tmp_path / "log"), str(tmp_path / "cp"), segment_rows=20)
+    members, _ = replay(log, 3)
+    want = {k: (m["score"], m["ban"], m["death"], m["death_time"], m["using_n"]) for k, m in members.items()}
+
+    def state(**snapshots):
+        rows = jobs.read_pool_state(spark, str(tmp_path / "log"), **snapshots).collect()
+        return {r["key"]: (r["score"], r["ban"], r["death"], r["death_time"], r["using_n"]) for r in rows}
+
+    assert state() == want
+    keys = spark.createDataFrame([("hot",)], "key string")
+    raw = jobs.raw_outcomes(spark, str(tmp_path / "log"), keys)
+    assert "PartitionFilters: [isnotnull(slice" in (plan := raw._jdf.queryExecution().executedPlan().toString()) or "PartitionFilters: [(slice" in plan
+    assert raw.count() == len(hot)
+    files = lambda df: df.select(F.input_file_name()).distinct().count()
+    assert files(raw) < files(sinks.read_log(spark, f"{tmp_path}/log/{jobs.RAW}"))
+    assert jobs.compact_raw(spark, str(tmp_path / "log"), str(tmp_path / "raw"), retire=True) == 1
+    assert state(raw_snapshots=str(tmp_path / "raw")) == want
+    in_files(spark.createDataFrame([("hot", 1000, dt.datetime(2025, 1, 1), "ok")], OUTCOMES), tmp_path / "in2", "seq", 1)
+    jobs.fold_pool(stream(spark, tmp_path / "in*", OUTCOMES), str(tmp_path / "log"), str(tmp_path / "cp"), segment_rows=20)
+    assert state(raw_snapshots=str(tmp_path / "raw"))["hot"][0] == want["hot"][0] + 1

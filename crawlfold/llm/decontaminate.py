@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crawlfold.llm.exchange import tidy
+
 WINDOW = 10
 #: Bytes of normalised items in one automaton. More items are scanned for slice by slice.
 SLICE_BYTES = 32 << 20
@@ -144,7 +146,7 @@ def find(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col
         sent = spark.sparkContext.broadcast([(r["item"], bytes(r["text"])) for r in part])
         more = (["__n_words long", "__n_hit long", "__items array<string>", f"__spans {_SPANS}"] if last
                 else ["__body binary", "__covered binary", "__who array<string>"])
-        out = out.mapInArrow(_scan(sent, window, at, last), ", ".join(own + more))
+        out = out.mapInArrow(tidy(_scan(sent, window, at, last)), ", ".join(own + more))
     return out
 
 

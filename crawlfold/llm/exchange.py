@@ -13,7 +13,11 @@ flooded by a hot key and no list of its documents is ever built.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import contextlib
+import ctypes
+import gc
+import inspect
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -110,6 +114,35 @@ def by_shard(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[tuple[in
     yield from ((s, *v) for s, v in held.items())
 
 
+def release() -> None:
+    """Give memory that Python and Arrow have freed back to the system: workers live on, and the next task may be another's."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without it keeps what it likes
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(work: Callable) -> Callable:
+    """`work` of mapInArrow or applyInArrow, with `release` at its end."""
+    if inspect.isgeneratorfunction(work):
+        def stream(batches):
+            try:
+                yield from work(batches)
+            finally:
+                release()
+
+        return stream
+
+    def done(out):
+        release()
+        return out
+
+    # Spark counts the arguments: a table, or two of a cogroup, with or without the key.
+    return {
+        1: lambda a: done(work(a)), 2: lambda a, b: done(work(a, b)), 3: lambda a, b, c: done(work(a, b, c)),
+    }[len(inspect.signature(work).parameters)]
+
+
 class Rows:
     """Collects rows and hands them out as Arrow batches of a few MB."""
 

@@ -27,7 +27,7 @@ from pyspark.sql.window import Window
 
 from crawlfold.llm.anchors import combined
 from crawlfold.llm.exchange import (
-    NULL_ID, SHARD, Rows, among, by_shard, cuts, hash64, longs, mixed, packed, part, parts_of, texts, unpacked,
+    NULL_ID, SHARD, Rows, among, by_shard, cuts, hash64, longs, mixed, packed, part, parts_of, texts, unpacked, tidy,
 )
 from crawlfold.session import written
 
@@ -271,8 +271,8 @@ def index(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Lists of the shingles by which sets of different components may be linked, stored."""
     parts = parts_of(sets)
     marked = sets.join(labels, "rep").select(SHARD, "rep", "comp", "set")
-    counts = marked.mapInArrow(_count(parts), COUNT).groupBy("part").applyInArrow(_summed, COUNT)
-    return written(marked.groupBy(SHARD).cogroup(counts.groupBy(SHARD)).applyInArrow(_entries(percent), _ENTRY))
+    counts = marked.mapInArrow(tidy(_count(parts)), COUNT).groupBy("part").applyInArrow(tidy(_summed), COUNT)
+    return written(marked.groupBy(SHARD).cogroup(counts.groupBy(SHARD)).applyInArrow(tidy(_entries(percent)), _ENTRY))
 
 
 def may_link(a: dict[str, Column], b: dict[str, Column], percent: int) -> Column:
@@ -384,7 +384,7 @@ def _derived(guide: DataFrame, percent: int) -> DataFrame:
     a, b = blocks.alias("a"), blocks.alias("b")
     meet = a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.block") <= F.col("b.block"))
                   & (F.col("a.least") + F.col("b.least") <= sure(percent)))
-    return meet.select(F.col("a.entries").alias("a"), F.col("b.entries").alias("b")).mapInArrow(_kin(percent), "x long, y long")
+    return meet.select(F.col("a.entries").alias("a"), F.col("b.entries").alias("b")).mapInArrow(tidy(_kin(percent)), "x long, y long")
 
 
 def _left_over(entries: DataFrame, guide: DataFrame, percent: int) -> DataFrame:
@@ -401,7 +401,7 @@ def _left_over(entries: DataFrame, guide: DataFrame, percent: int) -> DataFrame:
     meet = a.join(b, (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.block") <= F.col("b.block"))
                   & (100 * F.col("a.most") >= percent * F.col("b.least"))
                   & ((100 + percent) * (F.least("a.pos", "b.pos") + F.least("a.tail", "b.tail")) >= percent * (F.col("a.least") + F.col("b.least"))))
-    return meet.select(F.col("a.entries").alias("a"), F.col("b.entries").alias("b")).mapInArrow(_cross(percent), "x long, y long").distinct()
+    return meet.select(F.col("a.entries").alias("a"), F.col("b.entries").alias("b")).mapInArrow(tidy(_cross(percent)), "x long, y long").distinct()
 
 
 def _star(entries: DataFrame, percent: int) -> DataFrame:
@@ -449,8 +449,8 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
     """All rows with the key of their class, and the sets of the classes that may be linked."""
     base = texts(docs, id_col, text_col, bytes_per_shard)
     parts = parts_of(docs)
-    asked = base.mapInArrow(_ask(shingle, percent, parts), ASKED)
-    told = written(asked.groupBy("part").applyInArrow(_tell, TOLD))
+    asked = base.mapInArrow(tidy(_ask(shingle, percent, parts)), ASKED)
+    told = written(asked.groupBy("part").applyInArrow(tidy(_tell), TOLD))
     every = written(packed(base).groupBy(SHARD).cogroup(told.groupBy(SHARD)).applyInArrow(
         _survivors(shingle, percent, parts), SETS))
     return every, _numbered(every)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from crawlfold.llm import perfect_hash
 from crawlfold.llm.exchange import (
-    BODY, ID, SHARD, WHITE, Rows, as_text, by_shard, cuts, hash128, longs, parts_of, schema_of, texts, whole,
+    BODY, ID, SHARD, WHITE, Rows, as_text, by_shard, cuts, hash128, longs, parts_of, schema_of, texts, whole, tidy,
 )
 from crawlfold.session import written
 
@@ -161,12 +161,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     base = texts(docs, id_col, text_col, bytes_per_shard)
     parts = parts_of(docs)
-    asked = written(base.mapInArrow(_questions(parts, min_chars), ASKED))
-    index = written(asked.groupBy("part").applyInArrow(_index, INDEX))
-    told = asked.groupBy("part").cogroup(index.groupBy("part")).applyInArrow(_answers(min_docs), TOLD)
+    asked = written(base.mapInArrow(tidy(_questions(parts, min_chars)), ASKED))
+    index = written(asked.groupBy("part").applyInArrow(tidy(_index), INDEX))
+    told = asked.groupBy("part").cogroup(index.groupBy("part")).applyInArrow(tidy(_answers(min_docs)), TOLD)
     rows = whole(docs, id_col, text_col, bytes_per_shard, carry)
     schema = schema_of(rows, "__text string, __n_lines long, __n_dropped long")
-    return rows.groupBy(SHARD).cogroup(told.groupBy(SHARD)).applyInArrow(_kept(min_chars), schema)
+    return rows.groupBy(SHARD).cogroup(told.groupBy(SHARD)).applyInArrow(tidy(_kept(min_chars)), schema)
 
 
 def op9_line_dedup(spark: SparkSession, sf: str) -> DataFrame:

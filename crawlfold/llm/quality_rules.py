@@ -249,10 +249,15 @@ def judge(counted: DataFrame, shares: dict[str, dict[str, list]], lang_col: str
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The documents that pass, with their own columns. Two scans, one more if words are counted, and no shuffle of texts."""
-    common = common_words(docs, text_col, lang_col)
-    shares = references(histograms(docs.select(text_col, lang_col), text_col, lang_col, common), lang_col)
-    return judge(count(docs, text_col, lang_col, common), shares, lang_col).filter("__kept").select(*(f"`{c}`" for c in docs.columns))
+    """The documents that pass, with their own columns, whatever they are called.
+
+    Texts are counted once and stored with their counts; references and verdicts come from what is stored.
+    """
+    rest = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c != text_col]
+    held = docs.select(F.struct(F.lit(0).alias("none"), *rest).alias("__row"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang"))
+    counted = written(count(held, common=common_words(held)))
+    own = [F.col("text" if c == text_col else f"__row.c{i}").alias(c) for i, c in enumerate(docs.columns)]
+    return judge(counted, references(counted)).filter("__kept").select(*own)
 
 
 def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:

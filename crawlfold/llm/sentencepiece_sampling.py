@@ -14,6 +14,7 @@ words, and a word's lattice is built once for many texts. Texts of a batch run s
 from __future__ import annotations
 
 import itertools
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlfold.llm.anchors import combined
-from crawlfold.llm.exchange import NULL_ID, as_text, mixed
+from crawlfold.llm.exchange import NULL_ID, as_text, mixed, tidy
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
@@ -33,8 +34,10 @@ SHARPNESS = 1.0
 SEED = 17
 _BATCH_BYTES = 1 << 20
 #: Edges after which words are forgotten: about 40 bytes each.
-_MOST_EDGES = 1_200_000
+_MOST_EDGES = 2_500_000
 _NEW_WORDS = 15_000
+#: Letters, and pieces, up to which words are worked on side by side; the rest of longer ones goes one by one.
+_SIDE_BY_SIDE = 2_000
 _WORD = re.compile(r" *[^ ]+| +")
 _OUT = ("rank int, ids array<int>, n_pieces int, log_prob double, perturbed double, log_inclusion double, exact boolean")
 _TYPES = (pa.int32(), pa.list_(pa.int32()), pa.int32(), pa.float64(), pa.float64(), pa.float64(), pa.bool_())
@@ -85,16 +88,23 @@ class Lattices:
     """
 
     def __init__(self, vocabulary: Vocabulary):
-        keys = []
+        # Every beginning of a piece has a key too, with the id -2 if it is no piece itself, so that a search goes no
+        # further than pieces do.
         self.longest = max(map(len, vocabulary.pieces))
-        for piece in vocabulary.pieces:
-            h = np.zeros(1, np.uint64)
-            for c in piece:
-                h = combined(h, np.array([ord(c)], np.uint64))
-            keys.append(int(h[0]))
-        order = np.argsort(np.array(keys, np.uint64))
-        self.keys = np.array(keys, np.uint64)[order]
-        self.ids = np.array(list(vocabulary.pieces.values()), np.int32)[order]
+        prefixes: dict[str, int] = {}
+        for piece, i in vocabulary.pieces.items():
+            for n in range(1, len(piece)):
+                prefixes.setdefault(piece[:n], -2)
+            prefixes[piece] = i
+        sizes = np.fromiter(map(len, prefixes), np.int64, len(prefixes))
+        points = np.frombuffer("".join(prefixes).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        keys, first = np.zeros(len(prefixes), np.uint64), np.cumsum(sizes) - sizes
+        for n in range(self.longest):
+            some = np.flatnonzero(sizes > n)
+            keys[some] = combined(keys[some], points[first[some] + n])
+        order = np.argsort(keys)
+        self.keys = keys[order]
+        self.ids = np.array(list(prefixes.values()), np.int32)[order]
         self.slot = np.searchsorted(self.keys, np.arange(1 << 20, dtype=np.uint64) << np.uint64(44)).astype(np.int32)
         self.depth = int(np.diff(np.r_[self.slot, len(self.keys)]).max())
         self.vocabulary = vocabulary
@@ -108,6 +118,7 @@ class Lattices:
         self.first_node, self.last_node, self.begin = none, none, np.zeros(1, np.int32)
 
     def _find(self, h: np.ndarray) -> np.ndarray:
+        """Ids of the pieces with these keys, -2 for a beginning of pieces, -1 for neither."""
         at = self.slot[(h >> np.uint64(44)).astype(np.int64)]
         found = np.full(len(h), -1, np.int32)
         open_ = np.arange(len(h))
@@ -124,7 +135,7 @@ class Lattices:
         """Numbers of the words of a batch; lattices of new ones are added."""
         if len(self.piece) > _MOST_EDGES:
             self.clear()
-        new = [w for w in dict.fromkeys(itertools.chain.from_iterable(words)) if w not in self.number]
+        new = list(set(itertools.chain.from_iterable(words)).difference(self.number))
         if new:
             self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
             for a in range(0, len(new), _NEW_WORDS):
@@ -151,6 +162,10 @@ class Lattices:
             start.append(at[hit])
             stop.append(at[hit] + n)
             piece.append(found[hit])
+            more = found != -1
+            at, h = at[more], h[more]
+            if not len(at):
+                break
         alone = np.flatnonzero(single < 0).astype(np.int32)  # letters without a piece are spelled in bytes
         start.append(alone)
         stop.append(alone + 1)
@@ -176,13 +191,16 @@ class Lattices:
         place = stop[order] - (ends - sizes)[word[start[order]]]
         by_place = np.argsort(place.astype(np.uint16) if place.max(initial=0) < 1 << 16 else place, kind="stable")
         cut = np.searchsorted(place[by_place], np.arange(1, place.max(initial=0) + 2))
-        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
+        for a, b in zip(cut[:_SIDE_BY_SIDE].tolist(), cut[1 : _SIDE_BY_SIDE + 1].tolist()):
             e = by_place[a:b]
             value, to = total[source[e]] + weight[e], target[e]
             new = np.flatnonzero(np.r_[True, to[1:] != to[:-1]])
             top = np.maximum.reduceat(value, new)
             size = np.diff(np.r_[new, len(e)])
             total[to[new]] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, size)), new))
+        if len(cut) > _SIDE_BY_SIDE + 1:  # the few words that are longer, edge by edge
+            e = by_place[cut[_SIDE_BY_SIDE] :]
+            self._long(total, source[e], target[e], weight[e])
         log_mass = total[source] + weight - total[target]
         mass = np.exp(log_mass)
         nth = np.arange(len(target), dtype=np.int32) - begin[target]
@@ -198,6 +216,25 @@ class Lattices:
                         ("last_node", first_node + sizes + np.int32(nodes)), ("begin", begin[1:] + np.int32(edges))):
             add(name, x)
 
+    @staticmethod
+    def _long(total: np.ndarray, source: np.ndarray, target: np.ndarray, weight: np.ndarray) -> None:
+        """Forward scores of the nodes that edges lead to; the edges are in order of place, those into a node together."""
+        known: dict[int, float] = {}
+        node, values = -1, []
+
+        def close() -> None:
+            top = max(values)
+            known[node] = top + math.log(sum(math.exp(v - top) for v in values))
+
+        for s, t, w in zip(source.tolist(), target.tolist(), weight.tolist()):
+            if t != node:
+                if values:
+                    close()
+                node, values = t, []
+            values.append((known[s] if s in known else float(total[s])) + w)
+        close()
+        total[list(known)] = list(known.values())
+
     def others(self, edge: np.ndarray) -> np.ndarray:
         """What the other edges into the same node share; nothing if there are none."""
         return np.where(self.only[edge], 0.0, np.maximum(1 - self.mass[edge], 1e-300))
@@ -243,7 +280,7 @@ def _walk(lattices: Lattices, node: np.ndarray, stop: np.ndarray, key: np.ndarra
     walk = np.flatnonzero(node > stop)
     node = node.copy()
     step = 0
-    while len(walk):
+    while len(walk) and step < _SIDE_BY_SIDE:
         e = lattices.pick(node[walk], uniform(key[walk] + np.uint64(step)))
         edges.append(e)
         walks.append(walk)
@@ -251,6 +288,11 @@ def _walk(lattices: Lattices, node: np.ndarray, stop: np.ndarray, key: np.ndarra
         node[walk] = lattices.source[e]
         walk = walk[node[walk] > stop[walk]]
         step += 1
+    for w in walk.tolist():  # the few that go on, one after the other
+        e = _walk_on(lattices, int(node[w]), int(stop[w]), key[w : w + 1], step)
+        edges.append(e)
+        walks.append(np.full(len(e), w))
+        steps.append(np.arange(step, step + len(e)))
     if not edges:
         e = np.empty(0, np.int64)
         return e, e, e
@@ -259,6 +301,25 @@ def _walk(lattices: Lattices, node: np.ndarray, stop: np.ndarray, key: np.ndarra
     return edges[order], walks[order], steps[order]
 
 
+def _walk_on(lattices: Lattices, node: int, stop: int, key: np.ndarray, step: int) -> np.ndarray:
+    """The edges of one walk from a node on, piece by piece."""
+    low, high = int(lattices.begin[stop]), int(lattices.begin[node + 1])
+    upto, source = lattices.upto[low:high].tolist(), lattices.source[low:high].tolist()
+    begin = (lattices.begin[stop : node + 2] - low).tolist()
+    edges, draws = [], iter(())
+    while node > stop:
+        if (u := next(draws, None)) is None:
+            draws = iter(uniform(key + np.arange(step, step + _SIDE_BY_SIDE, dtype=np.uint64)).tolist())
+            step += _SIDE_BY_SIDE
+            u = next(draws)
+        e, last = begin[node - stop], begin[node - stop + 1] - 1
+        while upto[e] < u and e < last:
+            e += 1
+        edges.append(e + low)
+        node = source[e]
+    return np.array(edges, lattices.begin.dtype)
+
+
 class Sampler:
     """Draws the samples of one batch of texts."""
 
@@ -444,25 +505,31 @@ def _batches(bodies: pa.Array, limit: int) -> Iterator[slice]:
 
 
 def _encode(sent, k: int, sharpness: float, seed: int, names: list[str]):
+    def sampled(sampler, batch):
+        vocabulary = sampler.lattices.vocabulary
+        last = batch.num_columns - 1
+        for some in _batches(batch.column(last), _BATCH_BYTES):
+            part = batch.slice(some.start, some.stop - some.start)
+            ids, bodies = part.column(last - 1).to_pylist(), part.column(last).to_pylist()
+            texts = [(b or b"").decode("utf-8", "replace") for b in bodies]
+            found = list(sampler.draw(np.array(ids, np.int64), texts, k))
+            rows = pa.array([f[0] for f in found], pa.int64())
+            flat = np.concatenate([f[2] for f in found] or [np.empty(0, np.int32)])
+            ends = np.cumsum([0, *(len(f[2]) for f in found)])
+            exact = [vocabulary.decode(f[2].tolist()) == (bodies[f[0]] or b"") for f in found]
+            new = [pa.array([f[1] + 1 for f in found], _TYPES[0]), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32())),
+                   pa.array([len(f[2]) for f in found], _TYPES[2]), *(pa.array([f[j] for f in found], pa.float64()) for j in (3, 4, 5)),
+                   pa.array(exact, pa.bool_())]
+            own = [part.column(i).take(rows) for i in range(last - 1)]
+            yield pa.RecordBatch.from_arrays([*own, *new], names=names)
+
     def encode(batches):
         sampler = _sampler(sent.value, sharpness, seed)
-        vocabulary = sampler.lattices.vocabulary
-        for batch in batches:
-            last = batch.num_columns - 1
-            for some in _batches(batch.column(last), _BATCH_BYTES):
-                part = batch.slice(some.start, some.stop - some.start)
-                ids, bodies = part.column(last - 1).to_pylist(), part.column(last).to_pylist()
-                texts = [(b or b"").decode("utf-8", "replace") for b in bodies]
-                found = list(sampler.draw(np.array(ids, np.int64), texts, k))
-                rows = pa.array([f[0] for f in found], pa.int64())
-                flat = np.concatenate([f[2] for f in found] or [np.empty(0, np.int32)])
-                ends = np.cumsum([0, *(len(f[2]) for f in found)])
-                exact = [vocabulary.decode(f[2].tolist()) == (bodies[f[0]] or b"") for f in found]
-                new = [pa.array([f[1] + 1 for f in found], _TYPES[0]), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32())),
-                       pa.array([len(f[2]) for f in found], _TYPES[2]), *(pa.array([f[j] for f in found], pa.float64()) for j in (3, 4, 5)),
-                       pa.array(exact, pa.bool_())]
-                own = [part.column(i).take(rows) for i in range(last - 1)]
-                yield pa.RecordBatch.from_arrays([*own, *new], names=names)
+        try:
+            for batch in batches:
+                yield from sampled(sampler, batch)
+        finally:  # the vocabulary stays with the worker, the words of this task do not
+            sampler.lattices.clear()
 
     return encode
 
@@ -488,7 +555,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, m
     own = docs.select(*(f"`{c}`" for c in keep), F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NULL_ID)).alias("__key"),
                       F.col(f"`{text_col}`").cast("binary").alias("__body"))
     names = [*keep, *(c.split()[0] for c in _OUT.split(", "))]
-    return own.mapInArrow(_encode(sent, samples, sharpness, seed, names), schema)
+    return own.mapInArrow(tidy(_encode(sent, samples, sharpness, seed, names)), schema)
 
 
 def decode(encoded: DataFrame, *, model: str = MODEL, ids_col: str = "ids", text_col: str = "text") -> DataFrame:

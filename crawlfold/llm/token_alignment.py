@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from crawlfold.llm.exchange import NULL_ID, Rows, longs
+from crawlfold.llm.exchange import NULL_ID, Rows, longs, tidy
 from crawlfold.session import written
 
 A_FILE = "/opt/tokenizers/byte_bpe_50k.json"
@@ -499,7 +499,7 @@ def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, a_
     """
     n_b = vocabularies(a_file, b_file).n_b
     own = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("body"))
-    runs = written(own.mapInArrow(_spill(a_file, b_file, radix, run_bytes), RUNS))
+    runs = written(own.mapInArrow(tidy(_spill(a_file, b_file, radix, run_bytes)), RUNS))
     n_runs = runs.filter("radix = -1").count()
     if not n_runs:
         return docs.sparkSession.createDataFrame([], OUT)

@@ -14,6 +14,7 @@ import re
 from collections import Counter
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -29,7 +30,13 @@ BLOCK = frozenset((
     "figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td tfoot "
     "th thead tr ul"
 ).split())
-BOILER = frozenset("nav header footer aside form button select dialog menu head svg math object audio video canvas".split())
+BOILER = frozenset("nav header footer aside button select dialog menu head svg math object audio video canvas".split())
+#: Elements that end where one of these begins, unless one of the others stands between: the rules for end tags left out.
+ENDS = {
+    "li": ({"li"}, BLOCK - {"li", "address", "div", "p"}), "dt": ({"dt", "dd"}, BLOCK - {"dt", "dd", "address", "div", "p"}),
+    "td": ({"td", "th", "caption"}, {"table"}), "tr": ({"tr", "caption"}, {"table"}), "tbody": ({"tbody", "thead", "tfoot", "caption"}, {"table"}),
+}
+ENDS |= {"dd": ENDS["dt"], "th": ENDS["td"], "thead": ENDS["tbody"], "tfoot": ENDS["tbody"]}
 CONTAINER = frozenset("article main section div td body".split())
 CLOSES_P = BLOCK - {"html", "body"}
 #: A path wins with two votes, a quarter of the pages that have it, and one percent of the host's votes.
@@ -40,25 +47,37 @@ MIN_PERCENT_OF_HOST = 1
 STANDS_OUT = 4
 #: What a container adds of its score to the one around it.
 DECAY = 0.95
-# Words that mark what is not main text, where a class, id or role consists of nothing else.
-MARKS = (
+# Words that mark what is not main text, where a class, id or role consists of them and of words
+# that say nothing about it.
+MARKS = frozenset((
     "ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus "
     "footer header menu modal nav navbar navigation newsletter notice overlay pager pagination popup promo promoted "
     "related reply replies respond share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget"
-).split()
-_MARK = re.compile(r"(?:^|\s)[^a-z\s]*(?:" + "|".join(MARKS) + r")(?:[^a-z\s]+(?:" + "|".join(MARKS) + r"))*[^a-z\s]*(?:$|\s)")
+).split())
+NEUTRAL = frozenset((
+    "area areas bar bars block blocks bottom box boxes button buttons col container group inner item items left link links list lists "
+    "outer panel post posts right row section sections site slot slots top user users wrap wrapper"
+).split())
+#: A quote opens a value only right after an equals sign, and only if it is closed.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
-_ATTR = re.compile(r"""(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/"'>]|$)""", re.I)
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)(?:>|\Z)", re.S)
+_ATTR = re.compile(r"""([^\s/>="'][^\s/>=]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++))?""")
+_ASKED = frozenset("class id role hidden style aria-hidden".split())
+_LETTERS = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"[\x20\x09-\x0D\xa0]+")
 _DIGITS = re.compile(r"\d+")
 _END = {name: re.compile(rf"</{name}[\s/>]", re.I) for name in RAW}
 
 
 def _attributes(text: str) -> dict[str, str]:
-    if not text or text.isspace():
-        return {}
-    return {k.lower(): (v or "").strip("\"'") for k, v in _ATTR.findall(text)}
+    """The attributes that count, the first of each name."""
+    out: dict[str, str] = {}
+    if text and not text.isspace():
+        for name, value in _ATTR.findall(text):
+            if (name := name.lower()) in _ASKED:
+                out.setdefault(name, value[1:-1] if value[:1] in ("'", '"') and value[-1:] == value[:1] else value)
+    return out
 
 
 def _step(name: str, attrs: dict[str, str]) -> str:
@@ -75,9 +94,26 @@ def _hidden(attrs: dict[str, str]) -> bool:
 
 
 def _marked(attrs: dict[str, str]) -> bool:
-    """Whether a whole class, id or role, like `ad-1` or `cookie-notice` but not `has-sidebar`, marks the element."""
-    said = " ".join(attrs.get(k, "") for k in ("class", "id", "role")).lower() if attrs else ""
-    return bool(said and _MARK.search(said))
+    """Whether a class, id or role, like `ad-1`, `cookie-notice` or `comment-list` but not `has-sidebar`, marks the element."""
+    for said in (attrs.get("class", ""), attrs.get("id", ""), attrs.get("role", "")) if attrs else ():
+        for value in said.lower().split():
+            parts = _LETTERS.findall(value)
+            if any(p in MARKS for p in parts) and all(p in MARKS or p in NEUTRAL for p in parts):
+                return True
+    return False
+
+
+#: Letters of a path, and of one step, that are written out; a hash stands for what comes before, or for the classes.
+_WRITTEN = 400
+
+
+def _path(around: str, step: str) -> str:
+    """Path of an element: that of the one around it and its own step. Its length does not grow with depth."""
+    if len(step) > _WRITTEN:
+        step = f"{step.partition('.')[0]}.#{xxhash.xxh64_hexdigest(step)}"
+    if len(around) > _WRITTEN:
+        around = f"#{xxhash.xxh64_hexdigest(around)}"
+    return f"{around}/{step}"
 
 
 def _tag(path: str) -> str:
@@ -88,7 +124,7 @@ class Page:
     """Blocks of a page in order, each with the containers it stands in; boilerplate left out.
 
     One run over the tags. `blocks` are (container number, text); container 0 is the whole page.
-    Marked elements are left out once the whole page is known, see `_settle`; `article` and `main` never by a mark.
+    Marked elements, and forms, are left out once the whole page is known, see `_settle`; `article` and `main` never by a mark.
     """
 
     def __init__(self, source: str):
@@ -152,6 +188,15 @@ class Page:
                 continue
             if name in BLOCK:
                 flush()
+                if name in ENDS:
+                    ended, stops = ENDS[name]
+                    for i in range(len(stack) - 1, -1, -1):
+                        if stack[i][0] in ended:
+                            del stack[i:]
+                            box, dropped, path, mark = (stack[-1][1:] if stack else (0, False, "", 0))
+                            break
+                        if stack[i][0] in stops:
+                            break
                 if name in CLOSES_P:  # an open paragraph ends where a block begins
                     for i in range(len(stack) - 1, -1, -1):
                         if stack[i][0] == "p":
@@ -164,14 +209,16 @@ class Page:
                 continue
             if name == "a":
                 in_link = 1
-            gone = dropped or name in BOILER or (name not in ("html", "body") and _hidden(attrs))
-            odd = not gone and name not in ("html", "body", "article", "main") and _marked(attrs)
+            # The header of an article has its headline.
+            boiler = name in BOILER and not (name == "header" and any(x[0] in ("article", "main") for x in stack))
+            gone = dropped or boiler or (name not in ("html", "body") and _hidden(attrs))
+            odd = not gone and name not in ("html", "body", "article", "main") and (name == "form" or _marked(attrs))
             if odd or (gone and not dropped):
                 flush()
             if odd:
                 marks.append(mark)
                 mark = len(marks) - 1
-            step = f"{path}/{_step(name, attrs)}" if name in BLOCK else path
+            step = _path(path, _step(name, attrs)) if name in BLOCK else path
             if name in CONTAINER and not gone:
                 self.paths.append(step)
                 self.parents.append(box)

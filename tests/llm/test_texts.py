@@ -207,6 +207,65 @@ def test_pages_without_a_host_do_not_vote_for_one_another(spark):
     assert main_text.host_paths(frame).count() == 0
 
 
+def own_text(source):
+    page = main_text.Page(source)
+    return page.text(None)
+
+
+def test_quotes_open_values_after_an_equals_sign_only():
+    assert own_text("<p>First</p><p data-x=it's>second</p><p>third</p>") == "First\nsecond\nthird"
+    assert own_text("<p title=\"a > b's\" id='x>y'>one</p><p title=\"never closed>two</p><p>three</p>") == "one\ntwo\nthree"
+    assert own_text("<div data-a='class=ad' class=\"x\"><p>kept</p></div>") == "kept"
+
+
+def test_end_tags_may_be_left_out():
+    cells = lambda n, end: "<table>" + "".join(f"<tr><td>cell {i} of the table{end}" for i in range(n)) + "</table>"
+    for n in (100, 1000, 2000):
+        assert own_text(cells(n, "")).split("\n") == [f"cell {i} of the table" for i in range(n)]
+        assert own_text(cells(n, "")) == own_text(cells(n, "</td></tr>"))
+    items = "<article><ul><li>a<li>b<ul><li>c</ul><li>d</ul><dl><dt>e<dd>f<dt>g</dl><table><thead><tr><th>h<th>i<tbody><tr><td>j<div>k</table><p>l<p>m</article>"
+    assert own_text(items) == "\n".join("abcdefghijklm")
+    assert len(main_text.Page(items).paths) == len(main_text.Page(items.replace("<li>d", "</li><li>d")).paths)
+
+
+def test_deep_pages_take_memory_in_proportion():
+    deep = "".join(f"<div class='c{'x' * (i % 7)}'>t{i} " for i in range(8000))
+    page = main_text.Page(deep + "<p class='" + "y " * 5000 + "'>end")
+    assert max(map(len, page.paths)) < 1000 and sum(map(len, page.paths)) < 8000 * 900
+    assert len(page.blocks) == 8001 and len(set(page.paths)) == 8001
+    assert page.paths == main_text.Page(deep).paths
+
+
+def test_a_page_inside_a_form_and_a_header_inside_an_article():
+    story = "<p>" + "text " * 60 + "</p>"
+    assert own_text(f"<body><form action=x><div class=page><h1>Head</h1>{story}</div></form></body>").split()[:2] == ["Head", "text"]
+    assert "Search" not in own_text(f"<body><form><label>Search</label><button>go</button></form><article>{story}</article></body>")
+    got = own_text(f"<body><header>site name</header><article><header><h1>Head</h1><p>standfirst</p></header>{story}<footer>by</footer></article></body>")
+    assert got.split("\n")[:2] == ["Head", "standfirst"] and "site" not in got and "by" not in got.split()
+
+
+@pytest.mark.parametrize("mark", [
+    "comments-section", "comment-list", "user-comments", "related-posts", "share-buttons", "social-links", "ad-slot", "cookie-bar",
+    "newsletter-box", "ad-1", "site-notice",
+])
+def test_marks_with_neutral_words(mark):
+    story = "<p>" + "text " * 60 + "</p>"
+    assert own_text(f"<body><article>{story}<div class='x {mark}'>junk</div><p>end</p></article></body>") == ("text " * 60).strip() + "\nend"
+    assert own_text(f"<body><div id='{mark}'>{story}</div></body>") == ("text " * 60).strip()  # nothing else is left
+
+
+@pytest.mark.parametrize("name", ["comments-open", "has-sidebar", "no-header", "social-policy", "adele", "shared-history"])
+def test_names_that_only_hold_a_mark(name):
+    assert own_text(f"<body><article><p>one</p><div class='{name}'>two</div></article></body>") == "one\ntwo"
+
+
+def test_a_very_long_page(spark):
+    html = "<body><nav>menu</nav><main>" + "".join(f"<p>paragraph {i} of a long page<br>with a break</p>" for i in range(90_000)) + "</main></body>"
+    assert len(html) > 4_500_000
+    page, = main_text.extract(spark.createDataFrame([(1, "http://h/1", html)], "page_id long, url string, html string")).collect()
+    assert page["__main"].split("\n") == [f"paragraph {i} of a long page with a break" for i in range(90_000)]
+
+
 def test_pages_of_the_table(spark, sf):
     for r, p in zip(main_text.op8_main_text(spark, sf).orderBy("page_id").collect(), spark.read.parquet(f"{sf}/pages.parquet").orderBy("page_id").collect()):
         inner = p["html"].partition("<article>")[2].partition("</article>")[0]

@@ -57,4 +57,14 @@ def written(df: DataFrame) -> DataFrame:
     """
     folder = new_folder(df.sparkSession, "step")
     df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    stored = df.sparkSession.read.schema(df.schema).parquet(folder)
+    stored._step_folder = folder
+    return stored
+
+
+def remove(*tables: DataFrame) -> None:
+    """Delete the files of tables that came from `written`, once everything made from them is stored itself."""
+    for table in tables:
+        if folder := getattr(table, "_step_folder", None):
+            path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)

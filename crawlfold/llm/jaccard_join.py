@@ -14,6 +14,11 @@ by rarity their prefixes of n - t + 1 share one.
 4. The lists' entries are cut into blocks in order of size; pairs of blocks are skipped by size and position.
    A pair that is left is linked, or apart, without a comparison where the distances to and between the two
    guides decide it; the others are compared.
+
+Components need fewer links than there are: a set belongs where its guide does, so its place is derived from the
+guide's, and pairs inside a component are neither listed nor compared. After step 2 the index is built again from the
+shingles that several components hold, and only pairs of different components go through step 4. A family of near
+copies so costs one link per set, whatever its size. All links (`near_links`) are listed on request.
 """
 
 from __future__ import annotations
@@ -29,7 +34,7 @@ from crawlfold.llm.anchors import combined
 from crawlfold.llm.exchange import (
     NULL_ID, SHARD, Rows, among, by_shard, cuts, hash64, longs, mixed, packed, part, parts_of, texts, unpacked, tidy,
 )
-from crawlfold.session import written
+from crawlfold.session import remove, written
 
 SHINGLE = 5
 PERCENT = 75
@@ -303,8 +308,10 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     others = dealt.join(sets.select(F.col("rep").alias("y"), "set"), "y").select(
         *[F.col(c).alias(c) for c in ("x", "y", "group", "set")])  # new names: both sides come from the same tables
     one = dealt.select("x", "group").distinct().join(sets.select(F.col("rep").alias("x"), "set"), "x")
-    return written(one.groupBy("x", "group").cogroup(others.groupBy("x", "group")).applyInArrow(
+    out = written(one.groupBy("x", "group").cogroup(others.groupBy("x", "group")).applyInArrow(
         _overlap, "x long, y long, inter long, union long"))
+    remove(dealt)
+    return out
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -317,9 +324,11 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         new = written(labels.join(near, labels.rep == near.x, "left").select(
             "rep", "comp", F.least("comp", F.coalesce("near", "comp")).alias("new")))
         if new.filter("new < comp").isEmpty():
+            remove(new, both)
             return labels
         jump = new.select(F.col("rep").alias("new"), F.col("new").alias("jump"))
-        labels = written(new.join(jump, "new").select("rep", F.least("new", "jump").alias("comp")))
+        old, labels = labels, written(new.join(jump, "new").select("rep", F.least("new", "jump").alias("comp")))
+        remove(old, new)
 
 
 def _distinct(xs: list[np.ndarray], ys: list[np.ndarray]):
@@ -343,17 +352,18 @@ def sure(percent: int) -> float:
 
 
 def _cross(percent: int):
-    """Pairs of entries of two blocks of a list that may be linked and are not derived from a guide both have."""
+    """Pairs of entries of two blocks of a list that may be linked, are of different components, and are not derived
+    from a guide both have."""
 
     def cross(batches):
         for batch in batches:
             xs, ys = [], []
             for r in batch.to_pylist():
-                a, b = (_columns(r[side], "rep", "n", "pos", "common", "g", "d") for side in ("a", "b"))
+                a, b = (_columns(r[side], "rep", "comp", "n", "pos", "common", "g", "d") for side in ("a", "b"))
                 n, m, i, j = a["n"][:, None], b["n"][None], a["pos"][:, None], b["pos"][None]
                 most = np.minimum(i, j) + np.minimum(a["common"][:, None] - i, b["common"][None] - j)
                 known = (a["g"][:, None] == b["g"][None]) & (a["d"][:, None] + b["d"][None] <= sure(percent))
-                ok = (a["rep"][:, None] != b["rep"][None]) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (
+                ok = (a["comp"][:, None] != b["comp"][None]) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (
                     (100 + percent) * most >= percent * (n + m)) & ~known
                 p, q = np.nonzero(ok)
                 xs.append(a["rep"][p])
@@ -394,7 +404,7 @@ def _left_over(entries: DataFrame, guide: DataFrame, percent: int) -> DataFrame:
     row = F.row_number().over(Window.partitionBy("shingle").orderBy("n", "rep"))
     blocks = written(
         entries.withColumn("block", F.floor((row - 1) / BLOCK)).groupBy("shingle", "block").agg(
-            F.collect_list(F.struct("rep", "n", "pos", "common", "g", "d")).alias("entries"),  # at most BLOCK
+            F.collect_list(F.struct("rep", "comp", "n", "pos", "common", "g", "d")).alias("entries"),  # at most BLOCK
             F.min("n").alias("least"), F.max("n").alias("most"), F.max("pos").alias("pos"),
             F.max(F.col("common") - F.col("pos")).alias("tail")))
     a, b = blocks.alias("a"), blocks.alias("b")
@@ -413,36 +423,76 @@ def _star(entries: DataFrame, percent: int) -> DataFrame:
     return met.select(F.col("hub.rep").alias("x"), F.col("rep").alias("y")).distinct()
 
 
-def links(sets: DataFrame, percent: int) -> DataFrame:
-    """All links between the sets, stored: `x`, `y` (distinct pairs x < y), `inter` and `union`, NULL where derived."""
-    is_link = F.expr(f"100 * inter >= {percent} * union")
-    away = 1 - F.col("inter") / F.col("union")
-    entries = index(sets, sets.select("rep", F.col("rep").alias("comp")), percent)
-    star = compared(_star(entries, percent), sets)
-    found = star.filter(is_link)
-    guide = found.groupBy(F.col("y").alias("rep")).agg(F.min(F.struct(away.alias("d"), F.col("x").alias("g"))).alias("s"))
-    guide = written(sets.select("rep").join(guide, "rep", "left").select(
+def _away() -> Column:
+    return 1 - F.col("inter") / F.col("union")
+
+
+def _guides(sets: DataFrame, found: DataFrame) -> DataFrame:
+    """Every set's most similar set among those it was compared with and is linked to, `g`, and its distance `d`; else itself."""
+    nearest = found.groupBy(F.col("y").alias("rep")).agg(F.min(F.struct(_away().alias("d"), F.col("x").alias("g"))).alias("s"))
+    return written(sets.select("rep").join(nearest, "rep", "left").select(
         "rep", F.coalesce("s.g", "rep").alias("g"), F.coalesce("s.d", F.lit(0.0)).alias("d")))
-    # Partners of a guide that are themselves first in a list are compared above already.
-    known = star.select("x", "y")
-    kin = written(_derived(guide, percent).join(known, ["x", "y"], "left_anti"))
-    rest = _left_over(entries, guide, percent).join(known, ["x", "y"], "left_anti")
+
+
+def _decided(entries: DataFrame, guide: DataFrame, star: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Of the candidate pairs of the lists: those that the distances to their guides link, and the links among the others
+    by comparison, with `inter` and `union`."""
+    rest = _left_over(entries, guide, percent).join(star.select("x", "y"), ["x", "y"], "left_anti")
     guided = written(rest.join(guide.select(F.col("rep").alias("x"), F.col("g").alias("gx"), F.col("d").alias("dx")), "x")
                      .join(guide.select(F.col("rep").alias("y"), F.col("g").alias("gy"), F.col("d").alias("dy")), "y")
                      .withColumn("p", F.least("gx", "gy")).withColumn("q", F.greatest("gx", "gy")))
     pairs = guided.filter("p < q").select("p", "q").distinct()
     apart = star.join(pairs.select(F.col("p").alias("x"), F.col("q").alias("y")), ["x", "y"], "left_semi").select(
-        F.col("x").alias("p"), F.col("y").alias("q"), away.alias("far"))
+        F.col("x").alias("p"), F.col("y").alias("q"), _away().alias("far"))
     # |xy| lies between |gx gy| - |x gx| - |y gy| and the sum of the three.
     far = F.when(F.col("p") == F.col("q"), 0.0).otherwise(F.col("far"))
     bounds = written(guided.join(apart, ["p", "q"], "left").select(
         "x", "y", (far - F.col("dx") - F.col("dy")).alias("low"), (far + F.col("dx") + F.col("dy")).alias("high")).filter(
         f"low is null or low <= {1 - percent / 100} + 1e-9"))
     near = F.coalesce(F.col("high") <= sure(percent), F.lit(False))
-    more = compared(bounds.filter(~near).select("x", "y"), sets)
+    more = compared(bounds.filter(~near).select("x", "y"), sets).filter(is_link(percent))
+    remove(guided)
+    return bounds.filter(near).select("x", "y"), more
+
+
+def is_link(percent: int) -> Column:
+    return F.expr(f"100 * inter >= {percent} * union")
+
+
+def links(sets: DataFrame, percent: int) -> DataFrame:
+    """All links between the sets, stored: `x`, `y` (distinct pairs x < y), `inter` and `union`, NULL where derived."""
+    entries = index(sets, sets.select("rep", F.col("rep").alias("comp")), percent)
+    star = compared(_star(entries, percent), sets)
+    found = star.filter(is_link(percent))
+    guide = _guides(sets, found)
+    # Partners of a guide that are themselves first in a list are compared above already.
+    kin = written(_derived(guide, percent).join(star.select("x", "y"), ["x", "y"], "left_anti"))
+    near, more = _decided(entries, guide, star, sets, percent)
     none = F.lit(None).cast("long")
-    derived = kin.union(bounds.filter(near).select("x", "y")).select("x", "y", none.alias("inter"), none.alias("union"))
-    return written(found.union(more.filter(is_link)).union(derived))
+    derived = kin.union(near).select("x", "y", none.alias("inter"), none.alias("union"))
+    return written(found.union(more).union(derived))
+
+
+def spanning(sets: DataFrame, percent: int) -> DataFrame:
+    """`rep`, `comp`: the component of each set, by links that join all of it; stored.
+
+    Two sets of different components after the two rounds with the lists' first sets are listed if they can be linked; no
+    others are. So no link between components is missed, and those inside one are not looked for.
+    """
+    labels = sets.select("rep", F.col("rep").alias("comp"))
+    star = None
+    for _ in range(2):
+        entries = index(sets, labels, percent)
+        new = compared(_star(entries, percent), sets)
+        remove(entries)
+        star = new if star is None else written(star.union(new.join(star.select("x", "y"), ["x", "y"], "left_anti")))
+        labels = components(sets, star.filter(is_link(percent)))
+    guide = _guides(sets, star.filter(is_link(percent)))
+    entries = index(sets, labels, percent)
+    near, more = _decided(entries, guide, star, sets, percent)
+    found = written(star.filter(is_link(percent)).select("x", "y").union(near).union(more.select("x", "y")))
+    remove(entries, guide, star)
+    return components(sets, found)
 
 
 def _classes(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, bytes_per_shard: int) -> tuple[DataFrame, DataFrame]:
@@ -483,7 +533,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     their texts, are members of one component; a NULL id is an id before all others. Other columns are not read.
     """
     every, sets = _classes(docs, id_col, text_col, shingle, percent, bytes_per_shard)
-    labels = components(sets, links(sets, percent))
+    labels = spanning(sets, percent)
     none = F.lit(NULL_ID)
     return _with_ids(every, sets, labels).select(
         F.nullif("id", none).alias("id"), F.col("n").cast("long").alias("n"), F.nullif("least", none).alias("component"))

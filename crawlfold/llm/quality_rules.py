@@ -270,7 +270,7 @@ def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 def _sql_lists() -> str:
     lists = ", ".join(f"('{lang}', [{', '.join(repr(w) for w in words)}])" for lang, words in COMMON.items())
-    return f"lists(lang, common) as (values {lists})"
+    return f"fixed(lang, common) as (values {lists})"
 
 
 def _sql_distance(counts: str, shares: str) -> str:
@@ -281,6 +281,11 @@ def _sql_distance(counts: str, shares: str) -> str:
     return f"sqrt(greatest(list_sum(list_transform({pairs}, lambda x: {term})) / 2, 0))"
 
 
+def _sql_folded(x: str) -> str:
+    """Stops, symbols and all else, in the order of the classes: other scripts have other letters and spaces."""
+    return f"[{x}[1] + {x}[2] + {x}[3] + {x}[6], {x}[4], {x}[5]]"
+
+
 def _sql_shares(counts: str, n: int, judged: str) -> str:
     """Per language the medians of each share, scaled to sum to one."""
     medians = ", ".join(f"quantile_disc(case when {judged} then {counts}[{i}] / list_sum({counts}) end, 0.5)" for i in range(1, n + 1))
@@ -289,7 +294,16 @@ def _sql_shares(counts: str, n: int, judged: str) -> str:
 
 SQL = rf"""
 with {_sql_lists()},
-d as (select doc_id, lang, coalesce(text, '') as t from documents),
+d as (select doc_id, nullif(regexp_extract(lower(trim(lang)), '^[^-_]*'), '') as lang, coalesce(text, '') as t from documents),
+-- Common words of the other languages with enough documents, by the documents that hold them.
+counted as (
+  select lang, word, count(*) as n
+  from (select lang, unnest(list_distinct(regexp_split_to_array(lower(t), '[\x20\x09-\x0D]+'))) as word from d
+        where lang in (select lang from d where lang not in (select lang from fixed) group by lang having count(*) >= {MIN_DOCUMENTS}))
+  where regexp_full_match(word, '\p{{L}}+') group by lang, word),
+lists as (
+  select * from fixed union all
+  select lang, list(word order by n desc, word)[1:{N_COMMON}] from counted group by lang having count(*) >= {N_COMMON}),
 w as (select *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from d),
 win as (
   select doc_id, i, array_to_string(w[i:i+{WINDOW - 1}], ' ') as g
@@ -315,16 +329,24 @@ k as (
 ref as (
   select lang, {_sql_shares('cn', len(CLASSES), f'list_sum(cn) >= {MIN_CHARS_JUDGED}')} as cm,
     {_sql_shares('wn', len(COMMON['en']) + 1, f'n_words >= {MIN_WORDS_JUDGED}')} as wm
-  from k where wn is not null group by lang),
+  from k where lang is not null group by lang
+  having lang in (select lang from fixed) or count(*) filter (where list_sum(cn) >= {MIN_CHARS_JUDGED}) >= {MIN_DOCUMENTS}),
+-- The whole corpus stands for languages without a reference of their own, if there are any.
+corpus as (
+  select list_transform(cm, lambda x: x / list_sum(cm)) as whole
+  from (select {_sql_shares('cn', len(CLASSES), f'list_sum(cn) >= {MIN_CHARS_JUDGED}')} as cm from k)
+  where exists (select 1 from k where lang is null or lang not in (select lang from ref)) and list_sum(cm) > 0),
 scaled as (
   select lang, case when list_sum(cm) > 0 and len(list_filter(cm, lambda x: x is null)) = 0 then list_transform(cm, lambda x: x / list_sum(cm)) end as cs,
     case when list_sum(wm) > 0 and len(list_filter(wm, lambda x: x is null)) = 0 then list_transform(wm, lambda x: x / list_sum(wm)) end as ws
   from ref),
 v as (
   select k.*, n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words as base_failed,
-    case when list_sum(cn) >= {MIN_CHARS_JUDGED} and cs is not null then {_sql_distance('cn', 'cs')} end as cd,
+    case when list_sum(cn) < {MIN_CHARS_JUDGED} then null when cs is not null then {_sql_distance('cn', 'cs')}
+         when whole is null then null when 4 * cn[6] > list_sum(cn) then {_sql_distance(_sql_folded('cn'), _sql_folded('whole'))}
+         else {_sql_distance('cn', 'whole')} end as cd,
     case when n_words >= {MIN_WORDS_JUDGED} and ws is not null and wn is not null then {_sql_distance('wn', 'ws')} end as wd
-  from k left join scaled on scaled.lang = k.lang)
+  from k left join scaled on scaled.lang = k.lang left join corpus on true)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   not base_failed and not coalesce(cd > {MAX_CLASS_DISTANCE}, false) and not coalesce(wd > {MAX_WORD_DISTANCE}, false) as kept
 from v

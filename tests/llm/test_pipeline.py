@@ -1,5 +1,6 @@
 """The stages of the pipeline, each held against brute force on its own input."""
 
+from pyspark.sql import functions as F
 import __spark_entry__
 import brute
 import corpus_pipeline
@@ -43,3 +44,26 @@ def test_odd_rows(spark, odd, none, sf):
 def test_all_are_registered():
     names = set(__spark_entry__.queries())
     assert {f"op{i}" for i in range(1, 11)} <= {n.split("_")[0] for n in names} and "pipeline" in names
+
+
+def test_the_sql_of_the_quality_rules_is_a_twin(spark, sf, tmp_path):
+    """Codes in capitals and with regions, NULL, a rare language, one with words of its own, another script."""
+    import duckdb
+
+    docs = spark.read.parquet(f"{sf.replace('0.001', '0.01')}/documents.parquet")
+    code = F.expr("""case when doc_id % 3 = 0 then upper(lang) when doc_id % 7 = 0 then lang || '-XX' when doc_id % 11 = 0 then null
+        when doc_id % 13 = 0 then 'rare' when lang = 'es' then 'it' else lang end""")
+    text = F.expr("case when doc_id % 17 = 0 then translate(lower(text), 'abcdefghijklmnopqrstuvwxyz', 'абцдефгхийклмнопярстувшхыз') else text end")
+    docs.withColumns({"lang": code, "text": text}).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = quality_rules.op6_quality_rules(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    cursor = con.execute(quality_rules.SQL)
+    names = [d[0] for d in cursor.description]
+    assert sorted(map(tuple, rows.select(*names).collect())) == sorted(cursor.fetchall())
+    assert rows.groupBy("kept").count().count() == 2
+
+
+def test_the_quality_stage_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "x " * 5, "en", "w", 5)], "doc_id long, text string, lang string, __words string, `a.b` int")
+    assert quality_rules.keep_good(docs).columns == docs.columns and quality_rules.keep_good(docs).count() == 0

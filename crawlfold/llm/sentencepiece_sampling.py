@@ -18,6 +18,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -79,6 +80,22 @@ class Vocabulary:
         return b"".join(map(self.data.__getitem__, ids))[1:]
 
 
+    def gives_back(self, ids: np.ndarray, ends: np.ndarray, texts: list[bytes]) -> list[bool]:
+        """Whether the ids `ends[i] : ends[i + 1]` decode to text i, for all i at once; ends begin with 0."""
+        flat, first, size = self.flat
+        sizes = size[ids]
+        whole = np.concatenate([[0], np.cumsum(sizes)])
+        at = np.arange(whole[-1]) - np.repeat(whole[:-1] - first[ids], sizes)
+        data, to = flat[at].tobytes(), whole[ends].tolist()
+        return [data[a + 1 : b] == t for a, b, t in zip(to[:-1], to[1:], texts)]
+
+    @cached_property
+    def flat(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes of all pieces in a row, where each begins, and its size."""
+        size = np.array([len(x) for x in self.data], np.int64)
+        return np.frombuffer(b"".join(self.data), np.uint8), np.cumsum(size) - size, size
+
+
 class Lattices:
     """Lattices of distinct words, all in one numbering of nodes; words stay until there are many.
 
@@ -112,6 +129,7 @@ class Lattices:
 
     def clear(self) -> None:
         self.number: dict[str, int] = {}
+        self.room: dict[str, np.ndarray] = {}
         none, real = np.empty(0, np.int32), np.empty(0)
         self.source, self.target, self.piece, self.n_ids = none, none, none, np.empty(0, np.int8)
         self.mass, self.log_mass, self.upto, self.only = real, real, real, np.empty(0, bool)
@@ -140,7 +158,8 @@ class Lattices:
             self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
             for a in range(0, len(new), _NEW_WORDS):
                 self._add(new[a : a + _NEW_WORDS])
-        return np.array(list(map(self.number.__getitem__, itertools.chain.from_iterable(words))), np.int64)
+        count = sum(map(len, words))
+        return np.fromiter(map(self.number.__getitem__, itertools.chain.from_iterable(words)), np.int64, count)
 
     def _add(self, words: list[str]) -> None:
         points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -209,13 +228,24 @@ class Lattices:
             e = np.flatnonzero(nth == k)
             upto[e] += upto[e - 1]
         nodes, edges = len(self.begin) - 1, len(self.piece)
-        add = lambda name, x: setattr(self, name, np.concatenate([getattr(self, name), x]))
+        add = self._append
         add("only", begin[target + 1] - begin[target] == 1)
         for name, x in (("source", source + np.int32(nodes)), ("target", target + np.int32(nodes)), ("piece", piece), ("n_ids", n_ids),
                         ("mass", mass), ("log_mass", log_mass), ("upto", upto), ("first_node", first_node + np.int32(nodes)),
                         ("last_node", first_node + sizes + np.int32(nodes)), ("begin", begin[1:] + np.int32(edges))):
             add(name, x)
 
+    def _append(self, name: str, more: np.ndarray) -> None:
+        """Put values behind an array that has room; it is copied only when it doubles."""
+        old = getattr(self, name)
+        room, n = self.room.get(name), len(old) + len(more)
+        if room is None or n > len(room):
+            room = np.empty(max(2 * n, 1 << 12), more.dtype)
+            room[: len(old)] = old
+            self.room[name] = room
+        room[len(old) : n] = more
+        setattr(self, name, room[:n])
+
     @staticmethod
     def _long(total: np.ndarray, source: np.ndarray, target: np.ndarray, weight: np.ndarray) -> None:
         """Forward scores of the nodes that edges lead to; the edges are in order of place, those into a node together."""
@@ -249,6 +279,12 @@ class Lattices:
         return e
 
 
+def words_of(text: str) -> list[str]:
+    """The words of a text behind a space, each with the spaces in front of it; spaces at the end are a word too."""
+    parts = text.split(" ")
+    return _WORD.findall(" " + text) if "" in parts else [" " + w for w in parts]
+
+
 def uniform(key: np.ndarray) -> np.ndarray:
     """In (0, 1), by a hash of the key."""
     return ((mixed(key) >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
@@ -328,7 +364,7 @@ class Sampler:
 
     def draw(self, ids: np.ndarray, texts: list[str], k: int) -> Iterator[tuple[int, int, np.ndarray, float, float, float]]:
         """(text, rank, ids, log probability, perturbed score, log inclusion probability)."""
-        words = [_WORD.findall(" " + t) if t else [] for t in texts]
+        words = [words_of(t) if t else [] for t in texts]
         lat = self.lattices
         kind = lat.numbered(words)
         counts = np.array([len(w) for w in words], np.int64)
@@ -399,11 +435,12 @@ class Sampler:
                 value = -np.logaddexp(-bound[text], np.log(noise) - rest)
             value[~fresh | (others == 0)] = -np.inf
             agenda.append(value)
+            again = -np.log(uniform(mixed(_keys(ids, self.seed, rank), 29)))
             for t in alive.tolist():
                 taken[t].append((len(paths) - 1, rank))
                 if rank:  # what is left of the node just opened
                     p, i = int(from_path[t]), int(from_place[t])
-                    self._recut(paths[p], agenda[p], cut, p, t, i, int(fork[t]), float(bound[t]), int(ids[t]), rank)
+                    self._recut(paths[p], agenda[p], cut, p, t, i, int(fork[t]), float(bound[t]), float(again[t]))
             # The best node of every text.
             best = np.full(len(texts), -np.inf)
             for p, (q, v) in enumerate(zip(paths, agenda)):
@@ -418,12 +455,13 @@ class Sampler:
             bound = best
             alive = np.array([t for t in alive.tolist() if bound[t] > -np.inf], np.int64)
             if rank + 1 < k:
+                draw = uniform(mixed(_keys(ids, self.seed, rank + 1), 23))
                 for t in alive.tolist():
                     p = int(from_path[t])
                     s = paths[p].of(t)
                     i = int(np.argmax(agenda[p][s]))
                     from_place[t] = i
-                    fork[t] = self._other(paths[p], cut, p, t, i, int(ids[t]), rank + 1)
+                    fork[t] = self._other(paths[p], cut, p, t, i, float(draw[t]))
         kappa = bound  # of the first segmentation that is not drawn; -inf if all were
         yield from self._results(paths, scores, bounds, kappa, taken)
 
@@ -435,12 +473,11 @@ class Sampler:
         left = [e for e in range(int(lat.begin[node]), int(lat.begin[node + 1])) if e not in gone]
         return left, lat.mass[left]
 
-    def _other(self, path: Paths, cut: dict, p: int, t: int, i: int, row: int, sample: int) -> int:
+    def _other(self, path: Paths, cut: dict, p: int, t: int, i: int, u: float) -> int:
         left, mass = self._siblings(path, cut, p, t, i)
-        u = uniform(mixed(_keys(np.array([row]), self.seed, sample), 23))[0]
         return int(left[min(int(np.searchsorted(np.cumsum(mass), u * mass.sum())), len(left) - 1)])
 
-    def _recut(self, path: Paths, value: np.ndarray, cut: dict, p: int, t: int, i: int, edge: int, bound: float, row: int, sample: int) -> None:
+    def _recut(self, path: Paths, value: np.ndarray, cut: dict, p: int, t: int, i: int, edge: int, bound: float, noise: float) -> None:
         cut.setdefault((p, t, i), []).append(edge)
         left, mass = self._siblings(path, cut, p, t, i)
         at = path.of(t).start + i
@@ -448,7 +485,6 @@ class Sampler:
             value[at] = -np.inf
             return
         before = self.lattices.log_mass[path.edge[path.of(t)][:i]].sum()
-        noise = -np.log(uniform(mixed(_keys(np.array([row]), self.seed, sample), 29)))[0]
         value[at] = -np.logaddexp(-bound, np.log(noise) - before - np.log(mass.sum()))
 
     def _results(self, paths, scores, bounds, kappa, taken):
@@ -516,7 +552,7 @@ def _encode(sent, k: int, sharpness: float, seed: int, names: list[str]):
             rows = pa.array([f[0] for f in found], pa.int64())
             flat = np.concatenate([f[2] for f in found] or [np.empty(0, np.int32)])
             ends = np.cumsum([0, *(len(f[2]) for f in found)])
-            exact = [vocabulary.decode(f[2].tolist()) == (bodies[f[0]] or b"") for f in found]
+            exact = vocabulary.gives_back(flat, ends, [bodies[f[0]] or b"" for f in found])
             new = [pa.array([f[1] + 1 for f in found], _TYPES[0]), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32())),
                    pa.array([len(f[2]) for f in found], _TYPES[2]), *(pa.array([f[j] for f in found], pa.float64()) for j in (3, 4, 5)),
                    pa.array(exact, pa.bool_())]

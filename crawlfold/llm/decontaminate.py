@@ -1,12 +1,13 @@
 """Passages of a benchmark inside documents, found by one Aho-Corasick automaton.
 
-The automaton holds every window of the normalised items. Each text is normalised and scanned once;
-hits are mapped back to places in the text as it was.
+The automaton holds every window of the normalised items, a node for a word: words are numbered, and a word that
+no item has is 0. Each text is normalised and scanned once; hits are mapped back to places in the text as it was.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 
 import ahocorasick
 import numpy as np
@@ -15,10 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlfold.llm.exchange import tidy
+from crawlfold.session import written
 
 WINDOW = 10
-#: Bytes of normalised items in one automaton. More items are scanned for slice by slice.
-SLICE_BYTES = 32 << 20
+#: Bytes of items in one automaton, which takes about a hundred times that. More items are scanned for slice by slice.
+SLICE_BYTES = 2 << 20
 _LETTERS = bytes(range(0x30, 0x3A)) + bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100))
 _NORMAL = bytes(c if (c := (b + 32 if 0x41 <= b <= 0x5A else b)) in _LETTERS else 0x20 for b in range(256))
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
@@ -34,40 +36,49 @@ def words(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(_NORMAL).split()
 
 
-def windows(item: bytes | None, n: int) -> set[bytes]:
-    """Every run of n words; an item with fewer words, but not none, is one window."""
-    own = words(item)
-    return {b" ".join(own[i : i + n]) for i in range(max(len(own) - n, 0) + 1)} if own else set()
+class Automaton:
+    """Windows of n words of some items, an item with fewer words, but not none, being one window."""
+
+    def __init__(self, items: list[tuple[str, bytes]], n: int):
+        self.number: dict[bytes, int] = {}
+        self.sizes: list[int] = []
+        self.owners: list[list[str]] = []
+        found = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+        for item, text in items:
+            own = tuple(self.number.setdefault(w, len(self.number) + 1) for w in words(text))
+            for i in range(max(len(own) - n, 0) + 1 if own else 0):
+                window = own[i : i + n]
+                at = found.get(window, -1)
+                if at < 0:
+                    found.add_word(window, len(self.sizes))
+                    self.sizes.append(len(window))
+                    self.owners.append([item])
+                elif self.owners[at][-1] != item:
+                    self.owners[at].append(item)
+        self.found = found if self.sizes else None
+        if self.found:
+            found.make_automaton()
+
+    def hits(self, own: list[bytes]) -> tuple[np.ndarray, set[str]]:
+        """Which of a text's words lie inside a window of an item, and the items."""
+        covered, items = np.zeros(len(own), bool), set()
+        if self.found is None or not own:
+            return covered, items
+        for end, at in self.found.iter(tuple(self.number.get(w, 0) for w in own)):
+            covered[end - self.sizes[at] + 1 : end + 1] = True
+            items.update(self.owners[at])
+        return covered, items
 
 
-def automaton(items: list[tuple[str, bytes]], n: int) -> ahocorasick.Automaton | None:
-    """Windows between single spaces; each leads to its number of words and the items that hold it."""
-    owners: dict[bytes, set[str]] = {}
-    for item, text in items:
-        for w in windows(text, n):
-            owners.setdefault(w, set()).add(item)
-    if not owners:
-        return None
-    found = ahocorasick.Automaton()
-    for w, who in owners.items():
-        found.add_word(f" {w.decode('latin-1')} ", (len(w) + 2, w.count(b" ") + 1, sorted(who)))
-    found.make_automaton()
-    return found
+_BUILT: dict[str, Automaton] = {}
 
 
-def hits(found: ahocorasick.Automaton | None, own: list[bytes]) -> tuple[np.ndarray, set[str]]:
-    """Which words lie inside a window of an item, and the items."""
-    covered, items = np.zeros(len(own), bool), set()
-    if found is None or not own:
-        return covered, items
-    seen = list(found.iter(f" {b' '.join(own).decode('latin-1')} "))
-    if seen:
-        ends = np.cumsum([len(w) + 1 for w in own])  # place of the space behind each word
-        for end, (size, n, who) in seen:
-            last = int(np.searchsorted(ends, end))
-            covered[last - n + 1 : last + 1] = True
-            items.update(who)
-    return covered, items
+def _automaton(name: str, items, n: int) -> Automaton:
+    """The automaton of a slice, built once per worker, which keeps the latest one."""
+    if name not in _BUILT:
+        _BUILT.clear()
+        _BUILT[name] = Automaton(items.value, n)
+    return _BUILT[name]
 
 
 def spans(text: bytes, covered: np.ndarray) -> list[dict]:
@@ -86,18 +97,18 @@ def spans(text: bytes, covered: np.ndarray) -> list[dict]:
     return out
 
 
-def _scan(items, n: int, text_at: int, last: bool):
+def _scan(name: str, items, n: int, text_at: int, last: bool):
     """Scan with the items of one slice; what earlier slices covered comes in the last two columns."""
 
     def scan(batches):
-        found = automaton(items.value, n)
+        found = _automaton(name, items, n)
         for batch in batches:
             texts = batch.column(text_at).to_pylist()
             before = zip(batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist())
             rows = []
             for text, (old, old_items) in zip(texts, before):
                 own = words(text)
-                covered, who = hits(found, own)
+                covered, who = found.hits(own)
                 if old:
                     covered |= np.unpackbits(np.frombuffer(old, np.uint8), count=len(own)).astype(bool)
                 who.update(old_items)
@@ -127,8 +138,9 @@ def find(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col
     benchmark hits nothing. Items with equal windows are all reported; a NULL item id reads "null".
     Repeated rows are judged each for itself. Columns that begin with `__` are reserved.
 
-    Only the benchmark leaves the executors, in slices of at most `slice_bytes`: its size is summed
-    first, and a larger one is scanned for in several automata, each over all documents.
+    Only the benchmark leaves the executors, in slices of about `slice_bytes`, one after the other: its size is summed
+    first, and a larger one is scanned for in several automata, each over all documents. What a slice has covered is
+    stored before the next one is sent, so that one automaton at a time is in memory.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"),
@@ -146,7 +158,10 @@ def find(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col
         sent = spark.sparkContext.broadcast([(r["item"], bytes(r["text"])) for r in part])
         more = (["__n_words long", "__n_hit long", "__items array<string>", f"__spans {_SPANS}"] if last
                 else ["__body binary", "__covered binary", "__who array<string>"])
-        out = out.mapInArrow(tidy(_scan(sent, window, at, last)), ", ".join(own + more))
+        out = out.mapInArrow(tidy(_scan(uuid.uuid4().hex, sent, window, at, last)), ", ".join(own + more))
+        if not last:
+            out = written(out)
+            sent.unpersist()
     return out
 
 

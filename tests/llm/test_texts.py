@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 from crawlfold.llm import context_tree, hilbert_shards, main_text, quality_rules, sentencepiece_sampling as sp
@@ -276,6 +277,36 @@ def test_pages_of_the_table(spark, sf):
 
 # Shards
 
+@pytest.mark.parametrize("dims,bits", [(2, 4), (3, 3), (4, 2)])
+def test_the_curve_steps_from_cell_to_neighbour(dims, bits):
+    """What makes it a Hilbert curve, without another copy of its formula: every cell once, each next to the one before."""
+    import itertools
+
+    cells = np.array(list(itertools.product(range(1 << bits), repeat=dims)), np.int64).T
+    index = hilbert_shards.curve_index(cells, bits)
+    assert sorted(index.tolist()) == list(range(1 << (dims * bits)))
+    path = cells[:, np.argsort(index)]
+    assert (np.abs(np.diff(path, axis=1)).sum(axis=0) == 1).all()
+    # Every aligned block of a power of two is a sub-cube: this is what lets files be skipped.
+    for k in range(1, bits):
+        block = path.reshape(dims, -1, 1 << (dims * k))
+        assert (block.max(axis=2) - block.min(axis=2) == (1 << k) - 1).all()
+
+
+def test_shards_are_runs_of_the_plain_order(spark, odd):
+    """The rows sorted in Python by place on the curve, checksum and id, and cut into runs."""
+    docs = odd.withColumns({"lang": F.expr("case when doc_id % 2 = 0 then 'en' when doc_id % 3 = 0 then 'de' end"),
+                            "source": F.expr("concat('source_', doc_id % 4)")}).unionByName(odd)
+    placed = [(r["__curve"], zlib.crc32((r["text"] or "").encode()), r["doc_id"]) for r in hilbert_shards.curve_order(docs).collect()]
+    placed.sort(key=lambda r: (r[0], r[1], r[2] is not None, r[2] or 0))
+    n, want = len(placed), []
+    for shard in range(8):
+        first, end = -(-shard * n // 8), -(-(shard + 1) * n // 8)
+        want += [(placed[i][2], placed[i][1], shard, i - first) for i in range(first, end)]
+    got = hilbert_shards.assign(docs).select("doc_id", "__crc", "__shard", "__slot").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
 def test_shards(spark, sf, table, odd, none):
     rows = hilbert_shards.op2_hilbert_shards(spark, sf).collect()
     text = dict(table)

@@ -79,34 +79,12 @@ def inside(html: Column, tag: str) -> Column:
     return F.when(nested, F.coalesce(F.substring(html, F.lit(1), end), html)).otherwise(before(html, f"</{tag}>"))
 
 
-def own(html: Column, tag: str) -> Column:
-    """As `inside`, without the elements of the same name in it."""
-    def walk(state: Column, piece: Column) -> Column:
-        depth = state["depth"] + _step(piece, tag)
-        done = state["done"] | (depth < 0)
-        text = F.when(~done & (depth == 0), F.concat(state["text"], piece)).otherwise(state["text"])
-        return F.struct(depth.alias("depth"), done.alias("done"), text.alias("text"))
-
-    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("done"), F.lit("").alias("text"))
-    return F.aggregate(_tag_pieces(html, tag), start, walk)["text"]
-
-
 def block(html: Column, tag: str, attr: str | None = None, value: str | None = None,
           part: bool = False) -> Column:
     """Inner HTML of the first matching element, up to its own closing tag."""
     return inside(after(html, opening(tag, attr, value, part)), tag)
 
 
-def pieces(html: Column, pattern: str) -> Column:
-    """What follows each match of `pattern`, up to the next match."""
-    return F.slice(F.split(html, "(?s)" + pattern), 2, 1_000_000_000)
-
-
-def spans(html: Column) -> Column:
-    """Inner HTML of the spans of a text, each up to the first closing tag."""
-    return F.transform(pieces(html, opening("span")), lambda s: before(s, "</span>"))
-
-
 def attribute(tag_text: Column, name: str) -> Column:
     """Value of an attribute in the text of one opening tag."""
     return first(tag_text, rf"""\s{name}\s*=\s*["']([^"']*)["']""")

@@ -15,8 +15,8 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-import gc
 import inspect
+import resource
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -114,11 +114,17 @@ def by_shard(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[tuple[in
     yield from ((s, *v) for s, v in held.items())
 
 
+#: Memory of a worker up to which there is nothing worth giving back.
+_LEAN = 256 << 20
+
+
 def release() -> None:
     """Give memory that Python and Arrow have freed back to the system: workers live on, and the next task may be another's."""
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    with contextlib.suppress(OSError, AttributeError):  # a C library without it keeps what it likes
+    with contextlib.suppress(OSError, AttributeError):  # elsewhere than on Linux the system keeps what it likes
+        with open("/proc/self/statm") as f:
+            if int(f.read().split()[1]) * resource.getpagesize() < _LEAN:
+                return
+        pa.default_memory_pool().release_unused()
         ctypes.CDLL(None).malloc_trim(0)
 
 

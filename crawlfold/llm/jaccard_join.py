@@ -11,7 +11,8 @@ by rarity their prefixes of n - t + 1 share one.
    a set's guide is the most similar set it is linked to by that, at a known distance.
 3. Partners are derived from the guide's: distance is a metric, so two partners of one guide are linked if
    their distances from it add up to little enough. These pairs are never listed or compared.
-4. The lists' entries are cut into blocks in order of size; pairs of blocks are skipped by size and position.
+4. The lists' entries are cut into blocks in order of size; pairs of blocks are skipped by size and position, pairs of
+   sets also by their counts of shingles in some cells.
    A pair that is left is linked, or apart, without a comparison where the distances to and between the two
    guides decide it; the others are compared.
 
@@ -195,7 +196,9 @@ def _survivors(size: int, percent: int, parts: int):
 
 _COUNT = pa.schema([("part", pa.int32()), (SHARD, pa.int64()), *((c, pa.binary()) for c in ("shingle", "n", "least", "most"))])
 COUNT = f"part int, {SHARD} long, shingle binary, n binary, least binary, most binary"
-_ENTRY = "shingle long, rep long, comp long, n int, pos int, common int"
+_ENTRY = "shingle long, rep long, comp long, n int, pos int, common int, cells binary"
+#: Cells that a set's shingles are counted in. Two sets share no more than the smaller counts add up to.
+CELLS = 256
 
 
 def _grouped(shingle: np.ndarray, n: np.ndarray, least: np.ndarray, most: np.ndarray):
@@ -239,6 +242,24 @@ def _summed(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches(out, schema=_COUNT)
 
 
+def _cells(s: np.ndarray) -> bytes:
+    """Shingles per cell, nothing if a count does not fit a byte."""
+    n = np.bincount((mixed(s, 9) % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
+    return n.astype(np.uint8).tobytes() if n.max() < 256 else b""
+
+
+def most_shared(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """For each pair a[i], b[i] the most shingles that the two can share by their cells."""
+    out = np.full(len(a), np.iinfo(np.int64).max)
+    both = np.array([bool(x and y) for x, y in zip(a, b)], bool)
+    at = np.flatnonzero(both)
+    for i in range(0, len(at), 1 << 14):
+        some = at[i : i + (1 << 14)].tolist()
+        x, y = (np.frombuffer(b"".join([c[j] for j in some]), np.uint8).reshape(-1, CELLS) for c in (a, b))
+        out[some] = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+    return out
+
+
 def _entries(percent: int):
     """Per set its rarest shingles that it can share with another component.
 
@@ -254,6 +275,7 @@ def _entries(percent: int):
         order = np.argsort(known)
         known, count = known[order], count[order]
         cols: list[list[np.ndarray]] = [[], [], [], [], [], []]
+        cells: list[bytes] = []
         for rep, comp, data in zip(*(sets.column(c).to_pylist() for c in ("rep", "comp", "set"))):
             whole = unpack(data)
             s = whole[among(known, whole)]
@@ -265,9 +287,11 @@ def _entries(percent: int):
             row = (s[by].astype(np.int64), np.full(m, rep), np.full(m, comp), np.full(m, n), np.arange(m), np.full(m, len(s)))
             for c, x in zip(cols, row):
                 c.append(x)
+            cells += [_cells(whole)] * m
         kinds = (np.int64, np.int64, np.int64, np.int32, np.int32, np.int32)
         names = ("shingle", "rep", "comp", "n", "pos", "common")
-        return pa.table({k: np.concatenate(c or [np.empty(0)]).astype(t) for k, c, t in zip(names, cols, kinds)})
+        table = {k: pa.array(np.concatenate(c or [np.empty(0)]).astype(t)) for k, c, t in zip(names, cols, kinds)}
+        return pa.table(table | {"cells": pa.array(cells, pa.binary())})
 
     return entries
 
@@ -366,6 +390,10 @@ def _cross(percent: int):
                 ok = (a["comp"][:, None] != b["comp"][None]) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (
                     (100 + percent) * most >= percent * (n + m)) & ~known
                 p, q = np.nonzero(ok)
+                cells = [[e["cells"] for e in r[side]] for side in ("a", "b")]
+                shared = most_shared([cells[0][i] for i in p.tolist()], [cells[1][i] for i in q.tolist()])
+                least = -(-percent * (a["n"][p] + b["n"][q]) // (100 + percent))
+                p, q = p[shared >= least], q[shared >= least]
                 xs.append(a["rep"][p])
                 ys.append(b["rep"][q])
             yield from _distinct(xs, ys)
@@ -404,7 +432,7 @@ def _left_over(entries: DataFrame, guide: DataFrame, percent: int) -> DataFrame:
     row = F.row_number().over(Window.partitionBy("shingle").orderBy("n", "rep"))
     blocks = written(
         entries.withColumn("block", F.floor((row - 1) / BLOCK)).groupBy("shingle", "block").agg(
-            F.collect_list(F.struct("rep", "comp", "n", "pos", "common", "g", "d")).alias("entries"),  # at most BLOCK
+            F.collect_list(F.struct("rep", "comp", "n", "pos", "common", "g", "d", "cells")).alias("entries"),  # at most BLOCK
             F.min("n").alias("least"), F.max("n").alias("most"), F.max("pos").alias("pos"),
             F.max(F.col("common") - F.col("pos")).alias("tail")))
     a, b = blocks.alias("a"), blocks.alias("b")
@@ -476,17 +504,13 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
 def spanning(sets: DataFrame, percent: int) -> DataFrame:
     """`rep`, `comp`: the component of each set, by links that join all of it; stored.
 
-    Two sets of different components after the two rounds with the lists' first sets are listed if they can be linked; no
+    Two sets of different components after the round with the lists' first sets are listed if they can be linked; no
     others are. So no link between components is missed, and those inside one are not looked for.
     """
-    labels = sets.select("rep", F.col("rep").alias("comp"))
-    star = None
-    for _ in range(2):
-        entries = index(sets, labels, percent)
-        new = compared(_star(entries, percent), sets)
-        remove(entries)
-        star = new if star is None else written(star.union(new.join(star.select("x", "y"), ["x", "y"], "left_anti")))
-        labels = components(sets, star.filter(is_link(percent)))
+    entries = index(sets, sets.select("rep", F.col("rep").alias("comp")), percent)
+    star = compared(_star(entries, percent), sets)
+    remove(entries)
+    labels = components(sets, star.filter(is_link(percent)))
     guide = _guides(sets, star.filter(is_link(percent)))
     entries = index(sets, labels, percent)
     near, more = _decided(entries, guide, star, sets, percent)

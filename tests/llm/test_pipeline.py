@@ -1,6 +1,7 @@
 """The stages of the pipeline, each held against brute force on its own input."""
 
 from pyspark.sql import functions as F
+
 import __spark_entry__
 import brute
 import corpus_pipeline

@@ -25,6 +25,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def tasks(spark: SparkSession) -> int:
+    """Tasks for rows that are few bytes and much work, a few for every core. Files are cut by bytes, which leaves such
+    rows to one task."""
+    return 3 * spark.sparkContext.defaultParallelism
+
+
 # Shops and observations
 
 def shops(spark: SparkSession, sf: str) -> DataFrame:
@@ -156,13 +162,13 @@ def listing_pages(spark: SparkSession, sf: str, faults: bool = False, nested: bo
 
 
 def as_detail_pages(customers: DataFrame, nested: bool = False, statuses: bool = False, odd: bool = False) -> DataFrame:
-    """One detail page per customer; every 23rd is a block notice.
+    """One detail page per customer; every 23rd is a block notice. Customers are dealt out before their pages are made.
 
     `nested`: keywords in two blocks, with other links around them and a foreign block behind.
     `statuses`: some pages are stored with a refusal, some without a status.
     `odd`: comments that hold end tags, a heading, a script and other keywords; a span inside a span.
     """
-    key = customers.selectExpr("c_custkey k", "c_name name", "c_nationkey nation")
+    key = customers.selectExpr("c_custkey k", "c_name name", "c_nationkey nation").repartition(tasks(customers.sparkSession))
     aside = second = foreign = ""
     if nested:
         aside = '<div class="sub"><a>no word</a></div>'

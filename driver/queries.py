@@ -399,11 +399,21 @@ def listing_depth(spark, sf):
 
 # Streams: files of the given tables are the input, a shared folder takes the output.
 
-def _stored_stream(df: DataFrame, folder: str, files: int, by) -> DataFrame:
-    """`df` stored in several files, then read as a stream of one file per batch."""
-    for i in range(files):
-        df.filter(by == i).coalesce(1).write.mode("append").parquet(folder)
-    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+def _stored_stream(df: DataFrame, folder: str, batches: int, by, files: int = 1) -> DataFrame:
+    """`df` stored in several parts, then read as a stream of one part per batch. Parts of several files are made and read by
+    as many tasks; where some of a part's files stay empty, the next part fills its batch."""
+    for i in range(batches):
+        rows = df.filter(by == i)
+        rows = rows.coalesce(1) if files == 1 else rows.repartition(files)
+        rows.write.mode("append").parquet(folder)
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(folder)
+
+
+def _deliveries(df: DataFrame, folder: str, batches: int, by):
+    """`df` stored in several parts, by many tasks; after each a stream of all parts so far, for a job that goes on at its checkpoint."""
+    for i in range(batches):
+        df.filter(by == i).repartition(b.tasks(df.sparkSession)).write.mode("append").parquet(folder)
+        yield df.sparkSession.readStream.schema(df.schema).parquet(folder)
 
 
 def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -422,7 +432,7 @@ def stream_extract(spark, sf):
 def stream_listing(spark, sf):
     folder = new_folder(spark, "listing")
     pages = b.listing_pages(spark, sf, nested=True)
-    stream = _stored_stream(pages, f"{folder}/pages", 3, F.pmod(F.xxhash64("url"), F.lit(3)))
+    stream = _stored_stream(pages, f"{folder}/pages", 3, F.pmod(F.xxhash64("url"), F.lit(3)), b.tasks(spark))
     jobs.extract_listings(stream, f"{folder}/out", f"{folder}/checkpoint")
     return spark.read.parquet(f"{folder}/out").select("id", "url", F.col("seq").alias("pos"), *rounds.LISTING_FIELDS)
 
@@ -479,8 +489,8 @@ def stream_counts(spark, sf):
     folder = new_folder(spark, "counts")
     pages = b.listing_pages(spark, sf, faults=True)
     number = F.regexp_extract("url", r"(\d+)$", 1).cast("bigint")
-    stream = _stored_stream(pages, f"{folder}/pages", 3, number % 3)
-    jobs.extract_listings(stream, f"{folder}/out", f"{folder}/checkpoint", counts=f"{folder}/counts")
+    for stream in _deliveries(pages, f"{folder}/pages", 3, number % 3):
+        jobs.extract_listings(stream, f"{folder}/out", f"{folder}/checkpoint", counts=f"{folder}/counts")
     return jobs.read_counts(spark, f"{folder}/counts")
 
 

@@ -196,7 +196,7 @@ def _survivors(size: int, percent: int, parts: int):
 
 _COUNT = pa.schema([("part", pa.int32()), (SHARD, pa.int64()), *((c, pa.binary()) for c in ("shingle", "n", "least", "most"))])
 COUNT = f"part int, {SHARD} long, shingle binary, n binary, least binary, most binary"
-_ENTRY = "shingle long, rep long, comp long, n int, pos int, common int, cells binary"
+_ENTRY = "shingle long, rep long, comp long, n int, pos int, common int, weight float, cells binary"
 #: Cells that a set's shingles are counted in. Two sets share no more than the smaller counts add up to.
 CELLS = 256
 
@@ -209,18 +209,17 @@ def _grouped(shingle: np.ndarray, n: np.ndarray, least: np.ndarray, most: np.nda
 
 
 def _count(parts: int):
-    def count(batches):
-        rows = Rows(_COUNT)
-        for batch in batches:
-            shards: dict[int, list] = {}
-            for shard, comp, data in zip(*(batch.column(c).to_pylist() for c in (SHARD, "comp", "set"))):
-                shards.setdefault(shard, []).append((unpack(data), comp))
-            for shard, sets in shards.items():
-                comp = np.repeat(np.array([c for _, c in sets], np.int64), [len(x) for x, _ in sets])
-                found = _grouped(np.concatenate([x for x, _ in sets]), np.ones(len(comp), np.int64), comp, comp)
-                for p, s in cuts(found[0] << np.uint64(16), parts):
-                    yield from rows.add(p, shard, *(x[s].tobytes() for x in found))
-        yield from rows.rest()
+    """One row per range of keys for the sets of a whole shard, wherever a join has put them."""
+
+    def count(table: pa.Table) -> pa.Table:
+        out, rows = [], Rows(_COUNT)
+        sets = [unpack(data) for data in table.column("set").to_pylist()]
+        comp = np.repeat(table.column("comp").to_numpy(), [len(x) for x in sets])
+        found = _grouped(np.concatenate(sets), np.ones(len(comp), np.int64), comp, comp)
+        for p, s in cuts(found[0] << np.uint64(16), parts):
+            out += rows.add(p, table.column(SHARD)[0].as_py(), *(x[s].tobytes() for x in found))
+        out += rows.rest()
+        return pa.Table.from_batches(out, schema=_COUNT)
 
     return count
 
@@ -265,7 +264,8 @@ def _entries(percent: int):
 
     The shingles no other component holds come first in the order of rarity and match nothing, so of
     the prefix only what lies behind them is listed; nothing at all if too few are left for a link.
-    `pos` counts the listed kind only, `common` is how many of it the set has.
+    `pos` counts the listed kind only, `common` is how many of it the set has. `weight` is in how many sets one of its
+    shingles stands on average: most for the middle of a family, whose copies lose what they change.
     """
 
     def entries(sets: pa.Table, told: pa.Table) -> pa.Table:
@@ -274,7 +274,7 @@ def _entries(percent: int):
         count = np.concatenate([longs(r["n"], np.int64) for r in rows] or [np.empty(0, np.int64)])
         order = np.argsort(known)
         known, count = known[order], count[order]
-        cols: list[list[np.ndarray]] = [[], [], [], [], [], []]
+        cols: list[list[np.ndarray]] = [[], [], [], [], [], [], []]
         cells: list[bytes] = []
         for rep, comp, data in zip(*(sets.column(c).to_pylist() for c in ("rep", "comp", "set"))):
             whole = unpack(data)
@@ -282,14 +282,16 @@ def _entries(percent: int):
             n, least = len(whole), at_least(len(whole), percent)
             if len(s) < least:
                 continue
-            by = np.lexsort((s, count[np.searchsorted(known, s)]))[: len(s) - least + 1]  # rarest first
+            held = count[np.searchsorted(known, s)]
+            by = np.lexsort((s, held))[: len(s) - least + 1]  # rarest first
             m = len(by)
-            row = (s[by].astype(np.int64), np.full(m, rep), np.full(m, comp), np.full(m, n), np.arange(m), np.full(m, len(s)))
+            row = (s[by].astype(np.int64), np.full(m, rep), np.full(m, comp), np.full(m, n), np.arange(m), np.full(m, len(s)),
+                   np.full(m, held.sum() / n))
             for c, x in zip(cols, row):
                 c.append(x)
             cells += [_cells(whole)] * m
-        kinds = (np.int64, np.int64, np.int64, np.int32, np.int32, np.int32)
-        names = ("shingle", "rep", "comp", "n", "pos", "common")
+        kinds = (np.int64, np.int64, np.int64, np.int32, np.int32, np.int32, np.float32)
+        names = ("shingle", "rep", "comp", "n", "pos", "common", "weight")
         table = {k: pa.array(np.concatenate(c or [np.empty(0)]).astype(t)) for k, c, t in zip(names, cols, kinds)}
         return pa.table(table | {"cells": pa.array(cells, pa.binary())})
 
@@ -300,7 +302,7 @@ def index(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Lists of the shingles by which sets of different components may be linked, stored."""
     parts = parts_of(sets)
     marked = sets.join(labels, "rep").select(SHARD, "rep", "comp", "set")
-    counts = marked.mapInArrow(tidy(_count(parts)), COUNT).groupBy("part").applyInArrow(tidy(_summed), COUNT)
+    counts = marked.groupBy(SHARD).applyInArrow(tidy(_count(parts)), COUNT).groupBy("part").applyInArrow(tidy(_summed), COUNT)
     return written(marked.groupBy(SHARD).cogroup(counts.groupBy(SHARD)).applyInArrow(tidy(_entries(percent)), _ENTRY))
 
 
@@ -326,7 +328,7 @@ def _overlap(one: pa.Table, others: pa.Table) -> pa.Table:
 
 
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """`x`, `y`, `inter`, `union` of distinct pairs x < y. A set with many partners is sent to several groups of them."""
+    """`x`, `y`, `inter`, `union` of distinct pairs. A set with many partners is sent to several groups of them."""
     many = pairs.groupBy("x").agg(F.ceil(F.count("*") / GROUP).alias("groups"))
     dealt = written(pairs.join(many, "x").select("x", "y", F.pmod(F.xxhash64("y"), "groups").alias("group")))
     others = dealt.join(sets.select(F.col("rep").alias("y"), "set"), "y").select(
@@ -443,12 +445,24 @@ def _left_over(entries: DataFrame, guide: DataFrame, percent: int) -> DataFrame:
 
 
 def _star(entries: DataFrame, percent: int) -> DataFrame:
-    """Every list's first set with the others of it, as distinct pairs."""
+    """Every list's hubs `x` with the others of it that may be linked to them, `y`, as distinct pairs in one direction.
+
+    A hub is the set of the greatest weight among those of its size, sizes being cut where none of the second next can be
+    linked; sets meet the hubs of their own size and of the next smaller one.
+    """
     names = ("n", "pos", "common")
-    hub = entries.groupBy("shingle").agg(F.min(F.struct("rep", "comp", *names)).alias("hub"))
-    met = entries.join(hub, "shingle").filter(F.col("comp") != F.col("hub.comp")).filter(
+    sized = entries.withColumn("size", F.floor(F.log("n") / np.log(100 / percent)) if percent < 100 else F.col("n").cast("long"))
+    hub = sized.groupBy("shingle", "size").agg(F.max(F.struct("weight", "rep", "comp", *names)).alias("hub"))
+    near = hub.select("shingle", "hub", F.explode(F.array("size", F.col("size") + 1)).alias("size"))
+    met = sized.join(near, ["shingle", "size"]).filter(F.col("comp") != F.col("hub.comp")).filter(
         may_link({c: F.col(f"hub.{c}") for c in names}, {c: F.col(c) for c in names}, percent))
-    return met.select(F.col("hub.rep").alias("x"), F.col("rep").alias("y")).distinct()
+    pair = met.select(F.col("hub.rep").alias("x"), F.col("rep").alias("y"))
+    once = pair.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.max("x").alias("x"))
+    return once.select("x", F.when(F.col("x") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("y"))
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), "inter", "union")
 
 
 def _away() -> Column:
@@ -491,8 +505,9 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
     """All links between the sets, stored: `x`, `y` (distinct pairs x < y), `inter` and `union`, NULL where derived."""
     entries = index(sets, sets.select("rep", F.col("rep").alias("comp")), percent)
     star = compared(_star(entries, percent), sets)
+    guide = _guides(sets, star.filter(is_link(percent)))
+    star = _ordered(star)
     found = star.filter(is_link(percent))
-    guide = _guides(sets, found)
     # Partners of a guide that are themselves first in a list are compared above already.
     kin = written(_derived(guide, percent).join(star.select("x", "y"), ["x", "y"], "left_anti"))
     near, more = _decided(entries, guide, star, sets, percent)
@@ -513,7 +528,7 @@ def spanning(sets: DataFrame, percent: int) -> DataFrame:
     labels = components(sets, star.filter(is_link(percent)))
     guide = _guides(sets, star.filter(is_link(percent)))
     entries = index(sets, labels, percent)
-    near, more = _decided(entries, guide, star, sets, percent)
+    near, more = _decided(entries, guide, _ordered(star), sets, percent)
     found = written(star.filter(is_link(percent)).select("x", "y").union(near).union(more.select("x", "y")))
     remove(entries, guide, star)
     return components(sets, found)

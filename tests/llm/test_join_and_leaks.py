@@ -3,12 +3,13 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 import brute
 from compare import connect, difference
 from crawlfold.llm import decontaminate, jaccard_join
-from crawlfold.llm.exchange import NULL_ID
+from crawlfold.llm.exchange import NULL_ID, SHARD, tidy
 
 
 def _components(found):
@@ -48,6 +49,37 @@ def test_chains_of_copies_and_shared_passages(spark, seed, monkeypatch):
     assert _components(jaccard_join.near_duplicates(frame)) == brute.components(rows)
 
 
+def test_a_large_family_leaves_few_pairs(spark, monkeypatch):
+    """Copies with one to four changed words: all are linked to the text they come from, which is the hub of their lists."""
+    rng, left = random.Random(5), []
+    base = [f"w{i}" for i in range(150)]
+    rows = [(500, " ".join(base))]
+    for i in range(300):
+        w = list(base)
+        for at in rng.sample(range(150), rng.randint(1, 4)):
+            w[at] = f"n{i}x{at}"
+        rows.append((i, " ".join(w)))
+    plain = jaccard_join._left_over
+
+    def counted(*args):
+        pairs = plain(*args)
+        left.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(jaccard_join, "_left_over", counted)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert _components(jaccard_join.near_duplicates(frame)) == brute.components(rows)
+    assert left[0] <= len(rows)
+
+
+def test_counts_of_a_shard_are_a_row_per_range(spark):
+    """However far the sets of a shard are scattered."""
+    rows = [(0, i, i % 2, jaccard_join._pack(np.arange(i, i + 50, dtype=np.uint64) << np.uint64(56))) for i in range(60)]
+    sets = spark.createDataFrame(rows, f"{SHARD} long, rep long, comp long, set binary").repartition(20)
+    counts = sets.groupBy(SHARD).applyInArrow(tidy(jaccard_join._count(4)), jaccard_join.COUNT)
+    assert counts.count() <= 4
+
+
 def test_a_short_set_is_its_whole_sequence(spark):
     rows = [(1, "a b c"), (2, "A  b c"), (3, "a b c d"), (4, "a b c d e"), (5, ""), (6, None)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")

@@ -16,6 +16,7 @@ from __future__ import annotations
 import itertools
 import math
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -34,9 +35,10 @@ SAMPLES = 2
 SHARPNESS = 1.0
 SEED = 17
 _BATCH_BYTES = 1 << 20
-#: Edges after which words are forgotten: about 40 bytes each.
+#: Edges after which words are forgotten, about 40 bytes each, and those of the words used most that stay.
 _MOST_EDGES = 2_500_000
-_NEW_WORDS = 15_000
+_KEPT_EDGES = 1_000_000
+_NEW_WORDS = 4_000
 #: Letters, and pieces, up to which words are worked on side by side; the rest of longer ones goes one by one.
 _SIDE_BY_SIDE = 2_000
 _WORD = re.compile(r" *[^ ]+| +")
@@ -97,7 +99,7 @@ class Vocabulary:
 
 
 class Lattices:
-    """Lattices of distinct words, all in one numbering of nodes; words stay until there are many.
+    """Lattices of distinct words, all in one numbering of nodes; words stay until there are many, then those used most.
 
     Edges are sorted by the node they lead to; `begin[v] : begin[v + 1]` are those into v. `piece` is the
     piece of an edge, or -1 - c for a letter c that is spelled in bytes. `mass` is an edge's share of
@@ -128,7 +130,8 @@ class Lattices:
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number: dict[str, int] = defaultdict(itertools.count().__next__)  # a new word gets the next number
+        self.uses = np.empty(0, np.int64)
         self.room: dict[str, np.ndarray] = {}
         none, real = np.empty(0, np.int32), np.empty(0)
         self.source, self.target, self.piece, self.n_ids = none, none, none, np.empty(0, np.int8)
@@ -152,14 +155,41 @@ class Lattices:
     def numbered(self, words: list[list[str]]) -> np.ndarray:
         """Numbers of the words of a batch; lattices of new ones are added."""
         if len(self.piece) > _MOST_EDGES:
-            self.clear()
-        new = list(set(itertools.chain.from_iterable(words)).difference(self.number))
-        if new:
-            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
-            for a in range(0, len(new), _NEW_WORDS):
-                self._add(new[a : a + _NEW_WORDS])
-        count = sum(map(len, words))
-        return np.fromiter(map(self.number.__getitem__, itertools.chain.from_iterable(words)), np.int64, count)
+            self._forget()
+        known, count = len(self.number), sum(map(len, words))
+        found = np.fromiter(map(self.number.__getitem__, itertools.chain.from_iterable(words)), np.int64, count)
+        new = list(itertools.islice(self.number, known, None))
+        for a in range(0, len(new), _NEW_WORDS):
+            self._add(new[a : a + _NEW_WORDS])
+        uses = np.bincount(found, minlength=len(self.number))
+        uses[:known] += self.uses
+        self.uses = uses
+        return found
+
+    def _forget(self) -> None:
+        """Drop all words but those used most, which keep their lattices under new numbers."""
+        first, last = self.first_node, self.last_node
+        size = self.begin[last + 1] - self.begin[first]
+        order = np.argsort(-self.uses, kind="stable")
+        many = (np.cumsum(size[order], dtype=np.int64) <= _KEPT_EDGES) & (self.uses[order] > 1)
+        kept = np.sort(order[: len(order) if many.all() else int(np.argmin(many))])
+        first, n_nodes, n_edges = first[kept], (last - first + 1)[kept], size[kept]
+        new_first, new_edge = np.cumsum(n_nodes) - n_nodes, np.cumsum(n_edges) - n_edges
+        node = np.arange(n_nodes.sum()) + np.repeat(first - new_first, n_nodes)
+        edge = np.arange(n_edges.sum()) + np.repeat(self.begin[first] - new_edge, n_edges)
+        shift = np.repeat(new_first - first, n_edges)
+        into = np.cumsum(self.begin[node + 1] - self.begin[node])
+        rows = {name: getattr(self, name)[edge] for name in ("piece", "n_ids", "mass", "log_mass", "upto", "only")}
+        rows |= {name: (getattr(self, name)[edge] + shift).astype(np.int32) for name in ("source", "target")}
+        rows |= {"first_node": new_first.astype(np.int32), "last_node": (new_first + n_nodes - 1).astype(np.int32),
+                 "begin": into.astype(np.int32)}
+        words, uses = list(self.number), self.uses[kept] // 2  # so that old uses count less and less
+        self.clear()
+        for w in kept.tolist():
+            self.number[words[w]]
+        self.uses = uses
+        for name, x in rows.items():
+            self._append(name, x)
 
     def _add(self, words: list[str]) -> None:
         points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)

@@ -431,3 +431,22 @@ def test_pieces_decode_as_the_library_does(spark, sf):
 def test_null_id_is_a_key(sampler):
     one, two = (list(sampler.draw(np.array([k]), ["some text here"], 2)) for k in (NULL_ID, 0))
     assert [f[3] for f in one] != [f[3] for f in two] or one[0][4] != two[0][4]
+
+
+def test_words_used_most_stay(monkeypatch):
+    """When words are forgotten, those used most keep their lattices, and later draws are those of a sampler that never forgets."""
+    with open(sp.MODEL, "rb") as f:
+        vocabulary = sp.Vocabulary.read(f.read())
+    rng = random.Random(3)
+    batches = [[" ".join(["the", "often", *(f"w{rng.randrange(10**6)}" for _ in range(30)), "often"]) for _ in range(5)] for _ in range(6)]
+    monkeypatch.setattr(sp, "_MOST_EDGES", 10**9)
+    plain = sp.Sampler(sp.Lattices(vocabulary), 1)
+    whole = [[(t, r, i.tolist(), *x) for t, r, i, *x in plain.draw(np.arange(5), b, 2)] for b in batches]
+    monkeypatch.setattr(sp, "_MOST_EDGES", 500)
+    monkeypatch.setattr(sp, "_KEPT_EDGES", 100)
+    small = sp.Sampler(sp.Lattices(vocabulary), 1)
+    for b, expected in zip(batches, whole):
+        assert [(t, r, i.tolist(), *x) for t, r, i, *x in small.draw(np.arange(5), b, 2)] == expected
+    small.lattices.numbered([])
+    assert " often" in small.lattices.number and len(small.lattices.number) < 50
+    assert len(small.lattices.piece) <= 100

@@ -34,8 +34,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 SHARPNESS = 1.0
 SEED = 17
-_BATCH_BYTES = 1 << 20
-#: Edges after which words are forgotten, about 40 bytes each, and those of the words used most that stay.
+_BATCH_BYTES = 1 << 19  # the arrays of a batch, some 20 MB, are gone through many times
+#: Edges after which words are forgotten, about 25 bytes each, and those of the words used most that stay.
 _MOST_EDGES = 2_500_000
 _KEPT_EDGES = 1_000_000
 _NEW_WORDS = 4_000
@@ -84,26 +84,24 @@ class Vocabulary:
 
     def gives_back(self, ids: np.ndarray, ends: np.ndarray, texts: list[bytes]) -> list[bool]:
         """Whether the ids `ends[i] : ends[i + 1]` decode to text i, for all i at once; ends begin with 0."""
-        flat, first, size = self.flat
-        sizes = size[ids]
-        whole = np.concatenate([[0], np.cumsum(sizes)])
-        at = np.arange(whole[-1]) - np.repeat(whole[:-1] - first[ids], sizes)
-        data, to = flat[at].tobytes(), whole[ends].tolist()
+        if not len(ids):
+            return [not t for t in texts]
+        _, offsets, data = self.column.take(pa.array(ids)).buffers()
+        to, data = np.frombuffer(offsets, np.int64)[ends].tolist(), data.to_pybytes()
         return [data[a + 1 : b] == t for a, b, t in zip(to[:-1], to[1:], texts)]
 
     @cached_property
-    def flat(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The bytes of all pieces in a row, where each begins, and its size."""
-        size = np.array([len(x) for x in self.data], np.int64)
-        return np.frombuffer(b"".join(self.data), np.uint8), np.cumsum(size) - size, size
+    def column(self) -> pa.Array:
+        """The bytes of all pieces."""
+        return pa.array(self.data, pa.large_binary())
 
 
 class Lattices:
     """Lattices of distinct words, all in one numbering of nodes; words stay until there are many, then those used most.
 
     Edges are sorted by the node they lead to; `begin[v] : begin[v + 1]` are those into v. `piece` is the
-    piece of an edge, or -1 - c for a letter c that is spelled in bytes. `mass` is an edge's share of
-    its node's paths, `upto` the running sum of these shares. A word's numbers do not depend on other words.
+    piece of an edge, or -1 - c for a letter c that is spelled in bytes. `log_mass` is the log of an edge's
+    share of its node's paths, `upto` the running sum of these shares, and more than any for a node's last edge. A word's numbers do not depend on other words.
     """
 
     def __init__(self, vocabulary: Vocabulary):
@@ -122,10 +120,11 @@ class Lattices:
             some = np.flatnonzero(sizes > n)
             keys[some] = combined(keys[some], points[first[some] + n])
         order = np.argsort(keys)
-        self.keys = keys[order]
-        self.ids = np.array(list(prefixes.values()), np.int32)[order]
-        self.slot = np.searchsorted(self.keys, np.arange(1 << 20, dtype=np.uint64) << np.uint64(44)).astype(np.int32)
-        self.depth = int(np.diff(np.r_[self.slot, len(self.keys)]).max())
+        self.keys = np.r_[keys[order], np.uint64(2**64 - 1)]  # a search ends at the last key
+        self.ids = np.r_[np.array(list(prefixes.values()), np.int32)[order], np.int32(-1)]
+        self.slot = np.searchsorted(keys[order], np.arange(1 << 18, dtype=np.uint64) << np.uint64(46)).astype(np.int32)
+        self.first = combined(np.uint64(0), np.arange(0x110000, dtype=np.uint64))  # the keys of all single letters
+        self.first_id = self._find(self.first)
         self.vocabulary = vocabulary
         self.clear()
 
@@ -134,22 +133,23 @@ class Lattices:
         self.uses = np.empty(0, np.int64)
         self.room: dict[str, np.ndarray] = {}
         none, real = np.empty(0, np.int32), np.empty(0)
-        self.source, self.target, self.piece, self.n_ids = none, none, none, np.empty(0, np.int8)
-        self.mass, self.log_mass, self.upto, self.only = real, real, real, np.empty(0, bool)
+        self.source, self.piece = none, none
+        self.log_mass, self.upto, self.only = real, real, np.empty(0, bool)
         self.first_node, self.last_node, self.begin = none, none, np.zeros(1, np.int32)
 
     def _find(self, h: np.ndarray) -> np.ndarray:
         """Ids of the pieces with these keys, -2 for a beginning of pieces, -1 for neither."""
-        at = self.slot[(h >> np.uint64(44)).astype(np.int64)]
-        found = np.full(len(h), -1, np.int32)
-        open_ = np.arange(len(h))
-        for i in range(self.depth):
-            j = np.minimum(at[open_] + i, len(self.keys) - 1)
-            hit = self.keys[j] == h[open_]
-            found[open_[hit]] = self.ids[j[hit]]
-            open_ = open_[~hit & (self.keys[j] < h[open_])]
-            if not len(open_):
-                break
+        at = self.slot[(h >> np.uint64(46)).view(np.int64)]
+        key = self.keys[at]
+        found = np.where(key == h, self.ids[at], np.int32(-1))
+        open_ = np.flatnonzero(key < h)
+        while len(open_):
+            at = at[open_] + 1 if len(at) == len(h) else at + 1
+            key, own = self.keys[at], h[open_]
+            hit = key == own
+            found[open_[hit]] = self.ids[at[hit]]
+            more = key < own
+            open_, at = open_[more], at[more]
         return found
 
     def numbered(self, words: list[list[str]]) -> np.ndarray:
@@ -179,9 +179,8 @@ class Lattices:
         edge = np.arange(n_edges.sum()) + np.repeat(self.begin[first] - new_edge, n_edges)
         shift = np.repeat(new_first - first, n_edges)
         into = np.cumsum(self.begin[node + 1] - self.begin[node])
-        rows = {name: getattr(self, name)[edge] for name in ("piece", "n_ids", "mass", "log_mass", "upto", "only")}
-        rows |= {name: (getattr(self, name)[edge] + shift).astype(np.int32) for name in ("source", "target")}
-        rows |= {"first_node": new_first.astype(np.int32), "last_node": (new_first + n_nodes - 1).astype(np.int32),
+        rows = {name: getattr(self, name)[edge] for name in ("piece", "log_mass", "upto", "only")}
+        rows |= {"source": (self.source[edge] + shift).astype(np.int32), "first_node": new_first.astype(np.int32), "last_node": (new_first + n_nodes - 1).astype(np.int32),
                  "begin": into.astype(np.int32)}
         words, uses = list(self.number), self.uses[kept] // 2  # so that old uses count less and less
         self.clear()
@@ -193,75 +192,82 @@ class Lattices:
 
     def _add(self, words: list[str]) -> None:
         points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
-        sizes = np.array([len(w) for w in words], np.int32)
+        sizes = np.fromiter(map(len, words), np.int32, len(words))
         ends = np.cumsum(sizes, dtype=np.int32)
         left = np.repeat(ends, sizes) - np.arange(len(points), dtype=np.int32)  # letters up to the word's end
-        word = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
-        start, stop, piece = [], [], []
-        single = np.full(len(points), -1, np.int32)
-        at, h = np.arange(len(points), dtype=np.int32), np.zeros(len(points), np.uint64)
+        # Node numbers: letter i of word w begins at node i + w and ends at node i + w + 1.
+        node = np.arange(len(points), dtype=np.int32) + np.repeat(np.arange(len(words), dtype=np.int32), sizes)
+        letter = points.astype(np.int64)
+        found_at, length = [], []  # per length (nodes that its pieces lead to, the pieces)
+        at, h, found = np.arange(len(points), dtype=np.int32), self.first[letter], self.first_id[letter]
         for n in range(1, self.longest + 1):
-            keep = left[at] >= n
-            at, h = at[keep], h[keep]
-            h = combined(h, points[at + n - 1].astype(np.uint64))
-            found = self._find(h)
-            hit = found >= 0
-            if n == 1:
-                single = found
-            start.append(at[hit])
-            stop.append(at[hit] + n)
-            piece.append(found[hit])
-            more = found != -1
+            if n > 1:
+                h = combined(h, letter[at + (n - 1)].view(np.uint64))
+                found = self._find(h)
+            hit = np.flatnonzero(found >= 0)
+            found_at.append((node[at[hit]] + np.int32(n), found[hit]))
+            length.append(n)
+            if n == 1:  # letters without a piece are spelled in bytes
+                alone = np.flatnonzero(found < 0)
+                spelling = node[alone] + np.int32(1), -1 - points[alone].astype(np.int32)
+            more = np.flatnonzero((found != -1) & (left[at] > n))
             at, h = at[more], h[more]
             if not len(at):
                 break
-        alone = np.flatnonzero(single < 0).astype(np.int32)  # letters without a piece are spelled in bytes
-        start.append(alone)
-        stop.append(alone + 1)
-        piece.append(-1 - points[alone].astype(np.int32))
-        start, stop, piece = (np.concatenate(x[::-1]) for x in (start, stop, piece))
-        # Node numbers: letter i of word w begins at node i + w and ends at node i + w + 1.
-        source, target = start + word[start], stop + word[start]
-        order = np.argsort(target, kind="stable")  # into a node the longest piece first
-        source, target, piece = source[order], target[order], piece[order]
+        # Into a node a spelled letter first, then the longest piece; pieces of one length lead to different nodes.
+        found_at, length = [spelling, *found_at[::-1]], [1, *length[::-1]]
         n_nodes = len(points) + len(words)
-        begin = np.searchsorted(target, np.arange(n_nodes + 1)).astype(np.int32)
-        first_node = np.r_[0, ends[:-1]].astype(np.int32) + np.arange(len(words), dtype=np.int32)
-        spelled = piece < 0
-        n_ids = np.ones(len(piece), np.int8)
-        weights = self.vocabulary.weights
-        weight = weights[np.where(spelled, self.vocabulary.first_byte, piece)]
-        if spelled.any():
-            c = -1 - piece[spelled]
-            n_ids[spelled] = 1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000)
-            weight[spelled] *= n_ids[spelled]
+        count = np.zeros(n_nodes, np.int32)
+        for to, _ in found_at:
+            count[to] += 1
+        begin = np.zeros(n_nodes + 1, np.int32)
+        np.cumsum(count, out=begin[1:])
+        source, piece, free = np.empty(begin[-1], np.int32), np.empty(begin[-1], np.int32), begin[:-1].copy()
+        for (to, found), n in zip(found_at, length):
+            e = free[to]
+            free[to] += 1
+            source[e] = to - np.int32(n)
+            piece[e] = found
+        target = np.repeat(np.arange(n_nodes, dtype=np.int32), count)
+        first_node = ends - sizes + np.arange(len(words), dtype=np.int32)
+        spelled = np.flatnonzero(piece < 0)
+        weight = self.vocabulary.weights[np.maximum(piece, 0)]
+        if len(spelled):
+            weight[spelled] = self.vocabulary.weights[self.vocabulary.first_byte] * _n_bytes(-1 - piece[spelled])
         # Forward scores, all words side by side, one letter after the other.
         total = np.zeros(n_nodes)
-        place = stop[order] - (ends - sizes)[word[start[order]]]
-        by_place = np.argsort(place.astype(np.uint16) if place.max(initial=0) < 1 << 16 else place, kind="stable")
-        cut = np.searchsorted(place[by_place], np.arange(1, place.max(initial=0) + 2))
-        for a, b in zip(cut[:_SIDE_BY_SIDE].tolist(), cut[1 : _SIDE_BY_SIDE + 1].tolist()):
-            e = by_place[a:b]
-            value, to = total[source[e]] + weight[e], target[e]
-            new = np.flatnonzero(np.r_[True, to[1:] != to[:-1]])
+        place = np.arange(n_nodes, dtype=np.int32) - np.repeat(first_node, sizes + 1)
+        longest = int(sizes.max(initial=0))
+        by_place = np.argsort(np.repeat(place.astype(np.uint16) if longest < 1 << 16 else place, count), kind="stable")
+        from_, to, value_of = source[by_place], target[by_place], weight[by_place]
+        lead = np.flatnonzero(np.r_[True, to[1:] != to[:-1]]) if len(to) else np.empty(0, np.int64)
+        size, node_to = np.diff(np.r_[lead, len(to)]), to[lead]
+        cut = np.searchsorted(place[node_to], np.arange(1, longest + 2))  # nodes of a place
+        edge_cut = np.r_[lead, len(to)][cut].tolist()
+        cut = cut.tolist()
+        for i in range(min(longest, _SIDE_BY_SIDE)):
+            a, b, x, y = edge_cut[i], edge_cut[i + 1], cut[i], cut[i + 1]
+            value, new = total[from_[a:b]] + value_of[a:b], lead[x:y] - a
             top = np.maximum.reduceat(value, new)
-            size = np.diff(np.r_[new, len(e)])
-            total[to[new]] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, size)), new))
-        if len(cut) > _SIDE_BY_SIDE + 1:  # the few words that are longer, edge by edge
-            e = by_place[cut[_SIDE_BY_SIDE] :]
-            self._long(total, source[e], target[e], weight[e])
-        log_mass = total[source] + weight - total[target]
-        mass = np.exp(log_mass)
-        nth = np.arange(len(target), dtype=np.int32) - begin[target]
-        upto = mass.copy()
-        for k in range(1, int(nth.max(initial=0)) + 1):
-            e = np.flatnonzero(nth == k)
+            value -= np.repeat(top, size[x:y])
+            total[node_to[x:y]] = top + np.log(np.add.reduceat(np.exp(value), new))
+        if longest > _SIDE_BY_SIDE:  # the few words that are longer, edge by edge
+            a = edge_cut[_SIDE_BY_SIDE]
+            self._long(total, from_[a:], to[a:], value_of[a:])
+        log_mass = total[source] + weight - np.repeat(total, count)
+        upto = np.exp(log_mass)
+        several, k = np.flatnonzero(count > 1), 1
+        while len(several):
+            e = begin[several] + k
             upto[e] += upto[e - 1]
+            k += 1
+            several = several[count[several] > k]
+        upto[begin[1:][count > 0] - 1] = np.inf
         nodes, edges = len(self.begin) - 1, len(self.piece)
         add = self._append
-        add("only", begin[target + 1] - begin[target] == 1)
-        for name, x in (("source", source + np.int32(nodes)), ("target", target + np.int32(nodes)), ("piece", piece), ("n_ids", n_ids),
-                        ("mass", mass), ("log_mass", log_mass), ("upto", upto), ("first_node", first_node + np.int32(nodes)),
+        add("only", np.repeat(count == 1, count))
+        for name, x in (("source", source + np.int32(nodes)), ("piece", piece),
+                        ("log_mass", log_mass), ("upto", upto), ("first_node", first_node + np.int32(nodes)),
                         ("last_node", first_node + sizes + np.int32(nodes)), ("begin", begin[1:] + np.int32(edges))):
             add(name, x)
 
@@ -295,20 +301,24 @@ class Lattices:
         close()
         total[list(known)] = list(known.values())
 
-    def others(self, edge: np.ndarray) -> np.ndarray:
-        """What the other edges into the same node share; nothing if there are none."""
-        return np.where(self.only[edge], 0.0, np.maximum(1 - self.mass[edge], 1e-300))
-
     def pick(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
         """For each node an edge into it by shares."""
-        e, last = self.begin[node].copy(), self.begin[node + 1] - 1
-        open_ = np.flatnonzero((self.upto[e] < u) & (e < last))
+        e = self.begin[node]
+        open_ = np.flatnonzero(self.upto[e] < u)
+        next_, u = e[open_], u[open_]
         while len(open_):
-            e[open_] += 1
-            open_ = open_[(self.upto[e[open_]] < u[open_]) & (e[open_] < last[open_])]
+            next_ += 1
+            e[open_] = next_
+            more = np.flatnonzero(self.upto[next_] < u)
+            open_, next_, u = open_[more], next_[more], u[more]
         return e
 
 
+def _n_bytes(letter: np.ndarray) -> np.ndarray:
+    """Bytes of letters in UTF-8."""
+    return 1 + (letter >= 0x80) + (letter >= 0x800) + (letter >= 0x10000)
+
+
 def words_of(text: str) -> list[str]:
     """The words of a text behind a space, each with the spaces in front of it; spaces at the end are a word too."""
     parts = text.split(" ")
@@ -340,46 +350,48 @@ class Paths:
         return slice(int(self.ends[text - 1]) if text else 0, int(self.ends[text]))
 
 
-def _walk(lattices: Lattices, node: np.ndarray, stop: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """From each node back to its word's start: (edges, which walk, step)."""
-    edges, walks, steps = [], [], []
+def _walk(lattices: Lattices, node: np.ndarray, stop: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """From each node back to its word's start: (edges, which walk), walk by walk."""
+    edges, walks, rest = [], [], {}
+    steps = np.zeros(len(node), np.int64)
     walk = np.flatnonzero(node > stop)
-    node = node.copy()
+    walk = walk[np.argsort(node[walk])]  # so that what is read of the lattices lies in a row
+    at, end, draw = node[walk], stop[walk], key[walk]
     step = 0
     while len(walk) and step < _SIDE_BY_SIDE:
-        e = lattices.pick(node[walk], uniform(key[walk] + np.uint64(step)))
+        e = lattices.pick(at, uniform(draw + np.uint64(step)))
         edges.append(e)
         walks.append(walk)
-        steps.append(np.full(len(walk), step))
-        node[walk] = lattices.source[e]
-        walk = walk[node[walk] > stop[walk]]
         step += 1
-    for w in walk.tolist():  # the few that go on, one after the other
-        e = _walk_on(lattices, int(node[w]), int(stop[w]), key[w : w + 1], step)
-        edges.append(e)
-        walks.append(np.full(len(e), w))
-        steps.append(np.arange(step, step + len(e)))
-    if not edges:
-        e = np.empty(0, np.int64)
-        return e, e, e
-    edges, walks, steps = (np.concatenate(x) for x in (edges, walks, steps))
-    order = np.lexsort((steps, walks))
-    return edges[order], walks[order], steps[order]
+        steps[walk] = step
+        at = lattices.source[e]
+        more = np.flatnonzero(at > end)
+        walk, at, end, draw = walk[more], at[more], end[more], draw[more]
+    for w, v in zip(walk.tolist(), at.tolist()):  # the few that go on, one after the other
+        rest[w] = _walk_on(lattices, v, int(stop[w]), key[w : w + 1], step)
+        steps[w] = step + len(rest[w])
+    begin = np.cumsum(steps) - steps
+    found = np.empty(steps.sum(), lattices.begin.dtype)
+    for i, (e, walk) in enumerate(zip(edges, walks)):
+        found[begin[walk] + i] = e
+    for w, e in rest.items():
+        found[begin[w] + step : begin[w] + step + len(e)] = e
+    return found, np.repeat(np.arange(len(node)), steps)
 
 
 def _walk_on(lattices: Lattices, node: int, stop: int, key: np.ndarray, step: int) -> np.ndarray:
     """The edges of one walk from a node on, piece by piece."""
     low, high = int(lattices.begin[stop]), int(lattices.begin[node + 1])
     upto, source = lattices.upto[low:high].tolist(), lattices.source[low:high].tolist()
-    begin = (lattices.begin[stop : node + 2] - low).tolist()
+    begin = (lattices.begin[stop : node + 1] - low).tolist()
     edges, draws = [], iter(())
     while node > stop:
         if (u := next(draws, None)) is None:
             draws = iter(uniform(key + np.arange(step, step + _SIDE_BY_SIDE, dtype=np.uint64)).tolist())
             step += _SIDE_BY_SIDE
             u = next(draws)
-        e, last = begin[node - stop], begin[node - stop + 1] - 1
-        while upto[e] < u and e < last:
+        e = begin[node - stop]
+        while upto[e] < u:
             e += 1
         edges.append(e + low)
         node = source[e]
@@ -435,7 +447,7 @@ class Sampler:
             which = np.flatnonzero(use)
             nth = which - begins[owner[which]]
             key = mixed(_keys(ids, self.seed, rank)[owner[which]] + nth.astype(np.uint64), 5)
-            edge, walk, _ = _walk(lat, node[which], first[which], key)
+            edge, walk = _walk(lat, node[which], first[which], key)
             word = which[walk]
             fresh = np.ones(len(edge), bool)
             if kept_edges:
@@ -458,12 +470,12 @@ class Sampler:
             scores.append(score)
             bounds.append(bound.copy())
             # Nodes that this path leaves: at each new piece, all paths that agree before and differ there.
-            noise = -np.log(uniform(mixed(_keys(ids, self.seed, rank)[text] + np.arange(len(edge), dtype=np.uint64) - start[text].astype(np.uint64), 11)))
-            with np.errstate(divide="ignore"):
-                others = lat.others(edge)
-                rest = run - log_mass + np.log(others)
-                value = -np.logaddexp(-bound[text], np.log(noise) - rest)
-            value[~fresh | (others == 0)] = -np.inf
+            some = np.flatnonzero(fresh & ~lat.only[edge])
+            of = text[some]
+            noise = -np.log(uniform(mixed((_keys(ids, self.seed, rank) - start.astype(np.uint64))[of] + some.astype(np.uint64), 11)))
+            rest = run[some] - log_mass[some] + np.log(np.maximum(1 - np.exp(log_mass[some]), 1e-300))
+            value = np.full(len(edge), -np.inf)
+            value[some] = -np.logaddexp(-bound[of], np.log(noise) - rest)
             agenda.append(value)
             again = -np.log(uniform(mixed(_keys(ids, self.seed, rank), 29)))
             for t in alive.tolist():
@@ -498,10 +510,10 @@ class Sampler:
     def _siblings(self, path: Paths, cut: dict, p: int, t: int, i: int) -> tuple[np.ndarray, np.ndarray]:
         lat = self.lattices
         edge = int(path.edge[path.of(t)][i])
-        node = int(lat.target[edge])
+        node = int(np.searchsorted(lat.begin, lat.begin.dtype.type(edge), "right")) - 1  # of one type: nothing is copied
         gone = {edge, *cut.get((p, t, i), ())}
         left = [e for e in range(int(lat.begin[node]), int(lat.begin[node + 1])) if e not in gone]
-        return left, lat.mass[left]
+        return left, np.exp(lat.log_mass[left])
 
     def _other(self, path: Paths, cut: dict, p: int, t: int, i: int, u: float) -> int:
         left, mass = self._siblings(path, cut, p, t, i)
@@ -528,10 +540,14 @@ class Sampler:
             size = np.diff(np.r_[lead, n])
             turned = np.repeat(2 * lead + size - 1, size) - np.arange(n)
             edge = path.edge[turned]
-            n_ids = lat.n_ids[edge]
-            ids = np.repeat(lat.piece[edge], n_ids).astype(np.int32)
-            ends = np.cumsum(n_ids)
-            for j in np.flatnonzero(lat.piece[edge] < 0).tolist():
+            ids = lat.piece[edge]
+            short = np.flatnonzero((ids < 0) & (ids >= -0x80))  # letters that are one byte
+            ids[short] = -1 - ids[short] + lat.vocabulary.first_byte
+            n_ids = np.ones(n, np.int64)
+            spell = np.flatnonzero(ids < 0)
+            n_ids[spell] = _n_bytes(-1 - ids[spell])
+            ids, ends = np.repeat(ids, n_ids) if len(spell) else ids, np.cumsum(n_ids)
+            for j in spell.tolist():
                 e = int(edge[j])
                 if e not in spelled:
                     data = chr(-1 - int(lat.piece[e])).encode("utf-8", "surrogatepass")

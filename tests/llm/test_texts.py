@@ -450,3 +450,40 @@ def test_words_used_most_stay(monkeypatch):
     small.lattices.numbered([])
     assert " often" in small.lattices.number and len(small.lattices.number) < 50
     assert len(small.lattices.piece) <= 100
+
+
+def test_noise_is_drawn_where_paths_part(sampler, monkeypatch):
+    """Noise is drawn only for pieces that have others beside them."""
+    walked, alone, drawn, walk, uniform = [], [], [], sp._walk, sp.uniform
+
+    def counted(*a):
+        found = walk(*a)
+        walked.append(len(found[0]))
+        alone.append(int(sampler.lattices.only[found[0]].sum()))
+        return found
+
+    monkeypatch.setattr(sp, "_walk", counted)
+    monkeypatch.setattr(sp, "uniform", lambda key: (drawn.append(len(key)), uniform(key))[1])
+    assert len(list(sampler.draw(np.arange(30), ["the quick brown fox jumps over the lazy dog " * 40] * 30, 2))) == 60
+    assert sum(alone) > 1000
+    assert sum(drawn) <= 2 * sum(walked) - sum(alone) + 8 * 30
+
+
+def test_edges_are_small(sampler):
+    """All that is kept of a word's edge, so that many words stay: before 38 bytes and the nodes."""
+    lattices = sp.Lattices(sampler.lattices.vocabulary)
+    rng = random.Random(5)
+    lattices.numbered([["".join(rng.choice("aeiorstn") for _ in range(12)) for _ in range(500)]])
+    n = len(lattices.piece)
+    assert n > 10_000 and sum(x[:n].nbytes for name, x in lattices.room.items() if len(getattr(lattices, name)) == n) <= 25 * n
+
+
+def test_letters_spelled_in_bytes(sampler):
+    """Letters of one to four bytes without a piece, alone and in words, are spelled in a text's order."""
+    text = "a\x01b \x02 ͸q͹ x \U0001f9ff\U000e0001 \n\x7f"
+    vocabulary = sampler.lattices.vocabulary
+    found = list(sampler.draw(np.array([4, 5]), [text, text], 3))
+    assert {f[0] for f in found} == {0, 1} and all(vocabulary.decode(f[2].tolist()) == text.encode() for f in found)
+    flat, ends = np.concatenate([f[2] for f in found]), np.cumsum([0, *(len(f[2]) for f in found)])
+    assert vocabulary.gives_back(flat, ends, [text.encode()] * len(found)) == [True] * len(found)
+    assert vocabulary.gives_back(flat, ends, [text.encode() + b"x"] * len(found)) == [False] * len(found)

@@ -183,7 +183,9 @@ class Lattices:
         rows |= {"source": (self.source[edge] + shift).astype(np.int32), "first_node": new_first.astype(np.int32), "last_node": (new_first + n_nodes - 1).astype(np.int32),
                  "begin": into.astype(np.int32)}
         words, uses = list(self.number), self.uses[kept] // 2  # so that old uses count less and less
+        room = self.room
         self.clear()
+        self.room = room  # `rows` are copies
         for w in kept.tolist():
             self.number[words[w]]
         self.uses = uses
@@ -238,12 +240,13 @@ class Lattices:
         total = np.zeros(n_nodes)
         place = np.arange(n_nodes, dtype=np.int32) - np.repeat(first_node, sizes + 1)
         longest = int(sizes.max(initial=0))
-        by_place = np.argsort(np.repeat(place.astype(np.uint16) if longest < 1 << 16 else place, count), kind="stable")
-        from_, to, value_of = source[by_place], target[by_place], weight[by_place]
-        lead = np.flatnonzero(np.r_[True, to[1:] != to[:-1]]) if len(to) else np.empty(0, np.int64)
-        size, node_to = np.diff(np.r_[lead, len(to)]), to[lead]
-        cut = np.searchsorted(place[node_to], np.arange(1, longest + 2))  # nodes of a place
-        edge_cut = np.r_[lead, len(to)][cut].tolist()
+        node_to = np.argsort(place.astype(np.uint16) if longest < 1 << 16 else place, kind="stable")[len(words) :]
+        size = count[node_to]
+        lead = np.cumsum(size, dtype=np.int64) - size
+        by_place = np.repeat(begin[node_to] - lead, size) + np.arange(len(piece))
+        from_, value_of = source[by_place], weight[by_place]
+        cut = np.searchsorted(place[node_to], np.arange(1, longest + 2, dtype=np.int32))  # nodes of a place
+        edge_cut = np.r_[lead, len(piece)][cut].tolist()
         cut = cut.tolist()
         for i in range(min(longest, _SIDE_BY_SIDE)):
             a, b, x, y = edge_cut[i], edge_cut[i + 1], cut[i], cut[i + 1]
@@ -253,7 +256,7 @@ class Lattices:
             total[node_to[x:y]] = top + np.log(np.add.reduceat(np.exp(value), new))
         if longest > _SIDE_BY_SIDE:  # the few words that are longer, edge by edge
             a = edge_cut[_SIDE_BY_SIDE]
-            self._long(total, from_[a:], to[a:], value_of[a:])
+            self._long(total, from_[a:], np.repeat(node_to, size)[a:], value_of[a:])
         log_mass = total[source] + weight - np.repeat(total, count)
         upto = np.exp(log_mass)
         several, k = np.flatnonzero(count > 1), 1
@@ -321,8 +324,9 @@ def _n_bytes(letter: np.ndarray) -> np.ndarray:
 
 def words_of(text: str) -> list[str]:
     """The words of a text behind a space, each with the spaces in front of it; spaces at the end are a word too."""
-    parts = text.split(" ")
-    return _WORD.findall(" " + text) if "" in parts else [" " + w for w in parts]
+    if not text or "  " in text or "\0" in text or text[0] == " " or text[-1] == " ":
+        return _WORD.findall(" " + text)
+    return (" " + text.replace(" ", "\0 ")).split("\0")
 
 
 def uniform(key: np.ndarray) -> np.ndarray:
